@@ -15,14 +15,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .text import ALNUM_LOWER, U, Words, chunks
-from .work import Work
+from .work import Work, pack, unpack
 
 #: Words of items in a block; an automaton has at most twice as many states.
 BLOCK_WORDS = 200_000
 
+#: Columns that a scan appends.
+MADE = ["n_words", "starts", "ends", "items"]
+
 
 class SuffixAutomaton:
     """All runs of words of the items, with the items that hold each and the longest match at every word of a stream."""
@@ -215,20 +218,23 @@ def _hits(shared):
                 starts += s
                 ends += e
                 items += f
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "text", "n_words", "starts", "ends", "items"],
-            )
+            made = [pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+            passed = [c for c in batch.schema.names if c not in MADE]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in passed] + made, names=passed + MADE)
 
     return run
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, text, n_words, hit word spans (arrays starts, ends; sorted and apart) and items, for every row of ``docs``."""
+    """Every row of ``docs`` (doc_id, text, and columns of other names than MADE) with n_words, hit word spans and items.
+
+    The spans are arrays starts and ends, sorted and apart; items are item_ids as strings, sorted.
+    """
     spark = docs.sparkSession
     Work(spark, "decontam")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shape = "doc_id long, text string, n_words long, starts array<long>, ends array<long>, items array<string>"
+    longs = T.ArrayType(T.LongType())
+    kinds = zip(MADE, (T.LongType(), longs, longs, T.ArrayType(T.StringType())), strict=True)
+    shape = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in kinds)])
     out = None
     for block in blocks(items, window, block_words):  # each adds its spans to those found so far
         sent = spark.sparkContext.broadcast(block)
@@ -253,8 +259,8 @@ def _more(shared):
                 starts.append(a)
                 ends.append(b)
                 items.append(sorted({*f, *f2}))
-            lists = [pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), batch.column("n_words"), *lists], names=batch.schema.names)
+            lists = {"starts": pa.array(starts, pa.list_(pa.int64())), "ends": pa.array(ends, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([lists.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
 
     return run
 
@@ -275,11 +281,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     repeated rows and rows without doc_id are each judged alone; an item without
     item_id hits words but is not named.
     """
-    hits = scan(docs, items, window, block_words)
-    cut = hits.mapInArrow(_cut, "doc_id long, text string, n_words long, starts array<long>, ends array<long>, items array<string>")
+    hits = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items, window, block_words)
+    cut = hits.mapInArrow(_cut, hits.schema)
     return cut.select("doc_id", "text", "n_words", hit_count().alias("n_hit"), F.array_sort("items").alias("items")).withColumn("rejected", F.col("n_hit") > max_coverage * F.col("n_words"))
 
 
+def rewrite(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` with all its columns and the texts that ``decontaminate`` leaves; rejected documents are gone."""
+    hits = scan(pack(docs), items, window, block_words)
+    kept = hits.mapInArrow(_cut, hits.schema).where(~(hit_count() > max_coverage * F.col("n_words")))
+    return unpack(kept, docs, F.size("starts") > 0)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         starts, ends = batch.column("starts").to_pylist(), batch.column("ends").to_pylist()
@@ -314,6 +327,7 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: windows of ten words, all documents against all items."""
-    hits = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    hits = scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     names = F.array_join(F.array_sort("items"), ",")
     return hits.select("doc_id", "n_words", hit_count().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256")).withColumn("contaminated", F.col("n_hit") > 0)

@@ -27,10 +27,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .text import SPACED, U, Words, as_long, chunks, mix
-from .work import Work, join_checked
+from .work import Work, join_checked, pack, unpack
 
 NEW, REPEAT, SPAN = 0, 1, 2  # a row of a run: first of its context; repeats an earlier one; a span found before the shuffle
 
@@ -230,8 +230,7 @@ class WindowIndex:
 
 
 def with_tie(docs: DataFrame, work: Work) -> DataFrame:
-    """doc_id, tie, text: ``tie`` numbers the different texts of a doc_id (0 if there is one, as a rule)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """``docs`` (doc_id, text, others) and ``tie``, which numbers the different texts of a doc_id (0 if there is one, as a rule)."""
     twice = work.save(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"), "twice")
     if not twice.limit(1).count():
         return docs.withColumn("tie", F.lit(0))
@@ -239,12 +238,12 @@ def with_tie(docs: DataFrame, work: Work) -> DataFrame:
     ties = texts.withColumn("tie", (F.row_number().over(Window.partitionBy("doc_id").orderBy("text")) - 1).cast("int"))
     ties = work.save(ties.select("doc_id", F.sha2("text", 256).alias("key"), "tie"), "ties")
     out = join_checked(docs.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256)), ties, ["doc_id", "key"], "left")
-    return out.select("doc_id", "text", F.coalesce("tie", F.lit(0)).alias("tie"))
+    return out.withColumn("tie", F.coalesce("tie", F.lit(0))).drop("key")
 
 
 def repeated_spans(docs: DataFrame, work: Work, window: int = 20, gram: int = 10, batches: int = 3, max_runs: int = 2) -> DataFrame:
     """(doc_id, tie, spans) for the documents that have windows seen earlier; ``docs`` has doc_id, tie, text."""
-    docs = docs.where("doc_id is not null")
+    docs = docs.where("doc_id is not null").select("doc_id", "tie", "text")
     cuts = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000).alias("q")).first()["q"] or []
     index = WindowIndex(work, window, gram, max_runs)
     bounds, found = [None, *sorted(set(cuts)), None], None
@@ -280,8 +279,9 @@ def _cut(window: int, digest: bool):
                     kept.append(hashlib.sha256(b" ".join(keep)).hexdigest())
                 else:
                     kept.append(text if len(keep) == len(words) else b" ".join(keep).decode())
+            passed = [c for c in batch.schema.names if c not in ("text", "spans")]
             made = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in batch.schema.names[:-1] if c != "text"] + made, names=[c for c in batch.schema.names[:-1] if c != "text"] + ["n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in passed] + made, names=[*passed, "n_words", "n_removed", "kept"])
 
     return run
 
@@ -299,12 +299,22 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 10, batches: i
     gives an empty result; other columns are ignored.
     """
     work = Work(docs.sparkSession, "substring")
-    tied = with_tie(docs, work)
+    tied = with_tie(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work)
     spans = repeated_spans(tied, work, window, gram, batches, max_runs)
     out = join_checked(tied, spans, ["doc_id", "tie"], "left", limit=200_000).select("doc_id", "text", "spans")
     return out.mapInArrow(_cut(window, digest), "doc_id long, n_words long, n_removed long, kept string")
 
 
+def rewrite(docs: DataFrame, window: int = 20, gram: int = 10, batches: int = 3, max_runs: int = 2) -> DataFrame:
+    """``docs`` with all its columns and the texts that ``remove_repeats`` keeps (a null text stays null)."""
+    work = Work(docs.sparkSession, "substring")
+    tied = with_tie(pack(docs), work)
+    spans = repeated_spans(tied, work, window, gram, batches, max_runs)
+    out = join_checked(tied, spans, ["doc_id", "tie"], "left", limit=200_000).select("row", "text", "spans")
+    shape = T.StructType([out.schema["row"], *(T.StructField(n, T.LongType()) for n in ("n_words", "n_removed")), T.StructField("kept", T.StringType())])
+    return unpack(out.mapInArrow(_cut(window, False), shape).withColumnRenamed("kept", "text"), docs, F.col("n_removed") > 0)
+
+
 SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 x AS (SELECT doc_id, i, array_to_string(w[i:i + 19], chr(32)) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),

@@ -57,3 +57,18 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int | No
     """
     rows = right.count() if rows is None else rows
     return left.join(F.broadcast(right) if rows <= limit else right.hint("merge"), on, how)
+
+
+def pack(docs: DataFrame) -> DataFrame:
+    """doc_id (long), text, and ``row``, a struct of all columns but the text, whatever their names."""
+    rest = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns if c != "text"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("row"))
+
+
+def unpack(packed: DataFrame, like: DataFrame, changed) -> DataFrame:
+    """The columns of ``like`` from a packed table with new texts; n_chars, where there is one, follows a changed text."""
+    columns = []
+    for f in like.schema.fields:
+        old = F.col("row").getField(f.name) if f.name != "text" else F.col("text")
+        columns.append((F.when(changed, F.length("text")).otherwise(old).cast(f.dataType) if f.name == "n_chars" else old).alias(f.name))
+    return packed.select(*columns)
