@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import has_flags
-from .intervals import overlap_join
+from .intervals import interval_union, overlap_join
 
 # SAM flag bits.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 1, 2, 4, 8, 16, 256, 512, 1024, 2048
@@ -34,7 +34,7 @@ def mark_duplicates(df: DataFrame, keys: tuple[str, ...], order: tuple) -> DataF
 def insertions(df: DataFrame, plus: int = 0, minus: int = 0) -> DataFrame:
     """One-base units at the 5' end: start on +, end-1 on -, shifted by ``plus`` and ``minus`` first."""
     at = F.when(F.col("strand") == "+", F.col("start") + plus).otherwise(F.col("end") - 1 + minus)
-    return df.withColumn("start", at).withColumn("end", at + 1)
+    return df.withColumns({"start": at, "end": at + 1})
 
 
 def fragments(df: DataFrame) -> DataFrame:
@@ -68,8 +68,13 @@ def fragment_summary(hist: DataFrame, value: str = "length", by: tuple[str, ...]
 
 
 def frip(units: DataFrame, peaks: DataFrame, by: tuple[str, ...] = ("library",), width: int = 1024) -> DataFrame:
-    """Units that overlap at least one peak, of all units; a unit counts once however many peaks it meets."""
-    hits = overlap_join(units.select(*by, "unit_id", "chrom", "start", "end"), peaks.select("chrom", "start", "end"), width).select(*by, "unit_id").distinct()
+    """Units that overlap at least one peak, of all units.
+
+    A unit counts at the first run of the peaks' union that it meets, so it
+    counts once, and units need no id.
+    """
+    runs = interval_union(peaks).withColumn("before", F.lag("end").over(Window.partitionBy("chrom").orderBy("start")))
+    hits = overlap_join(units.select(*by, "chrom", "start", "end"), runs.select("chrom", "start", "end", "before"), width).where("b_before is null or b_before <= start")
     inside = hits.groupBy(*by).agg(F.count("*").alias("frip_numerator"))
     total = units.groupBy(*by).agg(F.count("*").alias("frip_denominator"))
     out = total.join(inside, list(by), "left").withColumn("frip_numerator", F.coalesce("frip_numerator", F.lit(0)))

@@ -60,11 +60,13 @@ def refine_peaks(candidates: DataFrame, segments: DataFrame, low: int = 2, high:
     rows = inside.select("chrom", F.col("b_candidate_id").alias("candidate_id"), "start", "end", "score", "last")
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["start", "end"])
-        parts = refine_one(list(zip(group["start"].tolist(), group["end"].tolist(), group["score"].tolist(), group["last"].tolist(), strict=True)), low, high, shortest, longest, gap)
-        return pd.DataFrame([(*key, *p) for p in parts], columns=["chrom", "candidate_id", "kind", "start", "end", "score", "exponent"])
+        out = []
+        for candidate, part in group.sort_values(["start", "end"]).groupby("candidate_id"):
+            found = refine_one(list(zip(part["start"].tolist(), part["end"].tolist(), part["score"].tolist(), part["last"].tolist(), strict=True)), low, high, shortest, longest, gap)
+            out += [(key[0], candidate, *p) for p in found]
+        return pd.DataFrame(out, columns=["chrom", "candidate_id", "kind", "start", "end", "score", "exponent"])
 
-    return rows.groupBy("chrom", "candidate_id").applyInPandas(run, SHAPE)
+    return rows.groupBy("chrom", F.expr("candidate_id div 256")).applyInPandas(run, SHAPE)
 
 
 def peak_score(score: float) -> int:

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from . import activity_queries, interval_queries, link_queries, read_queries, table_queries  # noqa: F401  they enter their queries
+from .activity_queries import activity
+from .book import BOOK
 
-def oracle_sql() -> dict:
-    return {}
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: f for name, (f, _) in BOOK.items()}
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+
+def oracle_sql() -> dict[str, str]:
+    """All but the iterative ones: mixtures, clusters, refinement and balancing are held against goldens in the tests."""
+    return {name: sql for name, (_, sql) in BOOK.items() if sql}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised ATAC and H3K27ac activity of every element in every context."""
+    return activity(spark, sf_dir)
