@@ -78,7 +78,7 @@ def posterior_high(x: ColumnLike, low: tuple, high: tuple) -> Column:
 
 def sig10(x: ColumnLike) -> Column:
     """Rounded to ten significant digits, as tables written with %.10g read back (a decimal half goes up)."""
-    return F.format_string("%.9e", col(x)).cast("double")
+    return F.when(col(x).isNotNull(), F.format_string("%.9e", col(x))).try_cast("double")
 
 
 def bed9_color(regulatory_class: ColumnLike) -> Column:
