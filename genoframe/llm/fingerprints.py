@@ -20,73 +20,73 @@ from pyspark.sql import DataFrame, functions as F
 from .text import SPACED_LOWER, U, Words, chunks, mix
 from .work import Work
 
-#: Samples in a fingerprint; each is kept as 16 bits of its (term, level) hash.
+#: Samples in a fingerprint; each is kept as 16 bits that stand for its (term, level).
 SAMPLES = 128
-#: Terms that are drawn for at once.
-_DRAWN = 4096
+#: Terms that are drawn for at once, and rows that are reduced at once.
+_DRAWN, _ROWS = 2048, 8192
 
+f32 = np.float32
 
-def _uniform(seed: np.ndarray, sample: np.ndarray, stream: int) -> np.ndarray:
-    x = mix(seed[:, None] + sample[None, :] * U(0x9E3779B97F4A7C15) + U(stream * 0xC2B2AE3D27D4EB4F & (1 << 64) - 1))
-    return ((x >> U(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
 
+def _unit(bits: np.ndarray, width: int) -> np.ndarray:
+    return (bits.astype(f32) + f32(0.5)) * f32(2.0**-width)
 
-def draws(terms: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b of each (term, sample)."""
-    k = np.arange(1, samples + 1).astype(U)
-    r = -np.log(_uniform(terms, k, 1) * _uniform(terms, k, 2))
-    c = np.log(-np.log(_uniform(terms, k, 3) * _uniform(terms, k, 4)))
-    return r, c, _uniform(terms, k, 5)
 
+def draws(terms: np.ndarray, samples: int, full: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """r, b and, if ``full``, ln a at weight 1 of each (term, sample)."""
+    k = np.arange(1, samples + 1).astype(U) * U(0x9E3779B97F4A7C15)
+    x = mix(terms[:, None] + k[None, :])
+    low = U((1 << 24) - 1)
+    r = -np.log(_unit(x >> U(40), 24) * _unit((x >> U(16)) & low, 24))
+    b = _unit(x & U(0xFFFF), 16)
+    if not full:
+        return r, b, None
+    y = mix(x + U(0xC2B2AE3D27D4EB4F))
+    ln_c = np.log(-np.log(_unit(y >> U(40), 24) * _unit((y >> U(16)) & low, 24)))
+    return r, b, ln_c - r + r * b  # ln c - r (level - b) - r at level 0
 
-def signatures(docs: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_docs: int, samples: int = SAMPLES) -> np.ndarray:
-    """(n_docs x samples) 16-bit samples of rows (doc, term, weight) with docs ascending and terms distinct in a doc; 0 for no terms."""
-    out = np.zeros((n_docs, samples), np.uint16)
-    if not len(docs):
+
+def signatures(words: Words, samples: int = SAMPLES) -> np.ndarray:
+    """(texts x samples) 16-bit samples of word counts; 0 for texts without words.
+
+    ln a of the least term is a function of its (term, level) alone, so its
+    bits stand for the pair.
+    """
+    out = np.zeros((words.n_docs, samples), np.uint16)
+    if not len(words.hash):
         return out
-    unique, at = np.unique(terms, return_inverse=True)
-    r, c, b = (np.empty((len(unique), samples), np.float32) for _ in range(3))
+    unique, at = np.unique(words.hash, return_inverse=True)
+    key, weight = np.unique(np.repeat(np.arange(words.n_docs), words.counts) * len(unique) + at.reshape(-1), return_counts=True)
+    doc, term = key // len(unique), key % len(unique)
+    once = np.empty((len(unique), samples), f32)
     for lo in range(0, len(unique), _DRAWN):
-        r[lo : lo + _DRAWN], c[lo : lo + _DRAWN], b[lo : lo + _DRAWN] = draws(unique[lo : lo + _DRAWN], samples)
-    once = c - r + r * b  # ln a at weight 1, where the level is floor(b) = 0
-    codes = mix(unique[:, None] + np.arange(1, samples + 1).astype(U)[None, :] * U(0xA0761D6478BD642F))
-    heads = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
-    ends = np.concatenate([heads[1:], [len(docs)]])
-    log_w = np.log(weights).astype(np.float32)
-    column = np.arange(samples)
-    for lo, hi in zip(heads.tolist(), ends.tolist(), strict=True):
-        i = at[lo:hi]
-        a = once[i]
-        heavy = np.flatnonzero(weights[lo:hi] != 1)
-        if len(heavy):
-            h = i[heavy]
-            level = np.floor(log_w[lo:hi][heavy, None] / r[h] + b[h])
-            a[heavy] = c[h] - r[h] * (level - b[h]) - r[h]
-        best = a.argmin(0)
-        code = codes[i[best], column]
-        w = weights[lo:hi][best] != 1
-        if w.any():
-            j = i[best]
-            level = np.where(w, np.floor(log_w[lo:hi][best] / r[j, column] + b[j, column]), 0).astype(np.int64)
-            code = mix(code + level.astype(U))
-        else:
-            code = mix(code)
-        out[docs[lo]] = (code & U(0xFFFF)).astype(np.uint16) | np.uint16(1)
+        once[lo : lo + _DRAWN] = draws(unique[lo : lo + _DRAWN], samples)[2]
+    heavy = np.unique(term[weight > 1])
+    r, b = (np.empty((len(heavy), samples), f32) for _ in range(2))
+    for lo in range(0, len(heavy), _DRAWN):
+        r[lo : lo + _DRAWN], b[lo : lo + _DRAWN], _ = draws(unique[heavy[lo : lo + _DRAWN]], samples, full=False)
+    log_w = np.log(weight).astype(f32)
+    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    ends = np.concatenate([heads[1:], [len(doc)]])
+    i = 0
+    while i < len(heads):  # whole texts, as many as make up a block of rows
+        j = max(i + 1, int(np.searchsorted(ends, heads[i] + _ROWS, side="right")))
+        lo, hi = heads[i], ends[j - 1]
+        a = once[term[lo:hi]]
+        more = np.flatnonzero(weight[lo:hi] > 1)
+        if len(more):
+            h = np.searchsorted(heavy, term[lo:hi][more])
+            rh = r[h]
+            a[more] -= rh * np.floor(log_w[lo:hi][more, None] / rh + b[h])
+        least = np.stack([a[x - lo : y - lo].min(0) for x, y in zip(heads[i:j], ends[i:j], strict=True)])
+        out[doc[heads[i:j]]] = (least.view(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16) | np.uint16(1)
+        i = j
     return out
 
 
-def _terms(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, term, weight): words and how often each occurs."""
-    doc = np.repeat(np.arange(words.n_docs), words.counts)
-    order = np.lexsort((words.hash, doc))
-    d, t = doc[order], words.hash[order]
-    head = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])) if len(d) else np.zeros(0, np.int64)
-    return d[head], t[head], np.diff(np.concatenate([head, [len(d)]])).astype(np.float64)
-
-
-def fingerprint_column(column: pa.Array, samples: int = SAMPLES, limit: int = 1 << 19) -> np.ndarray:
+def fingerprint_column(column: pa.Array, samples: int = SAMPLES, limit: int = 1 << 22) -> np.ndarray:
     """Signatures of whole texts."""
-    parts = [signatures(*_terms(words), words.n_docs, samples) for _, _, data, offsets in chunks(column, limit) for words in [Words(data, offsets, SPACED_LOWER)]]
+    parts = [signatures(Words(data, offsets, SPACED_LOWER), samples) for _, _, data, offsets in chunks(column, limit)]
     return np.concatenate(parts) if parts else np.zeros((0, samples), np.uint16)
 
 
@@ -144,15 +144,20 @@ def _edited(samples: int):
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def emit(rows: list[tuple]) -> pa.RecordBatch:
-        """Rows (doc_id, text, text of the next document)."""
-        mine, edited = [], []
+        """Rows (doc_id, text, text of the next document); a text is drawn for once, as itself and as the next one."""
+        place: dict[int, int] = {}
+        texts: list[str] = []
+        for text in [x for row in rows for x in row[1:]]:
+            if place.setdefault(id(text), len(texts)) == len(texts):
+                texts.append(text)
+        edited = []
         for _, text, after in rows:
             cut = len(text) // 4
-            mine.append(text)
             edited.append(text[: len(text) - cut] + after[:cut])
-        a, e, x = (fingerprint_column(pa.array(t, pa.string()), samples) for t in (mine, edited, [r[2] for r in rows]))
+        sig = fingerprint_column(pa.array(texts + edited, pa.string()), samples)
+        a, x, e = sig[[place[id(r[1])] for r in rows]], sig[[place[id(r[2])] for r in rows]], sig[len(texts) :]
         columns = [
-            pa.array([r[0] for r in rows], pa.int64()), pa.array([len(t) for t in mine], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+            pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
             pa.array(_hex(a), pa.string()), pa.array(_hex(e), pa.string()), pa.array(likeness(a, e), pa.float64()), pa.array(likeness(a, x), pa.float64()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
@@ -168,12 +173,12 @@ def _edited(samples: int):
                 if open_rows and (b != block or i != open_rows[0][0] or halo):
                     for own, said in open_rows:
                         done.append((own, said, text))
-                        size += 3 * len(said)
+                        size += 2 * len(said)
                     open_rows = []
                 block = b
                 if not halo:
                     open_rows.append((i, text))
-                if size > 2_000_000:
+                if size > 3_000_000:
                     yield emit(done)
                     done, size = [], 0
         if done:
