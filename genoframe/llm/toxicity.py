@@ -46,6 +46,7 @@ class Encoded:
     doc: np.ndarray  # of each window, ascending
     n_docs: int
     offset: np.ndarray  # where each text's words begin
+    hash: np.ndarray  # of each distinct word
 
 
 def encode(data: np.ndarray, offsets: np.ndarray) -> Encoded:
@@ -69,7 +70,25 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> Encoded:
     k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     # The last window ends with the text, so that all words are in a whole window where there are enough.
     begin = np.minimum(k * STEP, np.maximum(counts[doc] - WINDOW, 0))
-    return Encoded((unique >> U(20)).astype(np.int64) % WORD_ROWS, grams, gram_at, at.reshape(-1), begin + words.offset[:-1][doc], np.minimum(counts[doc], WINDOW), doc, words.n_docs, words.offset)
+    return Encoded((unique >> U(20)).astype(np.int64) % WORD_ROWS, grams, gram_at, at.reshape(-1), begin + words.offset[:-1][doc], np.minimum(counts[doc], WINDOW), doc, words.n_docs, words.offset, unique)
+
+
+def encode_all(column: pa.Array) -> Encoded:
+    """Texts encoded a chunk at a time and put together, so that work over bytes never spans all of them."""
+    parts = [encode(data, offsets) for _, _, data, offsets in chunks(column, 1 << 20)]
+    unique, first, at = np.unique(np.concatenate([e.hash for e in parts]), return_index=True, return_inverse=True)
+    size = np.concatenate([np.diff(np.concatenate([e.gram_at, [len(e.gram_rows)]])) for e in parts])
+    grams, begin = np.concatenate([e.gram_rows for e in parts]), np.cumsum(size) - size
+    n = size[first]
+    gram_at = np.cumsum(n) - n
+    rows = grams[np.repeat(begin[first] - gram_at, n) + np.arange(int(n.sum()))]
+    of = lambda f: np.cumsum([0, *(f(e) for e in parts)])[:-1]
+    w0, p0, d0 = of(lambda e: len(e.hash)), of(lambda e: len(e.words)), of(lambda e: e.n_docs)
+    return Encoded(
+        np.concatenate([e.word_row for e in parts])[first], rows, gram_at, np.concatenate([at[e.words + w] for e, w in zip(parts, w0, strict=True)]).astype(np.int32),
+        np.concatenate([e.start + p for e, p in zip(parts, p0, strict=True)]), np.concatenate([e.length for e in parts]), np.concatenate([e.doc + d for e, d in zip(parts, d0, strict=True)]),
+        sum(e.n_docs for e in parts), np.concatenate([*(e.offset[:-1] + p for e, p in zip(parts, p0, strict=True)), [sum(len(e.words) for e in parts)]]), unique,
+    )
 
 
 @dataclass
@@ -94,8 +113,12 @@ class Network:
         """Vectors of the distinct words."""
         if not len(e.word_row):
             return np.zeros((0, WORD_DIM + CHAR_DIM), f32)
-        size = np.diff(np.concatenate([e.gram_at, [len(e.gram_rows)]])).astype(f32)
-        return np.concatenate([self.p["word"][e.word_row], np.add.reduceat(self.p["char"][e.gram_rows], e.gram_at, axis=0) / size[:, None]], 1)
+        ends = np.concatenate([e.gram_at, [len(e.gram_rows)]])
+        chars = np.empty((len(e.word_row), CHAR_DIM), f32)
+        for lo in range(0, len(chars), 1 << 14):
+            b = ends[lo : lo + (1 << 14) + 1]
+            chars[lo : lo + len(b) - 1] = np.add.reduceat(self.p["char"][e.gram_rows[b[0] : b[-1]]], b[:-1] - b[0], axis=0) / np.diff(b)[:, None].astype(f32)
+        return np.concatenate([self.p["word"][e.word_row], chars], 1)
 
     def forward(self, x: np.ndarray, at: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows (n x WINDOW) of rows of ``x``; with ``keep`` also what the backward pass needs."""
@@ -164,7 +187,7 @@ class Network:
         np.add.at(g["char"], rows, dx[spread, WORD_DIM:] / size[spread, None].astype(f32))
         return g
 
-    def window_logits(self, e: Encoded, x: np.ndarray | None = None, some: np.ndarray | None = None, block: int = 4096) -> np.ndarray:
+    def window_logits(self, e: Encoded, x: np.ndarray | None = None, some: np.ndarray | None = None, block: int = 2048) -> np.ndarray:
         x = self.inputs(e) if x is None else x
         some = np.arange(len(e.doc)) if some is None else some
         out = np.empty(len(some), f32)
@@ -191,7 +214,7 @@ def _positions(e: Encoded, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(texts: list[str], labels: np.ndarray, weights: tuple[float, float], seed: int = 5) -> Network:
     """Fit on texts of both classes; ``weights``: how many rows of the corpus a row of class 0 and 1 stands for."""
-    (part,) = [encode(d, o) for _, _, d, o in chunks(pa.array(texts, pa.large_string()), 1 << 60)]
+    part = encode_all(pa.array(texts, pa.large_string()))
     rng = np.random.default_rng(seed)
     held = rng.random(len(texts)) < 0.2  # for the threshold
     net = Network.new(seed)
@@ -243,7 +266,7 @@ def _subset(e: Encoded, net: Network, windows: np.ndarray) -> tuple[Encoded, np.
     used, at = np.unique(at, return_inverse=True)
     size = np.diff(np.concatenate([e.gram_at, [len(e.gram_rows)]]))[used]
     rows = np.concatenate([e.gram_rows[e.gram_at[i] : e.gram_at[i] + n] for i, n in zip(used, size, strict=True)])
-    sub = Encoded(e.word_row[used], rows, np.concatenate([[0], np.cumsum(size)[:-1]]), e.words, e.start, e.length, e.doc, e.n_docs, e.offset)
+    sub = Encoded(e.word_row[used], rows, np.concatenate([[0], np.cumsum(size)[:-1]]), e.words, e.start, e.length, e.doc, e.n_docs, e.offset, e.hash[used])
     return sub, net.inputs(sub), at.reshape(mask.shape), mask
 
 
