@@ -95,11 +95,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, bits: int = 4, columns: tup
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Write documents as one folder for each shard, rows in curve order, so that files carry narrow ranges of each dimension."""
-    placed = hilbert_shards(docs, **options).select("doc_id", "text_crc32", "shard", "slot")
-    keyed = docs.withColumn("text_crc32", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
-    out = keyed.join(placed.dropDuplicates(["doc_id", "text_crc32"]), ["doc_id", "text_crc32"])
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("text_crc32", "slot").write.partitionBy("shard").parquet(path)
+    """Write documents as one folder for each shard, rows in curve order, so that files carry narrow ranges of each dimension.
+
+    The shard takes the name ``shard``; repeated rows go where the first of them goes.
+    """
+    placed = hilbert_shards(docs, **options).groupBy("doc_id", "text_crc32").agg(F.min(F.struct("shard", "slot")).alias("__at")).withColumnsRenamed({"doc_id": "__id", "text_crc32": "__crc"})
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    out = docs.join(placed, F.col("doc_id").eqNullSafe(F.col("__id")) & (crc == F.col("__crc"))).drop("__id", "__crc").withColumn("shard", F.col("__at.shard"))
+    out.repartitionByRange("shard", "__at").sortWithinPartitions("shard", "__at").drop("__at").write.partitionBy("shard").parquet(path)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

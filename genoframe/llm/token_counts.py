@@ -1,7 +1,7 @@
 """Token totals by source, language and tokenizer version, maintained by deltas.
 
-State is two tables of a store: ``ledger``, the current count of every
-(doc_id, tokenizer version) that is live, and ``totals``, additive sums.  A
+State is two tables: ``ledger``, the current count of every (doc_id, tokenizer
+version) that is live, and ``totals``, additive sums.  A
 batch of events (insert, revise, delete) becomes signed deltas against the
 ledger; totals only ever add deltas.  Each version of the state is a folder of
 its own that is published by its commit record, so a batch that is sent twice,
@@ -10,8 +10,8 @@ or again after a failure half-way, counts once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -35,30 +35,44 @@ def count_tokens(docs: DataFrame, tokenizer: str, counter: Callable[[Column], Co
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.alias("tokens"))
 
 
-@dataclass
 class TokenRollup:
-    """The maintained totals; ``commit`` applies a batch once, whatever how often it is sent."""
+    """The maintained totals; ``commit`` applies a batch once, however often it is sent.
 
-    work: Work
-    done: dict[str, int] = field(default_factory=dict)
+    The state lives in ``path`` (a folder of the work's own if none is given):
+    a folder for each committed batch, and a log of small commit records, the
+    last of which names the current state.  A batch counts from the moment its
+    record is written; what an interrupted commit left behind is never read.
+    """
 
-    def __post_init__(self):
-        spark: SparkSession = self.work.spark
-        self.ledger = spark.createDataFrame([], LEDGER)
-        self.totals = spark.createDataFrame([], TOTALS)
+    def __init__(self, work: Work, path: str | None = None):
+        self.work, self.path = work, path or f"{work.root}/store"
+        self.spark: SparkSession = work.spark
+        self._load()
+
+    def _load(self) -> None:
+        log = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
+        fs = log.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        self.done: list[str] = []
+        if fs.exists(log):
+            records = self.spark.read.schema("n long, batch string").json(f"{self.path}/log/*.json").orderBy("n").collect()  # one small row a batch
+            self.done = [r["batch"] for r in records]
+        n = len(self.done)
+        self.ledger = self.spark.read.schema(LEDGER).parquet(f"{self.path}/{n}/ledger") if n else self.spark.createDataFrame([], LEDGER)
+        self.totals = self.spark.read.schema(TOTALS).parquet(f"{self.path}/{n}/totals") if n else self.spark.createDataFrame([], TOTALS)
 
     def commit(self, batch_id: str, events: DataFrame) -> bool:
         """Apply events: action ('insert', 'revise', 'delete'), doc_id, tokenizer and, but for deletes, source, lang, tokens.
 
         Within a batch the last action of a document and tokenizer counts
         (deletes after inserts and revisions; then the larger count).  An
-        insert of a live key is a revision; deletes and revisions of keys that
-        are not live do nothing and insert, respectively.  A delete without
+        insert of a live key is a revision, a revision of a key that is not
+        live an insert; a delete of such a key does nothing.  A delete without
         tokenizer deletes the document under all of them.  Events without
         doc_id are ignored.  Returns False if the batch was committed before.
         """
         if batch_id in self.done:
             return False
+        at = f"{self.path}/{len(self.done) + 1}"
         events = events.where("doc_id is not null")
         whole = events.where("action = 'delete' and tokenizer is null").select("doc_id").distinct().withColumn("gone", F.lit(True))
         one = Window.partitionBy("doc_id", "tokenizer").orderBy(F.when(F.col("action") == "delete", 1).otherwise(0).desc(), F.col("tokens").desc_nulls_last(), "source", "lang")
@@ -70,17 +84,31 @@ class TokenRollup:
             F.when(~dead & F.col("action").isNotNull(), F.struct(F.col("s").alias("source"), F.col("l").alias("lang"), F.coalesce("t", F.lit(0)).alias("tokens"))).when(~dead, F.struct("source", "lang", "tokens")).alias("new"),
             F.col("tokens").isNotNull().alias("was"), F.col("action").isNotNull().alias("told"), dead.alias("dead"),
         )
-        change = self.work.save(change, f"change-{batch_id}")
+        change = self.work.save(change, "change")
         minus = change.where("was and (told or dead)").select("old.source", "old.lang", "tokenizer", F.lit(-1).alias("docs"), (-F.col("old.tokens")).alias("tokens"))
         plus = change.where("told and not dead").select("new.source", "new.lang", "tokenizer", F.lit(1).alias("docs"), F.col("new.tokens").alias("tokens"))
         deltas = minus.union(plus).groupBy(*KEYS).agg(F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
         totals = self.totals.union(deltas).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
-        # Both tables are whole before the commit record below names them.
-        totals = self.work.save(totals, f"totals-{batch_id}")
-        self.ledger, self.totals = change.where("new is not null").select("doc_id", "tokenizer", "new.source", "new.lang", "new.tokens"), totals
-        self.done[batch_id] = len(self.done)
+        totals.write.mode("overwrite").parquet(f"{at}/totals")
+        change.where("new is not null").select("doc_id", "tokenizer", "new.source", "new.lang", "new.tokens").write.mode("overwrite").parquet(f"{at}/ledger")
+        self.work.drop(change)
+        self._record(batch_id)
+        self._load()
         return True
 
+    def _record(self, batch_id: str) -> None:
+        """The commit: one small file that appears whole, under the number of the new state."""
+        n = len(self.done) + 1
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        made, named = hadoop(f"{self.path}/making-{n}"), hadoop(f"{self.path}/log/{n:012d}.json")
+        fs = made.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(named.getParent())
+        out = fs.create(made, True)
+        out.write(bytearray(json.dumps({"n": n, "batch": batch_id}).encode()))
+        out.close()
+        if fs.exists(named) or not fs.rename(made, named):
+            raise RuntimeError(f"state {n} was committed by someone else")
+
 
 def maintained_totals(docs: DataFrame) -> DataFrame:
     """Totals of all documents after a run of batches: inserts, a replay, a new tokenizer version, revised counts, deletes.
