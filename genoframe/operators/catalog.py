@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import activity_state, distance_class, geometric_mean, normalized_cpm, posterior_high, z_tier
 
@@ -35,11 +35,14 @@ def window_signal(counts: DataFrame) -> DataFrame:
 
 
 def log_zscores(df: DataFrame, value: str = "signal", by: tuple[str, ...] = ("context",)) -> DataFrame:
-    """log10 of positive values, z against all positive ones of the group (population sd), and the tier."""
-    of = Window.partitionBy(*by)
+    """log10 of positive values, z against all positive ones of the group (population sd), and the tier.
+
+    The moments are aggregated and joined, not windowed: a group is not one task.
+    """
     x = df.withColumn("log10_signal", F.when(F.col(value) > 0, F.log10(value)))
-    z = (F.col("log10_signal") - F.avg("log10_signal").over(of)) / F.nullif(F.stddev_pop("log10_signal").over(of), F.lit(0.0))
-    return x.withColumn("z", z).withColumn("tier", z_tier(value, "z"))
+    moments = x.groupBy(*by).agg(F.avg("log10_signal").alias("__mean"), F.stddev_pop("log10_signal").alias("__sd"))
+    z = (F.col("log10_signal") - F.col("__mean")) / F.nullif("__sd", F.lit(0.0))
+    return x.join(moments, list(by)).withColumn("z", z).withColumn("tier", z_tier(value, "z")).drop("__mean", "__sd")
 
 
 def _density(x: np.ndarray, mean: np.ndarray, variance: np.ndarray) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def select_resolution(available: DataFrame, target: int) -> DataFrame:
@@ -79,18 +79,26 @@ def ice_balance(pixels: DataFrame, by: tuple[str, ...] = ("context",), **options
 def distance_decay(pixels: DataFrame, weights: DataFrame, by: tuple[str, ...] = ("chrom",), least: int = 1) -> DataFrame:
     """Mean balanced contact of each diagonal offset: sums over pixels, over all pairs of bins that are not masked, zeros included.
 
-    ``weights`` has a row for every bin; the pairs at an offset are counted by
-    shifting the bins, not by a product of them.
+    ``weights`` has a row for every bin, from 0.  Of the n - d pairs at an
+    offset d those with a masked first or second bin are taken off, by running
+    counts of masked bins, and those with two masked bins put back: only
+    masked bins, which are few, are ever paired.
     """
     good = weights.where("weight is not null")
     w1 = good.select(*by, F.col("bin").alias("bin1"), F.col("weight").alias("w1"))
     w2 = good.select(*by, F.col("bin").alias("bin2"), F.col("weight").alias("w2"))
     balanced = pixels.join(w1, [*by, "bin1"]).join(w2, [*by, "bin2"]).withColumn("offset", F.col("bin2") - F.col("bin1")).where(F.col("offset") >= least)
     sums = balanced.groupBy(*by, "offset").agg(F.sum(F.col("count") * F.col("w1") * F.col("w2")).alias("contact"))
-    offsets = sums.select(*by, "offset")
-    pairs = good.select(*by, "bin").join(offsets, list(by)).withColumn("other", F.col("bin") + F.col("offset"))
-    valid = pairs.join(good.select(*by, F.col("bin").alias("other")), [*by, "other"], "left_semi").groupBy(*by, "offset").agg(F.count("*").alias("pairs"))
-    return sums.join(valid, [*by, "offset"]).withColumn("mean_contact", F.col("contact") / F.col("pairs"))
+    total = weights.groupBy(*by).agg((F.max("bin") + 1).alias("n"), F.count_if(F.col("weight").isNull()).alias("m"))
+    upto = weights.select(*by, "bin", F.sum(F.when(F.col("weight").isNull(), 1).otherwise(0)).over(Window.partitionBy(*by).orderBy("bin")).alias("masked"))
+    x = sums.join(total, list(by)).withColumn("hi", F.col("n") - F.col("offset") - 1).withColumn("lo", F.col("offset") - 1)
+    x = x.join(upto.select(*by, F.col("bin").alias("hi"), F.col("masked").alias("first_masked")), [*by, "hi"], "left").join(upto.select(*by, F.col("bin").alias("lo"), F.col("masked").alias("below")), [*by, "lo"], "left")
+    bad = weights.where("weight is null").select(*by, "bin")
+    both = bad.join(bad.select(*by, F.col("bin").alias("other")), list(by)).where("other > bin").groupBy(*by, (F.col("other") - F.col("bin")).alias("offset")).agg(F.count("*").alias("twice"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    pairs = F.col("n") - F.col("offset") - zero("first_masked") - (F.col("m") - zero("below")) + zero("twice")
+    out = x.join(both, [*by, "offset"], "left").withColumn("pairs", pairs)
+    return out.select(*by, "offset", "contact", "pairs", (F.col("contact") / F.col("pairs")).alias("mean_contact"))
 
 
 def fit_powerlaw(decay: DataFrame, by: tuple[str, ...] = (), resolution: int = 1) -> DataFrame:

@@ -2,8 +2,11 @@
 
 Overlap and distance joins go through bins, so they are equi-joins that spread
 by (chrom, bin) and never a product of a chromosome's rows.  Unions, steps and
-neighbours are windows over (chrom, position).  Chromosome order is that of
-the size table (``rank``), never lexical.
+neighbours are windows in position order; they run inside tiles of a
+chromosome, and what a tile needs from those before and after it (a sum, a
+reach, a neighbour) is carried through a table of one row for each tile, so a
+chromosome is not one task.  Chromosome order is that of the size table
+(``rank``), never lexical.
 """
 
 from __future__ import annotations
@@ -13,6 +16,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import numbered
 
 
+#: Bases in a tile.
+TILE = 1 << 20
+
+
+def _tile(position: Column, tile: int) -> Column:
+    return F.floor(position / tile)
+
+
 def _bins(lo: Column, hi: Column, width: int) -> Column:
     """Bins that [lo, hi] touches, both ends included."""
     return F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width)))
@@ -55,13 +66,25 @@ def count_overlaps(elements: DataFrame, units: DataFrame, width: int = 1024, key
     return elements.select(key).join(counts, key, "left").select(key, F.coalesce("raw_count", F.lit(0)).alias("raw_count"))
 
 
-def interval_union(df: DataFrame, gap: int = 0, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
+def named_runs(df: DataFrame, gap: int = 0, keys: tuple[str, ...] = ("chrom",), tile: int = TILE) -> DataFrame:
+    """The rows that are not empty, with ``run_start``: where the run of intervals at most ``gap`` apart begins that holds them."""
+    x = df.where(F.col("end") > F.col("start")).withColumn("__tile", _tile(F.col("start"), tile))
+    tiles = Window.partitionBy(*keys).orderBy("__tile").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*keys, "__tile").orderBy("start", "end")
+    tops = x.groupBy(*keys, "__tile").agg(F.max("end").alias("__top")).select(*keys, "__tile", F.max("__top").over(tiles).alias("__carried"))
+    reach = F.greatest("__carried", F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1)))
+    begins = F.when(F.col("__reach").isNull() | (F.col("start") > F.col("__reach") + gap), F.col("start"))
+    marked = x.join(tops, [*keys, "__tile"]).withColumn("__reach", reach).withColumn("__begins", begins)
+    # A tile that only goes on takes the run's start from the tiles before.
+    named = marked.groupBy(*keys, "__tile").agg(F.max("__begins").alias("__last")).select(*keys, "__tile", F.max("__last").over(tiles).alias("__open"))
+    run = F.coalesce(F.last("__begins", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0)), "__open")
+    return marked.join(named, [*keys, "__tile"]).withColumn("run_start", run).drop("__tile", "__carried", "__reach", "__begins", "__open")
+
+
+def interval_union(df: DataFrame, gap: int = 0, keys: tuple[str, ...] = ("chrom",), tile: int = TILE) -> DataFrame:
     """Maximal runs; intervals at most ``gap`` apart join (0: those that touch). Returns keys, start, end, n."""
-    before = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
-    reach = df.where("end > start").withColumn("__reach", F.max("end").over(before))
-    runs = reach.withColumn("__run", F.sum(F.when(F.col("__reach").isNull() | (F.col("start") > F.col("__reach") + gap), 1).otherwise(0)).over(upto))
-    return runs.groupBy(*keys, "__run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("__run")
+    runs = named_runs(df.select(*keys, "start", "end"), gap, keys, tile)
+    return runs.groupBy(*keys, "run_start").agg(F.max("end").alias("end"), F.count("*").alias("n")).select(*keys, F.col("run_start").alias("start"), "end", "n")
 
 
 def covered_bases(df: DataFrame, cover: DataFrame, key: str = "id", keys: tuple[str, ...] = ("chrom",), width: int = 1024) -> DataFrame:
@@ -72,31 +95,57 @@ def covered_bases(df: DataFrame, cover: DataFrame, key: str = "id", keys: tuple[
     return out.withColumn("covered_fraction", F.when(F.col("end") > F.col("start"), F.col("covered_bp") / (F.col("end") - F.col("start"))).otherwise(0.0))
 
 
-def nearest(queries: DataFrame, points: DataFrame, name: str = "name") -> DataFrame:
+def nearest(queries: DataFrame, points: DataFrame, name: str = "name", tile: int = TILE) -> DataFrame:
     """For each query (id, chrom, pos): the least distance to a point and all names at it, from both sides on a tie.
 
     Names at one position are taken together first, so a window holds one row
     for each position.  A chromosome without points gives a null distance.
     """
+    none = F.array().cast("array<string>")
     places = points.groupBy("chrom", "pos").agg(F.array_sort(F.collect_set(name)).alias("names"))
     both = queries.select("chrom", "pos", F.col("id"), F.lit(None).cast("array<string>").alias("names")).unionByName(places.select("chrom", "pos", F.lit(None).cast(queries.schema["id"].dataType).alias("id"), "names"))
-    place = F.when(F.col("names").isNotNull(), F.struct("pos", "names"))
-    left = Window.partitionBy("chrom").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
-    right = Window.partitionBy("chrom").orderBy("pos").rangeBetween(0, Window.unboundedFollowing)
-    found = both.withColumn("l", F.last(place, ignorenulls=True).over(left)).withColumn("r", F.first(place, ignorenulls=True).over(right)).where("names is null")
+    both = both.withColumn("place", F.when(F.col("names").isNotNull(), F.struct("pos", "names"))).withColumn("__tile", _tile(F.col("pos"), tile))
+    tiles, within = Window.partitionBy("chrom").orderBy("__tile"), Window.partitionBy("chrom", "__tile").orderBy("pos")
+    ends = both.groupBy("chrom", "__tile").agg(F.min("place").alias("lo"), F.max("place").alias("hi"))
+    carried = ends.select(
+        "chrom", "__tile", F.last("hi", ignorenulls=True).over(tiles.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("lo", ignorenulls=True).over(tiles.rowsBetween(1, Window.unboundedFollowing)).alias("after")
+    )
+    left = F.coalesce(F.last("place", ignorenulls=True).over(within.rangeBetween(Window.unboundedPreceding, 0)), "before")
+    right = F.coalesce(F.first("place", ignorenulls=True).over(within.rangeBetween(0, Window.unboundedFollowing)), "after")
+    found = both.join(carried, ["chrom", "__tile"]).withColumn("l", left).withColumn("r", right).where("names is null")
     dl, dr = F.col("pos") - F.col("l.pos"), F.col("r.pos") - F.col("pos")
     best = F.least(dl, dr)
-    names = F.concat(F.when(dl == best, F.col("l.names")).otherwise(F.array().cast("array<string>")), F.when((dr == best) & (F.coalesce(F.col("r.pos") != F.col("l.pos"), F.lit(True))), F.col("r.names")).otherwise(F.array().cast("array<string>")))
-    return found.select("id", "chrom", "pos", best.alias("distance"), F.array_sort(F.array_distinct(F.coalesce(names, F.array().cast("array<string>")))).alias("names"))
+    names = F.concat(F.when(dl == best, F.col("l.names")).otherwise(none), F.when((dr == best) & (F.coalesce(F.col("r.pos") != F.col("l.pos"), F.lit(True))), F.col("r.names")).otherwise(none))
+    return found.select("id", "chrom", "pos", best.alias("distance"), F.array_sort(F.array_distinct(F.coalesce(names, none))).alias("names"))
 
 
-def step_sum(df: DataFrame, value: Column, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
+def _levels(changes: DataFrame, values: tuple[str, ...], keys: tuple[str, ...], tile: int) -> DataFrame:
+    """Running sums of changes (keys, start, values) up to the next change: keys, start, end, values.
+
+    Sums of doubles are taken to nine decimals, so that what cancels is 0.
+    """
+    x = changes.groupBy(*keys, "start").agg(*[F.sum(v).alias(v) for v in values]).withColumn("__tile", _tile(F.col("start"), tile))
+    tiles, within = Window.partitionBy(*keys).orderBy("__tile"), Window.partitionBy(*keys, "__tile").orderBy("start")
+    before = tiles.rowsBetween(Window.unboundedPreceding, -1)
+    sums = changes.groupBy(*keys, _tile(F.col("start"), tile).alias("__tile")).agg(F.min("start").alias("first"), *[F.sum(v).alias(v) for v in values])
+    carried = sums.select(*keys, "__tile", F.lead("first").over(tiles).alias("after"), *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"before_{v}") for v in values])
+    level = {v: F.col(f"before_{v}") + F.sum(v).over(within.rowsBetween(Window.unboundedPreceding, 0)) for v in values}
+    doubles = {f.name for f in changes.schema.fields if f.dataType.typeName() in ("double", "float")}
+    shown = [(F.round(c, 9) if v in doubles else c).alias(v) for v, c in level.items()]
+    out = x.join(carried, [*keys, "__tile"]).select(*keys, "start", F.coalesce(F.lead("start").over(within), "after").alias("end"), *shown)
+    return out.where("end is not null")
+
+
+def _changes(df: DataFrame, values: dict[str, Column], keys: tuple[str, ...]) -> DataFrame:
+    """Both ends of every interval, with what changes there."""
+    ends = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("sign")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("sign"))))
+    rows = df.where(F.col("end") > F.col("start")).select(*keys, *[v.alias(n) for n, v in values.items()], ends.alias("e"))
+    return rows.select(*keys, F.col("e.at").alias("start"), *[(F.col(n) * F.col("e.sign")).alias(n) for n in values])
+
+
+def step_sum(df: DataFrame, value: Column, keys: tuple[str, ...] = ("chrom",), tile: int = TILE) -> DataFrame:
     """Sum of piecewise-constant tracks: keys, start, end, value; zero stretches are left out, equal neighbours stay apart."""
-    ends = df.where("end > start").select(*keys, value.alias("v"), F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("sign")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("sign")))).alias("e"))
-    change = ends.groupBy(*keys, F.col("e.pos").alias("start")).agg(F.sum(F.col("v") * F.col("e.sign")).alias("d"))
-    order = Window.partitionBy(*keys).orderBy("start")
-    level = change.select(*keys, "start", F.lead("start").over(order).alias("end"), F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("value"))
-    return level.where("end is not null and value > 0")
+    return _levels(_changes(df, {"value": value}, keys), ("value",), keys, tile).where("value > 0")
 
 
 def coverage(df: DataFrame, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -215,12 +264,13 @@ def adjacent_clip(masters: DataFrame) -> DataFrame:
     return out.select(*keep, F.col("start2").alias("start"), F.col("end2").alias("end"), "clipped")
 
 
-def ordinal_ids(df: DataFrame, sizes: DataFrame, prefix: str = "DHS", digits: int = 7) -> DataFrame:
-    """Ids by (chromosome rank, summit, start, end): row numbers in each chromosome plus the counts of those before it."""
-    counts = df.groupBy("chrom").agg(F.count("*").alias("c")).join(F.broadcast(sizes.select("chrom", "rank")), "chrom")
-    before = counts.select("chrom", F.coalesce(F.sum("c").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    n = F.row_number().over(Window.partitionBy("chrom").orderBy("summit", "start", "end"))
-    return df.join(F.broadcast(before), "chrom").withColumn("ordinal_id", numbered(prefix, digits, F.col("before") + n)).drop("before")
+def ordinal_ids(df: DataFrame, sizes: DataFrame, prefix: str = "DHS", digits: int = 7, tile: int = TILE) -> DataFrame:
+    """Ids by (chromosome rank, summit, start, end): row numbers in each tile plus the counts of the tiles before it."""
+    x = df.withColumn("__tile", _tile(F.col("summit"), tile))
+    counts = x.groupBy("chrom", "__tile").agg(F.count("*").alias("c")).join(F.broadcast(sizes.select("chrom", "rank")), "chrom")
+    before = counts.select("chrom", "__tile", F.coalesce(F.sum("c").over(Window.orderBy("rank", "__tile").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    n = F.row_number().over(Window.partitionBy("chrom", "__tile").orderBy("summit", "start", "end"))
+    return x.join(before, ["chrom", "__tile"]).withColumn("ordinal_id", numbered(prefix, digits, F.col("before") + n)).drop("before", "__tile")
 
 
 def pileup(df: DataFrame, keys: tuple[str, ...] = ("chrom",), shift: int = 0, extend: int | None = None) -> DataFrame:
@@ -229,12 +279,8 @@ def pileup(df: DataFrame, keys: tuple[str, ...] = ("chrom",), shift: int = 0, ex
     return coverage(x, keys)
 
 
-def align_steps(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
+def align_steps(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chrom",), tile: int = TILE) -> DataFrame:
     """Two step functions on their common refinement: keys, start, end, a, b (0 where one is missing)."""
-    marks = a.select(*keys, "start", "end", F.col("value").alias("a"), F.lit(0.0).alias("b")).unionByName(b.select(*keys, "start", "end", F.lit(0.0).alias("a"), F.col("value").alias("b")))
-    ends = marks.select(*keys, "a", "b", F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("s")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("s")))).alias("e"))
-    change = ends.groupBy(*keys, F.col("e.pos").alias("start")).agg(F.sum(F.col("a") * F.col("e.s")).alias("da"), F.sum(F.col("b") * F.col("e.s")).alias("db"))
-    order = Window.partitionBy(*keys).orderBy("start")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    out = change.select(*keys, "start", F.lead("start").over(order).alias("end"), F.sum("da").over(upto).alias("a"), F.sum("db").over(upto).alias("b"))
-    return out.where("end is not null and (a <> 0 or b <> 0)")
+    zero = F.lit(0.0)
+    changes = _changes(a, {"a": F.col("value"), "b": zero}, keys).unionByName(_changes(b, {"a": zero, "b": F.col("value")}, keys))
+    return _levels(changes, ("a", "b"), keys, tile).where("a <> 0 or b <> 0")

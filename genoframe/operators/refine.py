@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -61,8 +63,9 @@ def refine_peaks(candidates: DataFrame, segments: DataFrame, low: int = 2, high:
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for candidate, part in group.sort_values(["start", "end"]).groupby("candidate_id"):
-            found = refine_one(list(zip(part["start"].tolist(), part["end"].tolist(), part["score"].tolist(), part["last"].tolist(), strict=True)), low, high, shortest, longest, gap)
+        segments = sorted(zip(*(group[c].tolist() for c in ("candidate_id", "start", "end", "score", "last")), strict=True))
+        for candidate, part in groupby(segments, itemgetter(0)):
+            found = refine_one([s[1:] for s in part], low, high, shortest, longest, gap)
             out += [(key[0], candidate, *p) for p in found]
         return pd.DataFrame(out, columns=["chrom", "candidate_id", "kind", "start", "end", "score", "exponent"])
 
