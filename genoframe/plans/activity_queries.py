@@ -218,13 +218,13 @@ def membership(spark, d):
     return rg.membership_matrix(m, ["c0", "c1", "c2"])
 
 
-@query("replicate_consensus", f"""WITH {a.SEGMENTS}, pooled AS (SELECT event_id AS id, chrom, s, s + 6000 AS e FROM segments WHERE event_id % 20 = 0), {UNION.format(t='(SELECT * FROM (SELECT replicate, chrom AS c0, chrom || chr(47) || replicate AS chrom, s, e FROM segments))', gap=0)},
+@query("replicate_consensus", f"""WITH {a.SEGMENTS}, pooled AS (SELECT event_id AS id, chrom, s, s + 6000 AS e FROM segments), {UNION.format(t='(SELECT * FROM (SELECT replicate, chrom AS c0, chrom || chr(47) || replicate AS chrom, s, e FROM segments))', gap=0)},
 u AS (SELECT split_part(chrom, chr(47), 1) AS chrom, 'r' || split_part(chrom, chr(47), 2) AS library, s, e FROM merged), v AS (SELECT p.id, u.library, sum(least(p.e, u.e) - greatest(p.s, u.s)) / 6000 AS share FROM pooled p JOIN u ON u.chrom = p.chrom AND p.s < u.e AND u.s < p.e GROUP BY 1, 2),
 s2 AS (SELECT id, count(*) AS n, string_agg(library, ',' ORDER BY library) AS l FROM v WHERE share >= 0.5 GROUP BY 1)
 SELECT p.id, coalesce(n, 0) AS support_n, coalesce(l, '') AS supporting_libraries, round(coalesce(n, 0) / 3, 9) AS support_fraction, coalesce(n, 0) >= 2 AS retained FROM pooled p LEFT JOIN s2 USING (id)""")
 def consensus(spark, d):
     s = a.segments(spark, d)
-    pooled = s.where("event_id % 20 = 0").select(F.col("event_id").alias("id"), "chrom", "start", (F.col("start") + 6000).alias("end"))
+    pooled = s.select(F.col("event_id").alias("id"), "chrom", "start", (F.col("start") + 6000).alias("end"))
     replicates = s.select(F.concat(F.lit("r"), F.col("replicate").cast("string")).alias("library"), "chrom", "start", "end")
     out = rg.replicate_consensus(pooled, replicates, 3, width=16384)
     return out.select("id", "support_n", "supporting_libraries", F.round("support_fraction", 9).alias("support_fraction"), "retained")

@@ -68,16 +68,16 @@ def components(spark, d):
     return spans(iv.interval_union(a.segments(spark, d), gap=3600))
 
 
-_TARGETS = "targets AS (SELECT event_id AS id, chrom, s - 3000 AS s, s + 9000 AS e FROM segments WHERE event_id % 10 = 7), part0 AS (SELECT * FROM segments WHERE event_id % 10 <> 7)"
+_TARGETS = "targets AS (SELECT event_id AS id, chrom, s - 9000 AS s, s + 3000 AS e FROM segments)"
 
 
-@query("covered_fraction", f"""WITH {a.SEGMENTS}, {_TARGETS}, {UNION.format(t='part0', gap=0)}
+@query("covered_fraction", f"""WITH {a.SEGMENTS}, {_TARGETS}, {UNION.format(t='segments', gap=0)}
 SELECT t.id, CAST(sum(CASE WHEN m.s IS NULL THEN 0 ELSE least(t.e, m.e) - greatest(t.s, m.s) END) AS BIGINT) AS covered_bp, round(sum(CASE WHEN m.s IS NULL THEN 0 ELSE least(t.e, m.e) - greatest(t.s, m.s) END) / 12000, 9) AS covered_fraction
 FROM targets t LEFT JOIN merged m ON t.chrom = m.chrom AND t.s < m.e AND m.s < t.e GROUP BY t.id""")
 def covered(spark, d):
     s = a.segments(spark, d)
-    t = s.where("event_id % 10 = 7").select(F.col("event_id").alias("id"), "chrom", (F.col("start") - 3000).alias("start"), (F.col("start") + 9000).alias("end"))
-    out = iv.covered_bases(t, s.where("event_id % 10 <> 7"), width=16384)
+    t = s.select(F.col("event_id").alias("id"), "chrom", (F.col("start") - 9000).alias("start"), (F.col("start") + 3000).alias("end"))
+    out = iv.covered_bases(t, s, width=16384)
     return out.select("id", "covered_bp", F.round("covered_fraction", 9).alias("covered_fraction"))
 
 
@@ -125,13 +125,13 @@ def pileup(spark, d):
     return spans(iv.pileup(x, extend=150)).withColumnRenamed("value", "depth")
 
 
-@query("step_function_align", f"""WITH {a.SEGMENTS}, ev AS (SELECT chrom, s AS pos, CASE WHEN replicate = 0 THEN 1 ELSE 0 END AS da, CASE WHEN replicate = 1 THEN 1 ELSE 0 END AS db FROM segments WHERE replicate < 2
-UNION ALL SELECT chrom, e, CASE WHEN replicate = 0 THEN -1 ELSE 0 END, CASE WHEN replicate = 1 THEN -1 ELSE 0 END FROM segments WHERE replicate < 2), ch AS (SELECT chrom, pos AS s, sum(da) AS da, sum(db) AS db FROM ev GROUP BY 1, 2),
+@query("step_function_align", f"""WITH {a.SEGMENTS}, ev AS (SELECT chrom, s AS pos, CASE WHEN replicate = 0 THEN 1 ELSE 0 END AS da, CASE WHEN replicate <> 0 THEN 1 ELSE 0 END AS db FROM segments
+UNION ALL SELECT chrom, e, CASE WHEN replicate = 0 THEN -1 ELSE 0 END, CASE WHEN replicate <> 0 THEN -1 ELSE 0 END FROM segments), ch AS (SELECT chrom, pos AS s, sum(da) AS da, sum(db) AS db FROM ev GROUP BY 1, 2),
 lv AS (SELECT chrom, s, lead(s) OVER w AS e, sum(da) OVER w AS a, sum(db) OVER w AS b FROM ch WINDOW w AS (PARTITION BY chrom ORDER BY s))
 SELECT chrom, s, e, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b FROM lv WHERE e IS NOT NULL AND (a <> 0 OR b <> 0)""")
 def align(spark, d):
     x = a.segments(spark, d).withColumn("value", F.lit(1.0))
-    return spans(iv.align_steps(x.where("replicate = 0"), x.where("replicate = 1")))
+    return spans(iv.align_steps(x.where("replicate = 0"), x.where("replicate <> 0")))
 
 
 @query("centered_extend", f"""WITH {a.SITES}, {a.SIZES} SELECT name, chrom, pos, greatest(pos - 75, 0) AS s, least(pos + 75, size) AS e FROM sites JOIN sizes USING (chrom)""")

@@ -8,13 +8,13 @@ from ..operators import contacts as cn, links as lk
 from . import adapters as a
 from .book import query
 
-_TRANSCRIPTS = "transcripts AS (SELECT l_orderkey * 8 + l_linenumber AS line, 'chr' || (l_suppkey % 3) AS chrom, l_suppkey * 800 + (l_partkey % 3) * 50 AS s, l_suppkey * 800 + (l_partkey % 3) * 50 + 400 AS e, CASE WHEN l_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand, 'gene' || (l_suppkey % 60) AS gene_id, 'n' || (l_suppkey % 60) AS gene_name, 't' || (l_partkey % 30) AS transcript_id FROM lineitem WHERE l_orderkey % 5 = 0)"
+_TRANSCRIPTS = "transcripts AS (SELECT l_orderkey * 8 + l_linenumber AS line, 'chr' || (l_suppkey % 3) AS chrom, l_suppkey * 800 + (l_partkey % 3) * 50 AS s, l_suppkey * 800 + (l_partkey % 3) * 50 + 400 AS e, CASE WHEN l_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand, 'gene' || (l_suppkey % 60) AS gene_id, 'n' || (l_suppkey % 60) AS gene_name, 't' || (l_partkey % 30) AS transcript_id FROM lineitem)"
 _PROMS = f"""{_TRANSCRIPTS}, {a.SIZES}, st AS (SELECT t.chrom, z.rank, z.size, CASE strand WHEN '+' THEN s ELSE e - 1 END AS tss, gene_id, strand, string_agg(DISTINCT transcript_id, ';' ORDER BY transcript_id) AS transcript_ids, min(gene_name) AS gene_name FROM transcripts t JOIN sizes z USING (chrom) GROUP BY 1, 2, 3, 4, 5, 6),
 proms AS (SELECT 'PROM' || lpad(CAST(row_number() OVER (ORDER BY rank, tss, gene_id, strand) AS VARCHAR), 8, '0') AS promoter_id, gene_id, gene_name, chrom, tss, strand, greatest(tss - 500, 0) AS s, least(tss + 500, size) AS e, transcript_ids FROM st WHERE tss < size)"""
 
 
 def promoters(spark, d):
-    t = a.table(spark, d, "lineitem").where("l_orderkey % 5 = 0").selectExpr(
+    t = a.table(spark, d, "lineitem").selectExpr(
         "l_orderkey * 8 + l_linenumber as line", "concat('chr', l_suppkey % 3) as chrom", "l_suppkey * 800 + (l_partkey % 3) * 50 as start", "l_suppkey * 800 + (l_partkey % 3) * 50 + 400 as `end`",
         "case when l_suppkey % 2 = 0 then '+' else '-' end as strand", "concat('gene', l_suppkey % 60) as gene_id", "concat('n', l_suppkey % 60) as gene_name", "concat('t', l_partkey % 30) as transcript_id",
     )
@@ -45,7 +45,7 @@ def activity(spark, d):
     return active_promoters(spark, d).select("promoter_id", "atac", "posterior", "combined", F.round("score", 9).alias("score"), "active", "support_ids")
 
 
-_EDGES = f"""{_PROMS}, {_SCORED}, edges AS (SELECT x.id, p.promoter_id, p.gene_id, abs(x.summit - p.tss) AS distance, 1000 * pow(CAST(greatest(abs(x.summit - p.tss), 100) AS DOUBLE), -0.9) AS weight, p.active, p.score AS ps FROM sc x JOIN pact p ON x.chrom = p.chrom AND abs(x.summit - p.tss) <= 20000 WHERE x.id % 4 = 0),
+_EDGES = f"""{_PROMS}, {_SCORED}, edges AS (SELECT x.id, p.promoter_id, p.gene_id, abs(x.summit - p.tss) AS distance, 1000 * pow(CAST(greatest(abs(x.summit - p.tss), 100) AS DOUBLE), -0.9) AS weight, p.active, p.score AS ps FROM sc x JOIN pact p ON x.chrom = p.chrom AND abs(x.summit - p.tss) <= 20000),
 es AS (SELECT id, promoter_id, gene_id, distance, active, CAST(printf('%.9e', weight) AS DOUBLE) AS w, CAST(printf('%.9e', weight * ps) AS DOUBLE) AS s FROM edges),
 gb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, gene_id ORDER BY s DESC, w DESC, distance, promoter_id DESC) AS k FROM es) WHERE k = 1), ga AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, gene_id ORDER BY s DESC, w DESC, distance, promoter_id DESC) AS k FROM es WHERE active) WHERE k = 1),
 gc AS (SELECT id, gene_id, count(*) AS promoter_count, count(*) FILTER (WHERE active) AS active_promoter_count, min(distance) AS minimum_distance, max(w) AS contact_value FROM es GROUP BY 1, 2),
@@ -53,7 +53,7 @@ genes AS (SELECT gc.*, gb.promoter_id AS best_promoter_id, gb.s AS score, ga.pro
 
 
 def edges(spark, d):
-    return lk.distance_edges(scored(spark, d).where("id % 4 = 0"), active_promoters(spark, d), 20000, -0.9, 1000.0, 100)
+    return lk.distance_edges(scored(spark, d), active_promoters(spark, d), 20000, -0.9, 1000.0, 100)
 
 
 @query("gene_collapse", f"WITH {_EDGES} SELECT id, gene_id, promoter_count, active_promoter_count, minimum_distance, round(contact_value, 6) AS contact_value, best_promoter_id, round(score, 3) AS score, best_active_promoter_id, round(active_score, 3) AS active_score FROM genes")
@@ -127,7 +127,7 @@ def atlas(spark, d):
 
 
 _PX = """px(chrom, bin1, bin2, value) AS (VALUES ('c', 0, 1, 2.0), ('c', 1, 2, 3.5), ('c', 1, 4, 1.25), ('c', 2, 3, 'NaN'::DOUBLE), ('c', 3, 4, 'NaN'::DOUBLE), ('c', 0, 5, 'NaN'::DOUBLE)), shape(chrom, bins) AS (VALUES ('c', 6)),
-q AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 11 = 0 THEN 'x' ELSE 'c' END AS chrom, l_partkey % 700 AS p1, l_suppkey * 7 % 650 AS p2, 0.5 + l_linenumber AS expected FROM lineitem WHERE l_orderkey % 10 = 0),
+q AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 11 = 0 THEN 'x' ELSE 'c' END AS chrom, l_partkey % 700 AS p1, l_suppkey * 7 % 650 AS p2, 0.5 + l_linenumber AS expected FROM lineitem),
 b AS (SELECT q.*, s.bins, least(p1, p2) // 100 AS b1, greatest(p1, p2) // 100 AS b2 FROM q LEFT JOIN shape s USING (chrom)), v AS (SELECT b.*, coalesce(m.value, 0) AS direct, CASE WHEN b1 = b2 AND b1 > 0 THEN coalesce(l.value, 0) END AS vl, CASE WHEN b1 = b2 AND b1 + 1 < bins THEN coalesce(r.value, 0) END AS vr
 FROM b LEFT JOIN px m ON m.chrom = b.chrom AND m.bin1 = b1 AND m.bin2 = b2 LEFT JOIN px l ON l.chrom = b.chrom AND b1 = b2 AND l.bin1 = b1 - 1 AND l.bin2 = b1 LEFT JOIN px r ON r.chrom = b.chrom AND b1 = b2 AND r.bin1 = b1 AND r.bin2 = b1 + 1),
 n AS (SELECT *, greatest(CASE WHEN isnan(vl) THEN NULL ELSE vl END, CASE WHEN isnan(vr) THEN NULL ELSE vr END) AS near FROM v),
@@ -139,7 +139,7 @@ w AS (SELECT *, CASE status WHEN 'adjacent_bin_proxy' THEN near WHEN 'observed_m
 def lookup(spark, d):
     nan = float("nan")
     px = spark.createDataFrame([("c", 0, 1, 2.0), ("c", 1, 2, 3.5), ("c", 1, 4, 1.25), ("c", 2, 3, nan), ("c", 3, 4, nan), ("c", 0, 5, nan)], "chrom string, bin1 long, bin2 long, value double")
-    q = a.table(spark, d, "lineitem").where("l_orderkey % 10 = 0").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "case when l_partkey % 11 = 0 then 'x' else 'c' end as chrom", "l_partkey % 700 as pos1", "l_suppkey * 7 % 650 as pos2", "0.5D + l_linenumber as expected")
+    q = a.table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "case when l_partkey % 11 = 0 then 'x' else 'c' end as chrom", "l_partkey % 700 as pos1", "l_suppkey * 7 % 650 as pos2", "0.5D + l_linenumber as expected")
     out = cn.contact_lookup(q, px, spark.createDataFrame([("c", 6)], "chrom string, bins long"), 100)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "status", "observed", "weight", F.round("observed_over_expected", 9).alias("observed_over_expected"))
 

@@ -52,10 +52,10 @@ def medians(spark, d):
     return out.select("library", "fragments", F.col("median_length").cast("long").alias("median_length"), *[F.round(c, 9).alias(c) for c in ("fraction_below_150", "fraction_180_250")])
 
 
-@query("frip_semijoin", f"""WITH {a.UNITS}, {a.ELEMENTS}, p AS (SELECT chrom, s, e FROM elements WHERE id % 4 = 0), h AS (SELECT u.library, u.unit_id, EXISTS (SELECT 1 FROM p WHERE p.chrom = u.chrom AND u.s < p.e AND p.s < u.e) AS hit FROM units u)
+@query("frip_semijoin", f"""WITH {a.UNITS}, {a.ELEMENTS}, p AS (SELECT chrom, s, e FROM elements), h AS (SELECT u.library, u.unit_id, EXISTS (SELECT 1 FROM p WHERE p.chrom = u.chrom AND u.s < p.e AND p.s < u.e) AS hit FROM units u)
 SELECT library, count(*) AS frip_denominator, count(*) FILTER (WHERE hit) AS frip_numerator, round(count(*) FILTER (WHERE hit) / count(*), 9) AS frip FROM h GROUP BY library""")
 def frip(spark, d):
-    out = rd.frip(a.units(spark, d), a.elements(spark, d).where("id % 4 = 0"), width=256)
+    out = rd.frip(a.units(spark, d), a.elements(spark, d), width=256)
     return out.withColumn("frip", F.round("frip", 9))
 
 

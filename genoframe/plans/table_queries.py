@@ -22,11 +22,11 @@ def first_seen(spark, d):
     return tb.distinct_first_seen(a.table(spark, d, "orders").withColumnRenamed("o_custkey", "value"), "value", "o_orderkey")
 
 
-@query("dedupe_names", f"""WITH {a.UNITS}, z(chrom, size) AS (VALUES ('chr0', 60000), ('chr1', 70000), ('chr2', 90000)), x AS (SELECT unit_id, context, 'peak' || (unit_id % 1000) AS name, s, e, size FROM units JOIN z USING (chrom) WHERE assay = 'atac'),
+@query("dedupe_names", f"""WITH {a.UNITS}, z(chrom, size) AS (VALUES ('chr0', 60000), ('chr1', 70000), ('chr2', 90000)), x AS (SELECT unit_id, context, 'peak' || (unit_id % 1000) AS name, s, e, size FROM units JOIN z USING (chrom)),
 k AS (SELECT *, row_number() OVER (PARTITION BY context, name ORDER BY unit_id, s, e) AS k FROM x) SELECT unit_id, context, name || CASE WHEN k > 1 THEN '__duplicate_' || k ELSE '' END AS name, e AS input_end, least(e, size) AS e, e > size AS clipped FROM k""")
 def names(spark, d):
     sizes = spark.createDataFrame([("chr0", 60000), ("chr1", 70000), ("chr2", 90000)], "chrom string, size long")
-    x = a.units(spark, d).where("assay = 'atac'").withColumn("name", F.concat(F.lit("peak"), (F.col("unit_id") % 1000).cast("string")))
+    x = a.units(spark, d).withColumn("name", F.concat(F.lit("peak"), (F.col("unit_id") % 1000).cast("string")))
     return rg.dedupe_names(x, sizes, ("unit_id", "start", "end")).select("unit_id", "context", "name", "input_end", F.col("end").alias("e"), "clipped")
 
 
@@ -55,9 +55,9 @@ def divisor(spark, d):
     return select_resolution(x, 5000).select("source", F.col("selected").cast("int").alias("selected"))
 
 
-@query("group_consistency", "SELECT o_custkey AS k, count(DISTINCT o_orderstatus) AS status_n, count(DISTINCT o_orderpriority) AS priority_n FROM orders WHERE o_orderkey % 4 = 0 GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1 OR count(DISTINCT o_orderpriority) > 1")
+@query("group_consistency", "SELECT o_custkey AS k, count(DISTINCT o_orderstatus) AS status_n, count(DISTINCT o_orderpriority) AS priority_n FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1 OR count(DISTINCT o_orderpriority) > 1")
 def consistency(spark, d):
-    x = a.table(spark, d, "orders").where("o_orderkey % 4 = 0").selectExpr("o_custkey as k", "o_orderstatus as status", "o_orderpriority as priority")
+    x = a.table(spark, d, "orders").selectExpr("o_custkey as k", "o_orderstatus as status", "o_orderpriority as priority")
     return tb.inconsistent_groups(x, "k", ("status", "priority"))
 
 
@@ -75,19 +75,19 @@ def zipped(spark, d):
 _RANK = "CASE {c} WHEN 'F' THEN 3 WHEN 'P' THEN 2 ELSE 1 END"
 
 
-@query("upsert_merge", f"""WITH o AS (SELECT o_custkey AS k, o_orderstatus AS state, 0 AS n FROM orders WHERE o_orderkey % 2 = 0), w AS (SELECT o_custkey AS k, o_orderstatus AS state, 1 AS n FROM orders WHERE o_orderkey % 2 = 1),
+@query("upsert_merge", f"""WITH o AS (SELECT o_custkey AS k, o_orderstatus AS state, 0 AS n FROM orders WHERE o_orderpriority < '3'), w AS (SELECT o_custkey AS k, o_orderstatus AS state, 1 AS n FROM orders WHERE o_orderpriority >= '3'),
 x AS (SELECT *, {_RANK.format(c='state')} AS priority FROM (SELECT * FROM o UNION ALL SELECT * FROM w)), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority DESC, n DESC, state) AS j FROM x) SELECT k, state, priority FROM r WHERE j = 1""")
 def upsert(spark, d):
-    x = a.table(spark, d, "orders").selectExpr("o_custkey as k", "o_orderstatus as state", "o_orderkey")
+    x = a.table(spark, d, "orders").selectExpr("o_custkey as k", "o_orderstatus as state", "o_orderpriority")
     rank = F.when(F.col("state") == "F", 3).when(F.col("state") == "P", 2).otherwise(1)
-    return tb.upsert(x.where("o_orderkey % 2 = 0").select("k", "state"), x.where("o_orderkey % 2 = 1").select("k", "state"), ["k"], "state", rank)
+    return tb.upsert(x.where("o_orderpriority < '3'").select("k", "state"), x.where("o_orderpriority >= '3'").select("k", "state"), ["k"], "state", rank)
 
 
-@query("decision_merge", """WITH m AS (SELECT s_suppkey AS k FROM supplier), v AS (SELECT l_suppkey + CASE WHEN l_suppkey % 31 = 0 THEN 100000 ELSE 0 END AS k, CASE l_returnflag WHEN 'A' THEN 'approve' WHEN 'N' THEN 'reject' ELSE 'maybe' END AS decision FROM lineitem WHERE l_orderkey % 300 = 1),
+@query("decision_merge", """WITH m AS (SELECT c_custkey AS k FROM customer), v AS (SELECT DISTINCT o_custkey + CASE WHEN o_custkey % 31 = 0 THEN 10000000 ELSE 0 END AS k, CASE o_orderpriority WHEN '1-URGENT' THEN 'approve' WHEN '2-HIGH' THEN 'reject' ELSE 'maybe' END AS decision FROM orders),
 g AS (SELECT k, count(*) AS n, max(decision) AS decision FROM v GROUP BY k) SELECT coalesce(m.k, g.k) AS k, decision, CASE WHEN m.k IS NULL THEN 'unknown_key' WHEN n IS NULL THEN 'missing_decision' WHEN n > 1 THEN 'repeated_decision' WHEN decision NOT IN ('approve', 'reject') THEN 'unknown_decision' END AS problem FROM m FULL JOIN g ON m.k = g.k""")
 def decide(spark, d):
-    v = a.table(spark, d, "lineitem").where("l_orderkey % 300 = 1").selectExpr("l_suppkey + case when l_suppkey % 31 = 0 then 100000 else 0 end as k", "case l_returnflag when 'A' then 'approve' when 'N' then 'reject' else 'maybe' end as decision")
-    return tb.decisions(a.table(spark, d, "supplier").selectExpr("s_suppkey as k"), v, "k", ("approve", "reject"))
+    v = a.table(spark, d, "orders").selectExpr("o_custkey + case when o_custkey % 31 = 0 then 10000000 else 0 end as k", "case o_orderpriority when '1-URGENT' then 'approve' when '2-HIGH' then 'reject' else 'maybe' end as decision").distinct()
+    return tb.decisions(a.table(spark, d, "customer").selectExpr("c_custkey as k"), v, "k", ("approve", "reject"))
 
 
 @query("anti_validate", "SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)")
@@ -98,8 +98,8 @@ def missing(spark, d):
 
 @query("union_disjoint", "SELECT o_orderkey AS k, o_totalprice AS v FROM orders")
 def disjoint(spark, d):
-    x = a.table(spark, d, "orders").selectExpr("o_orderkey as k", "o_totalprice as v")
-    return tb.union_disjoint(x.where("k % 2 = 0"), x.where("k % 2 <> 0"), "k")
+    x = a.table(spark, d, "orders").selectExpr("o_orderkey as k", "o_totalprice as v", "o_orderstatus as s")
+    return tb.union_disjoint(x.where("s = 'F'").drop("s"), x.where("s <> 'F'").drop("s"), "k")
 
 
 @query("strict_equijoin", "SELECT p_partkey AS k, p_size AS x, p_retailprice AS y FROM part")
@@ -171,11 +171,11 @@ def class_pivot(spark, d):
     return tb.class_pivot(x, list(CLASS_COLORS))
 
 
-@query("qc_review_join", """WITH m AS (SELECT s_suppkey AS library, s_name AS name FROM supplier), x AS (SELECT l_suppkey AS library, count(*) AS reads FROM lineitem GROUP BY 1), h AS (SELECT l_suppkey AS library, CAST(sum(l_quantity) AS DOUBLE) AS fragments FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1), p AS (SELECT l_suppkey AS library, max(l_tax) AS tss FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1)
+@query("qc_review_join", """WITH m AS (SELECT s_suppkey AS library, s_name AS name FROM supplier), x AS (SELECT l_suppkey AS library, count(*) AS reads FROM lineitem GROUP BY 1), h AS (SELECT l_suppkey AS library, CAST(sum(l_quantity) AS DOUBLE) AS fragments FROM lineitem GROUP BY 1 HAVING count(*) > 600), p AS (SELECT l_suppkey AS library, max(l_tax) AS tss FROM lineitem GROUP BY 1 HAVING sum(l_quantity) > 15300)
 SELECT library, name, reads, fragments, tss FROM m JOIN x USING (library) LEFT JOIN h USING (library) LEFT JOIN p USING (library)""")
 def review(spark, d):
     x = a.table(spark, d, "lineitem").withColumnRenamed("l_suppkey", "library")
     return tb.qc_review(
         a.table(spark, d, "supplier").selectExpr("s_suppkey as library", "s_name as name"), x.groupBy("library").agg(F.count("*").alias("reads")),
-        x.where("library % 3 = 0").groupBy("library").agg(F.sum("l_quantity").alias("fragments")), x.where("library % 2 = 0").groupBy("library").agg(F.max("l_tax").alias("tss")),
+        x.groupBy("library").agg(F.sum("l_quantity").alias("fragments"), F.count("*").alias("n")).where("n > 600").drop("n"), x.groupBy("library").agg(F.max("l_tax").alias("tss"), F.sum("l_quantity").alias("q")).where("q > 15300").drop("q"),
     )
