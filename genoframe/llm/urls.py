@@ -48,11 +48,17 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def links_of(pages: DataFrame) -> DataFrame:
-    """(source, target) from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` in html; targets with a scheme only."""
+    """(source, target) from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` in html.
+
+    A target may leave out the scheme (//host/path) or the host too (/path); other relative ones are left out.
+    """
     attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']?\s*([^"'\s>]+)""", 1)
     canonical = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<link\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"(?is)\brel\s*=\s*[\"']?\s*canonical\b"))), lambda t: attribute(t, "href"))
     refresh = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<meta\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"(?is)http-equiv\s*=\s*[\"']?\s*refresh\b"))), lambda t: attribute(t, "url"))
-    return pages.where("url is not null and html is not null").select(F.col("url").alias("source"), F.explode(F.concat(canonical, refresh)).alias("target")).where("target like '%://%'")
+    scheme, site = F.regexp_extract("source", r"(?s)^(.*?:)//", 1), F.regexp_extract("source", r"(?s)^(.*?://[^/?#]*)", 1)
+    whole = F.col("target").rlike(r"^[^/?#]*://")
+    target = F.when(~whole & F.startswith("target", F.lit("//")), F.concat(scheme, "target")).when(~whole & F.startswith("target", F.lit("/")), F.concat(site, "target")).when(whole, F.col("target")).alias("target")
+    return pages.where("url is not null and html is not null").select(F.col("url").alias("source"), F.explode(F.concat(canonical, refresh)).alias("target")).select("source", target).where("target like '%://%'")
 
 
 def filter_urls(pages: DataFrame, links: DataFrame, rules: Sequence[Rule] = RULES, default: str = "allow") -> DataFrame:
