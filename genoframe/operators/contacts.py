@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -64,7 +66,10 @@ def balance_one(b1: np.ndarray, b2: np.ndarray, count: np.ndarray, ignore: int =
 
 
 def ice_balance(pixels: DataFrame, by: tuple[str, ...] = ("context",), **options) -> DataFrame:
-    """Weights of the bins of each group's matrix: by, bin, weight (null if masked), converged.  A group's matrix is one task."""
+    """Weights of the bins of each group's matrix: by, bin, weight (null if masked), converged.
+
+    A group's matrix is one task; ``ice_balance_large`` is for those that are too large for it.
+    """
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         bins, weight, settled = balance_one(group["bin1"].to_numpy(), group["bin2"].to_numpy(), group["count"].to_numpy(), **options)
@@ -76,6 +81,55 @@ def ice_balance(pixels: DataFrame, by: tuple[str, ...] = ("context",), **options
     return out.withColumn("weight", F.when(~F.isnan("weight"), F.col("weight")))
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder (one of the session's own only where none is set), which cuts its lineage."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="genoframe-checkpoint-"))
+    return df.checkpoint()
+
+
+def ice_balance_large(pixels: DataFrame, by: tuple[str, ...] = ("context",), ignore: int = 2, mad_max: float = 5.0, min_nnz: int = 10, tolerance: float = 1e-5, steps: int = 200) -> DataFrame:
+    """The correction of ``ice_balance`` for matrices that no task can hold: by, bin, weight (null if masked), converged.
+
+    Pixels stay where they are.  A step joins the weights of the bins, which
+    are few beside the pixels, and adds up marginals with map-side partials;
+    only the weights are written, once a step.  Groups that have settled keep
+    their weights.
+    """
+    keys = list(by)
+    far = pixels.where(F.col("bin2") - F.col("bin1") >= ignore).select(*keys, "bin1", "bin2", F.col("count").cast("double").alias("count"))
+
+    def margins(values: DataFrame) -> DataFrame:
+        ends = values.select(*keys, F.explode(F.array("bin1", "bin2")).alias("bin"), "value")
+        return ends.groupBy(*keys, "bin").agg(F.sum("value").alias("m"), F.count("*").alias("nnz"))
+
+    bins = pixels.select(*keys, F.explode(F.array("bin1", "bin2")).alias("bin")).distinct()
+    first = bins.join(margins(far.withColumnRenamed("count", "value")), [*keys, "bin"], "left")
+    enough = (F.col("nnz") >= min_nnz) & (F.col("m") > 0)
+    logs = first.withColumn("lm", F.when(enough, F.log("m")))
+    middle = logs.groupBy(*keys).agg(F.percentile("lm", 0.5).alias("mid"))
+    spread = logs.join(middle, keys).groupBy(*keys, "mid").agg(F.percentile(F.abs(F.col("lm") - F.col("mid")), 0.5).alias("mad"))
+    good = enough & (F.col("m") >= F.exp(F.col("mid") - mad_max * F.col("mad")))
+    weights = _settled(first.join(spread, keys, "left").select(*keys, "bin", F.when(F.coalesce(good, F.lit(False)), 1.0).otherwise(0.0).alias("w"), F.lit(False).alias("converged")))
+    for _ in range(steps):
+        live = weights.where("w > 0 and not converged")
+        x = far.join(live.select(*keys, F.col("bin").alias("bin1"), F.col("w").alias("w1")), [*keys, "bin1"]).join(live.select(*keys, F.col("bin").alias("bin2"), F.col("w").alias("w2")), [*keys, "bin2"])
+        m = margins(x.select(*keys, "bin1", "bin2", (F.col("count") * F.col("w1") * F.col("w2")).alias("value"))).where("m > 0")
+        moments = m.groupBy(*keys).agg(F.avg("m").alias("mean"), F.var_pop("m").alias("var"))
+        scaled = m.join(moments, keys).select(*keys, "bin", (F.col("m") / F.col("mean")).alias("s"), (F.col("var") / F.col("mean") / F.col("mean") < tolerance).alias("ok"))
+        done = moments.select(*keys, (F.col("var") / F.col("mean") / F.col("mean") < tolerance).alias("now"))
+        moved = weights.join(scaled.select(*keys, "bin", "s"), [*keys, "bin"], "left").join(done, keys, "left")
+        weights = _settled(moved.select(*keys, "bin", (F.col("w") / F.coalesce("s", F.lit(1.0))).alias("w"), (F.col("converged") | F.coalesce("now", F.lit(True))).alias("converged")))
+        if not weights.where("not converged").limit(1).count():
+            break
+    live = weights.where("w > 0")
+    x = far.join(live.select(*keys, F.col("bin").alias("bin1"), F.col("w").alias("w1")), [*keys, "bin1"]).join(live.select(*keys, F.col("bin").alias("bin2"), F.col("w").alias("w2")), [*keys, "bin2"])
+    scale = margins(x.select(*keys, "bin1", "bin2", (F.col("count") * F.col("w1") * F.col("w2")).alias("value"))).where("m > 0").groupBy(*keys).agg(F.sqrt(F.avg("m")).alias("scale"))
+    weight = F.when(F.col("converged") & (F.col("w") > 0), F.col("w") / F.col("scale"))
+    return weights.join(scale, keys, "left").select(*keys, "bin", weight.alias("weight"), (F.col("converged") & F.col("scale").isNotNull()).alias("converged"))
+
+
 def distance_decay(pixels: DataFrame, weights: DataFrame, by: tuple[str, ...] = ("chrom",), least: int = 1) -> DataFrame:
     """Mean balanced contact of each diagonal offset: sums over pixels, over all pairs of bins that are not masked, zeros included.
 

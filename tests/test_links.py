@@ -103,6 +103,20 @@ def test_balancing_evens_out_marginals(spark):
     assert cn.balance_one(np.array([0, 0]), np.array([2, 3]), np.array([1, 1]))[2] is False
 
 
+def test_large_balancing_gives_the_same_weights(spark):
+    rng = np.random.default_rng(2)
+    bias = rng.uniform(0.5, 2, 30)
+    i, j = np.triu_indices(30)
+    rows = [(g, int(a), int(b), int(c)) for g in ("x", "y") for a, b, c in zip(i, j, np.round(2000 * bias[i] * bias[j] / (1 + j - i)), strict=True) if not (g == "y" and 7 in (a, b) and (a + b) % 3)]
+    px = spark.createDataFrame(rows, "context string, bin1 long, bin2 long, count long")
+    few = {"min_nnz": 8}
+    want = {(r.context, r.bin): (r.weight, r.converged) for r in cn.ice_balance(px, **few).collect()}
+    got = {(r.context, r.bin): (r.weight, r.converged) for r in cn.ice_balance_large(px, steps=60, **few).collect()}
+    assert got.keys() == want.keys()
+    for k, (w, ok) in want.items():
+        assert got[k][1] == ok and (w is None) == (got[k][0] is None) and (w is None or abs(got[k][0] - w) < 1e-6 * abs(w)), k
+
+
 def test_lookup_reads_missing_pixels_as_zero_and_masked_ones_as_masked(spark):
     px = spark.createDataFrame([("c", 0, 1, 2.0), ("c", 1, 3, float("nan")), ("c", 3, 4, float("nan")), ("c", 2, 3, float("nan"))], "chrom string, bin1 long, bin2 long, value double")
     q = spark.createDataFrame([(1, "c", 50, 150, 1.0), (2, "c", 150, 350, 1.0), (3, "c", 50, 480, 0.0), (4, "c", 20, 30, 2.0), (5, "c", 320, 330, 1.0), (6, "c", 10, 900, 1.0), (7, "x", 1, 2, 1.0)], "k int, chrom string, pos1 long, pos2 long, expected double")
