@@ -13,104 +13,100 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .text import lean
 from .work import Work
 
 #: Pieces that a Python worker remembers; it forgets all of them when there are more.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 
 
 class PrefixEncoder:
-    """Encodes one piece (a list of symbols) at a time from a vocabulary and ranked merges."""
+    """Encodes one piece of single-character symbols at a time from a vocabulary and ranked merges."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str):
         self.suffix = suffix
-        self.tokens = {i: t for t, i in vocab.items()}
-        self.rank: dict[tuple[int, int], int] = {}
-        self.made: dict[tuple[int, int], int] = {}
-        self.split: dict[int, tuple[int, int]] = {}
-        self.order: dict[int, int] = {}  # of a token: the rank of the merge that makes it; -1 for a symbol
+        n = max(vocab.values()) + 1
+        self.rank: dict[int, int] = {}  # of a pair, left << 20 | right
+        # Of a token: the rank of the merge that makes it, and its parts; -1 for a symbol.
+        self.order, self.left, self.right = (array("i", [-1]) * n for _ in range(3))
         for r, (a, b) in enumerate(merges):
-            pair = vocab[a], vocab[b]
-            token = vocab[a + b]
-            self.rank.setdefault(pair, r)
-            if token not in self.split:
-                self.split[token], self.order[token] = pair, r
-        self.canonical: dict[int, bool] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        # Symbols of a piece are single characters; the last one carries the suffix, written as one character here.
+            left, right, token = vocab[a], vocab[b], vocab[a + b]
+            self.rank.setdefault(left << 20 | right, r)
+            if self.order[token] < 0:
+                self.order[token], self.left[token], self.right[token] = r, left, right
+        self.pairs: dict[int, bool] = {}
+        # The last symbol of a piece carries the suffix, written as one character here.
         self.end = "\U0010ffff"
         self.automaton = ahocorasick.Automaton()
-        self.sizes: dict[int, int] = {}
+        known: dict[int, bool] = {}
         for t, i in vocab.items():
-            text = t.removesuffix(suffix) if suffix and t.endswith(suffix) and t != suffix else t
-            form = text + (self.end if text is not t and text != t else "")
-            self.sizes[i] = len(text)
-            self.automaton.add_word(form, i)
+            if not self.whole(i, known):  # merging never gives this token
+                continue
+            text = t.removesuffix(suffix) if suffix and t != suffix else t
+            self.automaton.add_word(text if text == t else text + self.end, (i, len(text)))
         self.automaton.make_automaton()
 
     def compatible(self, left: int, right: int, limit: int) -> bool:
         """Whether merges of a rank below ``limit`` leave ``left`` and ``right`` apart when the two stand side by side."""
-        rank, split, order = self.rank, self.split, self.order
+        rank, order = self.rank, self.order
         while True:
-            r = rank.get((left, right))
+            r = rank.get(left << 20 | right)
             if r is not None and r < limit:
                 return False
-            a, b = order.get(left, -1), order.get(right, -1)
+            a, b = order[left], order[right]
             if a < 0 and b < 0:
                 return True
             # Undo the later of the two merges.  A merge across the border would have come first if its rank is
             # smaller; of equal ranks the leftmost comes first, so one as large as the right token's counts too.
             if a > b:
-                limit, left = min(limit, a), split[left][1]
+                limit, left = min(limit, a), self.right[left]
             else:
-                limit, right = min(limit, b + 1), split[right][0]
+                limit, right = min(limit, b + 1), self.left[right]
 
-    def whole(self, token: int) -> bool:
+    def whole(self, token: int, known: dict[int, bool]) -> bool:
         """Whether merging the token's own text gives the token."""
-        known = self.canonical.get(token)
-        if known is None:
-            parts = self.split.get(token)
-            known = parts is None or (self.whole(parts[0]) and self.whole(parts[1]) and self.compatible(*parts, self.order[token]))
-            self.canonical[token] = known
-        return known
-
-    def _fits(self, left: int, right: int) -> bool:
-        pair = left, right
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            known = self.pairs[pair] = self.compatible(left, right, 1 << 60)
-        return known
+        if token not in known:
+            left, right = self.left[token], self.right[token]
+            known[token] = left < 0 or (self.whole(left, known) and self.whole(right, known) and self.compatible(left, right, self.order[token]))
+        return known[token]
 
     def encode(self, piece: str) -> list[int]:
         """Ids of a non-empty piece of single-character symbols."""
-        n = len(piece)
-        ending: list[list[int]] = [[] for _ in range(n + 1)]
-        for at, token in self.automaton.iter(piece + self.end if self.suffix else piece):
-            if at < n:
-                if not (self.suffix and at == n - 1):  # the last symbol only exists with its suffix
-                    ending[at + 1].append(token)
-            else:
-                ending[n].append(token)
-        last = [0] * (n + 1)
-        size = [0] * (n + 1)
-        for end in range(1, n + 1):
-            for token in ending[end]:  # longest first
-                k = self.sizes[token]
-                start = end - k
-                if start and not size[start]:
+        n, pairs = len(piece), self.pairs
+        if len(pairs) > CACHE_PIECES // 2:
+            pairs.clear()
+        # Of each prefix: its last token and that token's size (0 while none is found).  Matches come by
+        # their end, the longest first; the last symbol only exists with its suffix.
+        last, size = [0] * (n + 1), [0] * (n + 1)
+        final = n - 1 if self.suffix else n
+        for at, (token, k) in self.automaton.iter(piece + self.end if self.suffix else piece):
+            if at == final:
+                continue
+            end = at + 1 if at < final else n
+            if size[end]:
+                continue
+            start = end - k
+            if start:
+                if not size[start]:
+                    continue
+                left = last[start]
+                pair = left << 20 | token
+                fits = pairs.get(pair)
+                if fits is None:
+                    fits = pairs[pair] = self.compatible(left, token, 1 << 60)
+                if not fits:
                     continue
-                if self.whole(token) and (not start or self._fits(last[start], token)):
-                    last[end], size[end] = token, k
-                    break
+            last[end], size[end] = token, k
         if not size[n]:
             raise ValueError(f"no encoding for {piece!r}")
         ids = []
@@ -143,17 +139,26 @@ class Tokenizer:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.encoder = PrefixEncoder(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = self.encoder.tokens | {i: t for t, i in self.special.items()}
+        self.tokens = [""] * (1 + max([*model["vocab"].values(), *self.special.values()]))
+        for t, i in [*model["vocab"].items(), *self.special.items()]:
+            self.tokens[i] = t
+        self.codes = [str(i) for i in range(len(self.tokens))]
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # The file's pattern in terms that hold for the simple characters above.
         plain = split.replace(r"[\p{L}]+", r"[^\W\d_]+").replace(r"[\p{N}]", r"\d").replace(r"[^\s\p{L}\p{N}]+", r"(?:[^\s\w]|_)+")
         self.plain = re.compile(plain)
-        from tokenizers import Tokenizer as Library  # its rules for rare characters: normal forms, letters and numbers
-
-        self.library = Library.from_file(path)
+        # All but the vocabulary, for texts with rare characters.
+        self.rules = json.dumps(spec | {"model": model | {"vocab": {"a": 0}, "merges": []}, "added_tokens": []})
         self.symbols = byte_symbols()
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    @cached_property
+    def library(self):
+        """The library's rules for rare characters: normal forms, letters and numbers."""
+        from tokenizers import Tokenizer as Library
+
+        return Library.from_str(self.rules)
 
     def pieces(self, text: str) -> list[str]:
         if _SIMPLE.fullmatch(text):
@@ -161,46 +166,37 @@ class Tokenizer:
         normal = self.library.normalizer.normalize_str(text)
         return ["\0" + p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def piece(self, piece: str) -> tuple[int, str, str]:
-        """(number of ids, ids joined by a space, tokens joined by a space); ``\\0`` marks a piece in byte symbols already."""
+    def piece(self, piece: str) -> tuple[int, ...]:
+        """The piece's ids; ``\\0`` marks a piece in byte symbols already."""
         found = self.known.get(piece)
         if found is None:
             symbols = piece[1:] if piece[0] == "\0" else piece if piece.isascii() else "".join(self.symbols[b] for b in piece.encode())
-            ids = self.encoder.encode(symbols)
             if len(self.known) > CACHE_PIECES:
                 self.known.clear()
-            found = self.known[piece] = len(ids), " ".join(map(str, ids)), " ".join(self.tokens[i] for i in ids)
+            found = self.known[piece] = tuple(self.encoder.encode(symbols))
         return found
 
-    def text(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, ids joined by a space, the text that decoding them gives)."""
-        n, ids, decoded = 0, [], []
-        at = 0
-        parts: list[tuple[str, str | None]] = []
-        if "<|" in text:
-            for m in self.marks.finditer(text):
-                parts.append((text[at : m.start()], m[0]))
-                at = m.end()
-        parts.append((text[at:], None))
-        known, piece = self.known, self.piece
-        for part, mark in parts:
-            for p in self.pieces(part):
-                k, i, d = known.get(p) or piece(p)
-                n += k
-                ids.append(i)
-                decoded.append(d)
-            if mark:
-                n += 1
-                ids.append(str(self.special[mark]))
-                decoded.append(mark)
-        return n, " ".join(ids), " ".join(decoded)
-
     def encode(self, text: str) -> list[int]:
-        return [int(i) for i in self.text(text)[1].split()]
+        known, piece = self.known, self.piece
+        if "<|" not in text:
+            return list(chain.from_iterable([known.get(p) or piece(p) for p in self.pieces(text)]))
+        ids, at = [], 0
+        for m in self.marks.finditer(text):
+            ids += chain.from_iterable([piece(p) for p in self.pieces(text[at : m.start()])])
+            ids.append(self.special[m[0]])
+            at = m.end()
+        ids += chain.from_iterable([piece(p) for p in self.pieces(text[at:])])
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder: tokens joined by a space; unknown ids are left out."""
-        return " ".join(self.tokens[i] for i in ids if i in self.tokens)
+        n = len(self.tokens)
+        return " ".join([self.tokens[i] for i in ids if 0 <= i < n])
+
+    def text(self, text: str) -> tuple[list[int], str, str]:
+        """(ids, ids joined by a space, the text that decoding them gives)."""
+        ids = self.encode(text)
+        return ids, " ".join(map(self.codes.__getitem__, ids)), " ".join(map(self.tokens.__getitem__, ids))
 
 
 @lru_cache(2)
@@ -210,26 +206,32 @@ def load(path: str) -> Tokenizer:
 
 def _encode(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
-        for batch in batches:
-            n, digest, decoded, lists = [], [], [], []
-            for text in batch.column("text"):
-                k, ids, back = tokenizer.text(text.as_py() or "")
-                n.append(k)
-                digest.append(hashlib.sha256(ids.encode()).hexdigest())
-                decoded.append(hashlib.sha256(back.encode()).hexdigest())
-                if with_ids:
-                    lists.append(list(map(int, ids.split())))
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(lists, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for batch in batches:
+                yield _encoded(load(path), batch, with_ids)
+        finally:  # workers outlive the stage; what they remember of a tokenizer should not
+            load.cache_clear()
 
     return run
 
 
+def _encoded(tokenizer: Tokenizer, batch: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+    n, digest, decoded, lists = [], [], [], []
+    for text in batch.column("text"):
+        ids, said, back = tokenizer.text(text.as_py() or "")
+        n.append(len(ids))
+        digest.append(hashlib.sha256(said.encode()).hexdigest())
+        decoded.append(hashlib.sha256(back.encode()).hexdigest())
+        if with_ids:
+            lists.append(np.array(ids, np.int32))
+    columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    if with_ids:
+        columns.append(pa.array(lists, pa.list_(pa.int32())))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, unless turned off, ids, for every row.
 
@@ -239,7 +241,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     """
     Work(docs.sparkSession, "bpe")
     shape = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(path, with_ids), shape)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(_encode(path, with_ids)), shape)
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .text import ALNUM_LOWER, U, Words, chunks
+from .text import ALNUM_LOWER, U, Words, chunks, lean
 from .work import Work, pack, unpack
 
 #: Words of items in a block; an automaton has at most twice as many states.
@@ -238,7 +238,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int =
     out = None
     for block in blocks(items, window, block_words):  # each adds its spans to those found so far
         sent = spark.sparkContext.broadcast(block)
-        out = docs.mapInArrow(_hits(sent), shape) if out is None else out.mapInArrow(_more(sent), shape)
+        out = docs.mapInArrow(lean(_hits(sent)), shape) if out is None else out.mapInArrow(lean(_more(sent)), shape)
     return docs.mapInArrow(_hits(spark.sparkContext.broadcast(Block([], window))), shape) if out is None else out
 
 

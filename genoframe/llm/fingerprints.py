@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import SPACED_LOWER, U, Words, chunks, mix
+from .text import SPACED_LOWER, U, Words, chunks, lean, mix
 from .work import Work
 
 #: Samples in a fingerprint; each is kept as 16 bits that stand for its (term, level).
@@ -84,7 +84,7 @@ def signatures(words: Words, samples: int = SAMPLES) -> np.ndarray:
     return out
 
 
-def fingerprint_column(column: pa.Array, samples: int = SAMPLES, limit: int = 1 << 22) -> np.ndarray:
+def fingerprint_column(column: pa.Array, samples: int = SAMPLES, limit: int = 1 << 21) -> np.ndarray:
     """Signatures of whole texts."""
     parts = [signatures(Words(data, offsets, SPACED_LOWER), samples) for _, _, data, offsets in chunks(column, limit)]
     return np.concatenate(parts) if parts else np.zeros((0, samples), np.uint16)
@@ -108,7 +108,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
             sig = fingerprint_column(batch.column("text"), samples)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_hex(sig), pa.string())], names=["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, fingerprint string")
 
 
 def _hex(sig: np.ndarray) -> list[str]:
@@ -129,7 +129,7 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     q = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"] or []
     cuts = sorted(set(q))
-    # A block ends with its cut.  Its number is the cuts below the id, found by halving in plain expressions.
+    # A block ends with its cut; its number is how many cuts lie below the id.
     block = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
     firsts = {r["block"]: r["lo"] for r in docs.select("doc_id", block.alias("block")).groupBy("block").agg(F.min("doc_id").alias("lo")).collect()}
     order = sorted(firsts)
@@ -178,7 +178,7 @@ def _edited(samples: int):
                 block = b
                 if not halo:
                     open_rows.append((i, text))
-                if size > 3_000_000:
+                if size > 1_600_000:
                     yield emit(done)
                     done, size = [], 0
         if done:
@@ -198,7 +198,7 @@ def edit_probe(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """
     Work(docs.sparkSession, "fingerprints")
     shape = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(docs).mapInArrow(_edited(samples), shape)
+    return with_next(docs).mapInArrow(lean(_edited(samples)), shape)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

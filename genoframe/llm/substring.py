@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .text import SPACED, U, Words, as_long, chunks, mix
+from .text import SPACED, U, Words, as_long, chunks, lean, mix
 from .work import Work, join_checked, pack, unpack
 
 NEW, REPEAT, SPAN = 0, 1, 2  # a row of a run: first of its context; repeats an earlier one; a span found before the shuffle
@@ -178,7 +178,7 @@ class WindowIndex:
         """
         spark = self.work.spark
         with _conf(spark, requireAllClusterKeysForCoPartition="false", sources__bucketing__autoBucketedScan__enabled="false"):
-            rows = batch.mapInArrow(_anchors(self.window, self.gram), "fp long, ctx long, doc_id long, tie int, pos long, status byte")
+            rows = batch.mapInArrow(lean(_anchors(self.window, self.gram)), "fp long, ctx long, doc_id long, tie int, pos long, status byte")
             same = Window.partitionBy("fp", "ctx").orderBy("doc_id", "tie", "pos")
             rows = rows.repartition(self.buckets, "fp").withColumn("rank", F.rank().over(same)).withColumn("row", F.row_number().over(same))
             rows = rows.where("status <> 0 or rank > 1 or row = 1")
@@ -201,7 +201,7 @@ class WindowIndex:
                 wanted = some if wanted is None else wanted.union(some)
             wanted = self.work.save(wanted.groupBy("doc_id", "tie").agg(F.collect_set("pos").alias("wanted")), "wanted")
         texts = join_checked(corpus, wanted, ["doc_id", "tie"], "inner", limit=200_000).select("doc_id", "tie", "text", "wanted")
-        windows = texts.mapInArrow(_windows(self.window), "h long, doc_id long, tie int, s long")
+        windows = texts.mapInArrow(lean(_windows(self.window)), "h long, doc_id long, tie int, s long")
         seen = windows.withColumn("rank", F.rank().over(Window.partitionBy("h").orderBy("doc_id", "tie", "s"))).where("rank > 1")
         in_batch = batch.select("doc_id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
         seen = seen.where(F.col("doc_id").between(in_batch["lo"] or 0, in_batch["hi"] or 0)) if in_batch["lo"] is not None else seen.where("false")
@@ -302,7 +302,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 10, batches: i
     tied = with_tie(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work)
     spans = repeated_spans(tied, work, window, gram, batches, max_runs)
     out = join_checked(tied, spans, ["doc_id", "tie"], "left", limit=200_000).select("doc_id", "text", "spans")
-    return out.mapInArrow(_cut(window, digest), "doc_id long, n_words long, n_removed long, kept string")
+    return out.mapInArrow(lean(_cut(window, digest)), "doc_id long, n_words long, n_removed long, kept string")
 
 
 def rewrite(docs: DataFrame, window: int = 20, gram: int = 10, batches: int = 3, max_runs: int = 2) -> DataFrame:
@@ -312,7 +312,7 @@ def rewrite(docs: DataFrame, window: int = 20, gram: int = 10, batches: int = 3,
     spans = repeated_spans(tied, work, window, gram, batches, max_runs)
     out = join_checked(tied, spans, ["doc_id", "tie"], "left", limit=200_000).select("row", "text", "spans")
     shape = T.StructType([out.schema["row"], *(T.StructField(n, T.LongType()) for n in ("n_words", "n_removed")), T.StructField("kept", T.StringType())])
-    return unpack(out.mapInArrow(_cut(window, False), shape).withColumnRenamed("kept", "text"), docs, F.col("n_removed") > 0)
+    return unpack(out.mapInArrow(lean(_cut(window, False)), shape).withColumnRenamed("kept", "text"), docs, F.col("n_removed") > 0)
 
 
 SQL = r"""

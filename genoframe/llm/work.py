@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: A side of a join is broadcast only if it has at most this many rows (and the rows are a few numbers wide).
 BROADCAST_ROWS = 2_000_000
 
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 1000
+
 _own: list[str] = []
+_tracked: list[list[Work]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -31,7 +37,10 @@ class Work:
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
         # Bounds the bytes an Arrow batch holds, whatever the length of the texts.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        for works in _tracked:
+            works.append(self)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return a DataFrame that reads it back."""
@@ -42,12 +51,30 @@ class Work:
         out._work_path = path
         return out
 
+    def _delete(self, path: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table that nothing reads any more."""
         path = getattr(df, "_work_path", None)
         if path:
-            hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            self._delete(path)
+
+    def close(self) -> None:
+        """Delete all tables; what was made from them must have been written before."""
+        self._delete(self.root)
+
+
+@contextmanager
+def tracked() -> Iterator[list[Work]]:
+    """Collects the working folders that are made inside, for ``close`` once the results have been written."""
+    works: list[Work] = []
+    _tracked.append(works)
+    try:
+        yield works
+    finally:
+        _tracked.remove(works)
 
 
 def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -5,6 +5,10 @@ from genoframe.llm import chat
 CONTROLS = ["<|im_end|>", "<|im_start|>", "<|esc|>", "\n", "&", "&lt;|", "&amp;", "<|", "|>", "assistant", "x", "é😀", " ", "&#10;"]
 
 
+def escaped(t):
+    return t.replace("&", "&amp;").replace("<|", "&lt;|").replace("\n", "&#10;")
+
+
 def roles(rng):
     return rng.choice(["user", "assistant", "system", "tool", None, "a\nb", "<|esc|>", "r<|im_start|>", ""])
 
@@ -18,8 +22,9 @@ def test_round_trips(spark):
     for c in range(300):
         want = [(r or "", t or "") for i, _, r, t in rows if i == c]
         assert [tuple(t) for t in out[c].turns] == want
-        texts = [out[c].formatted[s.start : s.start + s.length] if out[c].formatted.isascii() or True else "" for s in out[c].spans]
-        assert len(texts) == sum(r == "assistant" for r, _ in want)
+        masked = [out[c].formatted[s.start : s.start + s.length] for s in out[c].spans]
+        said = [t for r, t in want if r == "assistant"]
+        assert len(masked) == len(said) and all(m in (t, escaped(t)) for m, t in zip(masked, said, strict=True))
 
 
 def test_plain_text_is_not_escaped(spark):

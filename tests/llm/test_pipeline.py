@@ -64,3 +64,18 @@ def test_a_removed_original_leaves_its_copy(spark, folder):
     out = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, path).collect()}
     assert 300 in out and 301 not in out
     assert near_dup.near_duplicates(docs).count() == docs.count()
+
+
+def test_odd_columns_and_rows(spark, folder):
+    path = folder[0]
+    names = ["row", "tie", "spans", "kept", "n_words", "starts", "items", "toxicity_score", "toxic_predicted", "sid", "a.b", "key"]
+    shape = "doc_id long, text string, n_chars int, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(i, t, None, *names) for i, t in ((None, "a b c"), (None, None), (1, "some words"), (1, "some words"), (1, "other words"), (2, ""), (3, "w " * 30000), (4, None))]
+    docs = spark.createDataFrame(rows, shape)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.schema == docs.schema or out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        got = out.collect()
+        assert len(got) == 8 and all(tuple(r)[3:] == tuple(names) for r in got)
+        assert stage(spark, docs.where("false"), path).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() == 8
