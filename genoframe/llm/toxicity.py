@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .text import ALNUM_LOWER, U, Words, chunks
+from .text import ALNUM_LOWER, U, Words, chunks, lean, release
 from .work import Work
 
 #: Bounds of the training sample: rows of each class, taken by the smallest hash of doc_id, and bytes of a text in it.
@@ -62,7 +62,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> Encoded:
     if len(size):
         before[gram_at] = 0
         after[gram_at + size - 1] = 1
-    grams = ((before * 263 + low) * 263 + after) * 40503 % 1000003 % CHAR_ROWS
+    grams = (((before * 263 + low) * 263 + after) * 40503 % 1000003 % CHAR_ROWS).astype(np.int16)
     counts = words.counts
     n = np.maximum(0, -(-(counts - WINDOW) // STEP)) + 1
     n[counts == 0] = 0
@@ -70,12 +70,12 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> Encoded:
     k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     # The last window ends with the text, so that all words are in a whole window where there are enough.
     begin = np.minimum(k * STEP, np.maximum(counts[doc] - WINDOW, 0))
-    return Encoded((unique >> U(20)).astype(np.int64) % WORD_ROWS, grams, gram_at, at.reshape(-1), begin + words.offset[:-1][doc], np.minimum(counts[doc], WINDOW), doc, words.n_docs, words.offset, unique)
+    return Encoded(((unique >> U(20)).astype(np.int64) % WORD_ROWS).astype(np.int32), grams, gram_at, at.reshape(-1).astype(np.int32), begin + words.offset[:-1][doc], np.minimum(counts[doc], WINDOW), doc, words.n_docs, words.offset, unique)
 
 
 def encode_all(column: pa.Array) -> Encoded:
     """Texts encoded a chunk at a time and put together, so that work over bytes never spans all of them."""
-    parts = [encode(data, offsets) for _, _, data, offsets in chunks(column, 1 << 20)]
+    parts = [encode(data, offsets) for _, _, data, offsets in chunks(column, 1 << 19)]
     unique, first, at = np.unique(np.concatenate([e.hash for e in parts]), return_index=True, return_inverse=True)
     size = np.concatenate([np.diff(np.concatenate([e.gram_at, [len(e.gram_rows)]])) for e in parts])
     grams, begin = np.concatenate([e.gram_rows for e in parts]), np.cumsum(size) - size
@@ -187,7 +187,7 @@ class Network:
         np.add.at(g["char"], rows, dx[spread, WORD_DIM:] / size[spread, None].astype(f32))
         return g
 
-    def window_logits(self, e: Encoded, x: np.ndarray | None = None, some: np.ndarray | None = None, block: int = 2048) -> np.ndarray:
+    def window_logits(self, e: Encoded, x: np.ndarray | None = None, some: np.ndarray | None = None, block: int = 1024) -> np.ndarray:
         x = self.inputs(e) if x is None else x
         some = np.arange(len(e.doc)) if some is None else some
         out = np.empty(len(some), f32)
@@ -202,7 +202,7 @@ class Network:
         return out - f32(self.shift)
 
     def score(self, column: pa.Array) -> np.ndarray:
-        parts = [sigmoid(self.logits(encode(data, offsets)).astype(np.float64)) for _, _, data, offsets in chunks(column, 1 << 20)]
+        parts = [sigmoid(self.logits(encode(data, offsets)).astype(np.float64)) for _, _, data, offsets in chunks(column, 1 << 19)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
 
@@ -219,8 +219,9 @@ def train(texts: list[str], labels: np.ndarray, weights: tuple[float, float], se
     held = rng.random(len(texts)) < 0.2  # for the threshold
     net = Network.new(seed)
     # The first dimension of a word's vector starts at how much likelier it is in toxic texts, damped for rare words.
-    doc_of = np.repeat(np.arange(part.n_docs), np.diff(part.offset))
-    seen = np.unique(doc_of * WORD_ROWS + part.word_row[part.words])
+    doc_of = np.repeat(np.arange(part.n_docs, dtype=np.int32), np.diff(part.offset))
+    seen = np.unique(doc_of.astype(np.int32) * np.int32(WORD_ROWS) + part.word_row[part.words] if part.n_docs < 1 << 16 else doc_of.astype(np.int64) * WORD_ROWS + part.word_row[part.words])
+    del doc_of
     d, row = seen // WORD_ROWS, seen % WORD_ROWS
     fit = ~held[d]
     rate = [np.bincount(row[fit & (labels[d] == c)], minlength=WORD_ROWS) for c in (0, 1)]
@@ -298,7 +299,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | N
     y = np.array([r["toxic"] for r in rows])
     if len(set(y)) < 2:
         return None
-    return train([r["text"] for r in rows], y, tuple(totals[c] / max(1, int((y == c).sum())) for c in (0, 1)))
+    texts = [r["text"] for r in rows]
+    del rows
+    network = train(texts, y, tuple(totals[c] / max(1, int((y == c).sum())) for c in (0, 1)))
+    del texts
+    release()
+    return network
 
 
 def score(docs: DataFrame, network: Network | None) -> DataFrame:
@@ -319,7 +325,7 @@ def score(docs: DataFrame, network: Network | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=[*batch.schema.names, "toxicity_score", "toxic_predicted"])
 
     added = [T.StructField("toxicity_score", T.DoubleType()), T.StructField("toxic_predicted", T.IntegerType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, *added]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
