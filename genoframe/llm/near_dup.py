@@ -166,7 +166,7 @@ def _linked(k: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tensored = Tensored(), star_rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tensored = Tensored(), star_rounds: int = 4, star_pairs: int = 200_000) -> DataFrame:
     """Components of documents linked at a Jaccard similarity of ``percent``/100 or more on k-word shingle sets.
 
     ``docs`` needs doc_id (long) and text; other columns, whatever their
@@ -220,12 +220,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
     parts = connected_components(links, work)
 
     # What is left: pairs of a bucket that lie in two components.  Rounds of stars around other
-    # centres go first while they merge anything and many pairs are left; then all pairs that are left.
+    # centres go first while many pairs are left; then, always, all pairs that are left.
     members = met.select("key", "sid", "n").where("n > 0").distinct()
     hot_edge = met.where("edge").select("key").distinct()
     lone = met.where("sid <> center").select("key").distinct().union(hot_edge).distinct()
     members = work.save(members.join(lone, "key", "left_semi"), "members")
-    while True:
+    last = False
+    while not last:
         parted = members.join(parts.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("part"))
         open_keys = parted.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("key")
         left = work.save(parted.join(open_keys, "key", "left_semi"), "open")
@@ -233,14 +234,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
         counted = held.groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p")).agg(F.sum("p").alias("p")).first()["p"] or 0
         x = left.select("key", F.col("sid").alias("a"), "n", F.col("part").alias("pa"))
         y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("part").alias("pb"))
-        if star_rounds and counted > 200_000:
+        if star_rounds and counted > star_pairs:
             star_rounds -= 1
             order = F.xxhash64("sid", F.lit(star_rounds))
             around = left.groupBy("key").agg(F.min(F.struct(order.alias("o"), "sid", "n", "part")).alias("c")).select("key", F.col("c.sid").alias("b"), F.col("c.n").alias("m"), F.col("c.part").alias("pb"))
             tried = x.join(around, "key").where("pa <> pb").where(fits).groupBy("a", "b").agg(F.count("*").alias("c"))
             fresh = tried.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")).select("a", "b")
         else:
-            star_rounds = 0
+            last = True
             # Components of a bucket are paired, then their members: members of one are never met with one another.
             apart = held.select("key", F.col("part").alias("pa")).join(held.select("key", F.col("part").alias("pb")), "key").where("pa < pb")
             fresh = apart.join(x, ["key", "pa"]).join(y, ["key", "pb"]).where(fits).select("a", "b").distinct()
@@ -252,8 +253,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
             links = links.select("a", "b").union(more)
             parts = connected_components(links, work)
         work.drop(left)
-        if not star_rounds:
-            break
 
     named = sets.select("sid", "root").join(parts.withColumnRenamed("node", "sid"), "sid", "left")
     lowest = work.save(named.where("component is not null").groupBy("component").agg(F.min("root").alias("low")), "lowest")

@@ -48,6 +48,17 @@ def test_a_family_of_near_copies_and_a_chain(table):
     assert got == brute(rows, 2, 80)
 
 
+def test_all_pairs_of_a_bucket_are_met_after_the_star_rounds(table):
+    shared = [f"s{i}" for i in range(200)]
+    rows = []
+    for i in range(40):  # all are nearly alike, but only 2j and 2j + 1 are alike enough
+        own = [f"p{i // 2}x{j}" for j in range(5)] + [f"o{i}x{j}" for j in range(23)]
+        rows.append((i, " ".join(shared + own)))
+    want = brute(rows, 2, 80)
+    assert len({r[2] for r in want}) == 20
+    assert {tuple(r) for r in near_duplicates(table(rows), k=2, star_pairs=0).collect()} == want
+
+
 def test_small_tables_of_keys_still_give_only_true_links(table, corpus):
     got = near_duplicates(table(corpus), k=2, shape=Tensored(2, 1, 2, 1)).collect()
     want = {r[0]: r[2] for r in brute(corpus, 2, 80)}
