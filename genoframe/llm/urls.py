@@ -47,18 +47,63 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.lit(None).cast("struct<rule:string,verdict:string>") if out is None else out
 
 
-def links_of(pages: DataFrame) -> DataFrame:
-    """(source, target) from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` in html.
+#: Entities in attribute values, by name or number; the ampersand last, so that nothing is decoded twice.
+_ENTITIES = (("lt", 60, "<"), ("gt", 62, ">"), ("quot", 34, '"'), ("apos", 39, "'"), ("sol", 47, "/"), ("colon", 58, ":"), ("quest", 63, "?"), ("equals", 61, "="), ("amp", 38, "&"))
 
-    A target may leave out the scheme (//host/path) or the host too (/path); other relative ones are left out.
+
+def decoded(value: Column) -> Column:
+    """With the entities of ``_ENTITIES`` as characters."""
+    for name, n, char in _ENTITIES:
+        value = F.regexp_replace(value, F.lit(rf"(?i)&(?:{name}|#0*{n}|#x0*{n:x});"), F.lit(char))
+    return value
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with ``/``, its ``.`` and ``..`` segments carried out."""
+    parts = F.split(F.substr(path, F.lit(2)), "/", -1)
+    step = lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, end), "/"))
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """``target`` as a whole URL, as seen from ``base`` (RFC 3986, 5.2); null for other schemes (mailto:) and a base without host.
+
+    A target that is whole stays as it stands.
+    """
+    scheme, site = F.regexp_extract(base, r"(?s)^([^/?#]*:)//", 1), F.regexp_extract(base, r"(?s)^([^/?#]*://[^/?#]*)", 1)
+    path, asked = path_of(base), F.regexp_extract(base, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    far_host, far_path = F.regexp_extract(own, r"(?s)^(//[^/]*)", 1), F.regexp_extract(own, r"(?s)^//[^/]*(.*)$", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    return (
+        F.when(target.rlike(r"^[^/?#]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | (site == "") | (target == ""), F.lit(None))
+        .when(F.startswith(target, F.lit("//")), F.concat(scheme, far_host, F.when(far_path == "", F.lit("")).otherwise(without_dots(far_path)), rest))
+        .when(F.startswith(target, F.lit("/")), F.concat(site, without_dots(own), rest))
+        .when(F.startswith(target, F.lit("?")), F.concat(site, path, target))
+        .when(F.startswith(target, F.lit("#")), F.concat(site, path, asked, target))
+        .otherwise(F.concat(site, without_dots(F.concat(folder, own)), rest))
+    )
+
+
+def links_of(pages: DataFrame, relative: bool = False) -> DataFrame:
+    """(source, target) from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` in html, entities decoded.
+
+    A target may leave out the scheme (//host/path) or the host too (/path).  With ``relative``, those that are relative
+    to the path or the query (near, ../x, ?p=1) count too, and all are seen from the first ``<base href>`` if there is one.
     """
-    attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']?\s*([^"'\s>]+)""", 1)
+    attribute = lambda tag, name: decoded(F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']?\s*([^"'\s>]+)""", 1))
     canonical = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<link\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"(?is)\brel\s*=\s*[\"']?\s*canonical\b"))), lambda t: attribute(t, "href"))
     refresh = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<meta\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"(?is)http-equiv\s*=\s*[\"']?\s*refresh\b"))), lambda t: attribute(t, "url"))
-    scheme, site = F.regexp_extract("source", r"(?s)^(.*?:)//", 1), F.regexp_extract("source", r"(?s)^(.*?://[^/?#]*)", 1)
-    whole = F.col("target").rlike(r"^[^/?#]*://")
-    target = F.when(~whole & F.startswith("target", F.lit("//")), F.concat(scheme, "target")).when(~whole & F.startswith("target", F.lit("/")), F.concat(site, "target")).when(whole, F.col("target")).alias("target")
-    return pages.where("url is not null and html is not null").select(F.col("url").alias("source"), F.explode(F.concat(canonical, refresh)).alias("target")).select("source", target).where("target like '%://%'")
+    base = F.regexp_extract("html", r"(?is)(<base\b[^>]*\bhref\s*=[^>]*>)", 1) if relative else F.lit("")
+    found = pages.where("url is not null and html is not null").select(F.col("url").alias("source"), base.alias("base"), F.explode(F.concat(canonical, refresh)).alias("target"))
+    if relative:
+        found = found.withColumn("base", F.coalesce(resolved(F.col("source"), attribute(F.col("base"), "href")), "source"))
+    else:
+        found = found.withColumn("base", F.col("source")).where(F.startswith("target", F.lit("/")) | F.col("target").rlike(r"^[^/?#]*://"))
+    return found.select("source", resolved(F.col("base"), F.col("target")).alias("target")).where("target is not null")
 
 
 def filter_urls(pages: DataFrame, links: DataFrame, rules: Sequence[Rule] = RULES, default: str = "allow") -> DataFrame:
@@ -86,7 +131,7 @@ def filter_urls(pages: DataFrame, links: DataFrame, rules: Sequence[Rule] = RULE
 def query(spark, sf_dir: str) -> DataFrame:
     """op9: all pages, with the links in their html."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return filter_urls(pages.select("page_id", "url"), links_of(pages)).drop("url")
+    return filter_urls(pages.select("page_id", "url"), links_of(pages, relative=True)).drop("url")
 
 
 #: Without components: exact where no page carries a canonical link or a refresh, as in the tables.

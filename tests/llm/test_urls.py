@@ -35,6 +35,25 @@ def test_links_in_html(spark):
     assert got == {("http://u/", "http://a.b/c"), ("http://u/", "https://d.e/f?g=1"), ("http://w/a?b", "http://w/relative"), ("http://w/a?b", "http://x.y/z")}
 
 
+def test_relative_links_and_entities(spark):
+    canonical = lambda *hrefs: "".join(f'<link rel="canonical" href="{h}">' for h in hrefs)
+    rows = [
+        (1, "http://w/a/b?q=1#f", canonical("near.html", "../x", "?p=1&amp;r=2", "./y/./z/..", "../../../up", "#g", "mailto:a@b", "/k/../l?m=../n", "//h/o/../p", "http://e/?a=1&#038;b=&amp;lt;")),
+        (2, "http://top", canonical("near") + '<meta http-equiv="refresh" content="0; url=?s=http://t/">'),
+        (3, "http://w/a/", '<base href="/deep/er/">' + canonical("near")),
+        (4, "no host", canonical("near?u=http://x/")),
+    ]
+    got = sorted(tuple(r) for r in urls.links_of(spark.createDataFrame(rows, "page_id long, url string, html string"), relative=True).collect())
+    first = ["http://e/?a=1&b=&lt;", "http://h/p", "http://w/a/b?p=1&r=2", "http://w/a/b?q=1#g", "http://w/a/near.html", "http://w/a/y/", "http://w/l?m=../n", "http://w/up", "http://w/x"]
+    assert got == sorted([("http://w/a/b?q=1#f", u) for u in first] + [("http://top", "http://top/near"), ("http://top", "http://top?s=http://t/"), ("http://w/a/", "http://w/deep/er/near")])
+
+
+def test_a_block_reaches_relative_aliases_in_the_query(spark, tmp_path):
+    rows = [(1, "http://u.net/a/1", '<link rel="canonical" href="2?x=1&amp;y=2">'), (2, "http://u.net/a/2?x=1&y=2", '<link rel="canonical" href="http://s.com/de/1">'), (3, "http://u.net/a/3", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id: r.verdict for r in urls.query(spark, str(tmp_path)).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
 def test_empty(spark):
     assert judge(spark, [], []) == {}
     assert judge(spark, [(1, "http://bad.com/")], [], ())[1][2:] == (None, "allow")
