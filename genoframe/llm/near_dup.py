@@ -11,20 +11,25 @@ missed with a probability of about 0.0001.
 Equal sets are folded into one before any table is built.  Tables are sorted
 by range over (key, set), so that one hot key spreads over many tasks, and are
 read as a stream: a bucket is never held in memory.  Each set is first
-compared with one centre (the one it meets in most tables); then every pair of
-a bucket that still lies in two components is compared, so no link that the
-tables found is lost, while members of one component are not paired again.
-All links are confirmed on the full sets of whole texts.
+compared with the centres of its buckets, which settles the groups of near
+copies.  Then the sets of every component that still meets
+another one in a bucket are joined exactly: tokens are ordered from rare to
+common by a sketch of their frequencies, and two sets can only be linked if a
+token near the front of one stands near the front of the other.  What all
+members of a hot bucket share is common and so stands at the back, and the
+members are not paired with one another.  All links are confirmed on the full
+shingle sets of whole texts, by their words.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import connected_components
 from .text import SPACED_LOWER, U, Words, as_long, chunks, lean, mix, shingle_sets
@@ -107,66 +112,174 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     The first and last key of a partition may go on in its neighbours; their rows are kept with ``edge`` true.
     """
-    key = center = pending = None  # of the run that is open; pending: its first row, not yet given out
-    first = True  # the open run is the partition's first
+    key = center = None  # of the run that is open
+    lone = False  # its only row was not given out yet
+    first = True  # it is the partition's first
+
+    def made(k, s, c, edge) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(s), pa.array(c), pa.array(edge)], names=["key", "sid", "center", "edge"])
+
     for batch in batches:
-        k, s, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        k, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
         if not len(k):
             continue
-        new = np.empty(len(k), bool)
-        new[0] = key is None or k[0] != key
-        new[1:] = k[1:] != k[:-1]
-        run = np.cumsum(new) - 1  # -1: goes on with the open run
-        heads = np.flatnonzero(new)
-        size = np.bincount(run + 1, minlength=len(heads) + 1)
-        out = []
-        if size[0]:
-            if pending is not None:
-                out.append((np.array([key]), np.array([pending[0]]), np.array([pending[1]]), np.array([center]), np.array([first])))
-                pending = None
-            m = run < 0
-            out.append((k[m], s[m], n[m], np.full(m.sum(), center), np.full(m.sum(), first)))
-        if len(heads):
-            if pending is not None and first:
-                out.append((np.array([key]), np.array([pending[0]]), np.array([pending[1]]), np.array([center]), np.array([True])))
-            first = key is None
-            last = len(heads) - 1
-            # Whole runs, and the last one if it has two rows already; a lone last row waits.
-            m = (run >= 0) & (size[run + 1] > 1)
-            if first and last > 0:  # a lone first row of the partition
-                m |= run == 0
-            out.append((k[m], s[m], n[m], s[heads[run[m]]] if m.any() else s[:0], np.full(m.sum(), False) | ((run[m] == 0) & first)))
-            key, center = k[heads[last]], s[heads[last]]
-            pending = (center, n[heads[last]]) if size[-1] == 1 else None
-            if last > 0:
-                first = False
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "sid", "n", "center", "edge"])
+        if key is not None:  # the open run goes first, as a row of this batch
+            k, s = np.concatenate([[key], k]), np.concatenate([[center], s])
+        heads = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        size = np.diff(np.concatenate([heads, [len(k)]]))
+        run = np.repeat(np.arange(len(heads)), size)
+        edge = (run == 0) & first
+        give = (size[run] > 1) | (edge & (len(heads) > 1))
+        if key is not None and not lone:
+            give[0] = False  # given out before
+        c = s[heads[run]]
+        if give.any():
+            yield made(k[give], s[give], c[give], edge[give])
+        key, center = k[heads[-1]], s[heads[-1]]
+        lone = size[-1] == 1 if len(heads) > 1 else lone and size[-1] == 1 or (first and len(k) == 1)
+        first = first and len(heads) == 1
     if key is not None:  # the last run may go on in the next partition
-        row = pending if pending is not None else (center, 0)
-        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([row[0]]), pa.array([row[1]], pa.int64()), pa.array([center]), pa.array([True])], names=["key", "sid", "n", "center", "edge"])
+        yield made(np.array([key]), np.array([center]), np.array([center]), np.array([True]))
+
+
+def _sorted_tokens(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The tokens of a set from rare to common by the sketch ``counts``, then by hash: one order for all sets."""
+    return s[np.lexsort((s, counts[(s >> U(64 - int(len(counts)).bit_length() + 1)).astype(np.int64)]))]
+
+
+def _token_counts(k: int, bits: int):
+    """(slot, c): how many sets of the task have a token in each slot of the sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in chunks(batch.column("text")):
+                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                counts += np.bincount((np.concatenate(sets) >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+        slot = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(counts[slot])], names=["slot", "c"])
 
+    return run
+
+
+def _front(k: int, percent: int, shared):
+    """(token, sid, part, n, at): the tokens at the front of each set that a partner of no more tokens may share first.
+
+    ``at`` counts tokens before it.  A link needs ``percent / (100 + percent)`` of both sizes in common; with a first
+    common token at place ``at`` of a set of n, no more than n - at are.
+    """
 
-def _linked(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
         for batch in batches:
-            both = pa.concat_arrays([batch.column("a_text"), batch.column("b_text")])
-            sets: list[np.ndarray] = []
-            for _, _, data, offsets in chunks(both):
-                sets += shingle_sets(Words(data, offsets, SPACED_LOWER), k)
-            keep = []
-            for x, y in zip(sets[: batch.num_rows], sets[batch.num_rows :], strict=True):
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
-                common = int((y[at] == x).sum()) if len(x) else 0
-                keep.append(100 * common >= percent * (len(x) + len(y) - common) and common > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+            sids, parts = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "part"))
+            for lo, hi, data, offsets in chunks(batch.column("text")):
+                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                front = [_sorted_tokens(s, counts)[: len(s) - -(-percent * len(s) // 100) + 1] for s in sets]
+                size = np.array([len(f) for f in front])
+                n = np.array([len(s) for s in sets], np.int32)
+                at = np.concatenate([np.arange(x, dtype=np.int32) for x in size])
+                columns = [as_long(np.concatenate(front)), np.repeat(sids[lo:hi], size), np.repeat(parts[lo:hi], size), np.repeat(n, size), at]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "sid", "part", "n", "at"])
 
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tensored = Tensored(), star_rounds: int = 4, star_pairs: int = 200_000) -> DataFrame:
+def _words_in_common(x: set, y: set, percent: int) -> bool:
+    common = len(x & y)
+    return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def true_shingles(text: str, k: int) -> set[tuple[bytes, ...]]:
+    """The shingles themselves, as tuples of words."""
+    words = (text or "").encode().lower().split()  # bytes: only A-Z fold, only ASCII spaces split
+    return set(zip(*(words[i:] for i in range(k)), strict=False)) if len(words) >= k else {tuple(words)} if words else set()
+
+
+def _verify(k: int, percent: int, held: int = 256):
+    """Links among (block, sid, text, wanted), sorted by block with its members (wanted null) first.
+
+    A visitor names the members that it is to be compared with; an empty list
+    means all.  Hashes refuse a pair; what they let through is compared by its
+    words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
+        members: dict[int, tuple[np.ndarray, str]] = {}
+        spelled: OrderedDict[int, set] = OrderedDict()  # of the members that were met last
+
+        def words_of(sid: int) -> set:
+            if sid not in spelled:
+                spelled[sid] = true_shingles(members[sid][1], k)
+                if len(spelled) > held:
+                    spelled.popitem(last=False)
+            return spelled[sid]
+
+        for batch in batches:
+            texts, wanted = batch.column("text"), batch.column("wanted")
+            blocks, sids = (batch.column(c).to_pylist() for c in ("block", "sid"))
+            a, b = [], []
+            for lo, hi, data, offsets in chunks(texts):
+                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                for row, x in zip(range(lo, hi), sets, strict=True):
+                    sid, now = sids[row], blocks[row]
+                    if now != block:
+                        block, members, spelled = now, {}, OrderedDict()
+                    if not wanted[row].is_valid:
+                        members[sid] = (x, texts[row].as_py())
+                        continue
+                    own = None
+                    for other in wanted[row].as_py() or members:
+                        y = members[other][0]
+                        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                            continue
+                        few, many = (x, y) if len(x) <= len(y) else (y, x)
+                        place = np.minimum(np.searchsorted(many, few), max(len(many) - 1, 0))
+                        common = int((many[place] == few).sum()) if len(few) else 0
+                        if common and 100 * common >= percent * (len(x) + len(y) - common):
+                            own = true_shingles(texts[row].as_py(), k) if own is None else own
+                            if _words_in_common(own, words_of(other), percent):
+                                a.append(sid)
+                                b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+#: Members of one component that a task holds at once while others are compared with them.
+BLOCK = 64
+#: Visitors of a block that one task compares; a block with more is given to several tasks.
+VISITORS = 20_000
+
+
+def _alike(n: str, m: str, percent: int) -> Column:
+    return F.expr(f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})")
+
+
+def _front_pairs(rows: DataFrame, percent: int, work: Work, heavy: int = 32) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b, pa, pb) of sets in two components that share a token early enough in both to be linked, and crowds.
+
+    Tokens that only one component holds pair nothing.  A component that
+    holds a token more than ``heavy`` times is not paired set by set: crowds
+    are rows (a, part) of a set and such a component, which is to be compared
+    with all of that component.
+    """
+    held = rows.groupBy("token", "part").agg(F.count("*").alias("c")).groupBy("token").agg(F.count("*").alias("parts"), F.max("c").alias("c"))
+    rows = work.save(rows.join(held.where("parts > 1").select("token", (F.col("c") > heavy).alias("hot")), "token"), "front")
+    # The smaller of two sets (then the smaller name) shares a token that leaves 2p / (100 + p) of it.
+    rows = rows.withColumn("index", F.expr(f"(n - at) * (100 + {percent}) >= 2 * {percent} * n"))
+    crowd = rows.where("hot").groupBy("token", "part").agg(F.count("*").alias("c"), F.max("index").alias("any")).where(F.col("c") > heavy).select("token", "part", "any", F.lit(True).alias("crowd"))
+    few = rows.where("hot").join(crowd, ["token", "part"], "left_anti").unionByName(rows.where("not hot"))
+    x = few.select("token", F.col("sid").alias("a"), F.col("part").alias("pa"), "n", "at")
+    y = few.where("index").select("token", F.col("sid").alias("b"), F.col("part").alias("pb"), F.col("n").alias("m"), F.col("at").alias("bt"))
+    fits = F.expr(f"pa <> pb and (m < n or (m = n and b < a)) and 100 * m >= {percent} * n and least(n - at, m - bt) * (100 + {percent}) >= {percent} * (n + m)")
+    pairs = x.join(y, "token").where(fits).select("a", "b", "pa", "pb").distinct()
+    met = rows.where("hot").select("token", F.col("sid").alias("a"), F.col("part").alias("pa"), "index").join(crowd, "token").where("pa <> part and (index or any)")
+    return pairs, met.select("a", "part").distinct()
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tensored = Tensored(), sketch_bits: int = 18) -> DataFrame:
     """Components of documents linked at a Jaccard similarity of ``percent``/100 or more on k-word shingle sets.
 
     ``docs`` needs doc_id (long) and text; other columns, whatever their
@@ -174,89 +287,95 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
     every row.  Null and empty texts have no shingles and link with nothing;
     so do rows without doc_id (component_id null, kept true).  Repeated rows
     each come back; equal texts always share a component.  An empty table
-    gives an empty result.
+    gives an empty result.  ``sketch_bits`` sets the slots of the frequency
+    sketch (8 bytes each on the driver), which orders tokens; it cannot change
+    a result.
     """
     spark = docs.sparkSession
     work = Work(spark, "near-dup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     features = work.save(docs.mapInArrow(lean(_features(k, shape)), "doc_id long, n long, sid long, g array<long>, h array<long>"), "features")
-    features_known = features.where("sid is not null and doc_id is not null")
-    sets = work.save(features_known.groupBy("sid").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("g").alias("g"), F.first("h").alias("h")), "sets")
+    known = features.where("sid is not null and doc_id is not null")
+    sets = work.save(known.groupBy("sid").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("g").alias("g"), F.first("h").alias("h")), "sets")
 
     tables = (
-        sets.select("sid", "n", "h", F.posexplode("g").alias("i", "x"))
-        .select("sid", "n", "i", "x", F.posexplode("h").alias("j", "y"))
-        .select(F.xxhash64("i", "j", "x", "y").alias("key"), "sid", "n")
+        sets.select("sid", "h", F.posexplode("g").alias("i", "x"))
+        .select("sid", "i", "x", F.posexplode("h").alias("j", "y"))
+        .select(F.xxhash64("i", "j", "x", "y").alias("key"), "sid")
     )
     sorted_tables = tables.repartitionByRange("key", "sid").sortWithinPartitions("key", "sid")
-    met = work.save(sorted_tables.mapInArrow(lean(_buckets), "key long, sid long, n long, center long, edge boolean"), "met")
+    met = work.save(sorted_tables.mapInArrow(lean(_buckets), "key long, sid long, center long, edge boolean"), "met")
     # Where a key goes on over several partitions, its centres there meet again in the smallest.
     edge = met.where("edge").groupBy("key").agg(F.min("center").alias("low"))
-    crossing = met.where("edge").join(edge, "key").select("key", F.col("center").alias("sid"), F.col("low").alias("center")).where("sid <> center")
-    stars = met.where("sid <> center").select("key", "sid", "center").union(crossing)
+    crossing = met.where("edge").join(edge, "key").select(F.col("center").alias("sid"), F.col("low").alias("center")).where("sid <> center")
+    stars = met.where("sid <> center").select("sid", "center").union(crossing)
+    meets = work.save(stars.distinct(), "meets")
+    work.drop(met)
+
+    told = known.groupBy("doc_id").agg(F.count("*").alias("c"), F.min("sid").alias("x"), F.max("sid").alias("y")).where("c > 1")
+    again = told.agg(F.count("*").alias("c"), F.count_if(F.col("x") != F.col("y")).alias("texts")).first()
+
+    def with_text(wanted: DataFrame, unique: list[str]) -> DataFrame:
+        """``wanted`` (sid and others, of which ``unique`` name a row) with the text of each set's first document."""
+        roots = work.save(wanted.join(sets.select("sid", F.col("root").alias("doc_id")), "sid"), "wanted")
+        weight = F.coalesce(F.size("wanted"), F.lit(0)) * 8 + 64 if "wanted" in wanted.columns else None
+        found = join_checked(docs, roots, "doc_id", "inner", weight=weight)
+        if again["texts"]:  # rows that repeat a doc_id under another text are told apart by their set
+            found = found.mapInArrow(lean(_same_set(k)), found.schema)
+        return (found.dropDuplicates(unique) if again["c"] else found).drop("doc_id")
+
+    def confirm(members: DataFrame, visitors: DataFrame) -> DataFrame:
+        """Links (a, b) of the members (block, sid) and visitors (block, sid, wanted: members of the block, none: all of them)."""
+        share = visitors.groupBy("block").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("copies"))
+        members = members.distinct().join(share, "block").select("block", "sid", F.lit(None).cast("array<long>").alias("wanted"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+        roles = members.unionByName(visitors.join(share, "block").select("block", "sid", "wanted", F.pmod(F.xxhash64("sid"), "copies").cast("int").alias("copy")))
+        rows = with_text(roles.select(F.xxhash64("block", "copy").alias("block"), "sid", "wanted"), ["block", "sid"]).select("block", "sid", "text", "wanted")
+        rows = rows.repartition("block").sortWithinPartitions("block", F.col("wanted").isNotNull(), "sid")
+        return work.save(rows.mapInArrow(lean(_verify(k, percent)), "a long, b long"), "links")
+
+    def of_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members and visitors of pairs (a: visitor, b: member, block)."""
+        return pairs.select("block", F.col("b").alias("sid")), pairs.groupBy("block", F.col("a").alias("sid")).agg(F.collect_set("b").alias("wanted"))
+
+    # Each set visits the centres that it meets; there are no more such pairs than rows in the tables.
     size = sets.select("sid", "n")
-    best = stars.groupBy("sid", "center").agg(F.count("*").alias("c")).groupBy("sid").agg(F.max_by("center", F.struct("c", "center")).alias("center"))
-    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of set names whose whole sets are similar enough."""
-        ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-        wanted = work.save(ends.join(sets.select("sid", "root"), "sid").select("sid", F.col("root").alias("doc_id")), "wanted")
-        # One row for each wanted document; rows that repeat a doc_id under another text are told apart by their set.
-        own = features_known.select("doc_id", "sid").distinct().groupBy("doc_id").agg(F.count("*").alias("texts"))
-        found = join_checked(docs, wanted, "doc_id", "inner").select("sid", "doc_id", "text")
-        clash = own.where("texts > 1")
-        if clash.limit(1).count():
-            found = found.mapInArrow(lean(_same_set(k)), "sid long, doc_id long, text string")
-        texts = work.save(found.select("sid", "text").dropDuplicates(["sid"]), "texts")
-        a, b = (texts.select(F.col("sid").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
-        out = work.save(pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text").mapInArrow(lean(_linked(k, percent)), "a long, b long"), "links")
-        work.drop(texts)
-        return out
-
-    sized = best.join(size, "sid").join(size.select(F.col("sid").alias("center"), F.col("n").alias("m")), "center")
-    pairs = work.save(sized.where(fits).select(F.col("center").alias("a"), F.col("sid").alias("b")), "pairs")
-    links = confirm(pairs)
+    sized = meets.join(size, "sid").join(size.select(F.col("sid").alias("center"), F.col("n").alias("m")), "center").where(_alike("n", "m", percent))
+    links = confirm(*of_pairs(work.save(sized.select(F.col("sid").alias("a"), F.col("center").alias("b"), F.xxhash64("center").alias("block")), "pairs")))
     parts = connected_components(links, work)
 
-    # What is left: pairs of a bucket that lie in two components.  Rounds of stars around other
-    # centres go first while many pairs are left; then, always, all pairs that are left.
-    members = met.select("key", "sid", "n").where("n > 0").distinct()
-    hot_edge = met.where("edge").select("key").distinct()
-    lone = met.where("sid <> center").select("key").distinct().union(hot_edge).distinct()
-    members = work.save(members.join(lone, "key", "left_semi"), "members")
-    last = False
-    while not last:
-        parted = members.join(parts.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("part"))
-        open_keys = parted.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("key")
-        left = work.save(parted.join(open_keys, "key", "left_semi"), "open")
-        held = left.groupBy("key", "part").agg(F.count("*").alias("c"))
-        counted = held.groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p")).agg(F.sum("p").alias("p")).first()["p"] or 0
-        x = left.select("key", F.col("sid").alias("a"), "n", F.col("part").alias("pa"))
-        y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("part").alias("pb"))
-        if star_rounds and counted > star_pairs:
-            star_rounds -= 1
-            order = F.xxhash64("sid", F.lit(star_rounds))
-            around = left.groupBy("key").agg(F.min(F.struct(order.alias("o"), "sid", "n", "part")).alias("c")).select("key", F.col("c.sid").alias("b"), F.col("c.n").alias("m"), F.col("c.part").alias("pb"))
-            tried = x.join(around, "key").where("pa <> pb").where(fits).groupBy("a", "b").agg(F.count("*").alias("c"))
-            fresh = tried.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")).select("a", "b")
-        else:
-            last = True
-            # Components of a bucket are paired, then their members: members of one are never met with one another.
-            apart = held.select("key", F.col("part").alias("pa")).join(held.select("key", F.col("part").alias("pb")), "key").where("pa < pb")
-            fresh = apart.join(x, ["key", "pa"]).join(y, ["key", "pb"]).where(fits).select("a", "b").distinct()
-        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = work.save(fresh.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-        more = confirm(fresh)
-        pairs = pairs.select("a", "b").union(fresh)
-        if more.limit(1).count():
-            links = links.select("a", "b").union(more)
-            parts = connected_components(links, work)
-        work.drop(left)
-
-    named = sets.select("sid", "root").join(parts.withColumnRenamed("node", "sid"), "sid", "left")
-    lowest = work.save(named.where("component is not null").groupBy("component").agg(F.min("root").alias("low")), "lowest")
-    of_set = work.save(join_checked(named, lowest, "component", "left").select("sid", F.coalesce("low", "root").alias("component_id")), "components")
+    # What is left: pairs of a bucket that lie in two components.  All sets of such components are joined exactly.
+    part = work.save(sets.select("sid").join(parts.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("component", "sid").alias("part")), "parts")
+    far = meets.select("sid", "center").join(part.withColumnRenamed("part", "pa"), "sid").join(part.select(F.col("sid").alias("center"), F.col("part").alias("pb")), "center").where("pa <> pb")
+    apart = far.select(F.explode(F.array("pa", "pb")).alias("part")).distinct()
+    texts = work.save(with_text(part.join(apart, "part", "left_semi").select("sid", "part"), ["sid"]), "texts")
+    sketch = texts.mapInArrow(lean(_token_counts(k, sketch_bits)), "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+    counts = np.zeros(1 << sketch_bits, np.int64)
+    slots = sketch.toArrow()  # at most 2 ** sketch_bits rows
+    counts[slots.column("slot").to_numpy()] = slots.column("c").to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+    front = work.save(texts.mapInArrow(lean(_front(k, percent, shared)), "token long, sid long, part long, n int, at int"), "tokens")
+    work.drop(texts)
+    rest, crowds = _front_pairs(front, percent, work)
+    many = work.save(part.groupBy("part").agg(F.count("*").alias("size")).where("size > 1"), "many")
+    sized = rest.join(many.select(F.col("part").alias("pa"), F.col("size").alias("x")), "pa", "left").join(many.select(F.col("part").alias("pb"), F.col("size").alias("y")), "pb", "left")
+    sized = sized.select("a", "b", "pa", "pb", F.coalesce("x", F.lit(1)).alias("x"), F.coalesce("y", F.lit(1)).alias("y"))
+    swap = F.col("x") > F.col("y")  # members are of the larger component
+    turned = sized.select(*[F.when(swap, F.col(u)).otherwise(F.col(v)).alias(v) for u, v in (("b", "a"), ("a", "b"), ("pa", "pb"), ("x", "y"))])
+    blocks = F.ceil(F.col("size") / BLOCK)
+    block = F.xxhash64("pb", F.pmod(F.xxhash64("b"), F.ceil(F.col("y") / BLOCK)), F.when(F.col("y") == 1, F.col("b")))
+    members, visitors = of_pairs(work.save(turned.select("a", "b", block.alias("block")), "pairs"))
+    crowds = work.save(crowds.join(many, "part"), "crowds")
+    all_of = part.join(crowds.select("part", "size").distinct(), "part").select(F.xxhash64(F.lit("all"), "part", F.pmod(F.xxhash64("sid"), blocks)).alias("block"), "sid")
+    to_all = crowds.select("a", "part", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("at")).select(F.xxhash64(F.lit("all"), "part", "at").alias("block"), F.col("a").alias("sid"), F.array().cast("array<long>").alias("wanted"))
+    more = confirm(members.unionByName(all_of), visitors.unionByName(to_all))
+    work.drop(front)
+    joined = more.join(part.select(F.col("sid").alias("a"), F.col("part").alias("pa")), "a").join(part.select(F.col("sid").alias("b"), F.col("part").alias("pb")), "b")
+    merged = connected_components(joined.select("pa", "pb"), work, "pa", "pb").select(F.col("node").alias("part"), F.col("component").alias("whole"))
+
+    named = sets.select("sid", "root").join(part, "sid").join(merged, "part", "left").join(many, "part", "left")
+    named = named.select("sid", "root", F.coalesce("whole", F.when(F.col("size") > 1, F.col("part"))).alias("component"))
+    lowest = named.where("component is not null").groupBy("component").agg(F.min("root").alias("low"))
+    of_set = work.save(named.join(lowest, "component", "left").select("sid", F.coalesce("low", "root").alias("component_id")), "components")
     out = join_checked(features.select("doc_id", "n", "sid"), of_set, "sid", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -269,7 +388,7 @@ def _same_set(k: int):
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
-                same = as_long(set_id(sets)) == batch.column("sid").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                same = np.array([len(x) > 0 for x in sets]) & (as_long(set_id(sets)) == batch.column("sid").slice(lo, hi - lo).to_numpy(zero_copy_only=False))
                 yield batch.slice(lo, hi - lo).filter(pa.array(same))
 
     return run

@@ -37,11 +37,11 @@ NEW, REPEAT, SPAN = 0, 1, 2  # a row of a run: first of its context; repeats an
 
 def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first window, last window, anchor word, fingerprint, context hash); positions count words over all texts of the chunk."""
-    prefix, left = words.prefix(), words.left()
+    left = words.left()
     none = np.zeros(0, np.int64)
     if len(left) < window:
         return none, none, none, none.astype(U), none.astype(U)
-    grams = words.span_hash(prefix, np.arange(len(left) - gram + 1), gram)  # those that cross texts are never used
+    grams = words.span_hash(np.arange(len(left) - gram + 1), gram)  # those that cross texts are never used
     width = window - gram + 1
     best, low = np.arange(len(grams)), grams
     span = 1
@@ -58,7 +58,7 @@ def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, np
     head = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
     tail = np.concatenate([head[1:], [len(starts)]]) - 1
     s0, s1, p = starts[head], starts[tail], at[head]
-    ctx = mix(words.span_hash(prefix, s0, s1 - s0 + window) + ((p - s0) * 64 + (s1 - s0)).astype(U))
+    ctx = mix(words.span_hash(s0, s1 - s0 + window) + ((p - s0) * 64 + (s1 - s0)).astype(U))
     return s0, s1, p, grams[p], ctx
 
 
@@ -106,12 +106,11 @@ def _windows(window: int):
             ids, ties, wanted = (batch.column(c) for c in ("doc_id", "tie", "wanted"))
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 words = Words(data, offsets, SPACED)
-                prefix = words.prefix()
                 for d in range(lo, hi):
                     pos = wanted[d].values.to_numpy(zero_copy_only=False)
                     p, a, b = pos >> 8, (pos >> 4) & 15, pos & 15
                     start = np.unique(np.repeat(p - a, a - b + 1) + np.concatenate([np.arange(n) for n in a - b + 1]))
-                    h = words.span_hash(prefix, start + words.offset[d - lo], window)
+                    h = words.span_hash(start + words.offset[d - lo], window)
                     n = len(start)
                     yield pa.RecordBatch.from_arrays([pa.array(as_long(h)), pa.array([ids[d].as_py()] * n, pa.int64()), pa.array([ties[d].as_py()] * n, pa.int32()), pa.array(start)], names=["h", "doc_id", "tie", "s"])
 
@@ -200,7 +199,7 @@ class WindowIndex:
                 some = self._rows(run).join(shared.hint("merge"), "fp", "left_semi").select("doc_id", "tie", "pos")
                 wanted = some if wanted is None else wanted.union(some)
             wanted = self.work.save(wanted.groupBy("doc_id", "tie").agg(F.collect_set("pos").alias("wanted")), "wanted")
-        texts = join_checked(corpus, wanted, ["doc_id", "tie"], "inner", limit=200_000).select("doc_id", "tie", "text", "wanted")
+        texts = join_checked(corpus, wanted, ["doc_id", "tie"], "inner", weight=F.size("wanted") * 8 + 32).select("doc_id", "tie", "text", "wanted")
         windows = texts.mapInArrow(lean(_windows(self.window)), "h long, doc_id long, tie int, s long")
         seen = windows.withColumn("rank", F.rank().over(Window.partitionBy("h").orderBy("doc_id", "tie", "s"))).where("rank > 1")
         in_batch = batch.select("doc_id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
@@ -301,7 +300,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 10, batches: i
     work = Work(docs.sparkSession, "substring")
     tied = with_tie(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work)
     spans = repeated_spans(tied, work, window, gram, batches, max_runs)
-    out = join_checked(tied, spans, ["doc_id", "tie"], "left", limit=200_000).select("doc_id", "text", "spans")
+    out = join_checked(tied, spans, ["doc_id", "tie"], "left", weight=F.size("spans") * 8 + 32).select("doc_id", "text", "spans")
     return out.mapInArrow(lean(_cut(window, digest)), "doc_id long, n_words long, n_removed long, kept string")
 
 
@@ -310,7 +309,7 @@ def rewrite(docs: DataFrame, window: int = 20, gram: int = 10, batches: int = 3,
     work = Work(docs.sparkSession, "substring")
     tied = with_tie(pack(docs), work)
     spans = repeated_spans(tied, work, window, gram, batches, max_runs)
-    out = join_checked(tied, spans, ["doc_id", "tie"], "left", limit=200_000).select("row", "text", "spans")
+    out = join_checked(tied, spans, ["doc_id", "tie"], "left", weight=F.size("spans") * 8 + 32).select("row", "text", "spans")
     shape = T.StructType([out.schema["row"], *(T.StructField(n, T.LongType()) for n in ("n_words", "n_removed")), T.StructField("kept", T.StringType())])
     return unpack(out.mapInArrow(lean(_cut(window, False)), shape).withColumnRenamed("kept", "text"), docs, F.col("n_removed") > 0)
 

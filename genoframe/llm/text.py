@@ -12,12 +12,11 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 19
 
 U = np.uint64
-_BASE = U(0x9E3779B97F4A7C15 | 1)
-_BASE_INV = U(pow(int(_BASE), -1, 1 << 64))
-_GRAM = U(0xD6E8FEB86659FD93)
-_GRAM_INV = U(pow(int(_GRAM), -1, 1 << 64))
-_BYTES = np.random.default_rng(20240117).integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
-_powers: dict[tuple[int, int], np.ndarray] = {}
+_ODD = U(0x9E3779B97F4A7C15)
+_STEP = U(0xD6E8FEB86659FD93)
+#: Places of a word whose byte values come from a table; those of later places come from a formula.
+_PLACES = 256
+_VALUES = np.random.default_rng(20240117).integers(1, 1 << 63, (_PLACES, 256), dtype=np.uint64) * U(2) + U(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,21 +29,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    key = (int(base), 1 << max(16, int(n - 1).bit_length()))
-    if key[1] > 1 << 22:  # a very long text: not kept
-        return np.concatenate([np.ones(1, U), np.cumprod(np.full(max(n - 1, 0), base, U), dtype=U)])[:n]
-    if key not in _powers:
-        _powers[key] = np.concatenate([np.ones(1, U), np.cumprod(np.full(key[1] - 1, base, U), dtype=U)])
-    return _powers[key][:n]
-
-
-def _fold(keep: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    values = _BYTES.copy()
+def _fold(keep: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    fold = np.arange(256, dtype=np.uint8)
     if lower:
-        values[0x41:0x5B] = values[0x61:0x7B]
-    return keep, values
+        fold[0x41:0x5B] = fold[0x61:0x7B]
+    return keep, fold, np.ascontiguousarray(_VALUES[:, fold]).reshape(-1)
 
 
 def _set(*spans: tuple[int, int], inverse: bool) -> np.ndarray:
@@ -83,10 +72,17 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 
 class Words:
-    """The words of some texts: byte spans, 64-bit hashes, and the word offsets of each text."""
+    """The words of some texts: byte spans, 64-bit hashes, and the word offsets of each text.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: tuple[np.ndarray, np.ndarray], hashes: bool = True):
-        keep, values = kind
+    A word's hash mixes the sum of one random value for each (place, byte), and
+    a run's hash is built from mixed hashes of halves, so no regular pattern of
+    bytes or words makes unequal ones collide, as it would in polynomials
+    modulo a power of two.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: tuple[np.ndarray, np.ndarray, np.ndarray], hashes: bool = True):
+        keep, fold, values = kind
+        self._runs: dict[int, np.ndarray] = {}
         n_docs, size = len(offsets) - 1, len(data)
         self.data, self.n_docs = data, n_docs
         if not size:
@@ -107,10 +103,17 @@ class Words:
         self.end = np.flatnonzero(inside & ~after) + 1
         self.offset = np.searchsorted(self.start, offsets)
         if hashes:
+            place = np.arange(size, dtype=np.int64)
+            begin = np.concatenate([[0], self.start, [size]])
+            place -= np.repeat(begin[:-1], np.diff(begin))
+            value = values[np.minimum(place, _PLACES - 1) * 256 + data]
+            if len(self.start) and (self.end - self.start).max() > _PLACES:
+                far = np.flatnonzero(place >= _PLACES)
+                value[far] = mix(mix((place[far].astype(U) << U(8)) | fold[data[far]]) + _STEP)
             total = np.empty(size + 1, U)
             total[0] = 0
-            np.cumsum(values[data] * powers(_BASE, size), out=total[1:])
-            self.hash = mix((total[self.end] - total[self.start]) * powers(_BASE_INV, size)[self.start] + (self.end - self.start).astype(U))
+            np.cumsum(value, out=total[1:])
+            self.hash = mix(mix(total[self.end] - total[self.start]) + (self.end - self.start).astype(U) * _ODD)
 
     @property
     def counts(self) -> np.ndarray:
@@ -120,18 +123,32 @@ class Words:
         """For each word, how many words of its text start at it or later."""
         return np.repeat(self.offset[1:], self.counts) - np.arange(len(self.hash))
 
-    def prefix(self) -> np.ndarray:
-        """Running sums from which ``span_hash`` takes the hash of any run of words."""
-        out = np.zeros(len(self.hash) + 1, U)
-        np.cumsum(self.hash * powers(_GRAM, len(self.hash)), out=out[1:])
-        return out
-
-    def span_hash(self, prefix: np.ndarray, start: np.ndarray, length) -> np.ndarray:
-        """Hashes of the word runs [start, start+length)."""
+    def _run(self, level: int) -> np.ndarray:
+        """Hashes of the runs of 2**level words, by first word."""
+        if level not in self._runs:
+            if not level:
+                self._runs[0] = self.hash
+            else:
+                half, step = self._run(level - 1), 1 << (level - 1)
+                self._runs[level] = mix(half[: max(len(half) - step, 0)] * _STEP + half[step:])
+        return self._runs[level]
+
+    def span_hash(self, start: np.ndarray, length) -> np.ndarray:
+        """Hashes of the word runs [start, start+length), length 1 or more: of two runs of 2**n words that cover each."""
+        out = np.empty(len(start), U)
         if not len(start):
-            return np.zeros(0, U)
-        length = np.asarray(length)
-        return mix((prefix[start + length] - prefix[start]) * powers(_GRAM_INV, len(self.hash) + 1)[start] + length.astype(U) * _BASE)
+            return out
+        length = np.asarray(length, np.int64)
+        level = np.frexp(length)[1] - 1
+        for n in np.unique(level).tolist():
+            run = self._run(n)
+            if not length.ndim:
+                out = run[start] if length == 1 << n else mix(run[start] * _STEP + run[start + (length - (1 << n))])
+            else:
+                m = level == n
+                head = start[m]
+                out[m] = np.where(length[m] == 1 << n, run[head], mix(run[head] * _STEP + run[head + (length[m] - (1 << n))]))
+        return mix(out + length.astype(U) * _ODD)
 
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
@@ -139,8 +156,7 @@ class Words:
 
 def shingle_sets(words: Words, k: int) -> list[np.ndarray]:
     """Per text: the sorted distinct hashes of its runs of k words; of the whole sequence if it has fewer, but not none."""
-    prefix = words.prefix()
-    grams = words.span_hash(prefix, np.flatnonzero(words.left() >= k), k)
+    grams = words.span_hash(np.flatnonzero(words.left() >= k), k)
     counts = words.counts
     at = np.concatenate([[0], np.cumsum(np.maximum(counts - k + 1, 0))])
     out = []
@@ -148,7 +164,7 @@ def shingle_sets(words: Words, k: int) -> list[np.ndarray]:
         if counts[d] >= k:
             out.append(np.unique(grams[at[d] : at[d + 1]]))
         elif counts[d]:
-            out.append(words.span_hash(prefix, words.offset[d : d + 1], counts[d : d + 1]))
+            out.append(words.span_hash(words.offset[d : d + 1], counts[d : d + 1]))
         else:
             out.append(np.zeros(0, U))
     return out

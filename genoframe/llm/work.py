@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: A side of a join is broadcast only if it has at most this many rows (and the rows are a few numbers wide).
-BROADCAST_ROWS = 2_000_000
+#: A side of a join is broadcast only if it has at most this many rows, and at most this many bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 32 << 20
 
-#: Rows of an Arrow batch at most.
-BATCH_ROWS = 1000
+#: Rows of an Arrow batch at most, and bytes from which on a batch is closed.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 _own: list[str] = []
 _tracked: list[list[Work]] = []
@@ -36,7 +37,9 @@ class Work:
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
-        # Bounds the bytes an Arrow batch holds, whatever the length of the texts.
+        # An Arrow batch ends at either limit; only a single longer text goes beyond the bytes.
+        # Results are lazy and read them when they run, so the session keeps them.
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         for works in _tracked:
@@ -51,7 +54,7 @@ class Work:
         out._work_path = path
         return out
 
-    def _delete(self, path: str) -> None:
+    def delete(self, path: str) -> None:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
@@ -59,11 +62,32 @@ class Work:
         """Delete a table that nothing reads any more."""
         path = getattr(df, "_work_path", None)
         if path:
-            self._delete(path)
+            self.delete(path)
 
     def close(self) -> None:
         """Delete all tables; what was made from them must have been written before."""
-        self._delete(self.root)
+        self.delete(self.root)
+
+
+def read_records(spark: SparkSession, log: str, schema: str) -> list:
+    """The commit records (one small row a commit) under ``log``, by number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return []
+    return spark.read.schema(schema).json(f"{log}/*.json").orderBy("n").collect()
+
+
+def write_record(spark: SparkSession, log: str, n: int, record: dict) -> None:
+    """Commit number ``n``: one small file that appears whole; raises if that number is taken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    made, named = hadoop(f"{log}-making-{n}"), hadoop(f"{log}/{n:012d}.json")
+    fs = made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(named.getParent())
+    out = fs.create(made, True)
+    out.write(bytearray(json.dumps(record).encode()))
+    out.close()
+    if fs.exists(named) or not fs.rename(made, named):
+        raise RuntimeError(f"commit {n} of {log} was made by someone else")
 
 
 @contextmanager
@@ -77,13 +101,16 @@ def tracked() -> Iterator[list[Work]]:
         _tracked.remove(works)
 
 
-def join_checked(left: DataFrame, right: DataFrame, on, how: str, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with ``right`` broadcast if it has at most ``limit`` rows, else a sort-merge join.
+def join_checked(left: DataFrame, right: DataFrame, on, how: str, weight: Column | None = None) -> DataFrame:
+    """Join with ``right`` broadcast if its rows and bytes are within the limits, else a sort-merge join.
 
-    ``right`` should be a saved table: it is counted here unless ``rows`` is given.
+    ``right`` should be a saved table: it is measured here.  ``weight`` is the
+    bytes of a row; by default eight for each column, which must be numbers.
     """
-    rows = right.count() if rows is None else rows
-    return left.join(F.broadcast(right) if rows <= limit else right.hint("merge"), on, how)
+    weight = F.lit(8 * len(right.columns)) if weight is None else weight
+    size = right.agg(F.count("*").alias("rows"), F.coalesce(F.sum(weight.cast("long")), F.lit(0)).alias("bytes")).first()
+    small = size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
+    return left.join(F.broadcast(right) if small else right.hint("merge"), on, how)
 
 
 def pack(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
 import re
 
-from genoframe.llm.near_dup import Tensored, near_duplicates
+import numpy as np
+import pyarrow as pa
+from genoframe.llm.graph import connected_components
+from genoframe.llm.near_dup import Tensored, _buckets, near_duplicates
+from genoframe.llm.work import Work
 
 
 def word_sets(rows, k):
@@ -48,7 +52,7 @@ def test_a_family_of_near_copies_and_a_chain(table):
     assert got == brute(rows, 2, 80)
 
 
-def test_all_pairs_of_a_bucket_are_met_after_the_star_rounds(table):
+def test_pairs_behind_a_common_core(table):
     shared = [f"s{i}" for i in range(200)]
     rows = []
     for i in range(40):  # all are nearly alike, but only 2j and 2j + 1 are alike enough
@@ -56,7 +60,73 @@ def test_all_pairs_of_a_bucket_are_met_after_the_star_rounds(table):
         rows.append((i, " ".join(shared + own)))
     want = brute(rows, 2, 80)
     assert len({r[2] for r in want}) == 20
-    assert {tuple(r) for r in near_duplicates(table(rows), k=2, star_pairs=0).collect()} == want
+    assert {tuple(r) for r in near_duplicates(table(rows), k=2).collect()} == want
+
+
+def test_many_pairs_share_a_core(table):
+    core = [f"c{i}" for i in range(70)]
+    rows = []
+    for i in range(1800):  # 900 pairs at 0.886; all others at 0.535
+        own = [f"p{i // 2}x{j}" for j in range(24)] + [f"o{i}x{j}" for j in range(6)]
+        rows.append((i, " ".join(core + own)))
+    got = near_duplicates(table(rows), k=2).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i // 2 * 2) for i in range(1800)}
+
+
+def test_outliers_of_a_large_group_are_met_with_all_its_members(table):
+    import random
+
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for j in rng.sample(range(120), rng.randint(2, 12)):
+            w[j] = f"e{rng.randrange(60)}"
+        rows.append((i, " ".join(w)))
+    for percent in (70, 80):
+        assert {tuple(r) for r in near_duplicates(table(rows), k=2, percent=percent).collect()} == brute(rows, 2, percent)
+
+
+def test_nothing_is_lost_where_every_document_meets_every_other(table, corpus):
+    one = Tensored(1, 1, 1, 1)  # links that the tables miss stay missed, those they find stay found
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(words[: 20 + i % 10])) for i in range(60)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(table(rows), k=1, shape=one).collect()}
+    assert set(got.values()) == {0}
+
+
+def test_words_that_collide_in_polynomial_hashes(table):
+    def thue_morse(n, a="a", b="b"):
+        return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+    rows = [(100 * n + i, f"{w} {w}x") for n in (1024, 2048, 4096) for i, w in enumerate((thue_morse(n), thue_morse(n, "b", "a")))]
+    rows += [(5 * n + i, " ".join(w)) for n in (1024, 2048, 4096) for i, w in enumerate((thue_morse(n, "c", "d"), thue_morse(n, "e", "f")))]
+    got = near_duplicates(table(rows), k=5).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, c) for i, _, c, _ in brute(rows, 5, 80)}
+    assert all(r.kept for r in got)
+
+
+def test_buckets_that_span_batches_and_partitions():
+    def run(keys, sids, cuts):
+        parts = np.split(np.arange(len(keys)), cuts)
+        batches = (pa.RecordBatch.from_arrays([pa.array(np.array(keys)[p]), pa.array(np.array(sids)[p])], names=["key", "sid"]) for p in parts)
+        return [tuple(r.values()) for b in _buckets(batches) for r in b.to_pylist()]
+
+    keys, sids = [1, 2, 2, 2, 3, 4, 4, 5], [9, 1, 2, 3, 7, 4, 5, 6]
+    for cuts in ([], [1], [2], [3], [1, 2, 3, 4, 5, 6, 7], [4, 4], [2, 6]):
+        got = run(keys, sids, cuts)
+        assert set(got) == {(1, 9, 9, True), (2, 1, 1, False), (2, 2, 1, False), (2, 3, 1, False), (4, 4, 4, False), (4, 5, 4, False), (5, 6, 6, True)}
+        assert len(got) == 7
+    for cuts in ([], [1], [2], [1, 2]):
+        assert set(run([8, 8, 8], [1, 2, 3], cuts)) == {(8, i, 1, True) for i in (1, 2, 3)}
+    assert run([8], [1], []) == [(8, 1, 1, True)] and run([], [], []) == []
+
+
+def test_components_of_a_hub_and_a_chain(spark):
+    edges = [(0, i) for i in range(1, 500)] + [(1000 + i, 1001 + i) for i in range(300)] + [(5, 5), (None, 3)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), Work(spark, "test")).collect()}
+    assert got == {i: 0 for i in range(500)} | {1000 + i: 1000 for i in range(301)}
 
 
 def test_small_tables_of_keys_still_give_only_true_links(table, corpus):
