@@ -1,17 +1,18 @@
 """Benchmark decontamination with a generalised suffix automaton of the normalised test items.
 
 The automaton (over word numbers) of a block of items is broadcast; items are
-put into blocks of bounded size, and the documents are streamed against each
-block, so the memory of a task does not grow with the benchmark.  A cheap exact
-filter goes first: an occurrence can only lie in a run of words whose
-neighbouring pairs all occur in items, and only such runs walk the automaton.
+put into blocks of bounded size, and the documents are streamed against one
+block at a time, each in a stage of its own, so the memory of a task follows
+the size of a block, not of the benchmark.  The driver reads the benchmark one
+partition at a time and holds one block.  A cheap filter by word hashes goes
+first: an occurrence can only lie in a run of words whose neighbouring pairs
+all occur in items.  Such runs walk the automaton, word by word as spelled.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,17 +123,18 @@ class Block:
 
     def __init__(self, items: list[tuple[object, str]], window: int):
         texts = pa.array([t for _, t in items], pa.string())
-        ids: dict[int, int] = {}
-        numbered, pairs, least = [], [], window
+        ids: dict[bytes, int] = {}  # by spelling
+        numbered, pairs, hashes = [], [], [np.zeros(0, U)]
         for _, _, data, offsets in chunks(texts):
             words = Words(data, offsets, ALNUM_LOWER)
             for d in range(words.n_docs):
                 h = words.hash[words.offset[d] : words.offset[d + 1]]
-                numbered.append([ids.setdefault(int(x), len(ids)) for x in h])
+                numbered.append([ids.setdefault(words.word(i).lower(), len(ids)) for i in range(words.offset[d], words.offset[d + 1])])
                 pairs.append(self.pair(h))
+                hashes.append(np.unique(h))
         self.automaton = SuffixAutomaton([(name, n) for (name, _), n in zip(items, numbered, strict=True)], window)
         self.ids = ids
-        self.words = np.sort(np.array(list(ids), U)) if ids else np.zeros(0, U)
+        self.words = np.unique(np.concatenate(hashes))
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, U)
 
     @staticmethod
@@ -164,7 +166,7 @@ class Block:
         long = end - start >= least
         now, spans, items = -1, [], set()
         for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True):
-            s, f = self.automaton.matches([self.ids[x] for x in words.hash[a:b].tolist()])
+            s, f = self.automaton.matches([self.ids.get(words.word(i).lower(), -1) for i in range(a, b)])  # -1: in no item
             if not s:
                 continue
             d = int(np.searchsorted(words.offset, a, side="right")) - 1
@@ -230,16 +232,24 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int =
 
     The spans are arrays starts and ends, sorted and apart; items are item_ids as strings, sorted.
     """
-    spark = docs.sparkSession
-    Work(spark, "decontam")
+    work = Work(docs.sparkSession, "decontam")
+    context = docs.sparkSession.sparkContext
     longs = T.ArrayType(T.LongType())
     kinds = zip(MADE, (T.LongType(), longs, longs, T.ArrayType(T.StringType())), strict=True)
     shape = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in kinds)])
-    out = None
+    out = sent = None
     for block in blocks(items, window, block_words):  # each adds its spans to those found so far
-        sent = spark.sparkContext.broadcast(block)
-        out = docs.mapInArrow(lean(_hits(sent)), shape) if out is None else out.mapInArrow(lean(_more(sent)), shape)
-    return docs.mapInArrow(_hits(spark.sparkContext.broadcast(Block([], window))), shape) if out is None else out
+        if out is None:
+            sent = context.broadcast(block)
+            out = docs.mapInArrow(lean(_hits(sent)), shape)
+            continue
+        before, out = out, work.save(out, "hits")
+        work.drop(before)
+        sent.unpersist()  # the block before is done with
+        sent = context.broadcast(block)
+        kept, out = out, out.mapInArrow(lean(_more(sent)), shape)
+        out._work_path = kept._work_path
+    return docs.mapInArrow(_hits(context.broadcast(Block([], window))), shape) if out is None else out
 
 
 def _more(shared):

@@ -44,6 +44,22 @@ def test_equals_brute_force(spark, table, corpus):
         assert got(decontam.scan(table(rows), items, block_words=block)) == want
 
 
+def test_one_block_a_stage(spark, table, corpus):
+    items = spark.createDataFrame([(i, t) for i, t in corpus if t], "item_id long, text string")
+    plan = decontam.scan(table(corpus), items, block_words=400)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FileScan parquet" in plan
+
+
+def test_words_that_collide_in_polynomial_hashes(spark, table):
+    def thue_morse(n, a="a", b="b"):
+        return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+    items = spark.createDataFrame([(n, thue_morse(n)) for n in (1024, 2048, 4096)] + [(9, " ".join(thue_morse(1024)))], "item_id long, text string")
+    rows = [(n, thue_morse(n, "b", "a")) for n in (1024, 2048, 4096)] + [(5, f"x {thue_morse(2048)} y"), (6, " ".join(thue_morse(1024, "c", "d")))]
+    assert got(decontam.scan(table(rows), items)) == brute(rows, [tuple(r) for r in items.collect()])
+    assert got(decontam.scan(table(rows), items))[5] == (3, 1, ["2048"])
+
+
 def test_spans_go(spark, table):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     out = {r.doc_id: (r.text, r.n_hit, r.rejected) for r in decontam.decontaminate(table(ROWS), items, max_coverage=0.9).collect()}
