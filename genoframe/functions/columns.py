@@ -60,7 +60,7 @@ def z_tier(signal: ColumnLike, z: ColumnLike) -> Column:
     return F.when(col(signal) <= 0, silent).when(col(z) > 1.64, high).when(col(z) > 1, moderate).otherwise(lower)
 
 
-def powerlaw_expected(distance: ColumnLike, scale: ColumnLike, gamma: ColumnLike, minimum: int) -> Column:
+def powerlaw_expected(distance: ColumnLike, scale: ColumnLike, gamma: ColumnLike, minimum: int | Column) -> Column:
     return col(scale) * F.pow(F.greatest(col(distance), F.lit(minimum)).cast("double"), col(gamma))
 
 

@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import activity_state, distance_class, geometric_mean, normalized_cpm, posterior_high, z_tier
+from ..functions.columns import activity_state, distance_class, gaussian_log_density, geometric_mean, normalized_cpm, posterior_high, z_tier
+from .contacts import settled
+from .intervals import covered_bases, nearest
 
-#: Guards of a mixture: values, rise of the BIC, Ashman's D, weight of the smaller component.
+# Guards of a mixture (values, rise of the BIC, Ashman's D, weight of the smaller component), the quantiles
+# where a fit starts, its limits, and the reasons as the published tables spell them.
 MIN_N, MIN_DELTA_BIC, MIN_D, MIN_WEIGHT = 200, 10.0, 2.0, 0.10
+STARTS = ((0.2, 0.8), (0.25, 0.75), (1 / 3, 2 / 3))
+STEPS, TOLERANCE = 500, 1e-10
+REASONS = (
+    "insufficient_positive_members",
+    "zero_variance",
+    "delta_bic_below_10",
+    "ashman_d_below_2",
+    "minor_component_below_0.10",
+    "no_unique_posterior_crossing_between_means",
+)
 
 MIXTURE = (
     "context string, positive_member_n long, mixture_supported boolean, support_reason string, bic_one_component double, bic_two_component double, delta_bic double, low_mean double, high_mean double, "
-    "low_variance double, high_variance double, low_weight double, high_weight double, ashman_d double, posterior_crossing double"
+    "low_variance double, high_variance double, low_sd double, high_sd double, low_weight double, high_weight double, ashman_d double, posterior_crossing double, crossing_signal double"
 )
 
 
@@ -45,81 +60,112 @@ def log_zscores(df: DataFrame, value: str = "signal", by: tuple[str, ...] = ("co
     return x.join(moments, list(by)).withColumn("z", z).withColumn("tier", z_tier(value, "z")).drop("__mean", "__sd")
 
 
-def _density(x: np.ndarray, mean: np.ndarray, variance: np.ndarray) -> np.ndarray:
+def _density(x: np.ndarray, mean: float, variance: float) -> np.ndarray:
     return -0.5 * (np.log(2 * np.pi * variance) + (x - mean) ** 2 / variance)
 
 
-def fit_two(x: np.ndarray, steps: int = 500, tolerance: float = 1e-10) -> dict[str, float]:
-    """Expectation maximisation for two Gaussians from three starts; the likelihood is that before the last update."""
-    variance = x.var()
+@dataclass(frozen=True)
+class Mixture:
+    """Two Gaussians: the weight, mean and variance of each."""
+
+    weight: tuple[float, float]
+    mean: tuple[float, float]
+    variance: tuple[float, float]
+
+    def expectation(self, x: np.ndarray, block: int = 1 << 16) -> tuple[float, np.ndarray]:
+        """Log-likelihood, and for each component the sums of its shares, of share times x and of share times x squared.
+
+        Shares are worked out a block of values at a time, so only the values themselves grow with the data.
+        """
+        likelihood, sums = 0.0, np.zeros((2, 3))
+        for at in range(0, len(x), block):
+            v = x[at : at + block]
+            log_odds = self.log_odds(v)
+            low = np.log(self.weight[0]) + _density(v, self.mean[0], self.variance[0])
+            likelihood += float((low + np.logaddexp(0, log_odds)).sum())
+            high = 1 / (1 + np.exp(-np.clip(log_odds, -700, 700)))
+            for c, share in enumerate((1 - high, high)):
+                sums[c] += share.sum(), share @ v, share @ (v * v)
+        return likelihood, sums
+
+    def maximised(self, sums: np.ndarray, floor: float) -> Mixture:
+        """The mixture that the sums stand for."""
+        n, first, second = sums.T
+        mean = first / n
+        variance = np.maximum(second / n - mean**2, floor)
+        return Mixture(tuple(n / n.sum()), tuple(mean), tuple(variance))
+
+    def log_odds(self, x):
+        """Log-odds of the second component."""
+        a, b = (np.log(self.weight[c]) + _density(x, self.mean[c], self.variance[c]) for c in (0, 1))
+        return b - a
+
+    def ordered(self) -> Mixture:
+        """The component of the lower mean first."""
+        if self.mean[0] <= self.mean[1]:
+            return self
+        return Mixture(self.weight[::-1], self.mean[::-1], self.variance[::-1])
+
+    def crossing(self) -> float | None:
+        """Where the log-odds, a quadratic in x, are 0 between the means, if that is in one place."""
+        (m, n), (v, w) = self.mean, self.variance
+        if not m < n:
+            return None
+        a = 1 / (2 * v) - 1 / (2 * w)
+        b = n / w - m / v
+        c = np.log(self.weight[1] / self.weight[0]) + np.log(v / w) / 2 + m * m / (2 * v) - n * n / (2 * w)
+        if abs(a) * (n - m) < 1e-12 * abs(b):
+            roots = [-c / b]
+        else:
+            inside = b * b - 4 * a * c
+            if inside <= 0:
+                return None
+            q = -(b + np.copysign(np.sqrt(inside), b)) / 2
+            roots = [q / a, c / q]
+        between = [float(r) for r in roots if m <= r <= n]
+        return between[0] if len(between) == 1 else None
+
+
+def fit_two(x: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[float, Mixture]:
+    """The likeliest mixture of three starts, and its log-likelihood (that before the last step)."""
+    variance = float(x.var())
     floor = max(variance * 1e-6, 1e-8)
-    best: dict[str, float] = {}
-    for start in ((0.2, 0.8), (0.25, 0.75), (1 / 3, 2 / 3)):
-        mean, var, weight, before = np.quantile(x, start), np.full(2, max(variance, floor)), np.full(2, 0.5), -np.inf
+    fits = []
+    for start in STARTS:
+        now = Mixture((0.5, 0.5), tuple(np.quantile(x, start)), (max(variance, floor),) * 2)
+        was = likelihood = -np.inf
         for _ in range(steps):
-            logs = np.log(weight) + _density(x[:, None], mean, var)
-            top = logs.max(1)
-            part = np.exp(logs - top[:, None])
-            likelihood = float((top + np.log(part.sum(1))).sum())
-            part /= part.sum(1, keepdims=True)
-            total = part.sum(0)
-            if (total <= 1e-8).any():
+            likelihood, sums = now.expectation(x)
+            if (sums[:, 0] <= 1e-8).any():
                 break
-            mean = part.T @ x / total
-            var = np.maximum(part.T @ (x * x) / total - mean**2, floor)
-            weight = total / len(x)
-            if np.isfinite(before) and likelihood - before <= tolerance * (1 + abs(likelihood)):
+            now = now.maximised(sums, floor)
+            if likelihood - was <= tolerance * (1 + abs(likelihood)):
                 break
-            before = likelihood
-        if not best or likelihood > best["likelihood"]:
-            lo, hi = np.argsort(mean, kind="stable")
-            best = {"likelihood": likelihood, "low_mean": mean[lo], "high_mean": mean[hi], "low_variance": var[lo], "high_variance": var[hi], "low_weight": weight[lo], "high_weight": weight[hi]}
-    return best
-
-
-def _posterior(x, f: dict[str, float]):
-    a, b = (np.log(f[f"{c}_weight"]) + _density(np.asarray(x, float), f[f"{c}_mean"], f[f"{c}_variance"]) for c in ("low", "high"))
-    return 1 / (1 + np.exp(np.clip(a - b, -700, 700)))
-
-
-def crossing(f: dict[str, float]) -> float | None:
-    """Where the posterior passes one half between the means, if it does so once."""
-    if not f["low_mean"] < f["high_mean"]:
-        return None
-    grid = f["low_mean"] + (f["high_mean"] - f["low_mean"]) * np.arange(1001) / 1000
-    side = np.sign(_posterior(grid, f) - 0.5)
-    found = [(grid[i], grid[i]) for i in np.flatnonzero(side == 0)] + [(grid[i], grid[i + 1]) for i in np.flatnonzero(side[:-1] * side[1:] < 0)]
-    if len(found) != 1:
-        return None
-    lo, hi = found[0]
-    for _ in range(80):
-        middle = (lo + hi) / 2
-        lo, hi = (lo, middle) if _posterior(middle, f) >= 0.5 else (middle, hi)
-    return float((lo + hi) / 2)
+            was = likelihood
+        fits.append((likelihood, now.ordered()))
+    return max(fits, key=lambda f: f[0])
 
 
 def guarded_mixture(x: np.ndarray) -> dict:
     """Fit and guards for the finite values of one context."""
+    few, flat, *guards = REASONS
     x = np.sort(x[np.isfinite(x)])
     n = len(x)
-    out = dict.fromkeys(c.split()[0] for c in MIXTURE.split(", "))
-    out |= {"positive_member_n": n, "mixture_supported": False, "support_reason": "insufficient_positive_members"}
+    out = dict.fromkeys(c.split()[0] for c in MIXTURE.split(", ")) | {"positive_member_n": n, "mixture_supported": False}
     if n < MIN_N:
-        return out
-    variance = x.var()
-    if variance <= 1e-12:
-        return out | {"support_reason": "zero_variance"}
-    f = fit_two(x)
-    one, two = 2 * np.log(n) - 2 * _density(x, x.mean(), variance).sum(), 5 * np.log(n) - 2 * f["likelihood"]
-    d = np.sqrt(2) * (f["high_mean"] - f["low_mean"]) / np.sqrt(f["low_variance"] + f["high_variance"])
-    at = crossing(f)
-    failed = [
-        ("delta_bic_below_10", one - two < MIN_DELTA_BIC), ("ashman_d_below_2", d < MIN_D),
-        ("minor_component_below_0.10", min(f["low_weight"], f["high_weight"]) < MIN_WEIGHT), ("no_unique_posterior_crossing_between_means", at is None),
-    ]
-    reasons = [name for name, bad in failed if bad]
-    f.pop("likelihood")
-    return out | f | {"mixture_supported": not reasons, "support_reason": ";".join(reasons) or "supported", "bic_one_component": one, "bic_two_component": two, "delta_bic": one - two, "ashman_d": d, "posterior_crossing": at}
+        return out | {"support_reason": few}
+    if x.var() <= 1e-12:
+        return out | {"support_reason": flat}
+    likelihood, fit = fit_two(x)
+    one, two = 2 * np.log(n) - 2 * _density(x, x.mean(), x.var()).sum(), 5 * np.log(n) - 2 * likelihood
+    d = np.sqrt(2) * (fit.mean[1] - fit.mean[0]) / np.sqrt(sum(fit.variance))
+    at = fit.crossing()
+    failed = [one - two < MIN_DELTA_BIC, d < MIN_D, min(fit.weight) < MIN_WEIGHT, at is None]
+    reasons = [name for name, bad in zip(guards, failed, strict=True) if bad]
+    for c, name in enumerate(("low", "high")):
+        out |= {f"{name}_mean": fit.mean[c], f"{name}_variance": fit.variance[c], f"{name}_sd": np.sqrt(fit.variance[c]), f"{name}_weight": fit.weight[c]}
+    out |= {"mixture_supported": not reasons, "support_reason": ";".join(reasons) or "supported", "bic_one_component": one, "bic_two_component": two, "delta_bic": one - two, "ashman_d": d}
+    return out | {"posterior_crossing": at, "crossing_signal": None if at is None else 10.0**at}
 
 
 def fit_mixtures(values: DataFrame, value: str = "log10_signal") -> DataFrame:
@@ -141,11 +187,13 @@ def build_catalog(signal: DataFrame, membership: DataFrame, nearest: DataFrame,
 
     ``signal``: id, context, max_signal; ``membership``: id, context of
     members; ``nearest``: id, distance; ``activity``: id, context, atac_mean;
-    ``covered``: id, covered_bp of a blacklist.  Mixtures are a small table.
+    ``covered``: id, covered_bp of a blacklist.  Mixtures have one row a
+    context.  The signal is written once, to the checkpoint folder.
     """
+    signal = settled(signal)
     x = log_zscores(signal, "max_signal").join(membership.select("id", "context", F.lit(True).alias("m")), ["id", "context"], "left").withColumn("member", F.coalesce("m", F.lit(False))).drop("m")
     x = x.join(nearest.select("id", "distance"), "id", "left").join(activity.select("id", "context", "atac_mean"), ["id", "context"], "left")
-    x = x.join(F.broadcast(mixtures), "context", "left").withColumn("posterior", F.when(F.col("member") & (F.col("max_signal") > 0), posterior()))
+    x = x.join(mixtures, "context", "left").withColumn("posterior", F.when(F.col("member") & (F.col("max_signal") > 0), posterior()))
     if covered is not None:
         x = x.join(covered.select("id", "covered_bp"), "id", "left")
     else:
@@ -156,6 +204,85 @@ def build_catalog(signal: DataFrame, membership: DataFrame, nearest: DataFrame,
     )
 
 
+# The windows, the fields of the long and of the wide catalog, the components, as the published tables name them.
+WINDOWS = ("left_500", "center_500", "right_500")
+CATALOG_FIELDS = (
+    "master_dhs_id", "chrom", "start", "end", "summit", "width_bp", "blacklist_overlap", "blacklist_overlap_bp", "blacklist_overlap_fraction", "context", "context_membership", "nearest_tss_distance_bp", "nearest_tss_ids", "regulatory_class",
+    "atac_normalized_cpm_per_kb", "h3k27ac_library_n", "h3k27ac_library_ids",
+    *(f"h3k27ac_{w}_{f}" for w in WINDOWS for f in ("width_bp", "raw_count_sum", "cpm_per_kb", "normalized_cpm_per_kb")),
+    "h3k27ac_max_500_normalized_cpm_per_kb", "h3k27ac_max_500_window", "h3k27ac_mean_1500_normalized_cpm_per_kb", "h3k27ac_log10_z", "h3k27ac_z_tier", "mixture_supported", "mixture_guardrail_warning", "mixture_guardrail_failures",
+    "mixture_high_posterior_probability", "mixture_high_posterior", "mixture_component", "activity_state", "combined_activity_max_500",
+)
+WIDE_FIELDS = (
+    "context_membership", "atac_normalized_cpm_per_kb", "h3k27ac_max_500_normalized_cpm_per_kb", "h3k27ac_max_500_window", "h3k27ac_log10_z", "mixture_component", "mixture_high_posterior_probability", "mixture_supported", "mixture_guardrail_warning",
+    "mixture_guardrail_failures", "combined_activity_max_500",
+)
+STATIC_FIELDS = CATALOG_FIELDS[:9] + CATALOG_FIELDS[11:14]
+
+
+@dataclass
+class RegulatoryCatalog:
+    """The long catalog (element x context), the wide one (a row for each element), the mixtures and the summary counts."""
+
+    long: DataFrame
+    wide: DataFrame
+    mixtures: DataFrame
+    summary: DataFrame
+
+
+def regulatory_catalog(elements: DataFrame, windows: DataFrame, membership: DataFrame, sites: DataFrame, blacklist: DataFrame, activity: DataFrame, contexts: list[str]) -> RegulatoryCatalog:
+    """From window counts to the published catalog, with mixtures fitted to the members' own signal.
+
+    ``elements``: id, chrom, start, end, summit; ``windows``: id, context,
+    library, window, width_bp, raw_count, total_units, effective (every window
+    in every library); ``membership``: id, context of members; ``sites``:
+    chrom, pos, name; ``blacklist``: chrom, start, end; ``activity``: id,
+    context, atac.  The signal is written once, to the checkpoint folder.
+    """
+    plain, value = (normalized_cpm("raw_count", c, "width_bp") for c in ("total_units", "effective"))
+    per = windows.groupBy("id", "context", "window", "width_bp").agg(F.sum("raw_count").alias("raw"), F.avg(plain).alias("cpm"), F.avg(value).alias("mean"))
+    order = F.when(F.col("window") == "center_500", 0).when(F.col("window") == "left_500", -1).otherwise(-2)
+    has = F.col("mean").isNotNull()
+    parts = {"width_bp": "width_bp", "raw_count_sum": "raw", "cpm_per_kb": "cpm", "normalized_cpm_per_kb": "mean"}
+    signal = per.groupBy("id", "context").agg(
+        *[F.max(F.when(F.col("window") == w, F.col(c))).alias(f"h3k27ac_{w}_{f}") for w in WINDOWS for f, c in parts.items()],
+        F.max("mean").alias("signal"), F.max_by("window", F.when(has, F.struct("mean", order.alias("o")))).alias("h3k27ac_max_500_window"),
+        (F.sum(F.when(has, F.col("mean") * F.col("width_bp"))) / F.sum(F.when(has, F.col("width_bp")))).alias("h3k27ac_mean_1500_normalized_cpm_per_kb"),
+    )
+    members = membership.select("id", "context", F.lit(True).alias("member")).distinct()
+    signal = settled(log_zscores(settled(signal)).join(members, ["id", "context"], "left").withColumn("member", F.coalesce("member", F.lit(False))))
+    mixtures = settled(fit_mixtures(signal.where("member and signal > 0").select("context", "log10_signal")))
+    # A context without positive members has no row of its own.
+    none = signal.select("context").distinct().join(mixtures, "context", "left")
+    mixtures = none.withColumn("positive_member_n", F.coalesce("positive_member_n", F.lit(0))).withColumn("mixture_supported", F.coalesce("mixture_supported", F.lit(False))).withColumn("support_reason", F.coalesce("support_reason", F.lit(REASONS[0])))
+    names = windows.select("context", "library").distinct().groupBy("context").agg(F.count("*").cast("int").alias("h3k27ac_library_n"), F.array_join(F.array_sort(F.collect_list("library")), ";").alias("h3k27ac_library_ids"))
+    near = nearest(elements.select("id", "chrom", F.col("summit").alias("pos")), sites).select("id", F.col("distance").alias("nearest_tss_distance_bp"), F.array_join("names", ";").alias("nearest_tss_ids"))
+    covered = covered_bases(elements, blacklist).select("id", "chrom", "start", "end", "summit", F.col("covered_bp").alias("blacklist_overlap_bp"), F.col("covered_fraction").alias("blacklist_overlap_fraction"))
+    x = signal.join(covered.join(near, "id"), "id").join(activity.select("id", "context", "atac"), ["id", "context"]).join(names, "context").join(mixtures, "context")
+    x = x.withColumn("p", F.when(F.col("member") & (F.col("signal") > 0), posterior()))
+    component = F.when(F.col("p") >= 0.5, "high").when(F.col("p").isNotNull(), "low").otherwise("not_applicable")
+    long = x.withColumns(
+        {
+            "master_dhs_id": F.col("id"), "width_bp": F.col("end") - F.col("start"), "blacklist_overlap": (F.col("blacklist_overlap_bp") > 0).cast("int"), "context_membership": F.col("member").cast("int"), "regulatory_class": distance_class("nearest_tss_distance_bp"),
+            "atac_normalized_cpm_per_kb": F.col("atac"), "h3k27ac_max_500_normalized_cpm_per_kb": F.col("signal"), "h3k27ac_log10_z": F.col("z"), "h3k27ac_z_tier": F.col("tier"), "mixture_guardrail_warning": (~F.col("mixture_supported")).cast("int"),
+            "mixture_guardrail_failures": F.when(F.col("mixture_supported"), "").otherwise(F.col("support_reason")), "mixture_high_posterior_probability": F.col("p"), "mixture_high_posterior": (F.col("p") >= 0.5).cast("int"), "mixture_component": component,
+            "activity_state": activity_state("member", "signal", "p"), "combined_activity_max_500": geometric_mean("atac", "signal"),
+        }
+    ).withColumn("mixture_supported", F.col("mixture_supported").cast("int")).select(*CATALOG_FIELDS)
+    wide = long.groupBy(*STATIC_FIELDS).agg(*[F.max(F.when(F.col("context") == c, F.col(f))).alias(f"{c}__{f}") for c in contexts for f in WIDE_FIELDS])
+    summary = long.groupBy("context", "regulatory_class", "mixture_component", "mixture_supported", F.col("mixture_guardrail_failures").alias("guardrail_failures")).agg(F.count("*").alias("element_n"))
+    return RegulatoryCatalog(long, wide, mixtures, summary)
+
+
+def component_densities(mixtures: DataFrame, limits: DataFrame, points: int = 240, by: tuple[str, ...] = ("context",)) -> DataFrame:
+    """(by, x, low, high, total): weighted densities of both components on a grid between lower and upper, for contexts with a fit."""
+    x = mixtures.where("low_mean is not null").join(limits, list(by))
+    step = (F.col("upper") - F.col("lower")) / (points - 1)
+    grid = x.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", F.col("lower") + F.col("at") * step)
+    part = lambda c: F.col(f"{c}_weight") * F.exp(gaussian_log_density("x", f"{c}_mean", f"{c}_variance"))
+    return grid.select(*by, "at", "x", part("low").alias("low"), part("high").alias("high"), (part("low") + part("high")).alias("total"))
+
+
 def catalog_summary(catalog: DataFrame, keys: tuple[str, ...] = ("context", "regulatory_class", "state", "tier", "supported")) -> DataFrame:
     return catalog.groupBy(*keys).agg(F.count("*").alias("elements"))
 

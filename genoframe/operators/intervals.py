@@ -222,10 +222,19 @@ def midpoint_counts(units: DataFrame, bins: DataFrame, width: int = 10_000) -> D
     return bins.join(mid, ["chrom", "start"], "left").select("bin_id", "chrom", "start", "end", F.coalesce("c", F.lit(0)).alias("raw_count"))
 
 
-def validate_intervals(df: DataFrame, sizes: DataFrame | None = None, sequence: str = "id", key: str = "id") -> DataFrame:
-    """(key, violation) rows: empty, unsorted, overlapping, repeated key, summit outside, beyond the chromosome."""
-    order = Window.partitionBy("chrom").orderBy(sequence)
-    seen = df.withColumn("ps", F.lag("start").over(order)).withColumn("pe", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("copies", F.count("*").over(Window.partitionBy(key)))
+def validate_intervals(df: DataFrame, sizes: DataFrame | None = None, sequence: str = "id", key: str = "id", tile: int = TILE) -> DataFrame:
+    """(key, violation) rows: empty, unsorted, overlapping, repeated key, summit outside, beyond the chromosome.
+
+    ``sequence`` is the number of a row in its table; tiles of rows carry the
+    last start and the furthest end on to those after them.
+    """
+    x = df.withColumn("__tile", _tile(F.col(sequence).cast("long"), tile))
+    tiles = Window.partitionBy("chrom").orderBy("__tile").rowsBetween(Window.unboundedPreceding, -1)
+    ends = x.groupBy("chrom", "__tile").agg(F.max_by("start", sequence).alias("last"), F.max("end").alias("top"))
+    carried = ends.select("chrom", "__tile", F.last("last").over(tiles).alias("__last"), F.max("top").over(tiles).alias("__top"))
+    order = Window.partitionBy("chrom", "__tile").orderBy(sequence)
+    top = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    seen = x.join(carried, ["chrom", "__tile"]).withColumn("ps", F.coalesce(F.lag("start").over(order), "__last")).withColumn("pe", F.greatest(top, "__top")).withColumn("copies", F.count("*").over(Window.partitionBy(key)))
     checks = [("empty_interval", F.col("end") <= F.col("start")), ("negative_start", F.col("start") < 0), ("unsorted", F.col("start") < F.col("ps")), ("overlaps_previous", F.col("start") < F.col("pe")), ("duplicate_id", F.col("copies") > 1)]
     if "summit" in df.columns:
         checks.append(("summit_outside", (F.col("summit") < F.col("start")) | (F.col("summit") >= F.col("end"))))
@@ -251,10 +260,14 @@ def plateau_summit(peaks: DataFrame, segments: DataFrame, width: int = 1024) ->
     return peaks.join(best, "id", "left").select("id", "chrom", "start", "end", F.coalesce("b.summit", F.expr("(start + end - 1) div 2")).alias("summit"), F.col("b.top").cast("double").alias("signal"), F.col("b").isNull().alias("fallback"))
 
 
-def adjacent_clip(masters: DataFrame) -> DataFrame:
+def adjacent_clip(masters: DataFrame, tile: int = TILE) -> DataFrame:
     """Cut overlapping neighbours (in summit order) at (left summit + right summit + 1)//2; each border only touches its two."""
-    order = Window.partitionBy("chrom").orderBy("summit", "start", "end")
-    x = masters.select("*", *[f(c).over(order).alias(f"{n}_{c}") for n, f in (("p", F.lag), ("n", F.lead)) for c in ("summit", "start", "end")])
+    place = masters.withColumn("__place", F.struct("summit", "start", "end")).withColumn("__tile", _tile(F.col("summit"), tile))
+    tiles, within = Window.partitionBy("chrom").orderBy("__tile"), Window.partitionBy("chrom", "__tile").orderBy("__place")
+    ends = place.groupBy("chrom", "__tile").agg(F.min("__place").alias("lo"), F.max("__place").alias("hi"))
+    carried = ends.select("chrom", "__tile", F.lag("hi").over(tiles).alias("__before"), F.lead("lo").over(tiles).alias("__after"))
+    x = place.join(carried, ["chrom", "__tile"]).withColumn("p", F.coalesce(F.lag("__place").over(within), "__before")).withColumn("n", F.coalesce(F.lead("__place").over(within), "__after"))
+    x = x.select(*masters.columns, *[F.col(f"{n}.{c}").alias(f"{n}_{c}") for n in "pn" for c in ("summit", "start", "end")])
     right = F.expr("(summit + n_summit + 1) div 2")
     left = F.expr("(p_summit + summit + 1) div 2")
     out = x.withColumn("end2", F.when(F.col("end") > F.col("n_start"), F.least("end", right)).otherwise(F.col("end")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from ..functions.columns import cpm_per_kb, gaussian_log_density, geometric_mean, normalized_cpm, posterior_high, powerlaw_expected
 from ..operators import catalog as ct, intervals as iv, quantify as qt, refine as rf, registry as rg
@@ -176,10 +176,109 @@ def histogram(spark, d):
     return ct.density_histogram(v, limits, 70).withColumn("left", F.round("left", 6))
 
 
-@query("guarded_mixture")
+#: Expectation and maximisation as a recursion over one row for each start and context, with sums over the values.
+_EM = f"""{{values}}, vm AS (SELECT context, count(*) AS n, var_pop(x) AS v, avg(x) AS m, quantile_cont(x, [0.2, 0.8, 0.25, 0.75, 1 / 3, 2 / 3]) AS q FROM vals GROUP BY 1),
+em(context, start, k, m0, m1, v0, v1, w0, w1, ll, stop) AS (SELECT context, s, 0, q[2 * s + 1], q[2 * s + 2], greatest(v, 1e-8), greatest(v, 1e-8), CAST(0.5 AS DOUBLE), CAST(0.5 AS DOUBLE), CAST('-infinity' AS DOUBLE), false FROM vm, (VALUES (0), (1), (2)) t(s)
+UNION ALL SELECT p.context, p.start, p.k + 1, s1, t1, greatest(s2 / s0 - s1 * s1, greatest(any_v * 1e-6, 1e-8)), greatest(t2 / t0 - t1 * t1, greatest(any_v * 1e-6, 1e-8)), s0 / n, t0 / n, l, l - p.ll <= 1e-10 * (1 + abs(l)) FROM (
+SELECT context, start, k, ll, any_value(v) AS any_v, count(*) AS n, sum(1 - h) AS s0, sum((1 - h) * x) / sum(1 - h) AS s1, sum((1 - h) * x * x) AS s2, sum(h) AS t0, sum(h * x) / sum(h) AS t1, sum(h * x * x) AS t2, sum(greatest(a, b) + ln(1 + exp(-abs(a - b)))) AS l FROM (
+SELECT *, 1 / (1 + exp(least(greatest(a - b, -700), 700))) AS h FROM (SELECT e.context, e.start, e.k, e.ll, vm.v, x.x, ln(w0) + {_LOGD.format(v='v0', x='x.x', m='m0')} AS a, ln(w1) + {_LOGD.format(v='v1', x='x.x', m='m1')} AS b FROM em e JOIN vals x ON x.context = e.context JOIN vm ON vm.context = e.context WHERE NOT e.stop AND e.k < 500)) GROUP BY context, start, k, ll) p),
+fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY context ORDER BY ll DESC, start) AS r FROM (SELECT *, row_number() OVER (PARTITION BY context, start ORDER BY k DESC) AS z FROM em) WHERE z = 1) WHERE r = 1),
+fit AS (SELECT context, ll, least(m0, m1) AS ml, greatest(m0, m1) AS mh, CASE WHEN m0 <= m1 THEN v0 ELSE v1 END AS vl, CASE WHEN m0 <= m1 THEN v1 ELSE v0 END AS vh, CASE WHEN m0 <= m1 THEN w0 ELSE w1 END AS wl, CASE WHEN m0 <= m1 THEN w1 ELSE w0 END AS wh FROM fin),
+one AS (SELECT context, sum({_LOGD.format(v='vm.v', x='x.x', m='vm.m')}) AS l1 FROM vals x JOIN vm USING (context) GROUP BY 1),
+gd AS (SELECT *, 2 * ln(n) - 2 * l1 AS bic1, 5 * ln(n) - 2 * ll AS bic2, sqrt(2) * (mh - ml) / sqrt(vl + vh) AS d FROM fit JOIN vm USING (context) JOIN one USING (context))"""
+
+
+def _em(values: str) -> str:
+    """The recursion over ``vals`` (context, x), after the common table expressions ``values``."""
+    return _EM.replace("{values}", values)
+
+
+@query("guarded_mixture", f"""WITH RECURSIVE {_em(WINDOW_SIGNAL + ", vals AS (SELECT context, log10(max_signal) AS x FROM ws WHERE max_signal > 0)")}
+SELECT context, n AS positive_member_n, round(bic1, 2) AS bic_one_component, round(bic2, 2) AS bic_two_component, round(ml, 3) AS low_mean, round(mh, 3) AS high_mean, round(sqrt(vl), 3) AS low_sd, round(sqrt(vh), 3) AS high_sd, round(wl, 3) AS low_weight, round(wh, 3) AS high_weight, round(d, 3) AS ashman_d FROM gd""")
 def mixture(spark, d):
     s = window_signal(spark, d).where("max_signal > 0").select("context", F.log10("max_signal").alias("log10_signal"))
-    return ct.fit_mixtures(s)
+    digits = {"bic_one_component": 2, "bic_two_component": 2} | dict.fromkeys(("low_mean", "high_mean", "low_sd", "high_sd", "low_weight", "high_weight", "ashman_d"), 3)
+    return ct.fit_mixtures(s).select("context", "positive_member_n", *[F.round(c, n).alias(c) for c, n in digits.items()])
+
+
+def _regulatory(spark, d):
+    e, u = a.elements(spark, d), a.units(spark, d)
+    w = iv.summit_windows(e, a.sizes(spark)).withColumn("key", F.concat_ws(":", "id", "window"))
+    h = u.where("assay = 'h3k27ac'")
+    libraries = h.groupBy("library", "context").agg(F.count("*").alias("total_units")).withColumn("effective", F.expr("total_units * case when library < 'lib2' then 1.25D else 0.8D end"))
+    windows = w.crossJoin(libraries).join(iv.count_overlaps(w, h, 512, key="key", by=("library",)), ["key", "library"], "left").withColumn("raw_count", F.coalesce("raw_count", F.lit(0)))
+    members = e.select("id", F.explode(F.array(F.struct(F.lit("F").alias("context"), F.lit(0).alias("k")), F.struct(F.lit("O").alias("context"), F.lit(1).alias("k")))).alias("c")).select("id", "c.*").where("(id + k) % 3 <> 0")
+    blacklist = a.table(spark, d, "supplier").selectExpr("concat('chr', s_suppkey % 3) as chrom", "s_suppkey * 500 as start", "s_suppkey * 500 + 120 as `end`")
+    act = activity(spark, d).select("id", "context", F.col("atac_mean").alias("atac"))
+    return ct.regulatory_catalog(e, windows, members, a.sites(spark, d), blacklist, act, a.CONTEXTS)
+
+
+#: The catalog with its own fits.  Posteriors of different sums differ in the last digits of a fit, so they are compared to three.
+_REGULATORY = _em(f"""{ACTIVITY}, {WINDOWS}, {a.SITES}, bk AS (SELECT 'chr' || (s_suppkey % 3) AS chrom, s_suppkey * 500 AS s, s_suppkey * 500 + 120 AS e FROM supplier), h AS (SELECT * FROM units WHERE assay = 'h3k27ac'),
+hl AS (SELECT library, context, count(*) AS total, count(*) * CASE WHEN library < 'lib2' THEN 1.25 ELSE 0.8 END AS effective FROM h GROUP BY 1, 2), hn AS (SELECT context, count(*) AS k, string_agg(library, ';' ORDER BY library) AS ids FROM hl GROUP BY 1),
+wc AS (SELECT w.id, w."window", h.library, count(*) AS n FROM win w JOIN h ON h.chrom = w.chrom AND h.s < w.e AND w.s < h.e AND w.s < w.e GROUP BY 1, 2, 3),
+wm AS (SELECT w.id, l.context, w."window" AS w, w.e - w.s AS width, CAST(sum(coalesce(c.n, 0)) AS BIGINT) AS raw, avg(CASE WHEN w.e > w.s THEN coalesce(c.n, 0) * 1e9 / (CAST(l.total AS DOUBLE) * (w.e - w.s)) END) AS cpm, avg(CASE WHEN w.e > w.s THEN coalesce(c.n, 0) * 1e9 / (CAST(l.effective AS DOUBLE) * (w.e - w.s)) END) AS mean FROM win w CROSS JOIN hl l LEFT JOIN wc c ON c.id = w.id AND c."window" = w."window" AND c.library = l.library GROUP BY 1, 2, 3, 4),
+ws AS (SELECT id, context, max(mean) AS signal, sum(mean * width) / sum(CASE WHEN mean IS NOT NULL THEN width END) AS mean1500, {', '.join(f"max(CASE WHEN w = '{w}' THEN {c} END) AS {w}_{n}" for w in ('left_500', 'center_500', 'right_500') for c, n in (('width', 'width'), ('raw', 'raw'), ('cpm', 'cpm'), ('mean', 'norm')))} FROM wm GROUP BY 1, 2),
+wx AS (SELECT id, context, w AS winner FROM (SELECT *, row_number() OVER (PARTITION BY id, context ORDER BY mean DESC NULLS LAST, CASE w WHEN 'center_500' THEN 0 WHEN 'left_500' THEN 1 ELSE 2 END) AS k FROM wm WHERE mean IS NOT NULL) WHERE k = 1),
+sg AS (SELECT *, CASE WHEN signal > 0 THEN log10(signal) END AS x, (id + CASE context WHEN 'F' THEN 0 ELSE 1 END) % 3 <> 0 AS member FROM ws JOIN wx USING (id, context)), vals AS (SELECT context, x FROM sg WHERE member AND signal > 0),
+z AS (SELECT context, avg(x) AS zm, stddev_pop(x) AS zs FROM sg GROUP BY 1), near AS (SELECT x.id, min(abs(x.summit - p.pos)) AS distance FROM elements x JOIN sites p USING (chrom) GROUP BY 1), nn AS (SELECT n.id, any_value(n.distance) AS distance, string_agg(DISTINCT p.name, ';' ORDER BY p.name) AS names FROM near n JOIN elements x USING (id) JOIN sites p ON p.chrom = x.chrom AND abs(x.summit - p.pos) = n.distance GROUP BY 1),
+cv AS (SELECT x.id, sum(least(x.e, b.e) - greatest(x.s, b.s)) AS bp FROM elements x JOIN bk b ON b.chrom = x.chrom AND b.s < x.e AND x.s < b.e GROUP BY 1)""") + f""",
+cr AS (SELECT *, 1 / (2 * vl) - 1 / (2 * vh) AS qa, mh / vh - ml / vl AS qb, ln(wh / wl) + ln(vl / vh) / 2 + ml * ml / (2 * vl) - mh * mh / (2 * vh) AS qc FROM gd),
+cs AS (SELECT *, len(list_filter([(-qb + sqrt(greatest(qb * qb - 4 * qa * qc, 0))) / (2 * qa), (-qb - sqrt(greatest(qb * qb - 4 * qa * qc, 0))) / (2 * qa)], lambda r: r BETWEEN ml AND mh)) = 1 AND qb * qb > 4 * qa * qc AS crossed FROM cr),
+mx AS (SELECT *, array_to_string(list_filter([CASE WHEN bic1 - bic2 < 10 THEN 'delta_bic_below_10' END, CASE WHEN d < 2 THEN 'ashman_d_below_2' END, CASE WHEN least(wl, wh) < 0.1 THEN 'minor_component_below_0.10' END, CASE WHEN NOT crossed THEN 'no_unique_posterior_crossing_between_means' END], lambda r: r IS NOT NULL), ';') AS failures FROM cs),
+ca AS (SELECT e.id AS master_dhs_id, e.chrom, e.s, e.e, e.summit, e.e - e.s AS width_bp, CAST(cv.bp IS NOT NULL AS INTEGER) AS blacklist_overlap, CAST(coalesce(cv.bp, 0) AS BIGINT) AS blacklist_overlap_bp, coalesce(cv.bp, 0) / (e.e - e.s) AS blacklist_overlap_fraction, sg.context, CAST(sg.member AS INTEGER) AS context_membership, nn.distance AS nearest_tss_distance_bp, nn.names AS nearest_tss_ids,
+CASE WHEN nn.distance IS NULL THEN 'unclassified_no_tss_on_contig' WHEN nn.distance <= 500 THEN 'promoter_associated' WHEN nn.distance <= 1000 THEN 'proximal_enhancer_like' ELSE 'distal_enhancer_like' END AS regulatory_class, act.atac_mean AS atac, CAST(hn.k AS INTEGER) AS h3k27ac_library_n, hn.ids AS h3k27ac_library_ids, sg.* EXCLUDE (id, context, member, x), (sg.x - z.zm) / nullif(z.zs, 0) AS zz,
+CASE WHEN sg.member AND sg.signal > 0 THEN 1 / (1 + exp((ln(wl) + {_LOGD.format(v='vl', x='sg.x', m='ml')}) - (ln(wh) + {_LOGD.format(v='vh', x='sg.x', m='mh')}))) END AS p, mx.failures, sg.member FROM sg JOIN elements e USING (id) LEFT JOIN nn USING (id) LEFT JOIN cv USING (id) JOIN act ON act.id = sg.id AND act.context = sg.context JOIN hn ON hn.context = sg.context JOIN z ON z.context = sg.context JOIN mx ON mx.context = sg.context)"""
+_REGULATORY_LONG = f"""WITH RECURSIVE {_REGULATORY} SELECT master_dhs_id, chrom, s, e, summit, width_bp, blacklist_overlap, blacklist_overlap_bp, round(blacklist_overlap_fraction, 6) AS blacklist_overlap_fraction, context, context_membership, nearest_tss_distance_bp, coalesce(nearest_tss_ids, '') AS nearest_tss_ids, regulatory_class, round(atac, 5) AS atac_normalized_cpm_per_kb,
+h3k27ac_library_n, h3k27ac_library_ids, {', '.join(f"{w}_width AS h3k27ac_{w}_width_bp, {w}_raw AS h3k27ac_{w}_raw_count_sum, round({w}_cpm, 5) AS h3k27ac_{w}_cpm_per_kb, round({w}_norm, 5) AS h3k27ac_{w}_normalized_cpm_per_kb" for w in ('left_500', 'center_500', 'right_500'))}, round(signal, 5) AS h3k27ac_max_500_normalized_cpm_per_kb,
+winner AS h3k27ac_max_500_window, round(mean1500, 5) AS h3k27ac_mean_1500_normalized_cpm_per_kb, round(zz, 5) AS h3k27ac_log10_z, CASE WHEN signal <= 0 THEN 'no_h3k27ac_signal' WHEN zz > 1.64 THEN 'high_z_gt_1.64' WHEN zz > 1 THEN 'moderate_z_gt_1' ELSE 'lower_z_le_1' END AS h3k27ac_z_tier, CAST(failures = '' AS INTEGER) AS mixture_supported,
+CAST(failures <> '' AS INTEGER) AS mixture_guardrail_warning, failures AS mixture_guardrail_failures, round(p, 2) AS mixture_high_posterior_probability, CAST(p >= 0.5 AS INTEGER) AS mixture_high_posterior, CASE WHEN p >= 0.5 THEN 'high' WHEN p IS NOT NULL THEN 'low' ELSE 'not_applicable' END AS mixture_component,
+CASE WHEN NOT member THEN 'inactive_in_context' WHEN p >= 0.5 THEN 'active_high_mixture' WHEN p IS NOT NULL THEN 'low_h3k27ac_mixture' WHEN signal <= 0 THEN 'accessible_no_h3k27ac_signal' ELSE 'mixture_unavailable' END AS activity_state, round(sqrt(atac * signal), 4) AS combined_activity_max_500 FROM ca"""
+
+
+@query("regulatory_catalog", _REGULATORY_LONG)
+def regulatory_long(spark, d):
+    long = _regulatory(spark, d).long.withColumnsRenamed({"start": "s", "end": "e"})
+    digits = {f.name: 5 for f in long.schema.fields if f.dataType.typeName() == "double"} | {"blacklist_overlap_fraction": 6, "mixture_high_posterior_probability": 2, "combined_activity_max_500": 4}
+    return long.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+_WIDE_ROUNDED = {"atac_normalized_cpm_per_kb": 5, "h3k27ac_max_500_normalized_cpm_per_kb": 5, "h3k27ac_log10_z": 5, "mixture_high_posterior_probability": 2, "combined_activity_max_500": 4}
+
+
+@query("regulatory_wide", f"""WITH RECURSIVE lo AS ({_REGULATORY_LONG}) SELECT master_dhs_id, chrom, s, e, summit, width_bp, blacklist_overlap, blacklist_overlap_bp, blacklist_overlap_fraction, nearest_tss_distance_bp, nearest_tss_ids, regulatory_class,
+{', '.join(f"max(CASE WHEN context = '{c}' THEN {f} END) AS {c}__{f}" for c in a.CONTEXTS for f in ct.WIDE_FIELDS)} FROM lo GROUP BY ALL""")
+def regulatory_wide(spark, d):
+    wide = _regulatory(spark, d).wide.withColumnsRenamed({"start": "s", "end": "e"}).withColumn("blacklist_overlap_fraction", F.round("blacklist_overlap_fraction", 6))
+    return wide.withColumns({f"{c}__{f}": F.round(f"{c}__{f}", n) for c in a.CONTEXTS for f, n in _WIDE_ROUNDED.items()})
+
+
+def _activity_sql(method: str, counts: str) -> str:
+    """Activity with normalised values; ``counts`` is the relation that the factors come from."""
+    tmm = TMM.removeprefix(SIGNAL + ", ").replace("FROM signal)", f"FROM {counts})")
+    figures = (("library_n", "count(*)"), ("library_ids", "string_agg(library, ';' ORDER BY library)"), ("raw_count_sum", "CAST(sum(raw_count) AS BIGINT)"), ("raw_count_mean", "avg(raw_count)"), ("total_units_sum", "CAST(sum(total_units) AS BIGINT)"), ("cpm_per_kb", "avg(cpm_per_kb)"), ("cpm_per_kb_sd", "coalesce(stddev_samp(cpm_per_kb), 0)"), ("normalized_cpm_per_kb", "avg(nv)"), ("normalized_cpm_per_kb_sd", "coalesce(stddev_samp(nv), 0)"))
+    whole = {"library_n", "library_ids", "raw_count_sum", "total_units_sum"}
+    shown = ", ".join(f"max(CASE WHEN assay = '{x}' THEN {f} END) AS {x}_{f}" if f in whole else f"round(max(CASE WHEN assay = '{x}' THEN {f} END), 5) AS {x}_{f}" for x in ("atac", "h3k27ac") for f, _ in figures)
+    return f"""WITH {SIGNAL}, bins AS (SELECT assay, library, chrom || ':' || (((s + e) // 2) // 10000) AS id, count(*) AS n FROM units JOIN {a.SIZES.replace('sizes(chrom, size, rank) AS (VALUES', '(VALUES')[:-1]}) sz(chrom, size, rank) USING (chrom) WHERE (s + e) // 2 < size GROUP BY 1, 2, 3),
+back AS (SELECT l.assay, l.library, l.total_units, f.id, coalesce(b.n, 0) AS raw_count FROM lib l JOIN (SELECT DISTINCT assay, id FROM bins) f USING (assay) LEFT JOIN bins b ON b.assay = l.assay AND b.library = l.library AND b.id = f.id), {tmm},
+nx AS (SELECT g.*, raw_count * 1e9 / (CAST(total_units AS DOUBLE) * factor * (e - s)) AS nv FROM signal g JOIN tmm USING (assay, library)), pa AS (SELECT id, chrom, s, e, context, assay, {', '.join(f'{x} AS {f}' for f, x in figures)} FROM nx GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT id, chrom, s, e, e - s AS width_bp, context, '{method}' AS normalization_method, {shown}, round(sqrt(max(CASE WHEN assay = 'atac' THEN normalized_cpm_per_kb END) * max(CASE WHEN assay = 'h3k27ac' THEN normalized_cpm_per_kb END)), 4) AS activity FROM pa GROUP BY ALL"""
+
+
+def _activity_table(spark, d, method: str):
+    out = qt.normalized_activity(a.elements(spark, d), a.units(spark, d), a.sizes(spark), method, 256).withColumnsRenamed({"start": "s", "end": "e"})
+    doubles = {f.name: 5 for f in out.schema.fields if f.dataType.typeName() == "double"} | {"activity": 4}
+    return out.withColumns({c: F.round(c, n) for c, n in doubles.items()})
+
+
+@query("activity_master", _activity_sql("master", "signal"))
+def activity_master(spark, d):
+    return _activity_table(spark, d, "master")
+
+
+@query("activity_background", _activity_sql("background", "back"))
+def activity_background(spark, d):
+    return _activity_table(spark, d, "background")
 
 
 def _peaks(spark, d):
@@ -234,5 +333,5 @@ def consensus(spark, d):
 def refined(spark, d):
     depth = iv.coverage(a.units(spark, d)).select("chrom", "start", "end", F.col("value").cast("double").alias("score"))
     runs = iv.interval_union(depth.where("score > 2")).select("chrom", "start", "end")
-    candidates = runs.withColumn("candidate_id", F.row_number().over(Window.partitionBy("chrom").orderBy("start")).cast("long"))
+    candidates = runs.withColumn("candidate_id", F.col("start"))  # runs lie apart, so starts name them
     return rf.refine_peaks(candidates, depth, high=60)

@@ -93,6 +93,24 @@ def test_mixtures(spark):
     assert all((r.p >= 0.5) == (r.log10_signal >= row.posterior_crossing) for r in post)
 
 
+def test_crossing_and_blocks():
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 0.5, 400), rng.normal(3, 1.0, 300)])
+    likelihood, fit = ct.fit_two(x)
+    at = fit.crossing()
+    assert abs(float(fit.log_odds(np.array([at]))[0])) < 1e-6 and fit.mean[0] < at < fit.mean[1]
+    one, two = fit.expectation(x, 1 << 16), fit.expectation(x, 7)
+    assert one[0] == pytest.approx(two[0]) and np.allclose(one[1], two[1])
+    assert ct.Mixture((0.5, 0.5), (0.0, 2.0), (1.0, 1.0)).crossing() == pytest.approx(1.0)
+    assert ct.Mixture((0.999999, 0.000001), (0.0, 0.1), (1.0, 1.0)).crossing() is None and ct.Mixture((0.5, 0.5), (1.0, 1.0), (1.0, 2.0)).crossing() is None
+
+
+def test_component_densities(spark):
+    mix = spark.createDataFrame([("a", 0.4, 0.6, 0.0, 2.0, 1.0, 0.25), ("b", None, None, None, None, None, None)], "context string, low_weight double, high_weight double, low_mean double, high_mean double, low_variance double, high_variance double")
+    out = ct.component_densities(mix, spark.createDataFrame([("a", -6.0, 8.0), ("b", 0.0, 1.0)], "context string, lower double, upper double"), points=1401).collect()
+    assert {r.context for r in out} == {"a"} and sum(r.total for r in out) * 0.01 == pytest.approx(1.0, abs=1e-6) and sum(r.low for r in out) * 0.01 == pytest.approx(0.4, abs=1e-6)
+
+
 def test_strict_join(spark):
     a, b = (spark.createDataFrame([(k, k) for k in ks], f"k int, {c} int") for ks, c in (((1, 2), "x"), ((1, 2), "y")))
     assert qt.strict_join(a, b, ["k"]).count() == 2

@@ -61,10 +61,95 @@ def test_nearest_tables(spark):
     p = spark.createDataFrame([("p1", "gene_a", "chr1", 1000, True, 0.9), ("p2", "gene_b", "chr1", 2200, True, 0.8), ("p3", "gene_c", "chr1", 9000, False, 0.1)], "promoter_id string, gene_id string, chrom string, tss long, active boolean, posterior double")
     e = spark.createDataFrame([(1, "chr1", 1600), (2, "chr1", 8000)], "id long, chrom string, summit long")
     assert sorted(tuple(r) for r in lk.nearest_active(e, p).collect()) == [(1, 600, "gene_a"), (1, 600, "gene_b"), (2, 5800, "gene_b")]
-    act = p.select("promoter_id", F.lit("c1").alias("context"), "active", "posterior").union(p.select("promoter_id", F.lit("c2"), F.col("promoter_id") == "p2", "posterior"))
-    got = {r.id: r for r in lk.nearest_wide(e, p, act, ["c1", "c2"]).collect()}
-    assert (got[1].distance, got[1].promoter_count, got[1].genes, got[1].active_contexts, got[1].c2__active) == (600, 2, "gene_a;gene_b", "c1;c2", 1)
-    assert (got[2].genes, got[2].active_contexts) == ("gene_c", "")
+
+
+def graph_parts(spark):
+    proms = spark.createDataFrame(
+        [("P1", "ga", "A", "chr1", 1000, "+", 500, 1500, "t1"), ("P2", "gb", "B", "chr1", 2200, "-", 1700, 2700, "t2;t3"), ("P3", "gc", "C", "chr1", 9000, "+", 8500, 9500, "t4"), ("P4", "gb", "B", "chr1", 30_000, "+", 29_500, 30_500, "t5")],
+        "promoter_id string, gene_id string, gene_name string, chrom string, tss long, strand string, start long, end long, transcript_ids string",
+    )
+    rows = [(1, "chr1", 900, 1100, 1010, "promoter_associated", 5.0, 0.9, 10.0, 0), (2, "chr1", 1550, 1650, 1600, "distal_enhancer_like", 2.0, 0.7, 4.0, 1), (3, "chr1", 2100, 2300, 2210, "promoter_associated", 3.0, 0.6, 2.0, 0), (4, "chr1", 8800, 8900, 8850, "proximal_enhancer_like", 1.0, 0.2, 1.0, 0), (5, "chr9", 10, 30, 20, "distal_enhancer_like", 1.0, 0.95, 1.0, 0)]
+    e = spark.createDataFrame([(c, *r) for c in ("obs", "mod") for r in rows], "context string, id long, chrom string, start long, end long, summit long, regulatory_class string, atac double, posterior double, combined double, blacklist_overlap int")
+    models = spark.createDataFrame([("obs", "observed", "hic", "exact", 1000, -1.0, 1000.0), ("mod", "powerlaw", "", "", 1000, -0.5, 10.0)], "context string, strategy string, assay string, match string, resolution int, gamma double, scale double")
+    nan = float("nan")
+    px = spark.createDataFrame([("obs", "chr1", 0, 1, 0.5), ("obs", "chr1", 1, 2, 4.0), ("obs", "chr1", 1, 9, nan)], "context string, chrom string, bin1 long, bin2 long, value double")
+    shape = spark.createDataFrame([("obs", "chr1", 20)], "context string, chrom string, bins long")
+    return proms, e, lk.context_graph(e, proms, models, px, shape, 10_000, 0.5, 0.5), models
+
+
+def test_context_graph(spark):
+    proms, e, g, models = graph_parts(spark)
+    assert g.nodes.columns == list(lk.NODE_FIELDS) and g.edges.columns == list(lk.EDGE_FIELDS) and g.genes.columns == list(lk.GENE_FIELDS)
+    nodes = {(r.context, r.node_id): r for r in g.nodes.collect()}
+    assert len(nodes) == 18 and nodes["obs", "promoter:P1"].master_dhs_id == "1" and nodes["obs", "promoter:P1"].active == 1 and nodes["mod", "promoter:P4"].atac_accessible == 0
+    edges = {(r.context, r.master_dhs_id, r.promoter_id): r for r in g.edges.collect()}
+    near = edges["obs", "2", "P2"]  # bins 1 and 2: expected 1000 / 1000, observed 4
+    assert (near.contact_status, near.observed_balanced_contact, near.contact_weight, near.observed_over_expected, near.distance_bp) == ("observed_matrix_pixel", 4.0, 4.5, 4.0, 600)
+    assert near.candidate_link_score == pytest.approx(4.5 * 2.0 * 0.6)
+    same = edges["obs", "2", "P1"]  # one bin: the larger neighbour
+    assert (same.contact_status, same.same_contact_bin, same.observed_balanced_contact) == ("adjacent_bin_proxy", 1, 4.0)
+    masked = edges["obs", "2", "P3"]
+    assert (masked.contact_status, masked.observed_balanced_contact, masked.observed_over_expected) == ("unbalanced_or_masked_bin", None, None) and masked.contact_weight == pytest.approx(0.5 * 1000 / 7400)
+    model = edges["mod", "2", "P3"]
+    assert model.contact_status == "distance_model" and model.contact_weight == pytest.approx(10 * 7400**-0.5) and model.observed_balanced_contact is None
+    assert not any(k[1] == "5" or k[2] == "P4" for k in edges)
+    genes = {(r.context, r.master_dhs_id, r.gene_id): r for r in g.genes.collect()}
+    one = genes["obs", "2", "ga"]
+    assert (one.candidate_gene_rank, one.active_candidate_gene_rank, one.nearest_gene_rank, one.best_promoter_id, one.promoter_count) == (1, 1, 1, "P1", 1)
+    assert genes["obs", "2", "gc"].active_candidate_gene_rank is None and genes["obs", "2", "gc"].candidate_gene_rank == 3
+
+
+def test_focused_graphs_and_metrics(spark):
+    proms, e, g, models = graph_parts(spark)
+    contact = lk.active_contact_genes(g.edges, e, 0.5, 1.0)
+    assert {(r.context, r.master_dhs_id, r.gene_id, r.candidate_gene_rank) for r in contact.collect()} == {("obs", "2", "ga", 1), ("obs", "2", "gb", 2)}
+    distance = lk.active_distance_genes(g.edges, e, 0.5)
+    rows = {r.gene_id: r for r in distance.collect()}
+    assert set(rows) == {"ga", "gb"} and rows["ga"].is_primary_candidate == 1 and rows["gb"].nearest_tss_gene_ids == "ga;gb" and rows["gb"].nearest_active_tss_gene_names == "A;B" and rows["ga"].nearest_tss_distance_bp == 600
+    states = lk.promoter_activity(proms, e, 0.5, by=("context",))
+    near = lk.nearest_active_genes(e, states, 0.5)
+    got = {(r.context, r.master_dhs_id, r.promoter_id): r for r in near.collect()}
+    assert set(got) == {(c, "2", p) for c in ("obs", "mod") for p in ("P1", "P2")}
+    tie = got["obs", "2", "P1"]
+    assert (tie.distance_bp, tie.nearest_active_tss_tie_count, tie.active_promoter_supporting_element_ids, tie.active_promoter_associated_element_count, tie.gene_name) == (600, 2, "1", 1, "A")
+    m = {r.context: r for r in lk.graph_metrics(g, models, contact, near, distance).collect()}
+    assert (m["obs"].element_node_count, m["mod"].promoter_node_count, m["all"].active_promoter_count, m["obs"].active_distance_enhancer_gene_candidate_count, m["all"].active_contact_enhancer_gene_candidate_count) == (5, 4, 4, 0, 2)
+    with pytest.raises(Exception, match="differ"):
+        lk.graph_metrics(g, models.where("context = 'obs'"), contact, near, distance).collect()
+
+
+def test_wide_nearest_table(spark):
+    proms, e, _, _ = graph_parts(spark)
+    states = lk.promoter_activity(proms, e, 0.5, by=("context",))
+    catalog = e.withColumn("member", F.col("id") != 4).withColumn("state", F.lit("s"))
+    out = {r.master_dhs_id: r for r in lk.nearest_wide(catalog, proms, states, ["obs", "mod"]).collect()}
+    assert set(out) == {2, 4, 5} and len(out[2]) == 17 + 24
+    two, four, far = out[2], out[4], out[5]
+    assert (two.nearest_tss_distance_bp, two.nearest_tss_tie_count, two.nearest_promoter_ids, two.nearest_promoter_transcript_ids, two.nearest_promoter_active_contexts) == (600, 2, "P1;P2", "t1|t2;t3", "obs;mod")
+    assert (two.obs__active_nearest_promoter_ids, two.obs__active_nearest_promoter_supporting_element_ids, two.obs__nearest_promoter_activity_score_max) == ("P1;P2", "1;3", 9.0)
+    assert (four.nearest_gene_ids, four.mod__nearest_promoter_active, four.mod__element_context_membership, four.nearest_promoter_active_context_count) == ("gc", 0, 0, 0)
+    assert (far.nearest_tss_distance_bp, far.nearest_tss_tie_count, far.nearest_promoter_ids, far.obs__nearest_promoter_atac_signal_max) == (None, 0, "", None)
+
+
+def test_contact_models(spark):
+    rng = np.random.default_rng(3)
+    rows = [("x", s, r, "chr1", i, j, int(rng.poisson(4000 / (j - i + 1) ** 0.9)) + 1) for s, r in (("s1", 500), ("s2", 1000)) for i in range(60) for j in range(i, 60)]
+    px = spark.createDataFrame(rows, "context string, source string, resolution long, chrom string, bin1 long, bin2 long, count long")
+    res = spark.createDataFrame([("x", "s1", 500), ("x", "s2", 1000), ("x", "s2", 300)], "context string, source string, resolution long")
+    merged = cn.standardize(px, res, 1000)
+    want = {}
+    for _, _, r, _, i, j, c in rows:
+        f = 1000 // r
+        want[min(i // f, j // f), max(i // f, j // f)] = want.get((min(i // f, j // f), max(i // f, j // f)), 0) + c
+    assert {(r.bin1, r.bin2): r["count"] for r in merged.collect()} == want
+    with pytest.raises(Exception, match="no resolution"):
+        cn.standardize(px, res, 1700).collect()
+    models = cn.contact_models(merged, spark.createDataFrame([("chr1", 60, 0)], "chrom string, bins long, first long"), 1000)
+    fit = models.fits.first()
+    assert -1.4 < fit.gamma < -0.4 and models.atlas.first().scale == pytest.approx(fit.scale) and models.pixels.count() == len(want)
+    small = merged.select("context", "bin1", "bin2", "count")
+    one, two = ({r.bin: r.weight for r in cn.balance(small, limit=n).collect()} for n in (10**9, 0))
+    assert set(one) == set(two) and all((one[b] is None) == (two[b] is None) and (one[b] is None or one[b] == pytest.approx(two[b], rel=1e-9)) for b in one)
 
 
 def test_resolution(spark):
