@@ -10,10 +10,17 @@ Documents come in batches of ascending doc_id.  A batch is sorted by
 fingerprint, merge-joined with every older run (runs are bucketed and sorted
 by fingerprint, so they are not shuffled again) and becomes a run itself; when
 there are more runs than ``max_runs`` they are compacted into one.  Runs are
-never changed.  A row whose ``ctx`` was filed before repeats all its windows.
-Rows that share a fingerprint but not the context (edges of passages, edited
+never changed, and a manifest names them, so a later session goes on where the
+last one ended.  A row whose ``ctx`` was filed before, under the same ``fp``,
+repeats all its windows: these are 128 bits that rest on every word.  Rows
+that share a fingerprint but not the context (edges of passages, edited
 copies) are verified window by window: their documents are read again and
-whole 20-word windows are compared.
+whole 20-word windows are compared by two hashes.
+
+A task remembers the contexts that it met more than once, with their earliest
+place, and sends on only what comes before it; the others are repeats for
+certain.  So a passage that a third of all documents share reaches the shuffle
+about once a task, like the partial minimum of an aggregation.
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .text import SPACED, U, Words, as_long, chunks, lean, mix
-from .work import Work, join_checked, pack, unpack
+from .work import Work, join_checked, pack, read_records, unpack, write_record
 
 NEW, REPEAT, SPAN = 0, 1, 2  # a row of a run: first of its context; repeats an earlier one; a span found before the shuffle
 
@@ -62,27 +69,58 @@ def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, np
     return s0, s1, p, grams[p], ctx
 
 
+class Met:
+    """Keys that a task met more than once, each with its earliest place; at most ``limit``, others are left to the shuffle."""
+
+    def __init__(self, limit: int = 1 << 15):
+        self.limit = limit
+        self.key, self.place = np.zeros(0, U), np.zeros((3, 0), np.int64)
+
+    def fold(self, key: np.ndarray, doc: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, again): rows that may be the first of their key, and rows that certainly come after it; a repeated row is neither."""
+        order = np.lexsort((pos, tie, doc, key))
+        k, place = key[order], np.stack([doc, tie, pos]).astype(np.int64)[:, order]
+        head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        size = np.diff(np.concatenate([head, [len(k)]]))
+        group = np.repeat(np.arange(len(head)), size)
+        first, earlier, known = place[:, head], np.zeros(len(head), bool), np.zeros(len(head), bool)
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, k[head]), len(self.key) - 1)
+            known = self.key[at] == k[head]
+            was = self.place[:, at]
+            less = (was[0] < first[0]) | ((was[0] == first[0]) & ((was[1] < first[1]) | ((was[1] == first[1]) & (was[2] <= first[2]))))
+            earlier = known & less
+            first = np.where(earlier, was, first)
+            self.place[:, at[known]] = first[:, known]
+        same = (place == first[:, group]).all(0)
+        lead = np.zeros(len(k), bool)
+        lead[head] = True
+        new = np.flatnonzero((size > 1) & ~known)[: max(0, self.limit - len(self.key))]
+        if len(new):
+            keys = np.concatenate([self.key, k[head[new]]])
+            by = np.argsort(keys)
+            self.key, self.place = keys[by], np.concatenate([self.place, first[:, new]], axis=1)[:, by]
+        out = np.zeros((2, len(k)), bool)
+        out[0, order], out[1, order] = same & lead & ~earlier[group], ~same
+        return out[0], out[1]
+
+
 def _anchors(window: int, gram: int):
     names = ["fp", "ctx", "doc_id", "tie", "pos", "status"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Met()
         for batch in batches:
             ids, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tie"))
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 words = Words(data, offsets, SPACED)
-                s0, s1, p, fp, ctx = window_anchors(words, window, gram)
+                s0, s1, p, fp, c = window_anchors(words, window, gram)
                 if not len(p):
                     continue
                 doc = np.searchsorted(words.offset, p, side="right") - 1
                 base = words.offset[doc]
                 s0, s1, p, d, t = s0 - base, s1 - base, p - base, ids[lo:hi][doc], ties[lo:hi][doc]
-                order = np.lexsort((p, t, d, ctx))
-                c, d, t, p, s0, s1, fp = ctx[order], d[order], t[order], p[order], s0[order], s1[order], fp[order]
-                head = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-                first = np.repeat(head, np.diff(np.concatenate([head, [len(c)]])))
-                own = (d == d[first]) & (t == t[first]) & (p == p[first])  # also a repeated row of the same document
-                own &= np.arange(len(c)) == first
-                again = ~own & ~((d == d[first]) & (t == t[first]) & (p == p[first]))
+                own, again = met.fold(c, d, t, p)
                 pos = (p << 8) | ((p - s0) << 4) | (p - s1)
                 out = [(fp[own], c[own], d[own], t[own], pos[own], np.full(own.sum(), NEW, np.int8))]
                 if again.any():  # repeats inside the chunk: merged into spans of windows here
@@ -100,32 +138,39 @@ def _anchors(window: int, gram: int):
     return run
 
 
-def _windows(window: int):
+def _windows(window: int, gram: int, rows: int = 50_000):
+    """(h, g, doc_id, tie, s, again): the wanted windows of each document by two hashes; ``again``: surely not the first."""
+    kinds = (np.int64, np.int64, np.int64, np.int32, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Met()
+        held: list[tuple] = []
+
+        def given() -> pa.RecordBatch:
+            h, g, d, t, s = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            first, again = met.fold(mix(h * U(31) + g), d, t, s)
+            keep = first | again
+            columns = [as_long(h)[keep], as_long(g)[keep], d[keep], t[keep], s[keep]]
+            return pa.RecordBatch.from_arrays([*(pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)), pa.array(again[keep])], names=["h", "g", "doc_id", "tie", "s", "again"])
+
         for batch in batches:
-            ids, ties, wanted = (batch.column(c) for c in ("doc_id", "tie", "wanted"))
+            ids, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tie"))
+            wanted = batch.column("wanted")
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 words = Words(data, offsets, SPACED)
                 for d in range(lo, hi):
                     pos = wanted[d].values.to_numpy(zero_copy_only=False)
                     p, a, b = pos >> 8, (pos >> 4) & 15, pos & 15
                     start = np.unique(np.repeat(p - a, a - b + 1) + np.concatenate([np.arange(n) for n in a - b + 1]))
-                    h = words.span_hash(start + words.offset[d - lo], window)
-                    n = len(start)
-                    yield pa.RecordBatch.from_arrays([pa.array(as_long(h)), pa.array([ids[d].as_py()] * n, pa.int64()), pa.array([ties[d].as_py()] * n, pa.int32()), pa.array(start)], names=["h", "doc_id", "tie", "s"])
+                    at = start + words.offset[d - lo]
+                    held.append((words.span_hash(at, window), words.span_hash(at, gram), np.full(len(at), ids[d]), np.full(len(at), ties[d]), start))
+                if sum(len(x[0]) for x in held) > rows:
+                    yield given()
+        if held:
+            yield given()
 
-    def merged(batches):  # one Arrow batch for many documents
-        held, rows = [], 0
-        for b in run(batches):
-            held.append(b)
-            rows += b.num_rows
-            if rows > 50_000:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, rows = [], 0
-        if rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    return merged
+    return run
 
 
 @contextmanager
@@ -141,44 +186,86 @@ def _conf(spark: SparkSession, **values: str):
             spark.conf.unset(names[k]) if v is None else spark.conf.set(names[k], v)
 
 
+_RUN = "fp long, ctx long, doc_id long, tie int, pos long, status byte"
+
+
 @dataclass
 class WindowIndex:
-    """Sorted immutable runs of anchors; ``add`` files a batch and returns the spans of windows that were filed before."""
+    """Sorted immutable runs of anchors; ``add`` files a batch and returns the spans of windows that were filed before.
+
+    With ``path`` the index lasts: runs lie in that folder, a commit record
+    for each batch names the runs that make up the state, and an index that is
+    opened there later goes on with them.  A batch counts from the moment its
+    record is written; files that no record names are never read.  Without
+    ``path`` it lives in the work's folder.
+    """
 
     work: Work
     window: int = 20
     gram: int = 10
     max_runs: int = 2
+    path: str | None = None
     runs: list[str] = field(default_factory=list)
+    done: list[str] = field(default_factory=list)
 
     def __post_init__(self):
         if not 0 < self.window - self.gram < 16:
             raise ValueError("a window must be 1 to 15 words longer than its grams")
         self.buckets = int(self.work.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = self.path or f"{self.work.root}/index"
+        self._tables: dict[str, str] = {}
+        records = read_records(self.work.spark, f"{self.path}/log", "n long, batch string, runs array<string>, buckets int, window int, gram int")
+        if records:
+            last = records[-1]
+            if (last["window"], last["gram"]) != (self.window, self.gram):
+                raise ValueError(f"the index at {self.path} is of windows of {last['window']} words and grams of {last['gram']}")
+            self.done, self.runs, self.buckets = [r["batch"] for r in records], list(last["runs"]), last["buckets"]
+
+    def _table(self, run: str) -> DataFrame:
+        """A run as a table that Spark knows to be bucketed and sorted."""
+        if run not in self._tables:
+            name = f"llm_run_{uuid.uuid4().hex}"
+            columns = ", ".join(f"`{c.split()[0]}` {c.split()[1]}" for c in _RUN.split(", "))
+            self.work.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{run}'")
+            self._tables[run] = name
+        return self.work.spark.table(self._tables[run])
 
     def _store(self, df: DataFrame) -> str:
+        run = f"run-{uuid.uuid4().hex}"
         name = f"llm_run_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", f"{self.work.root}/{name}").saveAsTable(name)
-        return name
+        self._tables[run] = name
+        df.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", f"{self.path}/{run}").saveAsTable(name)
+        return run
 
-    def _remove(self, name: str) -> None:
-        spark = self.work.spark
-        spark.sql(f"DROP TABLE {name}")
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.work.root}/{name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def _rows(self, run: str) -> DataFrame:
+        return self._table(run).where(F.col("status") == NEW)
+
+    def close(self) -> None:
+        """Take the runs out of the session's catalog; their files stay."""
+        for name in self._tables.values():
+            self.work.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._tables.clear()
 
-    def _rows(self, name: str) -> DataFrame:
-        return self.work.spark.table(name).where(F.col("status") == NEW)
+    def spans(self, batch_id: str) -> DataFrame:
+        """What ``add`` returned for a batch that is filed."""
+        return self.work.spark.read.schema("doc_id long, tie int, spans array<long>").parquet(f"{self.path}/spans-{self.done.index(batch_id) + 1}")
 
-    def add(self, batch: DataFrame, corpus: DataFrame) -> DataFrame:
+    def add(self, batch: DataFrame, corpus: DataFrame, batch_id: str | None = None) -> DataFrame:
         """``batch`` and ``corpus`` (all documents so far, the batch included) have doc_id, tie, text.
 
-        Returns (doc_id, tie, span): spans of window starts, first << 32 | last, that repeat an earlier window.
+        Documents of a batch come after those filed before.  Returns (doc_id,
+        tie, spans): spans of window starts, first << 32 | last, that repeat
+        an earlier window.  A batch_id that was filed before returns the same
+        again and files nothing.
         """
         spark = self.work.spark
+        n = len(self.done) + 1
+        batch_id = batch_id or f"batch-{n}"
+        if batch_id in self.done:
+            return self.spans(batch_id)
         with _conf(spark, requireAllClusterKeysForCoPartition="false", sources__bucketing__autoBucketedScan__enabled="false"):
-            rows = batch.mapInArrow(lean(_anchors(self.window, self.gram)), "fp long, ctx long, doc_id long, tie int, pos long, status byte")
-            same = Window.partitionBy("fp", "ctx").orderBy("doc_id", "tie", "pos")
+            rows = batch.mapInArrow(lean(_anchors(self.window, self.gram)), _RUN)
+            same = Window.partitionBy("fp", "ctx").orderBy("doc_id", "tie", "pos")  # about one row a task at most
             rows = rows.repartition(self.buckets, "fp").withColumn("rank", F.rank().over(same)).withColumn("row", F.row_number().over(same))
             rows = rows.where("status <> 0 or rank > 1 or row = 1")
             known = F.lit(False)
@@ -200,32 +287,35 @@ class WindowIndex:
                 wanted = some if wanted is None else wanted.union(some)
             wanted = self.work.save(wanted.groupBy("doc_id", "tie").agg(F.collect_set("pos").alias("wanted")), "wanted")
         texts = join_checked(corpus, wanted, ["doc_id", "tie"], "inner", weight=F.size("wanted") * 8 + 32).select("doc_id", "tie", "text", "wanted")
-        windows = texts.mapInArrow(lean(_windows(self.window)), "h long, doc_id long, tie int, s long")
-        seen = windows.withColumn("rank", F.rank().over(Window.partitionBy("h").orderBy("doc_id", "tie", "s"))).where("rank > 1")
+        windows = self.work.save(texts.mapInArrow(lean(_windows(self.window, self.gram)), "h long, g long, doc_id long, tie int, s long, again boolean"), "windows")
+        seen = windows.where("not again").withColumn("rank", F.rank().over(Window.partitionBy("h", "g").orderBy("doc_id", "tie", "s"))).where("rank > 1").drop("rank").unionByName(windows.where("again"))
         in_batch = batch.select("doc_id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-        seen = seen.where(F.col("doc_id").between(in_batch["lo"] or 0, in_batch["hi"] or 0)) if in_batch["lo"] is not None else seen.where("false")
-        whole = spark.table(new)
+        seen = seen.where(F.col("doc_id").between(in_batch["lo"], in_batch["hi"])) if in_batch["lo"] is not None else seen.where("false")
+        whole = self._table(new)
         first, last = (F.shiftright("pos", 8) - F.shiftright("pos", bits).bitwiseAND(15) for bits in (4, 0))
         spans = (
             whole.where(F.col("status") == SPAN).select("doc_id", "tie", F.col("pos").alias("span"))
             .union(whole.where(F.col("status") == REPEAT).select("doc_id", "tie", F.shiftleft(first, 32).bitwiseOR(last)))
             .union(seen.select("doc_id", "tie", F.shiftleft("s", 32).bitwiseOR(F.col("s"))))
         )
-        spans = self.work.save(spans.groupBy("doc_id", "tie").agg(F.collect_set("span").alias("spans")), "spans")
-        self.runs.append(new)
-        if len(self.runs) > self.max_runs:
-            self.compact()
-        return spans
-
-    def compact(self) -> None:
-        """Merge all runs into one."""
+        spans.groupBy("doc_id", "tie").agg(F.collect_set("span").alias("spans")).write.mode("overwrite").parquet(f"{self.path}/spans-{n}")
+        runs = [*self.runs, new]
+        old = []
+        if len(runs) > self.max_runs:
+            old, runs = runs, [self._compacted(runs)]
+        write_record(spark, f"{self.path}/log", n, {"n": n, "batch": batch_id, "runs": runs, "buckets": self.buckets, "window": self.window, "gram": self.gram})
+        self.runs, self.done = runs, [*self.done, batch_id]
+        for run in old:
+            spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop(run)}")
+            self.work.delete(f"{self.path}/{run}")
+        return self.spans(batch_id)
+
+    def _compacted(self, runs: list[str]) -> str:
+        """All runs merged into one."""
         rows = None
-        for run in self.runs:
+        for run in runs:
             rows = self._rows(run) if rows is None else rows.union(self._rows(run))
-        merged = self._store(rows.repartition(self.buckets, "fp"))
-        for run in self.runs:
-            self._remove(run)
-        self.runs = [merged]
+        return self._store(rows.repartition(self.buckets, "fp"))
 
 
 def with_tie(docs: DataFrame, work: Work) -> DataFrame:
@@ -246,14 +336,17 @@ def repeated_spans(docs: DataFrame, work: Work, window: int = 20, gram: int = 10
     cuts = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000).alias("q")).first()["q"] or []
     index = WindowIndex(work, window, gram, max_runs)
     bounds, found = [None, *sorted(set(cuts)), None], None
-    for lo, hi in itertools.pairwise(bounds):
-        batch = docs if lo is None else docs.where(F.col("doc_id") > lo)
-        corpus = docs if hi is None else docs.where(F.col("doc_id") <= hi)
-        batch = batch if hi is None else batch.where(F.col("doc_id") <= hi)
-        spans = index.add(batch, corpus)
-        found = spans if found is None else found.union(spans)
-    for run in index.runs:
-        index._remove(run)
+    try:
+        for lo, hi in itertools.pairwise(bounds):
+            batch = docs if lo is None else docs.where(F.col("doc_id") > lo)
+            corpus = docs if hi is None else docs.where(F.col("doc_id") <= hi)
+            batch = batch if hi is None else batch.where(F.col("doc_id") <= hi)
+            spans = index.add(batch, corpus)
+            found = spans if found is None else found.union(spans)
+    finally:
+        index.close()
+    for run in index.runs:  # the spans are what is left to read
+        work.delete(f"{index.path}/{run}")
     return found
 
 

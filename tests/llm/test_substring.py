@@ -1,7 +1,10 @@
 import hashlib
 
+import numpy as np
 import pytest
-from genoframe.llm.substring import remove_repeats, rewrite
+from genoframe.llm.substring import Met, WindowIndex, remove_repeats, rewrite
+from genoframe.llm.work import Work
+from pyspark.sql import functions as F
 
 
 def brute(rows, window=20):
@@ -31,6 +34,52 @@ def test_other_windows(table, corpus):
         remove_repeats(table(corpus), window=40, gram=10)
 
 
+def test_a_later_session_goes_on_with_the_runs(spark, table, corpus):
+    rows = sorted((i, 0, t) for i, t in corpus)
+    cut = len(rows) // 2
+    path = f"{Work(spark, 'test').root}/index"
+    docs = spark.createDataFrame(rows, "doc_id long, tie int, text string")
+    first = docs.where(F.col("doc_id") < rows[cut][0])
+    one = WindowIndex(Work(spark, "test"), path=path)
+    one.add(first, first, "first")
+    one.close()
+    again = WindowIndex(Work(spark.newSession(), "test"), path=path)
+    assert again.done == ["first"] and len(again.runs) == 1
+    docs = again.work.spark.createDataFrame(rows, "doc_id long, tie int, text string")
+    found = again.add(docs.where(F.col("doc_id") >= rows[cut][0]), docs, "second")
+    spans = {r.doc_id: r.spans for r in found.collect()} | {r.doc_id: r.spans for r in again.add(first, first, "first").collect()}
+    assert again.done == ["first", "second"]
+    again.close()
+    removed = {i: len({w for x in s for w in range(x >> 32, (x & 0xFFFFFFFF) + 20)}) for i, s in spans.items()}
+    assert {i: n for i, (_, n, _) in brute(corpus).items() if n} == removed
+    with pytest.raises(ValueError):
+        WindowIndex(Work(spark, "test"), window=8, gram=4, path=path)
+
+
+def test_what_a_task_met_before_is_folded():
+    rng = np.random.default_rng(2)
+    met, rows = Met(limit=5), []
+    for _ in range(20):
+        key, doc = rng.integers(0, 9, 12).astype(np.uint64), rng.integers(0, 40, 12)
+        first, again = met.fold(key, doc, doc * 0, doc * 0)
+        rows += [(int(k), int(d), bool(f), bool(a)) for k, d, f, a in zip(key, doc, first, again, strict=True)]
+    low = {k: min(d for x, d, _, _ in rows if x == k) for k, _, _, _ in rows}
+    assert all(f or d > low[k] or not a for k, d, f, a in rows)  # nothing that comes first is called a repeat
+    assert {(k, low[k]) for k in low} <= {(k, d) for k, d, f, _ in rows if f}
+    assert {(k, d) for k, d, f, a in rows if f or a} == {(k, d) for k, d, _, _ in rows}
+    assert len(met.key) == 5
+
+
+def test_words_that_collide_in_polynomial_hashes(table):
+    def thue_morse(n, a="a", b="b"):
+        return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+    rows = [(2 * i + j, " ".join([thue_morse(n, *ab)] * 3 + [f"w{k}" for k in range(20)] + [f"u{i}x{k}" for k in range(9)])) for i, n in enumerate((1024, 2048, 4096)) for j, ab in enumerate(("ab", "ba"))]
+    rows += [(10 + j, " ".join(thue_morse(2048, *ab)) + " x") for j, ab in enumerate(("cd", "ef"))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in remove_repeats(table(rows), digest=True).collect()}
+    assert got == brute(rows)
+
+
 def test_odd_rows(spark):
     line = " ".join(f"w{i}" for i in range(25))
     rows = [(None, line, 1), (1, line, 2), (1, line, 2), (2, line + " tail", 3), (2, "other " + line, 4), (3, None, 5)]
