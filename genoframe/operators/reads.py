@@ -90,6 +90,15 @@ def flagstat(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def idxstats(df: DataFrame, sizes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Mapped and unmapped records of every chromosome of ``sizes`` (chrom, size), zeros included, and of those it does not name (size null)."""
+    unmapped = F.col("flag").bitwiseAND(UNMAPPED) == UNMAPPED
+    found = df.groupBy(*by, "chrom").agg(F.count_if(~unmapped).alias("mapped"), F.count_if(unmapped).alias("unmapped"))
+    grid = sizes.select("chrom", "size").crossJoin(df.select(*by).distinct()) if by else sizes.select("chrom", "size")  # chromosomes x libraries is the result
+    out = grid.join(found, [*by, "chrom"], "full")
+    return out.select(*by, "chrom", "size", F.coalesce("mapped", F.lit(0)).alias("mapped"), F.coalesce("unmapped", F.lit(0)).alias("unmapped"))
+
+
 def tss_enrichment(profile: DataFrame, by: tuple[str, ...] = (), center: int = 50, flank: int = 100, reach: int = 2000) -> DataFrame:
     """Largest bin within ``center`` bp over the mean of the outermost ``flank`` bp, from (offset, value); null if that is 0."""
     inner = F.max(F.when(F.abs("offset") <= center, F.col("value")))

@@ -104,3 +104,51 @@ def static_violations(df: DataFrame, key: str, columns: tuple[str, ...]) -> Data
     x = df.groupBy(key).agg(*[(F.min(c) != F.max(c)).alias(c) for c in columns])
     found = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in columns]), lambda v: v.isNotNull())
     return x.select(key, F.explode(found).alias("column"))
+
+
+def compare_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Every key of either table with ``where``: both, left or right; the tables hold the same set if all are both."""
+    x, y = (t.select(key).distinct().withColumn(n, F.lit(True)) for t, n in ((a, "x"), (b, "y")))
+    where = F.when(F.col("x") & F.col("y"), "both").when(F.col("x"), "left").otherwise("right")
+    return x.join(y, key, "full").na.fill(False, ["x", "y"]).select(key, where.alias("where"))
+
+
+def require_same_keys(a: DataFrame, b: DataFrame, key: str, message: str) -> DataFrame:
+    """The keys that both tables hold; fails with ``message`` on a key that only one has."""
+    return compare_keys(a, b, key).where(F.when(F.col("where") == "both", True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))).select(key)
+
+
+def top_rows(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows of a total order, as a report shows them; each task passes on at most ``n``."""
+    return df.orderBy(*order).limit(n)
+
+
+def medians(df: DataFrame, by: tuple[str, ...], values: tuple[str, ...]) -> DataFrame:
+    """Count and, for each value, its median over the rows that have one."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), *[F.percentile(v, 0.5).alias(f"median_{v}") for v in values])
+
+
+def active_class_counts(summary: DataFrame, contexts: list[str], classes: list[str]) -> DataFrame:
+    """Elements of the high component by context and class, zeros included, from summary counts."""
+    high = summary.where("mixture_component = 'high'").groupBy("context", "regulatory_class").agg(F.sum("element_n").alias("element_n"))
+    grid = summary.sparkSession.createDataFrame([(c, k) for c in contexts for k in classes], "context string, regulatory_class string")
+    return grid.join(high, ["context", "regulatory_class"], "left").withColumn("element_n", F.coalesce("element_n", F.lit(0)))
+
+
+def report_warnings(mixtures: DataFrame, excluded: DataFrame, accepted: DataFrame, qc: DataFrame) -> DataFrame:
+    """(kind, warning): contexts whose mixture failed its guards, rejected libraries, and accepted ones without metrics.
+
+    ``mixtures``: context, mixture_supported, support_reason; ``excluded``:
+    library, reason; ``accepted`` and ``qc``: library.
+    """
+    failed = mixtures.where("not mixture_supported").select(F.lit("mixture").alias("kind"), F.concat_ws(": ", "context", "support_reason").alias("warning"))
+    rejected = excluded.select(F.lit("rejected").alias("kind"), F.concat(F.col("library"), F.lit(" rejected: "), F.coalesce("reason", F.lit("no reason recorded"))).alias("warning"))
+    missing = missing_keys(accepted, qc, "library").select(F.lit("metrics").alias("kind"), F.concat(F.lit("no metrics for "), "library").alias("warning"))
+    return failed.unionByName(rejected).unionByName(missing)
+
+
+def qc_metrics(manifest: DataFrame, flagstat: DataFrame, frip: DataFrame, peaks: DataFrame) -> DataFrame:
+    """One row for each sample of the manifest (sample, assay, layout, role): alignment counts, FRiP and peak number, null where there are none."""
+    out = manifest.join(flagstat.select("sample", "total_alignments", "mapped_alignments", "properly_paired"), "sample", "left")
+    out = out.join(frip.select("sample", "frip_numerator", "frip_denominator", "frip"), "sample", "left")
+    return out.join(peaks.groupBy("sample").agg(F.count("*").alias("peak_count")), "sample", "left")

@@ -193,6 +193,14 @@ def _em(values: str) -> str:
     return _EM.replace("{values}", values)
 
 
+@query("component_densities", f"""WITH m(context, wl, wh, ml, mh, vl, vh) AS (VALUES ('F', 0.4, 0.6, 4.2, 4.6, 0.04, 0.09), ('O', 0.5, 0.5, 4.0, 4.5, 0.02, 0.03)), g AS (SELECT *, 3.5 + k * 1.8 / 239 AS x FROM m, (SELECT unnest(range(0, 240)) AS k))
+SELECT context, CAST(k AS INTEGER) AS at, round(CAST(x AS DOUBLE), 9) AS x, round(wl * exp({_LOGD.format(v='vl', x='x', m='ml')}), 9) AS low, round(wh * exp({_LOGD.format(v='vh', x='x', m='mh')}), 9) AS high, round(wl * exp({_LOGD.format(v='vl', x='x', m='ml')}) + wh * exp({_LOGD.format(v='vh', x='x', m='mh')}), 9) AS total FROM g""")
+def densities(spark, d):
+    m = spark.createDataFrame([("F", 0.4, 0.6, 4.2, 4.6, 0.04, 0.09), ("O", 0.5, 0.5, 4.0, 4.5, 0.02, 0.03)], "context string, low_weight double, high_weight double, low_mean double, high_mean double, low_variance double, high_variance double")
+    limits = spark.createDataFrame([("F", 3.5, 5.3), ("O", 3.5, 5.3)], "context string, lower double, upper double")
+    return ct.component_densities(m, limits).withColumns({c: F.round(c, 9) for c in ("x", "low", "high", "total")})
+
+
 @query("guarded_mixture", f"""WITH RECURSIVE {_em(WINDOW_SIGNAL + ", vals AS (SELECT context, log10(max_signal) AS x FROM ws WHERE max_signal > 0)")}
 SELECT context, n AS positive_member_n, round(bic1, 2) AS bic_one_component, round(bic2, 2) AS bic_two_component, round(ml, 3) AS low_mean, round(mh, 3) AS high_mean, round(sqrt(vl), 3) AS low_sd, round(sqrt(vh), 3) AS high_sd, round(wl, 3) AS low_weight, round(wh, 3) AS high_weight, round(d, 3) AS ashman_d FROM gd""")
 def mixture(spark, d):
@@ -291,6 +299,13 @@ def clusters(spark, d):
     return rg.summit_clusters(_peaks(spark, d), 3000, 1000)
 
 
+@query("master_registry")
+def registry(spark, d):
+    sizes = a.segments(spark, d).select("chrom").distinct().withColumn("rank", F.substring("chrom", 2, 10).cast("int")).withColumn("size", F.lit(1 << 40))
+    masters, _ = rg.master_registry(_peaks(spark, d), sizes, 3000, 1000)
+    return masters.select("master_id", "chrom", "start", "end", "summit", "member_n", "context_n", "clipped")
+
+
 _MEMBERS = f"""{a.SEGMENTS}, mem AS (SELECT chrom, s // 40000 AS block, s, e, s + (e - s) // 2 AS summit, 'c' || replicate AS context, CAST(event_id AS VARCHAR) AS name FROM segments),
 mid AS (SELECT chrom, block, quantile_cont(summit, 0.5) AS middle, min(s) AS s, max(e) AS e, count(*) AS member_n, count(DISTINCT context) AS context_n FROM mem GROUP BY 1, 2),
 rep AS (SELECT chrom, block, summit FROM (SELECT m.chrom, m.block, m.summit, row_number() OVER (PARTITION BY m.chrom, m.block ORDER BY abs(m.summit - middle), m.e - m.s, context, name) AS k FROM mem m JOIN mid USING (chrom, block)) WHERE k = 1)"""

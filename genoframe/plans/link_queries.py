@@ -252,6 +252,15 @@ def coarsen(spark, d):
     return cn.coarsen_merge(a.pixels(spark, d).withColumn("chrom", F.lit("c")), 4).drop("chrom")
 
 
+@query("matrix_standardize", f"""WITH {a.PIXELS} SELECT 'all' AS context, 'c' AS chrom, least(x // f, y // f) AS bin1, greatest(x // f, y // f) AS bin2, CAST(sum(n) AS BIGINT) AS count FROM (SELECT b1 AS x, b2 AS y, n, 4 AS f FROM pixels UNION ALL SELECT b1 // 2, b2 // 2, n, 2 FROM pixels) GROUP BY 1, 2, 3, 4""")
+def standardized(spark, d):
+    p = a.pixels(spark, d)
+    fine = p.selectExpr("'all' as context", "'s1' as source", "1000 as resolution", "'c' as chrom", "bin1", "bin2", "count")
+    other = p.selectExpr("'all' as context", "'s2' as source", "2000 as resolution", "'c' as chrom", "bin1 div 2 as bin1", "bin2 div 2 as bin2", "count")
+    have = spark.createDataFrame([("all", "s1", 1000), ("all", "s1", 300), ("all", "s2", 2000), ("all", "s2", 8000)], "context string, source string, resolution int")
+    return cn.standardize(fine.unionByName(other), have, 4000)
+
+
 _DECAY = f"""{a.PIXELS}, wt AS (SELECT k AS bin, CASE WHEN k % 13 = 5 THEN NULL ELSE 0.01 * (1 + k % 7) END AS w FROM (SELECT unnest(range(0, 40)) AS k)), bal AS (SELECT b2 - b1 AS off, n * x.w * y.w AS v FROM pixels JOIN wt x ON x.bin = b1 JOIN wt y ON y.bin = b2 WHERE x.w IS NOT NULL AND y.w IS NOT NULL AND b2 > b1),
 vp AS (SELECT y.bin - x.bin AS off, count(*) AS pairs FROM wt x JOIN wt y ON y.bin > x.bin WHERE x.w IS NOT NULL AND y.w IS NOT NULL GROUP BY 1), decay AS (SELECT off, sum(v) AS contact, any_value(pairs) AS pairs, sum(v) / any_value(pairs) AS mean_contact FROM bal JOIN vp USING (off) GROUP BY 1)"""
 

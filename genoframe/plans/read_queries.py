@@ -65,6 +65,12 @@ def flagstat(spark, d):
     return rd.flagstat(a.alignments(spark, d), ("library",))
 
 
+@query("idxstats", f"""WITH {a.ALIGNMENTS}, {a.SIZES}, l AS (SELECT DISTINCT library FROM alignments), g AS (SELECT library, chrom, size FROM l CROSS JOIN sizes), c AS (SELECT library, chrom, count(*) FILTER (WHERE flag & 4 = 0) AS mapped, count(*) FILTER (WHERE flag & 4 > 0) AS unmapped FROM alignments GROUP BY 1, 2)
+SELECT library, chrom, size, coalesce(mapped, 0) AS mapped, coalesce(unmapped, 0) AS unmapped FROM g FULL JOIN c USING (library, chrom)""")
+def index_stats(spark, d):
+    return rd.idxstats(a.alignments(spark, d), a.sizes(spark), ("library",))
+
+
 @query("tss_profile_ratio", f"""WITH {a.UNITS}, {a.SITES}, o AS (SELECT u.library, CAST(floor((u.s - p.pos) / 10.0) AS BIGINT) * 10 AS "offset", count(*) AS value FROM units u JOIN sites p ON p.chrom = u.chrom AND abs(u.s - p.pos) <= 2000 GROUP BY 1, 2)
 SELECT library, CAST(max(CASE WHEN abs("offset") <= 50 THEN value END) AS DOUBLE) AS peak, round(avg(CASE WHEN abs("offset") >= 1900 THEN value END), 9) AS background,
 round(max(CASE WHEN abs("offset") <= 50 THEN value END) / avg(CASE WHEN abs("offset") >= 1900 THEN value END), 9) AS tss_enrichment FROM o GROUP BY library""")

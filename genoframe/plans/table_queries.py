@@ -171,6 +171,54 @@ def class_pivot(spark, d):
     return tb.class_pivot(x, list(CLASS_COLORS))
 
 
+@query("compare_keys", "SELECT k, CASE WHEN x AND y THEN 'both' WHEN x THEN 'left' ELSE 'right' END AS \"where\" FROM (SELECT k, bool_or(t = 0) AS x, bool_or(t = 1) AS y FROM (SELECT o_custkey AS k, 0 AS t FROM orders UNION ALL SELECT c_custkey, 1 FROM customer WHERE c_nationkey < 20) GROUP BY 1)")
+def compare(spark, d):
+    return tb.compare_keys(a.table(spark, d, "orders").selectExpr("o_custkey as k"), a.table(spark, d, "customer").where("c_nationkey < 20").selectExpr("c_custkey as k"), "k")
+
+
+@query("top_rows", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 25")
+def top(spark, d):
+    return tb.top_rows(a.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"), [F.col("l_extendedprice").desc(), "l_orderkey", "l_linenumber"], 25)
+
+
+@query("report_medians", "SELECT l_linestatus AS context, l_returnflag AS assay, count(*) AS n, quantile_cont(l_quantity, 0.5) AS median_l_quantity, round(quantile_cont(l_extendedprice, 0.5), 6) AS median_l_extendedprice FROM lineitem GROUP BY 1, 2")
+def report_medians(spark, d):
+    x = a.table(spark, d, "lineitem").withColumnsRenamed({"l_linestatus": "context", "l_returnflag": "assay"})
+    return tb.medians(x, ("context", "assay"), ("l_quantity", "l_extendedprice")).withColumn("median_l_extendedprice", F.round("median_l_extendedprice", 6))
+
+
+@query("report_active_classes", f"""WITH g AS (SELECT * FROM (VALUES ('F'), ('O'), ('P')) c(context), (VALUES {', '.join(f"('{k}')" for k in CLASS_COLORS)}) k(regulatory_class)), s AS (SELECT l_linestatus AS context, {_CLASS.format(d='((l_partkey * 7) % 2000)')} AS regulatory_class, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2)
+SELECT context, regulatory_class, coalesce(n, 0) AS element_n FROM g LEFT JOIN s USING (context, regulatory_class)""")
+def active_classes(spark, d):
+    x = a.table(spark, d, "lineitem").select(F.col("l_linestatus").alias("context"), distance_class(F.expr("(l_partkey * 7) % 2000")).alias("regulatory_class"), F.when(F.col("l_returnflag") == "A", "high").otherwise("low").alias("mixture_component"))
+    return tb.active_class_counts(x.groupBy("context", "regulatory_class", "mixture_component").agg(F.count("*").alias("element_n")), ["F", "O", "P"], list(CLASS_COLORS))
+
+
+@query("report_warnings", """SELECT 'mixture' AS kind, n_name || ': reason ' || n_regionkey AS warning FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT 'rejected', s_name || ' rejected: ' || CASE WHEN s_nationkey % 2 = 0 THEN 'nation ' || s_nationkey ELSE 'no reason recorded' END FROM supplier WHERE s_acctbal < 0
+UNION ALL SELECT 'metrics', 'no metrics for ' || c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def warnings(spark, d):
+    return tb.report_warnings(
+        a.table(spark, d, "nation").selectExpr("n_name as context", "n_nationkey % 3 <> 0 as mixture_supported", "concat('reason ', n_regionkey) as support_reason"),
+        a.table(spark, d, "supplier").where("s_acctbal < 0").selectExpr("s_name as library", "case when s_nationkey % 2 = 0 then concat('nation ', s_nationkey) end as reason"),
+        a.table(spark, d, "customer").selectExpr("cast(c_custkey as string) as library"), a.table(spark, d, "orders").selectExpr("cast(o_custkey as string) as library"),
+    )
+
+
+@query("qc_metrics", """WITH f AS (SELECT o_orderkey AS sample, 100 + o_orderkey AS total, 50 + o_orderkey AS mapped FROM orders WHERE o_orderkey % 5 <> 0), p AS (SELECT l_orderkey AS sample, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
+SELECT o_orderkey AS sample, o_orderstatus AS assay, f.total AS total_alignments, f.mapped AS mapped_alignments, CASE WHEN o_orderkey % 3 = 0 THEN f.mapped END AS properly_paired, p.n AS peak_count FROM orders LEFT JOIN f ON f.sample = o_orderkey LEFT JOIN p ON p.sample = o_orderkey""")
+def metrics(spark, d):
+    from ..sources.logs import flagstat_log
+
+    o = a.table(spark, d, "orders")
+    paired = F.expr("case when o_orderkey % 3 = 0 then concat(50 + o_orderkey, ' + 0 properly paired (90% : N/A)\n') else '' end")
+    text = F.concat(F.expr("concat(100 + o_orderkey, ' + 0 in total (QC-passed reads + QC-failed reads)\n', 50 + o_orderkey, ' + 0 mapped (99% : N/A)\n')"), paired)
+    logs = o.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("sample"), text.alias("text"))
+    none = o.where("false").selectExpr("o_orderkey as sample", "1L as frip_numerator", "1L as frip_denominator", "1D as frip")
+    peaks = a.table(spark, d, "lineitem").where("l_returnflag = 'A'").selectExpr("l_orderkey as sample")
+    out = tb.qc_metrics(o.selectExpr("o_orderkey as sample", "o_orderstatus as assay"), flagstat_log(logs), none, peaks)
+    return out.drop("frip_numerator", "frip_denominator", "frip")
+
+
 @query("qc_review_join", """WITH m AS (SELECT s_suppkey AS library, s_name AS name FROM supplier), x AS (SELECT l_suppkey AS library, count(*) AS reads FROM lineitem GROUP BY 1), h AS (SELECT l_suppkey AS library, CAST(sum(l_quantity) AS DOUBLE) AS fragments FROM lineitem GROUP BY 1 HAVING count(*) > 600), p AS (SELECT l_suppkey AS library, max(l_tax) AS tss FROM lineitem GROUP BY 1 HAVING sum(l_quantity) > 15300)
 SELECT library, name, reads, fragments, tss FROM m JOIN x USING (library) LEFT JOIN h USING (library) LEFT JOIN p USING (library)""")
 def review(spark, d):

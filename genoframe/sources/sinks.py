@@ -103,6 +103,69 @@ def igv_session(tracks: list[Mapping[str, str]], genome: str) -> str:
     return f'<?xml version="1.0" encoding="UTF-8"?>\n<Session genome={quoteattr(genome)} version="8">\n <Resources>\n{resources} </Resources>\n <Panel name="DataPanel">\n{shown} </Panel>\n</Session>\n'
 
 
+# Colours and names of the tracks of a context, in order.
+MASTER_TRACK = ("Master DHS registry", "106,27,154")
+CONTEXT_TRACKS = (
+    ("atac", "mean ATAC 150-bp Tn5 pileup (background-TMM)", "31,120,180"),
+    ("qpois", "pooled ATAC qpois signal", "117,112,179"),
+    ("h3k27ac", "mean H3K27ac signal (background-TMM)", "221,126,32"),
+    ("members", "context DHSs", "0,145,130"),
+    ("elements", "candidate cCREs (posterior-scored)", "202,61,52"),
+)
+
+
+def atlas_session(master: str, contexts: Mapping[str, Mapping[str, str]], genome: str) -> str:
+    """A session of the registry and, for each context in order, its five tracks; ``contexts``: context -> kind -> path.
+
+    Fails if a context lacks a kind.
+    """
+    kinds = {kind for kind, _, _ in CONTEXT_TRACKS}
+    for context, paths in contexts.items():
+        if set(paths) != kinds:
+            raise ValueError(f"{context}: tracks must be {sorted(kinds)}")
+    name, color = MASTER_TRACK
+    tracks = [{"name": name, "path": master, "color": color}]
+    tracks += [{"name": f"{c.upper()} | {label}", "path": contexts[c][kind], "color": rgb} for c in sorted(contexts) for kind, label, rgb in CONTEXT_TRACKS]
+    return igv_session(tracks, genome)
+
+
+def write_matrix(pixels: DataFrame, weights: DataFrame, path: str) -> None:
+    """A balanced matrix as two tables under one path: pixels (context, chrom, bin1, bin2, count) and bins (context, chrom, bin, weight)."""
+    write_table(pixels.select("context", "chrom", "bin1", "bin2", "count"), f"{path}/pixels", ("context",))
+    write_table(weights.select("context", "chrom", "bin", "weight"), f"{path}/bins", ("context",))
+
+
+def stacked_svg(rows: list[tuple[str, Mapping[str, float]]], colors: Mapping[str, str], title: str, width: int = 640) -> str:
+    """Bars of parts, for a small table of (name, part -> value); ``colors``: part -> r,g,b."""
+    from xml.sax.saxutils import escape
+
+    top = max([sum(parts.values()) for _, parts in rows], default=0) or 1
+    out = []
+    for i, (name, parts) in enumerate(rows):
+        at = 160.0
+        out.append(f'<text x="4" y="{40 + 22 * i}" font-size="12">{escape(name)}</text>')
+        for part, rgb in colors.items():
+            w = (width - 240) * parts.get(part, 0) / top
+            out.append(f'<rect x="{at:.1f}" y="{28 + 22 * i}" width="{w:.1f}" height="16" fill="rgb({rgb})"><title>{escape(part)}: {parts.get(part, 0):g}</title></rect>')
+            at += w
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{50 + 22 * len(rows)}"><text x="4" y="16" font-size="14">{escape(title)}</text>{"".join(out)}</svg>'
+
+
+def mixture_svg(bins: list[tuple[float, float, int]], curves: list[tuple[float, float, float]], title: str, width: int = 640, height: int = 240) -> str:
+    """A histogram (left, right, count) as densities, with the two component curves (x, low, high)."""
+    from xml.sax.saxutils import escape
+
+    n = sum(c for *_, c in bins) or 1
+    bars = [(a, b, c / n / (b - a)) for a, b, c in bins if b > a]
+    lo, hi = min([a for a, *_ in bars], default=0.0), max([b for _, b, _ in bars], default=1.0)
+    top = max([h for *_, h in bars] + [v for _, *vs in curves for v in vs], default=0) or 1
+    x = lambda v: 20 + (width - 40) * (v - lo) / ((hi - lo) or 1)
+    y = lambda v: height - 20 - (height - 60) * v / top
+    rects = "".join(f'<rect x="{x(a):.1f}" y="{y(h):.1f}" width="{x(b) - x(a):.1f}" height="{height - 20 - y(h):.1f}" fill="#cccccc"/>' for a, b, h in bars)
+    lines = "".join(f'<polyline fill="none" stroke="{color}" points="{" ".join(f"{x(c[0]):.1f},{y(c[k]):.1f}" for c in curves)}"/>' for k, color in ((1, "#4575b4"), (2, "#d73027")) if curves)
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}"><text x="4" y="16" font-size="14">{escape(title)}</text>{rects}{lines}</svg>'
+
+
 def bar_svg(rows: list[tuple[str, float]], title: str, width: int = 640) -> str:
     """Bars for a small table."""
     from xml.sax.saxutils import escape
