@@ -1,26 +1,32 @@
 """Token totals by source, language and tokenizer version, maintained by deltas.
 
-State is two tables: ``ledger``, the current count of every (doc_id, tokenizer
-version) that is live, and ``totals``, additive sums.  A
-batch of events (insert, revise, delete) becomes signed deltas against the
-ledger; totals only ever add deltas.  Each version of the state is a folder of
-its own that is published by its commit record, so a batch that is sent twice,
-or again after a failure half-way, counts once.
+State is a ledger, the current count of every (doc_id, tokenizer version), and
+``totals``, additive sums.  A batch of events (insert, revise, delete) becomes
+signed deltas against the ledger; totals only ever add deltas.  The ledger is
+log-structured: a batch appends the rows that it changed, in buckets by
+doc_id, and reads only the buckets and documents that it names; now and then
+the appended parts are merged into one.  A state is published by its commit
+record, so a batch that is sent twice, or again after a failure half-way,
+counts once.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .work import Work
+from .work import Work, join_checked, read_records, write_record
 
-LEDGER = "doc_id long, tokenizer string, source string, lang string, tokens long"
+#: A row of the ledger: what commit ``n`` made of a document under a tokenizer; ``live`` false: deleted.
+LEDGER = "doc_id long, tokenizer string, n long, live boolean, source string, lang string, tokens long, bucket int"
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
 KEYS = ["source", "lang", "tokenizer"]
 
+#: Buckets of the ledger by doc_id.
+BUCKETS = 64
+
 #: Tokenizer versions that count inside Spark: words between spaces, and runs of letters and digits.
 COUNTERS: dict[str, Callable[[Column], Column]] = {
     "words-1": lambda text: F.size(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))),
@@ -42,24 +48,36 @@ class TokenRollup:
     a folder for each committed batch, and a log of small commit records, the
     last of which names the current state.  A batch counts from the moment its
     record is written; what an interrupted commit left behind is never read.
+    ``max_parts`` appended parts of the ledger are merged into one.
     """
 
-    def __init__(self, work: Work, path: str | None = None):
-        self.work, self.path = work, path or f"{work.root}/store"
+    def __init__(self, work: Work, path: str | None = None, max_parts: int = 8):
+        self.work, self.path, self.max_parts = work, path or f"{work.root}/store", max_parts
         self.spark: SparkSession = work.spark
         self._load()
 
     def _load(self) -> None:
-        log = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        fs = log.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        self.done: list[str] = []
-        if fs.exists(log):
-            records = self.spark.read.schema("n long, batch string").json(f"{self.path}/log/*.json").orderBy("n").collect()  # one small row a batch
-            self.done = [r["batch"] for r in records]
+        records = read_records(self.spark, f"{self.path}/log", "n long, batch string, parts array<string>")
+        self.done: list[str] = [r["batch"] for r in records]
+        self.parts: list[str] = list(records[-1]["parts"]) if records else []
         n = len(self.done)
-        self.ledger = self.spark.read.schema(LEDGER).parquet(f"{self.path}/{n}/ledger") if n else self.spark.createDataFrame([], LEDGER)
         self.totals = self.spark.read.schema(TOTALS).parquet(f"{self.path}/{n}/totals") if n else self.spark.createDataFrame([], TOTALS)
 
+    def _ledger(self, parts: list[str]) -> DataFrame:
+        rows = [self.spark.read.schema(LEDGER).parquet(f"{self.path}/{p}") for p in parts]
+        return reduce(DataFrame.unionByName, rows) if rows else self.spark.createDataFrame([], LEDGER)
+
+    @staticmethod
+    def _current(rows: DataFrame) -> DataFrame:
+        """The last row of every key."""
+        last = F.max_by(F.struct("n", "live", "source", "lang", "tokens", "bucket"), "n")
+        return rows.groupBy("doc_id", "tokenizer").agg(last.alias("x")).select("doc_id", "tokenizer", "x.*")
+
+    @property
+    def ledger(self) -> DataFrame:
+        """doc_id, tokenizer, source, lang, tokens of all that is live."""
+        return self._current(self._ledger(self.parts)).where("live").select("doc_id", "tokenizer", "source", "lang", "tokens")
+
     def commit(self, batch_id: str, events: DataFrame) -> bool:
         """Apply events: action ('insert', 'revise', 'delete'), doc_id, tokenizer and, but for deletes, source, lang, tokens.
 
@@ -72,53 +90,62 @@ class TokenRollup:
         """
         if batch_id in self.done:
             return False
-        at = f"{self.path}/{len(self.done) + 1}"
+        n = len(self.done) + 1
+        at = f"{self.path}/{n}"
         events = events.where("doc_id is not null")
         whole = events.where("action = 'delete' and tokenizer is null").select("doc_id").distinct().withColumn("gone", F.lit(True))
-        one = Window.partitionBy("doc_id", "tokenizer").orderBy(F.when(F.col("action") == "delete", 1).otherwise(0).desc(), F.col("tokens").desc_nulls_last(), "source", "lang")
-        last = events.where("tokenizer is not null").withColumn("k", F.row_number().over(one)).where("k = 1").select("doc_id", "tokenizer", "action", F.col("source").alias("s"), F.col("lang").alias("l"), F.col("tokens").alias("t"))
-        joined = self.ledger.join(last, ["doc_id", "tokenizer"], "full").join(whole, "doc_id", "left")
+        order = F.struct(F.when(F.col("action") == "delete", 1).otherwise(0), F.coalesce("tokens", F.lit(-1)), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+        last = events.where("tokenizer is not null").groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("action", F.col("source").alias("s"), F.col("lang").alias("l"), F.col("tokens").alias("t")), order).alias("e")).select("doc_id", "tokenizer", "e.*")
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
+        named = self.work.save(events.select("doc_id").distinct(), "named")
+        if self.parts:
+            buckets = [r[0] for r in named.select(bucket.alias("b")).distinct().collect()]  # at most BUCKETS
+            before = join_checked(self._ledger(self.parts).where(F.col("bucket").isin(buckets)), named, "doc_id", "left_semi")
+        else:
+            before = self._ledger([])
+        old = self._current(before).where("live").drop("n", "live", "bucket")
+        joined = old.join(last, ["doc_id", "tokenizer"], "full").join(whole, "doc_id", "left")
         dead = F.coalesce("gone", F.lit(False)) | (F.coalesce("action", F.lit("keep")) == "delete")
         change = joined.select(
-            "doc_id", "tokenizer", F.struct("source", "lang", "tokens").alias("old"),
-            F.when(~dead & F.col("action").isNotNull(), F.struct(F.col("s").alias("source"), F.col("l").alias("lang"), F.coalesce("t", F.lit(0)).alias("tokens"))).when(~dead, F.struct("source", "lang", "tokens")).alias("new"),
-            F.col("tokens").isNotNull().alias("was"), F.col("action").isNotNull().alias("told"), dead.alias("dead"),
+            "doc_id", "tokenizer", F.struct("source", "lang", "tokens").alias("old"), F.struct(F.col("s").alias("source"), F.col("l").alias("lang"), F.coalesce("t", F.lit(0)).alias("tokens")).alias("new"),
+            F.col("tokens").isNotNull().alias("was"), (F.col("action").isNotNull() & ~dead).alias("told"), dead.alias("dead"),
         )
-        change = self.work.save(change, "change")
-        minus = change.where("was and (told or dead)").select("old.source", "old.lang", "tokenizer", F.lit(-1).alias("docs"), (-F.col("old.tokens")).alias("tokens"))
-        plus = change.where("told and not dead").select("new.source", "new.lang", "tokenizer", F.lit(1).alias("docs"), F.col("new.tokens").alias("tokens"))
+        change = self.work.save(change.where("told or (was and dead)"), "change")
+        minus = change.where("was").select("old.source", "old.lang", "tokenizer", F.lit(-1).alias("docs"), (-F.col("old.tokens")).alias("tokens"))
+        plus = change.where("told").select("new.source", "new.lang", "tokenizer", F.lit(1).alias("docs"), F.col("new.tokens").alias("tokens"))
         deltas = minus.union(plus).groupBy(*KEYS).agg(F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
         totals = self.totals.union(deltas).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
         totals.write.mode("overwrite").parquet(f"{at}/totals")
-        change.where("new is not null").select("doc_id", "tokenizer", "new.source", "new.lang", "new.tokens").write.mode("overwrite").parquet(f"{at}/ledger")
+        state = F.when(F.col("told"), F.col("new"))
+        rows = change.select("doc_id", "tokenizer", F.lit(n).cast("long").alias("n"), F.col("told").alias("live"), *[state[c].alias(c) for c in ("source", "lang", "tokens")], bucket.alias("bucket"))
+        self._append(rows, f"{n}/ledger")
+        parts = [*self.parts, f"{n}/ledger"]
+        if len(parts) > self.max_parts:
+            self._append(self._current(self._ledger(parts)).where("live"), f"{n}/merged")
+            parts = [f"{n}/merged"]
         self.work.drop(change)
-        self._record(batch_id)
+        self.work.drop(named)
+        write_record(self.spark, f"{self.path}/log", n, {"n": n, "batch": batch_id, "parts": parts})
         self._load()
         return True
 
-    def _record(self, batch_id: str) -> None:
-        """The commit: one small file that appears whole, under the number of the new state."""
-        n = len(self.done) + 1
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        made, named = hadoop(f"{self.path}/making-{n}"), hadoop(f"{self.path}/log/{n:012d}.json")
-        fs = made.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.mkdirs(named.getParent())
-        out = fs.create(made, True)
-        out.write(bytearray(json.dumps({"n": n, "batch": batch_id}).encode()))
-        out.close()
-        if fs.exists(named) or not fs.rename(made, named):
-            raise RuntimeError(f"state {n} was committed by someone else")
+    def _append(self, rows: DataFrame, part: str) -> None:
+        rows.repartition("bucket").sortWithinPartitions("bucket", "doc_id").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{part}")
 
 
 def maintained_totals(docs: DataFrame) -> DataFrame:
-    """Totals of all documents after a run of batches: inserts, a replay, a new tokenizer version, revised counts, deletes.
+    """Totals of all documents after a run of batches: inserts, a replay, a new tokenizer version, revisions, deletes, and their undoing.
 
     Documents of an even doc_id come in the first batch, the others in the
     second, with their counts by words-1; the first is sent twice.  All are
     then counted by words-2.  Documents in other languages than English get
     their words-1 counts revised to those of words-2, and documents that have
-    fewer than 20 words by words-2 are deleted.  Returns source, lang,
-    tokenizer, docs, tokens.
+    fewer than 20 words by words-2 are deleted.  A last batch takes both back,
+    so the totals are those of every document by each version's own counts.
+    Returns source, lang, tokenizer, docs, tokens.  A null text has no words;
+    a very long one is counted whole.  Rows without doc_id are ignored; rows
+    that repeat a doc_id are one document, the one with the larger count.  An
+    empty table gives no totals.  Other columns are ignored.
     """
     work = Work(docs.sparkSession, "token-counts")
     rollup = TokenRollup(work)
@@ -134,15 +161,18 @@ def maintained_totals(docs: DataFrame) -> DataFrame:
     rollup.commit("even", events(even, "words-1", "words-1", "insert"))
     rollup.commit("words-2", events(counts, "words-2", "words-2", "insert"))
     few = counts.where("`words-2` < 20").select(F.lit("delete").alias("action"), "doc_id", F.lit(None).cast("string").alias("tokenizer"), "source", "lang", F.lit(None).cast("long").alias("tokens"))
-    rollup.commit("revised", events(counts.where("lang <> 'en'"), "words-1", "words-2", "revise").unionByName(few))
+    foreign = counts.where("lang <> 'en'")
+    rollup.commit("revised", events(foreign, "words-1", "words-2", "revise").unionByName(few))
+    touched = work.save(counts.where("lang <> 'en' or `words-2` < 20").select("doc_id").distinct(), "touched")
+    again = work.save(join_checked(counts, touched, "doc_id", "left_semi"), "again")
+    rollup.commit("restored", events(again, "words-1", "words-1", "insert").unionByName(events(again, "words-2", "words-2", "insert")))
     return rollup.totals
 
 
 SQL = r"""
 WITH d AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS a,
                   len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS b FROM documents),
-t AS (SELECT source, lang, 'words-1' AS tokenizer, CASE WHEN lang <> 'en' THEN b ELSE a END AS n FROM d WHERE b >= 20
-      UNION ALL SELECT source, lang, 'words-2', b FROM d WHERE b >= 20)
+t AS (SELECT source, lang, 'words-1' AS tokenizer, a AS n FROM d UNION ALL SELECT source, lang, 'words-2', b FROM d)
 SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM t GROUP BY ALL
 """
 

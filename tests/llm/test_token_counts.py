@@ -33,9 +33,29 @@ def test_state_is_found_again(spark):
     assert totals(tc.TokenRollup(Work(spark, "test"), path=f"{work.root}/store")) == {}
 
 
+def test_a_small_commit_does_not_rewrite_the_ledger(spark):
+    work = Work(spark, "test")
+    rollup = tc.TokenRollup(work)
+    rollup.commit("a", spark.range(2000).selectExpr("'insert' action", "id doc_id", "'t' tokenizer", "'s' source", "'en' lang", "5L tokens"))
+    rollup.commit("b", spark.createDataFrame([("revise", i, "t", "s", "en", 6) for i in range(10)], EVENT))
+    assert rollup.parts == ["1/ledger", "2/ledger"] and spark.read.parquet(f"{rollup.path}/2/ledger").count() == 10
+    assert rollup.ledger.count() == 2000 and totals(rollup) == {("s", "en", "t"): (2000, 10010)}
+
+
+def test_parts_are_merged(spark):
+    rollup = tc.TokenRollup(Work(spark, "test"), max_parts=2)
+    for i in range(5):
+        rollup.commit(str(i), spark.createDataFrame([("insert", i, "t", "s", "en", 1), ("delete", i - 2, "t", None, None, None)], EVENT))
+        assert len(rollup.parts) <= 2
+    assert sorted(r.doc_id for r in rollup.ledger.collect()) == [3, 4] and totals(rollup) == {("s", "en", "t"): (2, 2)}
+
+
 def test_documents(spark):
-    rows = [(1, "a b, c " * 10, "en", "x"), (2, None, "en", "x"), (3, "é è " * 15, "fr", None), (4, "z " * 25, None, "x"), (None, "q " * 30, "en", "x"), (6, "a-b " * 10, "de", "y")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    rows = [(1, "a b, c " * 10, "en", "x", 0), (2, None, "en", "x", 0), (3, "é è " * 15, "fr", None, 0), (4, "z " * 50_000, None, "x", 0), (None, "q " * 30, "en", "x", 0), (6, "a-b " * 10, "de", "y", 0), (6, "a-b " * 10, "de", "y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, tokens int")
     out = {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in tc.maintained_totals(docs).collect()}
-    assert out == {("x", "en", "words-1"): (1, 30), ("x", "en", "words-2"): (1, 30), (None, "fr", "words-1"): (1, 30), (None, "fr", "words-2"): (1, 30), ("x", None, "words-1"): (1, 25), ("x", None, "words-2"): (1, 25), ("y", "de", "words-1"): (1, 20), ("y", "de", "words-2"): (1, 20)}
+    assert out == {
+        ("x", "en", "words-1"): (2, 30), ("x", "en", "words-2"): (2, 30), (None, "fr", "words-1"): (1, 30), (None, "fr", "words-2"): (1, 30), ("x", None, "words-1"): (1, 50_000), ("x", None, "words-2"): (1, 50_000),
+        ("y", "de", "words-1"): (1, 10), ("y", "de", "words-2"): (1, 20),
+    }
     assert tc.maintained_totals(docs.where("false")).count() == 0
