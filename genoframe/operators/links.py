@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import numbered, powerlaw_expected, sig10
 from .contacts import contact_lookup
-from .intervals import band_join, nearest
+from .intervals import TILE, band_join, nearest
 
 
 def promoters(transcripts: DataFrame, sizes: DataFrame, width: int = 1000, prefix: str = "PROM", digits: int = 8) -> DataFrame:
@@ -20,9 +20,12 @@ def promoters(transcripts: DataFrame, sizes: DataFrame, width: int = 1000, prefi
     tss = F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end") - 1)
     sites = transcripts.withColumn("tss", tss).join(F.broadcast(sizes), "chrom").where((F.col("tss") >= 0) & (F.col("tss") < F.col("size")))
     out = sites.groupBy("chrom", "rank", "size", "tss", "gene_id", "strand").agg(F.array_join(F.array_sort(F.collect_set("transcript_id")), ";").alias("transcript_ids"), F.min_by("gene_name", "line").alias("gene_name"))
-    per = out.groupBy("rank").agg(F.count("*").alias("c")).withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    n = F.row_number().over(Window.partitionBy("rank").orderBy("tss", "gene_id", "strand"))
-    out = out.withColumn("n", n).join(F.broadcast(per.select("rank", "before")), "rank")
+    # Numbers run by rank, site, gene and strand: those of a tile come after the sites of the tiles before it.
+    out = out.withColumn("tile", F.floor(F.col("tss") / TILE))
+    per = out.groupBy("rank", "tile").agg(F.count("*").alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.orderBy("rank", "tile").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    n = F.row_number().over(Window.partitionBy("rank", "tile").orderBy("tss", "gene_id", "strand"))
+    out = out.withColumn("n", n).join(per.select("rank", "tile", before.alias("before")), ["rank", "tile"])
     return out.select(numbered(prefix, digits, F.col("before") + F.col("n")).alias("promoter_id"), "gene_id", "gene_name", "chrom", "tss", "strand", F.greatest(F.col("tss") - width // 2, F.lit(0)).alias("start"), F.least(F.col("tss") + width // 2, F.col("size")).alias("end"), "transcript_ids")
 
 

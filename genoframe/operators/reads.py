@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import has_flags
-from .intervals import interval_union, overlap_join
+from .intervals import TILE, interval_union, overlap_join
 
 # SAM flag bits.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 1, 2, 4, 8, 16, 256, 512, 1024, 2048
@@ -73,7 +73,11 @@ def frip(units: DataFrame, peaks: DataFrame, by: tuple[str, ...] = ("library",),
     A unit counts at the first run of the peaks' union that it meets, so it
     counts once, and units need no id.
     """
-    runs = interval_union(peaks).withColumn("before", F.lag("end").over(Window.partitionBy("chrom").orderBy("start")))
+    runs = interval_union(peaks).withColumn("tile", F.floor(F.col("start") / TILE))
+    ends = runs.groupBy("chrom", "tile").agg(F.max("end").alias("last"))  # runs lie apart, so the furthest end is the last run's
+    carried = ends.select("chrom", "tile", F.lag("last").over(Window.partitionBy("chrom").orderBy("tile")).alias("carried"))
+    own = F.lag("end").over(Window.partitionBy("chrom", "tile").orderBy("start"))
+    runs = runs.join(carried, ["chrom", "tile"]).withColumn("before", F.coalesce(own, "carried"))
     hits = overlap_join(units.select(*by, "chrom", "start", "end"), runs.select("chrom", "start", "end", "before"), width).where("b_before is null or b_before <= start")
     inside = hits.groupBy(*by).agg(F.count("*").alias("frip_numerator"))
     total = units.groupBy(*by).agg(F.count("*").alias("frip_denominator"))

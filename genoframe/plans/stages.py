@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.sinks import content_digest, write_table, write_text_if_changed
+from ..sources.sinks import content_digest, write_table
 
 #: The stages in order.
 STAGES = ("trimming", "alignment", "qc", "master", "quantification", "catalog", "links", "report")
@@ -60,18 +60,31 @@ class StageRunner:
     stages: tuple[str, ...] = STAGES
     loaded: dict[str, DataFrame] = field(default_factory=dict)
 
-    def _checkpoint(self, stage: str) -> Path:
-        return Path(self.root) / "checkpoints" / f"{stage}.json"
+    def _checkpoint(self, stage: str):
+        """The file system of ``root``, wherever that is, and the path of a stage's record in it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/checkpoints/{stage}.json")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _record(self, stage: str, record: Mapping[str, object]) -> None:
+        """Put a stage's record in place in one step."""
+        files, path = self._checkpoint(stage)
+        made = path.suffix(".making")
+        files.mkdirs(path.getParent())
+        out = files.create(made, True)
+        out.write(bytearray((json.dumps(record, indent=1, sort_keys=True) + "\n").encode()))
+        out.close()
+        files.delete(path, False)
+        files.rename(made, path)
 
     def _table(self, stage: str, name: str) -> str:
         return f"{self.root}/{stage}/{name}"
 
     def load(self, stage: str, verify: bool = True) -> dict[str, DataFrame]:
         """Tables of a finished stage; fails if the configuration or the content is not that of the checkpoint."""
-        path = self._checkpoint(stage)
-        if not path.exists():
+        files, path = self._checkpoint(stage)
+        if not files.exists(path):
             raise CheckpointError(f"{stage} has no checkpoint")
-        record = json.loads(path.read_text())
+        record = json.loads("\n".join(r[0] for r in self.spark.read.text(path.toString(), wholetext=True).collect()))
         if record["config"] != semantic_digest(self.config):
             raise CheckpointError(f"{stage} was made with another configuration")
         tables = {}
@@ -96,7 +109,7 @@ class StageRunner:
                 back = self.spark.read.parquet(self._table(stage, name))
                 digests[name] = content_digest(back, sorted(back.columns))
                 self.loaded[name] = back
-            write_text_if_changed(self._checkpoint(stage), json.dumps({"stage": stage, "config": semantic_digest(self.config), "tables": digests}, indent=1, sort_keys=True) + "\n")
+            self._record(stage, {"stage": stage, "config": semantic_digest(self.config), "tables": digests})
         return self.loaded
 
 
