@@ -21,9 +21,14 @@ _tracked: list[list[Work]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests, one machine), one temporary folder a process."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset, on one machine, one temporary folder a process.
+
+    A cluster must name a folder that all its machines share.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="genoframe-"))
         base = _own[0]

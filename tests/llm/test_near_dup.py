@@ -88,7 +88,7 @@ def test_outliers_of_a_large_group_are_met_with_all_its_members(table):
         assert {tuple(r) for r in near_duplicates(table(rows), k=2, percent=percent).collect()} == brute(rows, 2, percent)
 
 
-def test_nothing_is_lost_where_every_document_meets_every_other(table, corpus):
+def test_nothing_is_lost_where_every_document_meets_every_other(table):
     one = Tensored(1, 1, 1, 1)  # links that the tables miss stay missed, those they find stay found
     words = [f"w{i}" for i in range(30)]
     rows = [(i, " ".join(words[: 20 + i % 10])) for i in range(60)]
@@ -123,6 +123,27 @@ def test_buckets_that_span_batches_and_partitions():
     assert run([8], [1], []) == [(8, 1, 1, True)] and run([], [], []) == []
 
 
+def test_recall_against_all_pairs(table):
+    """Families of edited copies, most pairs near 0.8: at least 0.99 of all links must lie inside components, and no component may hold a pair that no chain of links joins."""
+    import random
+
+    rng = random.Random(21)
+    rows = []
+    for f in range(60):
+        base = [f"f{f}w{j}" for j in range(rng.randint(20, 120))]
+        for _ in range(rng.randint(2, 12)):
+            w = list(base)
+            for _ in range(max(1, len(w) // rng.randint(8, 25))):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(w)))
+    sets = word_sets(rows, 2)
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = {r.doc_id: r.component_id for r in near_duplicates(table(rows), k=2).collect()}
+    want = {r[0]: r[2] for r in brute(rows, 2, 80)}
+    assert len(links) > 200 and sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
+    assert all(want[i] == want[c] for i, c in got.items())
+
+
 def test_components_of_a_hub_and_a_chain(spark):
     edges = [(0, i) for i in range(1, 500)] + [(1000 + i, 1001 + i) for i in range(300)] + [(5, 5), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), Work(spark, "test")).collect()}
