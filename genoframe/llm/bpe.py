@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os.path
 import re
 from array import array
 from collections.abc import Iterator
@@ -144,6 +145,7 @@ class Tokenizer:
             self.tokens[i] = t
         self.codes = [str(i) for i in range(len(self.tokens))]
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        self.mark = os.path.commonprefix(list(self.special)) if self.special else None  # texts without it hold no special string
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # The file's pattern in terms that hold for the simple characters above.
         plain = split.replace(r"[\p{L}]+", r"[^\W\d_]+").replace(r"[\p{N}]", r"\d").replace(r"[^\s\p{L}\p{N}]+", r"(?:[^\s\w]|_)+")
@@ -178,7 +180,7 @@ class Tokenizer:
 
     def encode(self, text: str) -> list[int]:
         known, piece = self.known, self.piece
-        if "<|" not in text:
+        if self.mark is None or self.mark not in text:
             return list(chain.from_iterable([known.get(p) or piece(p) for p in self.pieces(text)]))
         ids, at = [], 0
         for m in self.marks.finditer(text):

@@ -60,12 +60,12 @@ def format_chats(turns: DataFrame) -> DataFrame:
     ``start`` and ``length`` (code points, in ``formatted``) of the assistant
     texts, as they stand there, for a loss mask.  Turns are ordered by turn
     (nulls first), ties by role and text; repeated rows are turns of their
-    own.  Null roles and texts are empty strings; rows with a null conv_id
-    form one conversation.  An empty table gives an empty result; other
-    columns are ignored.
+    own.  Null roles and texts are empty strings; a row without conv_id
+    belongs to no other, so it is a conversation of one turn.  An empty table
+    gives an empty result; other columns are ignored.
     """
     row = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), row.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), row.alias("t")).withColumn("own", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())).groupBy("conv_id", "own").agg(F.array_sort(F.collect_list("t")).alias("t"))
     source = rows.select("conv_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source"))
     survives = lambda t: F.coalesce(parse(render_turn(t, F.lit(False))) == F.array(F.struct(t["role"].alias("role"), t["text"].alias("text"))), F.lit(False))
     same = lambda c: F.coalesce(parse(F.col(c)) == F.col("source"), F.lit(False))
@@ -125,5 +125,5 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
        CAST(sum(CASE WHEN contains(text, '<|im_') THEN length(role) + length(replace(replace(replace(text, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;')) + 31
                      ELSE length(role) + length(text) + 24 END) AS BIGINT) AS formatted_chars
-FROM c GROUP BY conv_id
+FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM c) GROUP BY conv_id, own
 """

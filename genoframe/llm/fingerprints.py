@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -121,23 +122,29 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     The next document is that of the next larger doc_id, after the largest the
     first.  Blocks are runs of doc_ids between approximate quantiles; the
     first document of each block also stands, as halo, at the end of the block
-    before.  Only block borders come to the driver, as many as there are
-    blocks.
+    before.  The driver sees two numbers a block, its border and its first
+    doc_id; they are broadcast as arrays, in which rows look up their place.
     """
     spark = docs.sparkSession
     n = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    q = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"] or []
-    cuts = sorted(set(q))
-    # A block ends with its cut; its number is how many cuts lie below the id.
-    block = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
-    firsts = {r["block"]: r["lo"] for r in docs.select("doc_id", block.alias("block")).groupBy("block").agg(F.min("doc_id").alias("lo")).collect()}
-    order = sorted(firsts)
-    before = {firsts[b]: order[i - 1] for i, b in enumerate(order)}  # first document -> the block whose end it closes
-    halo = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.create_map().cast("map<bigint,int>")
-    at = F.array(F.struct(block.cast("int").alias("block"), F.lit(False).alias("halo")), F.struct(F.element_at(halo, F.col("doc_id")).cast("int").alias("block"), F.lit(True).alias("halo")))
-    rows = docs.select("doc_id", "text", F.explode(F.filter(at, lambda x: x["block"].isNotNull())).alias("at")).select("at.block", "at.halo", "doc_id", "text")
-    return rows.repartition(n, "block").sortWithinPartitions("block", "halo", "doc_id", "text")
+    q = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"] if n > 1 else []
+    cuts = spark.sparkContext.broadcast(np.unique(np.array(q or [], np.int64)))
+    block = F.pandas_udf(lambda ids: pd.Series(np.searchsorted(cuts.value, ids.to_numpy())).astype("int32"), "int")
+    firsts = docs.select("doc_id", block("doc_id").alias("block")).groupBy("block").agg(F.min("doc_id").alias("first")).toArrow().sort_by("block")
+    # first document -> the block whose end it closes; the first of all closes the last block
+    halos = spark.sparkContext.broadcast((firsts.column("first").to_numpy(), np.roll(firsts.column("block").to_numpy(), 1)))
+
+    def places(ids: pd.Series) -> pd.DataFrame:
+        first, closes = halos.value
+        ids = ids.to_numpy()
+        at = np.minimum(np.searchsorted(first, ids), len(first) - 1)
+        return pd.DataFrame({"block": np.searchsorted(cuts.value, ids).astype(np.int32), "halo": np.where(first[at] == ids, closes[at], -1).astype(np.int32)})
+
+    at = F.pandas_udf(places, "block int, halo int")("doc_id")
+    both = F.array(F.struct(F.col("at.block").alias("block"), F.lit(False).alias("halo")), F.struct(F.col("at.halo").alias("block"), F.lit(True).alias("halo")))
+    rows = docs.select("doc_id", "text", at.alias("at")).select("doc_id", "text", F.explode(F.filter(both, lambda x: x["block"] >= 0)).alias("at"))
+    return rows.select("at.block", "at.halo", "doc_id", "text").repartition(n, "block").sortWithinPartitions("block", "halo", "doc_id", "text")
 
 
 def _edited(samples: int):

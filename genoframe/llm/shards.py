@@ -7,7 +7,7 @@ ranks.  Counts of shards are at most one apart whatever the data's skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .work import Work
 
@@ -51,8 +51,22 @@ def curve(spark, dims: int, bits: int) -> DataFrame:
     return spark.createDataFrame(rows, "cell int, h int")
 
 
+def _ranked(rows: DataFrame, column: str, side: int) -> Column:
+    """The coordinate of a value: its rank by frequency, and ``side`` - 1 for all but the ``side`` - 1 most frequent ones.
+
+    Every frequent value has a coordinate of its own, so a file that leaves
+    out a coordinate leaves out its value.  At most ``side`` - 1 values come to
+    the driver.
+    """
+    top = rows.groupBy(column).agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), column).limit(side - 1).collect()
+    out = F.lit(side - 1)
+    for i, r in reversed(list(enumerate(top))):
+        out = F.when(F.col(column) == F.lit(r[0]), i).otherwise(out)
+    return out
+
+
 def hilbert_shards(docs: DataFrame, shards: int = 8, bits: int = 4, columns: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """Deal documents into ``shards`` runs of the curve over ``columns`` (hashed) and the text's size (quantiles).
+    """Deal documents into ``shards`` runs of the curve over ``columns`` (by rank of frequency) and the text's size (quantiles).
 
     ``docs`` needs doc_id, text and the columns.  Returns doc_id, size (UTF-8
     bytes plus 1; of a null text 1), text_crc32, h (curve index), law
@@ -70,14 +84,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, bits: int = 4, columns: tup
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
-        *[F.pmod(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\0"))), F.lit(side)).cast("int").alias(f"q{i}") for i, c in enumerate(columns)],
+        *[F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(f"q{i}") for i, c in enumerate(columns)],
     )
     rows = work.save(rows, "rows")
     cuts = rows.agg(F.percentile_approx("size", [i / side for i in range(1, side)], 10_000).alias("q")).first()["q"] or []
     step = sum((F.when(F.col("size") > c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
     cell = step.cast("int")
     for i in range(len(columns)):
-        cell = cell + F.col(f"q{i}") * (side ** (i + 1))
+        cell = cell + _ranked(rows, f"q{i}", side) * (side ** (i + 1))
     table = F.broadcast(curve(spark, len(columns) + 1, bits))  # a fixed number of cells
     placed = rows.withColumn("cell", cell).join(table, "cell").select("h", "text_crc32", "doc_id", "size")
     dealt = placed.repartitionByRange("h", "text_crc32", "doc_id").sortWithinPartitions("h", "text_crc32", "doc_id")

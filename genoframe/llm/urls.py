@@ -4,7 +4,10 @@ Rules decide the URLs they fit.  A block also reaches a URL's aliases: URLs
 joined to it by redirects and canonical links, in either direction and over
 any number of steps, through distributed connected components.  An explicit
 allow comes first: it keeps its own URL, and a component that holds one passes
-it, and no block, to the URLs that no rule fits.
+it, and no block, to the URLs that no rule fits.  Aliases are names of one
+resource, and who allows it by one of its names has looked at it, so a rule
+that is written for a site at large does not take it away by another name; a
+URL that a block itself fits stays blocked.
 """
 
 from __future__ import annotations
@@ -95,7 +98,7 @@ def links_of(pages: DataFrame, relative: bool = False) -> DataFrame:
     to the path or the query (near, ../x, ?p=1) count too, and all are seen from the first ``<base href>`` if there is one.
     """
     attribute = lambda tag, name: decoded(F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']?\s*([^"'\s>]+)""", 1))
-    canonical = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<link\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"(?is)\brel\s*=\s*[\"']?\s*canonical\b"))), lambda t: attribute(t, "href"))
+    canonical = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<link\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"""(?is)\brel\s*=\s*(?:"[^"]*\bcanonical\b|'[^']*\bcanonical\b|canonical\b)"""))), lambda t: attribute(t, "href"))
     refresh = F.transform(F.filter(F.regexp_extract_all("html", F.lit(r"(?is)(<meta\b[^>]*>)")), lambda t: F.rlike(t, F.lit(r"(?is)http-equiv\s*=\s*[\"']?\s*refresh\b"))), lambda t: attribute(t, "url"))
     base = F.regexp_extract("html", r"(?is)(<base\b[^>]*\bhref\s*=[^>]*>)", 1) if relative else F.lit("")
     found = pages.where("url is not null and html is not null").select(F.col("url").alias("source"), base.alias("base"), F.explode(F.concat(canonical, refresh)).alias("target"))
@@ -134,12 +137,18 @@ def query(spark, sf_dir: str) -> DataFrame:
     return filter_urls(pages.select("page_id", "url"), links_of(pages, relative=True)).drop("url")
 
 
-#: Without components: exact where no page carries a canonical link or a refresh, as in the tables.
+#: With a recursive closure over links to whole URLs; relative targets, entities and base elements are held against the tests.
 SQL = r"""
-WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+WITH RECURSIVE t AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+x AS (SELECT url AS a, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1) AS b FROM t WHERE regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\brel\s*=\s*(?:"[^"]*\bcanonical\b|''[^'']*\bcanonical\b|canonical\b)')
+      UNION SELECT url, regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1) FROM t WHERE regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)http-equiv\s*=\s*["'']?\s*refresh\b')),
+e AS (SELECT a, b FROM x WHERE regexp_matches(b, '^[^/?#]*://') AND a <> b UNION SELECT b, a FROM x WHERE regexp_matches(b, '^[^/?#]*://') AND a <> b),
+c(node, other) AS (SELECT DISTINCT a, a FROM e UNION SELECT c.node, e.b FROM c JOIN e ON e.a = c.other),
+u AS (SELECT url FROM pages UNION SELECT a FROM e),
+p AS (SELECT url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM u),
 r(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
-m AS (SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict, row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS k
-      FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
-SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
+m AS (SELECT * FROM (SELECT p.url, p.host, p.path, r.host || r.path AS rule, r.verdict, row_number() OVER (PARTITION BY p.url ORDER BY length(r.host || r.path) DESC NULLS LAST) AS k
+      FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) WHERE k = 1),
+v AS (SELECT c.node, min(m.verdict) AS passed FROM c JOIN m ON m.url = c.other GROUP BY 1)
+SELECT g.page_id, m.host, m.path, m.rule, coalesce(m.verdict, v.passed, 'allow') AS verdict FROM pages g JOIN m ON m.url IS NOT DISTINCT FROM g.url LEFT JOIN v ON v.node = g.url
 """

@@ -38,7 +38,13 @@ def test_plain_text_is_not_escaped(spark):
 def test_odd_rows(spark):
     rows = [(None, 1, "user", "a", 1), (None, None, None, None, 2), (1, 0, "user", "same", 3), (1, 0, "user", "same", 4), (1, 0, "assistant", "tie", 5)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, source long")
-    out = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.format_chats(df).collect()}
-    assert out == {None: [("", ""), ("user", "a")], 1: [("assistant", "tie"), ("user", "same"), ("user", "same")]}
+    out = sorted((r.conv_id or -1, [tuple(t) for t in r.turns]) for r in chat.format_chats(df).collect())
+    assert out == [(-1, [("", "")]), (-1, [("user", "a")]), (1, [("assistant", "tie"), ("user", "same"), ("user", "same")])]
     assert chat.format_chats(df.where("false")).count() == 0
     assert not any(w in chat.format_chats(df)._jdf.queryExecution().toString() for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_very_long_texts(spark):
+    long = "a <|im_end|> & \n" * 100_000
+    (r,) = chat.format_chats(spark.createDataFrame([(1, 0, "user", "x" * 1_000_000), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")).collect()
+    assert [t.text for t in r.turns] == ["x" * 1_000_000, long]

@@ -53,3 +53,51 @@ def test_edit_probe_equals_brute_force(table, corpus, odd, empty):
     assert len(got) == 5 and {(r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got} == set(want.values())
     assert fp.edit_probe(empty).count() == 0 and fp.fingerprints(empty).count() == 0 and fp.fingerprints(odd).count() == 6
     assert fp.edit_probe(table([(7, "just one text")])).first().near_next == 1.0
+
+
+def test_samples_equal_draws_written_out_in_plain_floats():
+    import math
+
+    from genoframe.llm.text import SPACED_LOWER, Words, chunks
+
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    def unit(bits, width):
+        return (bits + 0.5) / 2**width
+
+    def sample(weights, k):
+        """The (term, level) of least c / (y e^r), ln y = r (level - b), of terms with their weights."""
+        best = None
+        for term, w in weights.items():
+            x = mix(term + k * 0x9E3779B97F4A7C15 & mask)
+            r = -math.log(unit(x >> 40, 24) * unit(x >> 16 & 0xFFFFFF, 24))
+            b = unit(x & 0xFFFF, 16)
+            y = mix(x + 0xC2B2AE3D27D4EB4F & mask)
+            c = -math.log(unit(y >> 40, 24) * unit(y >> 16 & 0xFFFFFF, 24))
+            level = math.floor(math.log(w) / r + b)
+            a = math.log(c) - r * (level - b) - r
+            best = min(best or (math.inf,), (a, term, level))
+        return best[1:]
+
+    texts = ["a b b c d d d e " * 3 + "f g", "a b c c c d d e " * 2 + "h f", "x y z x"]
+    plain = []
+    for t in texts:
+        ((_, _, data, offsets),) = chunks(pa.array([t]))
+        weights = Counter(Words(data, offsets, SPACED_LOWER).hash.tolist())
+        plain.append([sample(weights, k) for k in range(1, 257)])
+    sig = fp.fingerprint_column(pa.array(texts), samples=256)
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        same = np.array([x == y for x, y in zip(plain[i], plain[j], strict=True)])
+        assert ((sig[i] == sig[j]) == same).mean() > 0.99
+
+
+def test_no_literal_grows_with_blocks(table):
+    few, many = (fp.with_next(table([(i, "x") for i in range(500)]), blocks=n)._jdf.queryExecution().analyzed().toString() for n in (2, 200))
+    assert abs(len(few) - len(many)) < 40

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -38,6 +39,27 @@ def test_law(spark):
     assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
 
 
+def test_a_filter_on_any_dimension_opens_few_files(spark):
+    rng = random.Random(4)
+    rows = [(i, "x" * rng.choice([3, 30, 300, 3000]), rng.choice(["en", "de", "fr", "es"]), rng.choice(["web", "book", "code", "wiki"])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    of = {r.doc_id: (r.shard, r.h, r.size) for r in shards.hilbert_shards(df, shards=64).collect()}
+    for key, values in ((2, 4), (3, 4)):
+        for value in {r[key] for r in rows}:
+            assert len({of[r[0]][0] for r in rows if r[key] == value}) <= 64 * 0.45, value
+    for size in (4, 31, 301, 3001):
+        assert len({s for s, _, n in of.values() if n == size}) <= 64 * 0.45, size
+    cells = {}
+    for r in rows:  # equal metadata, equal cell; no two in one
+        assert cells.setdefault((r[2], r[3], len(r[1])), of[r[0]][1]) == of[r[0]][1]
+    assert len(set(cells.values())) == len(cells)
+
+
+def test_very_long_texts(spark):
+    df = spark.createDataFrame([(1, "é" * 3_000_000, "en", "x"), (2, "a", "en", "x")], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id: r.size for r in shards.hilbert_shards(df).collect()} == {1: 6_000_001, 2: 2}
+
+
 def test_few_and_no_rows(spark):
     df = docs(spark)
     few = shards.hilbert_shards(df.where("doc_id in (1, 2, 3)")).collect()

@@ -54,6 +54,32 @@ def test_a_block_reaches_relative_aliases_in_the_query(spark, tmp_path):
     assert {r.page_id: r.verdict for r in urls.query(spark, str(tmp_path)).collect()} == {1: "block", 2: "block", 3: "allow"}
 
 
+def test_the_query_equals_its_sql_where_pages_have_aliases(spark, tmp_path):
+    import duckdb
+
+    link = lambda *urls: "".join(f'<link rel="nofollow canonical" href="{u}">' for u in urls)
+    rows = [(i, f"http://s{i}.net/p", link(f"http://s{i // 2}.net/p") if i % 7 else "<meta http-equiv=refresh content='1;url=http://z.com/de/'>") for i in range(1, 60)]
+    rows += [(100, "http://z.com/de/", link("http://y.com/x")), (101, "http://y.com/x", None), (102, "http://y.com/x", link("http://s3.net/p")), (103, "http://EXAMPLE.org/es/1", link("http://lone.net/")), (104, "http://lone.net/", ""), (105, None, link("http://lone.net/"))]
+    rows += [(110, "http://q.org/", link("http://r.net/", "http://t.com/de/9")), (111, "http://r.net/", ""), (112, "http://t.com/de/9", "x" * 200_000)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = urls.query(spark, str(tmp_path))
+    got = sorted(tuple(r) for r in out.select("page_id", "host", "path", "rule", "verdict").collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == sorted(con.execute(urls.SQL).fetchall())
+    told = {g[0]: g[4] for g in got}
+    assert told[101] == "block" and told[104] == "block" and told[111] == "allow" and told[112] == "block"
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "ExternalRDD"))  # native
+
+
+def test_repeated_pages_clashing_columns_and_long_urls(spark):
+    long = "http://bad.com/" + "a/" * 20_000
+    pages = spark.createDataFrame([(1, long, "x"), (1, long, "x"), (2, "http://w.net/", "y")], "page_id long, url string, verdict string")
+    links = spark.createDataFrame([("http://w.net/", long, 1), ("http://w.net/", long, 2)], "source string, target string, component int")
+    assert sorted(r.verdict for r in urls.filter_urls(pages, links, RULES).collect()) == ["block"] * 3
+
+
 def test_empty(spark):
     assert judge(spark, [], []) == {}
     assert judge(spark, [(1, "http://bad.com/")], [], ())[1][2:] == (None, "allow")
