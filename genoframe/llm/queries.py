@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, fingerprints, near_dup, shards, substring, token_counts, toxicity, urls
+from . import bpe, chat, collocations, decontam, fingerprints, near_dup, shards, substring, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_round_trip": chat.query,
     "op9_url_filter": urls.query,
     "op10_hilbert_shards": shards.query,
+    "op11_collocations": collocations.query,
 }
 
 #: None for op2, op3, op4 and op10: samples, learned scores, token ids and curve cells are tested by brute force.
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op7_token_rollup": token_counts.SQL,
     "op8_chat_round_trip": chat.SQL,
     "op9_url_filter": urls.SQL,
+    "op11_collocations": collocations.SQL,
 }
