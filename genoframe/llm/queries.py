@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, collocations, decontam, fingerprints, near_dup, shards, substring, token_counts, toxicity, urls
+from . import bpe, chat, collocations, decontam, fingerprints, near_dup, pii, shards, substring, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.query,
@@ -16,9 +16,10 @@ QUERIES = {
     "op9_url_filter": urls.query,
     "op10_hilbert_shards": shards.query,
     "op11_collocations": collocations.query,
+    "op12_personal_data": pii.query,
 }
 
-#: None for op2, op3, op4 and op10: samples, learned scores, token ids and curve cells are tested by brute force.
+#: None for op2, op3, op4, op10 and op12: samples, learned scores, token ids and curve cells are tested by brute force.
 ORACLE_SQL = {
     "op1_minhash_near_dedup": near_dup.SQL,
     "op5_decontamination": decontam.SQL,
