@@ -10,11 +10,12 @@ sorted in reverse, and one stack of ``longest`` entries counts every prefix.
 Only the prefixes that stand at the edges of a range may go on elsewhere;
 their parts are added up afterwards.
 
-What cannot be frequent is cut before the shuffle: a first pass counts words
-and pairs of words in the slots of a sketch of fixed size.  A slot's count is
-never below that of a word or pair in it, so a slot below ``least`` proves
-them rare, and a suffix ends before a rare pair.  The sketch cannot change a
-result; where it fills up, suffixes only stay longer.
+What cannot be frequent is cut before the shuffle: two passes count words and
+pairs of words, then longer runs of frequent pairs, in the slots of sketches
+of fixed size.  A slot's count is never below that of a run in it, so a slot
+below ``least`` proves its runs rare, and a suffix ends before it would become
+rare.  The sketches cannot change a result; where they fill up (beyond about
+ten thousand million rare runs), suffixes only stay longer.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ def _escaped(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, offsets + np.concatenate([[0], np.cumsum(low)])[offsets]
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple]:
-    """(words, language of each word, languages, slots of words, slots of pairs, pair: word and next one lie in one piece)."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(words, language of each word, languages, hashes of the words, whether a word and the next one lie in one piece)."""
     for batch in batches:
         langs = batch.column("lang").fill_null("und").dictionary_encode()
         names = langs.dictionary.to_pylist()
@@ -68,28 +69,55 @@ def _pieces(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple]:
             breaks = np.concatenate([[0], np.cumsum(_BREAK[data])])[words.start]
             pair[:-1] = breaks[1:] == breaks[:-1]
             pair[words.offset[1:][words.counts > 0] - 1] = False
-            one = mix(words.hash + seeds[lang])
-            two = np.zeros(len(one), U)
-            two[:-1] = mix(one[:-1] * _STEP + one[1:])
-            yield words, lang, names, (one >> U(64 - bits)).astype(np.int64), (two >> U(64 - bits)).astype(np.int64), pair
-
-
-def _sketch(bits: int, least: int):
-    """(row, counts): a task's counts of words and pairs by slot, up to ``least``."""
+            yield words, lang, names, mix(words.hash + seeds[lang]), pair
+
+
+def _grams(one: np.ndarray, pair: np.ndarray, longest: int, bits: int, often: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, slots, places) for runs of n words: all their parts may be frequent by the bitmaps in ``often`` (words and pairs, longer runs)."""
+    shift, count = U(64 - bits), len(one)
+    now, goes = one, np.ones(count, bool)
+    for n in range(1, longest + 1):
+        if n > 1:  # the run of n - 1 words at a place and at the next one, and the word that this one adds
+            goes[: count - 1] &= goes[1:] & pair[: count - 1]
+            goes[count - 1] = False
+            longer = now.copy()
+            longer[: max(0, count - n + 1)] = mix(now[: max(0, count - n + 1)] * _STEP + one[n - 1 :])
+            now = longer
+        slots = (now >> shift).astype(np.int64)
+        known = often[0] if n < 3 and often else often[1] if n > 2 and len(often) > 1 else None
+        if known is not None:
+            goes &= known[slots]
+        yield n, slots, goes.copy()
+
+
+def _add(total: np.ndarray, slots: list[np.ndarray], most: int) -> None:
+    slot, c = np.unique(np.concatenate(slots), return_counts=True)
+    total[slot] = np.minimum(total[slot] + c, most)
+
+
+def _sketch(longest: int, bits: int, least: int, shared: list):
+    """(row, at, counts): a task's counts by slot, up to ``least``, of what no bitmap tells about yet; ``at``: slots of the row, none if all are given."""
     kind = np.uint8 if least < 256 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held = np.zeros(1 << bits, np.int64), []
-        for _, _, _, one, two, pair in _pieces(batches, bits):
-            held += [one, two[pair]]
+        often = [np.unpackbits(x.value).astype(bool) for x in shared]
+        total, held = np.zeros(1 << bits, kind), []
+        for *_, one, pair in _pieces(batches):
+            held += [slots[goes] for n, slots, goes in _grams(one, pair, longest if often else 2, bits, often) if not often or n > 2]
             if sum(len(x) for x in held) > _GATHERED:
-                total += np.bincount(np.concatenate(held), minlength=1 << bits)
+                _add(total, held, least)
                 held.clear()
         if held:
-            total += np.bincount(np.concatenate(held), minlength=1 << bits)
-        rows = np.minimum(total, least).astype(kind).reshape(-1, _ROW)
-        some = np.flatnonzero(rows.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([rows[i].tobytes() for i in some], pa.binary())], names=["row", "counts"])
+            _add(total, held, least)
+        rows = total.reshape(-1, _ROW)
+        for first in range(0, len(rows), 256):
+            out = []
+            for i in range(first, min(first + 256, len(rows))):
+                at = np.flatnonzero(rows[i])
+                if len(at):
+                    few = len(at) < _ROW // 4
+                    out.append((i, at.astype(np.uint16).tobytes() if few else None, (rows[i][at] if few else rows[i]).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["row", "at", "counts"])
 
     return run
 
@@ -105,12 +133,15 @@ def _often(least: int):
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["row", "bits"])
 
         for batch in batches:
-            for row, counts in zip(batch.column("row").to_pylist(), batch.column("counts"), strict=True):
+            for row, at, counts in zip(*(batch.column(c).to_pylist() for c in ("row", "at", "counts")), strict=True):
                 if row != now:
                     if now is not None:
                         yield made()
                     now, total = row, np.zeros(_ROW, np.int64)
-                total += np.frombuffer(counts.as_buffer(), kind)
+                if at is None:
+                    total += np.frombuffer(counts, kind)
+                else:
+                    total[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, kind)
         if now is not None:
             yield made()
 
@@ -122,11 +153,11 @@ def _counted(tables: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(tables).group_by(["lang", "suffix"], use_threads=False).aggregate([("c", "sum")]).rename_columns(["lang", "suffix", "c"])
 
 
-def _suffixes(longest: int, bits: int, shared):
+def _suffixes(longest: int, bits: int, shared: list):
     """(lang, suffix, c): suffixes of places whose first word may be frequent, words with byte 0 between them; the empty one counts all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.unpackbits(shared.value).astype(bool)
+        often = [np.unpackbits(x.value).astype(bool) for x in shared]
         total: dict[str, int] = {}
         held: list[pa.Table] = []
         gathered, counted = 0, None
@@ -134,24 +165,19 @@ def _suffixes(longest: int, bits: int, shared):
         def given(table: pa.Table) -> Iterator[pa.RecordBatch]:
             return iter(table.cast(pa.schema([("lang", pa.string()), ("suffix", pa.string()), ("c", pa.int64())])).to_batches(max_chunksize=50_000))
 
-        for words, lang, names, one, two, pair in _pieces(batches, bits):
+        for words, lang, names, one, pair in _pieces(batches):
             for code, n in enumerate(np.bincount(lang, minlength=len(names)).tolist()):
                 total[names[code]] = total.get(names[code], 0) + n
-            first = often[one]
-            follows = pair & first & often[two]
-            follows[:-1] &= first[1:]
-            goes, length = first.copy(), first.astype(np.int64)
-            for step in range(1, longest):
-                goes[: len(goes) - step] &= follows[step - 1 : len(follows) - 1]
-                goes[max(0, len(goes) - step) :] = False
-                length += goes
+            length = np.zeros(len(one), np.int64)
+            for n, _, goes in _grams(one, pair, longest, bits, often):
+                length[goes] = n
             # All words, byte 0 after each; a suffix is a slice of that.
             size = words.end - words.start + 1
             at = np.concatenate([[0], np.cumsum(size)])
             source = np.repeat(words.start - at[:-1], size) + np.arange(at[-1])
             joined = _WORDS[1][words.data[np.minimum(source, len(words.data) - 1)]]
             joined[at[1:] - 1] = 0
-            kept = np.flatnonzero(first)
+            kept = np.flatnonzero(length)
             begin, end = at[kept], at[kept + length[kept]] - 1
             to = np.concatenate([[0], np.cumsum(end - begin)])
             body = joined[np.repeat(begin - to[:-1], end - begin) + np.arange(to[-1])]
@@ -223,15 +249,17 @@ def _prefixes(least: int):
 SCORE = "(cast(1000 as decimal(4, 0)) * cast(a as decimal(19, 0)) * cast(n as decimal(19, 0))) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))"
 
 
-def frequent_phrases(docs: DataFrame, work: Work, longest: int = 5, least: int = 100, sketch_bits: int = 22) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, work: Work, longest: int = 5, least: int = 100, sketch_bits: int = 24) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of all phrases of 1 to ``longest`` words that stand ``least`` times or more, words joined by byte 0, and (lang, n) of all words."""
     docs = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    parts = docs.mapInArrow(lean(_sketch(sketch_bits, least)), "row int, counts binary")
-    rows = parts.repartition("row").sortWithinPartitions("row").mapInArrow(lean(_often(least)), "row int, bits binary")
-    often = np.zeros((max(1, (1 << sketch_bits) // _ROW), _ROW // 8), np.uint8)
-    for row, bits in rows.collect():  # 2 ** sketch_bits bits in all
-        often[row] = np.frombuffer(bits, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(often.reshape(-1))
+    shared = []
+    for _ in range(2 if longest > 2 else 1):  # words and pairs, then longer runs of them
+        parts = docs.mapInArrow(lean(_sketch(longest, sketch_bits, least, shared)), "row int, at binary, counts binary")
+        rows = parts.repartition("row").sortWithinPartitions("row").mapInArrow(lean(_often(least)), "row int, bits binary")
+        often = np.zeros((max(1, (1 << sketch_bits) // _ROW), _ROW // 8), np.uint8)
+        for row, bits in rows.collect():  # 2 ** sketch_bits bits in all
+            often[row] = np.frombuffer(bits, np.uint8)
+        shared.append(docs.sparkSession.sparkContext.broadcast(often.reshape(-1)))
     suffixes = work.save(docs.mapInArrow(lean(_suffixes(longest, sketch_bits, shared)), "lang string, suffix string, c long"), "suffixes")
     order = ["lang", F.desc("suffix")]
     dealt = suffixes.where("suffix <> ''").repartitionByRange(*order).sortWithinPartitions(*order)
@@ -240,7 +268,7 @@ def frequent_phrases(docs: DataFrame, work: Work, longest: int = 5, least: int =
     return work.save(phrases, "phrases"), work.save(suffixes.where("suffix = ''").groupBy("lang").agg(F.sum("c").alias("n")), "words")
 
 
-def collocations(docs: DataFrame, longest: int = 5, least: int = 100, cover: int = 100, top: int | None = 2000, sketch_bits: int = 22) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = 5, least: int = 100, cover: int = 100, top: int | None = 2000, sketch_bits: int = 24) -> DataFrame:
     """Phrases of 2 to ``longest`` words that stand together more often than their parts would, by language.
 
     ``docs`` needs text and lang (null: ``und``); other columns, whatever

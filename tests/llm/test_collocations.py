@@ -47,7 +47,7 @@ def rows():
     return [*out, ("en", None), ("en", ""), ("fr", " . \n"), ("en", "A b C. " * 4000), ("de", "a " * 500)]
 
 
-@pytest.mark.parametrize("bits", [12, 22])
+@pytest.mark.parametrize("bits", [12, 24])
 def test_equals_brute_force(spark, rows, bits):
     df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
     assert found(df, least=3, sketch_bits=bits) == brute(rows)
