@@ -10,15 +10,19 @@ from .intervals import count_overlaps
 LIBRARY = ("library", "assay", "context")
 
 
-def library_signal(elements: DataFrame, units: DataFrame, width: int = 1024) -> DataFrame:
-    """Every element in every library: raw_count, total_units (all units, wherever they lie) and cpm_per_kb."""
-    totals = units.groupBy(*LIBRARY).agg(F.count("*").alias("total_units"))
-    counts = count_overlaps(elements, units, width, by=LIBRARY)
+def signal_of_counts(elements: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """Every element in every library of ``totals`` (library, assay, context, total_units): raw_count (0 without a row in ``counts``) and cpm_per_kb."""
     grid = elements.select("id", "chrom", "start", "end").crossJoin(F.broadcast(totals))  # elements x libraries is the result
     out = grid.join(counts, ["id", *LIBRARY], "left").withColumn("raw_count", F.coalesce("raw_count", F.lit(0)))
     return out.withColumn("cpm_per_kb", cpm_per_kb("raw_count", "total_units", F.col("end") - F.col("start")))
 
 
+def library_signal(elements: DataFrame, units: DataFrame, width: int = 1024) -> DataFrame:
+    """Every element in every library: raw_count, total_units (all units, wherever they lie) and cpm_per_kb."""
+    totals = units.groupBy(*LIBRARY).agg(F.count("*").alias("total_units"))
+    return signal_of_counts(elements, count_overlaps(elements, units, width, by=LIBRARY), totals)
+
+
 def replicate_aggregate(signal: DataFrame, value: str = "cpm_per_kb") -> DataFrame:
     """Per (id, context, assay): replicates, their sorted ids, sums, mean and sample sd (0 for one replicate)."""
     return signal.groupBy("id", "context", "assay").agg(
