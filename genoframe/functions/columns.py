@@ -70,10 +70,10 @@ def gaussian_log_density(x: ColumnLike, mean: ColumnLike, variance: ColumnLike)
 
 
 def posterior_high(x: ColumnLike, low: tuple, high: tuple) -> Column:
-    """Posterior of the high component; low and high are (weight, mean, variance); by log-sum-exp."""
+    """Posterior of the high component; low and high are (weight, mean, variance); by log-sum-exp; null where any of them is."""
     a = F.log(col(low[0])) + gaussian_log_density(x, low[1], low[2])
     b = F.log(col(high[0])) + gaussian_log_density(x, high[1], high[2])
-    return 1 / (1 + F.exp(F.greatest(F.least(a - b, F.lit(700.0)), F.lit(-700.0))))
+    return F.when((a - b).isNotNull(), 1 / (1 + F.exp(F.greatest(F.least(a - b, F.lit(700.0)), F.lit(-700.0)))))
 
 
 def sig10(x: ColumnLike) -> Column:

@@ -202,7 +202,7 @@ def densities(spark, d):
 
 
 @query("guarded_mixture", f"""WITH RECURSIVE {_em(WINDOW_SIGNAL + ", vals AS (SELECT context, log10(max_signal) AS x FROM ws WHERE max_signal > 0)")}
-SELECT context, n AS positive_member_n, round(bic1, 2) AS bic_one_component, round(bic2, 2) AS bic_two_component, round(ml, 3) AS low_mean, round(mh, 3) AS high_mean, round(sqrt(vl), 3) AS low_sd, round(sqrt(vh), 3) AS high_sd, round(wl, 3) AS low_weight, round(wh, 3) AS high_weight, round(d, 3) AS ashman_d FROM gd""")
+SELECT context, n AS positive_member_n, {', '.join(f"CASE WHEN n >= 200 THEN round({x}, {k}) END AS {c}" for c, x, k in (('bic_one_component', 'bic1', 2), ('bic_two_component', 'bic2', 2), ('low_mean', 'ml', 3), ('high_mean', 'mh', 3), ('low_sd', 'sqrt(vl)', 3), ('high_sd', 'sqrt(vh)', 3), ('low_weight', 'wl', 3), ('high_weight', 'wh', 3), ('ashman_d', 'd', 3)))} FROM gd""")
 def mixture(spark, d):
     s = window_signal(spark, d).where("max_signal > 0").select("context", F.log10("max_signal").alias("log10_signal"))
     digits = {"bic_one_component": 2, "bic_two_component": 2} | dict.fromkeys(("low_mean", "high_mean", "low_sd", "high_sd", "low_weight", "high_weight", "ashman_d"), 3)
@@ -233,10 +233,10 @@ z AS (SELECT context, avg(x) AS zm, stddev_pop(x) AS zs FROM sg GROUP BY 1), nea
 cv AS (SELECT x.id, sum(least(x.e, b.e) - greatest(x.s, b.s)) AS bp FROM elements x JOIN bk b ON b.chrom = x.chrom AND b.s < x.e AND x.s < b.e GROUP BY 1)""") + f""",
 cr AS (SELECT *, 1 / (2 * vl) - 1 / (2 * vh) AS qa, mh / vh - ml / vl AS qb, ln(wh / wl) + ln(vl / vh) / 2 + ml * ml / (2 * vl) - mh * mh / (2 * vh) AS qc FROM gd),
 cs AS (SELECT *, len(list_filter([(-qb + sqrt(greatest(qb * qb - 4 * qa * qc, 0))) / (2 * qa), (-qb - sqrt(greatest(qb * qb - 4 * qa * qc, 0))) / (2 * qa)], lambda r: r BETWEEN ml AND mh)) = 1 AND qb * qb > 4 * qa * qc AS crossed FROM cr),
-mx AS (SELECT *, array_to_string(list_filter([CASE WHEN bic1 - bic2 < 10 THEN 'delta_bic_below_10' END, CASE WHEN d < 2 THEN 'ashman_d_below_2' END, CASE WHEN least(wl, wh) < 0.1 THEN 'minor_component_below_0.10' END, CASE WHEN NOT crossed THEN 'no_unique_posterior_crossing_between_means' END], lambda r: r IS NOT NULL), ';') AS failures FROM cs),
+mx AS (SELECT *, CASE WHEN n < 200 THEN 'insufficient_positive_members' ELSE array_to_string(list_filter([CASE WHEN bic1 - bic2 < 10 THEN 'delta_bic_below_10' END, CASE WHEN d < 2 THEN 'ashman_d_below_2' END, CASE WHEN least(wl, wh) < 0.1 THEN 'minor_component_below_0.10' END, CASE WHEN NOT crossed THEN 'no_unique_posterior_crossing_between_means' END], lambda r: r IS NOT NULL), ';') END AS failures FROM cs),
 ca AS (SELECT e.id AS master_dhs_id, e.chrom, e.s, e.e, e.summit, e.e - e.s AS width_bp, CAST(cv.bp IS NOT NULL AS INTEGER) AS blacklist_overlap, CAST(coalesce(cv.bp, 0) AS BIGINT) AS blacklist_overlap_bp, coalesce(cv.bp, 0) / (e.e - e.s) AS blacklist_overlap_fraction, sg.context, CAST(sg.member AS INTEGER) AS context_membership, nn.distance AS nearest_tss_distance_bp, nn.names AS nearest_tss_ids,
 CASE WHEN nn.distance IS NULL THEN 'unclassified_no_tss_on_contig' WHEN nn.distance <= 500 THEN 'promoter_associated' WHEN nn.distance <= 1000 THEN 'proximal_enhancer_like' ELSE 'distal_enhancer_like' END AS regulatory_class, act.atac_mean AS atac, CAST(hn.k AS INTEGER) AS h3k27ac_library_n, hn.ids AS h3k27ac_library_ids, sg.* EXCLUDE (id, context, member, x), (sg.x - z.zm) / nullif(z.zs, 0) AS zz,
-CASE WHEN sg.member AND sg.signal > 0 THEN 1 / (1 + exp((ln(wl) + {_LOGD.format(v='vl', x='sg.x', m='ml')}) - (ln(wh) + {_LOGD.format(v='vh', x='sg.x', m='mh')}))) END AS p, mx.failures, sg.member FROM sg JOIN elements e USING (id) LEFT JOIN nn USING (id) LEFT JOIN cv USING (id) JOIN act ON act.id = sg.id AND act.context = sg.context JOIN hn ON hn.context = sg.context JOIN z ON z.context = sg.context JOIN mx ON mx.context = sg.context)"""
+CASE WHEN sg.member AND sg.signal > 0 AND mx.n >= 200 THEN 1 / (1 + exp((ln(wl) + {_LOGD.format(v='vl', x='sg.x', m='ml')}) - (ln(wh) + {_LOGD.format(v='vh', x='sg.x', m='mh')}))) END AS p, mx.failures, sg.member FROM sg JOIN elements e USING (id) LEFT JOIN nn USING (id) LEFT JOIN cv USING (id) JOIN act ON act.id = sg.id AND act.context = sg.context JOIN hn ON hn.context = sg.context JOIN z ON z.context = sg.context JOIN mx ON mx.context = sg.context)"""
 _REGULATORY_LONG = f"""WITH RECURSIVE {_REGULATORY} SELECT master_dhs_id, chrom, s, e, summit, width_bp, blacklist_overlap, blacklist_overlap_bp, round(blacklist_overlap_fraction, 6) AS blacklist_overlap_fraction, context, context_membership, nearest_tss_distance_bp, coalesce(nearest_tss_ids, '') AS nearest_tss_ids, regulatory_class, round(atac, 5) AS atac_normalized_cpm_per_kb,
 h3k27ac_library_n, h3k27ac_library_ids, {', '.join(f"{w}_width AS h3k27ac_{w}_width_bp, {w}_raw AS h3k27ac_{w}_raw_count_sum, round({w}_cpm, 5) AS h3k27ac_{w}_cpm_per_kb, round({w}_norm, 5) AS h3k27ac_{w}_normalized_cpm_per_kb" for w in ('left_500', 'center_500', 'right_500'))}, round(signal, 5) AS h3k27ac_max_500_normalized_cpm_per_kb,
 winner AS h3k27ac_max_500_window, round(mean1500, 5) AS h3k27ac_mean_1500_normalized_cpm_per_kb, round(zz, 5) AS h3k27ac_log10_z, CASE WHEN signal <= 0 THEN 'no_h3k27ac_signal' WHEN zz > 1.64 THEN 'high_z_gt_1.64' WHEN zz > 1 THEN 'moderate_z_gt_1' ELSE 'lower_z_le_1' END AS h3k27ac_z_tier, CAST(failures = '' AS INTEGER) AS mixture_supported,

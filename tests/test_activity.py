@@ -124,3 +124,11 @@ def test_rounding_rules(spark):
     x = spark.createDataFrame([(1.23456789012345, 0.0025), (123456789.876, None)], "v double, p double")
     got = [tuple(r) for r in x.select(cl.sig10("v"), cl.bed9_score("p")).collect()]
     assert got == [(1.23456789, 2), (123456789.9, 0)]
+
+
+def test_posterior_is_null_without_a_fit(spark):
+    from genoframe.operators.catalog import posterior
+
+    rows = [(1.0, 0.5, 0.0, 1.0, 0.5, 2.0, 1.0), (1.0, None, None, None, None, None, None), (None, 0.5, 0.0, 1.0, 0.5, 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "log10_signal double, low_weight double, low_mean double, low_variance double, high_weight double, high_mean double, high_variance double")
+    assert [r.p for r in df.select(posterior().alias("p")).collect()] == [0.5, None, None]
