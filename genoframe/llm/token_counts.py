@@ -12,6 +12,7 @@ counts once.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,8 +25,8 @@ LEDGER = "doc_id long, tokenizer string, n long, live boolean, source string, la
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
 KEYS = ["source", "lang", "tokenizer"]
 
-#: Buckets of the ledger by doc_id.
-BUCKETS = 64
+#: Buckets of a ledger by doc_id at least, and rows that a bucket is meant to hold; their number grows when parts are merged.
+BUCKETS, BUCKET_ROWS = 64, 500_000
 
 #: Tokenizer versions that count inside Spark: words between spaces, and runs of letters and digits.
 COUNTERS: dict[str, Callable[[Column], Column]] = {
@@ -45,28 +46,38 @@ class TokenRollup:
     """The maintained totals; ``commit`` applies a batch once, however often it is sent.
 
     The state lives in ``path`` (a folder of the work's own if none is given):
-    a folder for each committed batch, and a log of small commit records, the
-    last of which names the current state.  A batch counts from the moment its
-    record is written; what an interrupted commit left behind is never read.
-    ``max_parts`` appended parts of the ledger are merged into one.
+    a folder of its own for each attempt at a commit, and a log of small
+    commit records, the last of which names the folders of the current state.
+    A batch counts from the moment its record is written; what an interrupted
+    or refused commit left behind is never read, and nothing is overwritten:
+    of two writers that start from one state the second is refused, and must
+    open the state again.  ``max_parts`` appended parts of the ledger are
+    merged into one, in as many buckets as its rows ask for.
     """
 
-    def __init__(self, work: Work, path: str | None = None, max_parts: int = 8):
-        self.work, self.path, self.max_parts = work, path or f"{work.root}/store", max_parts
+    def __init__(self, work: Work, path: str | None = None, max_parts: int = 8, bucket_rows: int = BUCKET_ROWS):
+        self.work, self.path, self.max_parts, self.bucket_rows = work, path or f"{work.root}/store", max_parts, bucket_rows
         self.spark: SparkSession = work.spark
         self._load()
 
     def _load(self) -> None:
-        records = read_records(self.spark, f"{self.path}/log", "n long, batch string, parts array<string>")
+        records = read_records(self.spark, f"{self.path}/log", "n long, batch string, totals string, parts array<string>, buckets int")
         self.done: list[str] = [r["batch"] for r in records]
         self.parts: list[str] = list(records[-1]["parts"]) if records else []
-        n = len(self.done)
-        self.totals = self.spark.read.schema(TOTALS).parquet(f"{self.path}/{n}/totals") if n else self.spark.createDataFrame([], TOTALS)
+        self.buckets: int | None = records[-1]["buckets"] if records else None
+        self.totals = self.spark.read.schema(TOTALS).parquet(f"{self.path}/{records[-1]['totals']}") if records else self.spark.createDataFrame([], TOTALS)
 
     def _ledger(self, parts: list[str]) -> DataFrame:
         rows = [self.spark.read.schema(LEDGER).parquet(f"{self.path}/{p}") for p in parts]
         return reduce(DataFrame.unionByName, rows) if rows else self.spark.createDataFrame([], LEDGER)
 
+    def _buckets_for(self, rows: int) -> int:
+        """A power of two, so that buckets are split, never dealt anew."""
+        n = BUCKETS
+        while n * self.bucket_rows < rows:
+            n *= 2
+        return n
+
     @staticmethod
     def _current(rows: DataFrame) -> DataFrame:
         """The last row of every key."""
@@ -91,15 +102,16 @@ class TokenRollup:
         if batch_id in self.done:
             return False
         n = len(self.done) + 1
-        at = f"{self.path}/{n}"
+        at = f"{n}-{uuid.uuid4().hex}"
         events = events.where("doc_id is not null")
         whole = events.where("action = 'delete' and tokenizer is null").select("doc_id").distinct().withColumn("gone", F.lit(True))
         order = F.struct(F.when(F.col("action") == "delete", 1).otherwise(0), F.coalesce("tokens", F.lit(-1)), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
         last = events.where("tokenizer is not null").groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("action", F.col("source").alias("s"), F.col("lang").alias("l"), F.col("tokens").alias("t")), order).alias("e")).select("doc_id", "tokenizer", "e.*")
-        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
         named = self.work.save(events.select("doc_id").distinct(), "named")
+        buckets_now = self.buckets or self._buckets_for(named.count())
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets_now)).cast("int")
         if self.parts:
-            buckets = [r[0] for r in named.select(bucket.alias("b")).distinct().collect()]  # at most BUCKETS
+            buckets = [r[0] for r in named.select(bucket.alias("b")).distinct().collect()]  # a number for each bucket
             before = join_checked(self._ledger(self.parts).where(F.col("bucket").isin(buckets)), named, "doc_id", "left_semi")
         else:
             before = self._ledger([])
@@ -115,22 +127,24 @@ class TokenRollup:
         plus = change.where("told").select("new.source", "new.lang", "tokenizer", F.lit(1).alias("docs"), F.col("new.tokens").alias("tokens"))
         deltas = minus.union(plus).groupBy(*KEYS).agg(F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
         totals = self.totals.union(deltas).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
-        totals.write.mode("overwrite").parquet(f"{at}/totals")
+        totals.write.parquet(f"{self.path}/{at}/totals")
         state = F.when(F.col("told"), F.col("new"))
         rows = change.select("doc_id", "tokenizer", F.lit(n).cast("long").alias("n"), F.col("told").alias("live"), *[state[c].alias(c) for c in ("source", "lang", "tokens")], bucket.alias("bucket"))
-        self._append(rows, f"{n}/ledger")
-        parts = [*self.parts, f"{n}/ledger"]
+        self._append(rows, f"{at}/ledger")
+        parts = [*self.parts, f"{at}/ledger"]
         if len(parts) > self.max_parts:
-            self._append(self._current(self._ledger(parts)).where("live"), f"{n}/merged")
-            parts = [f"{n}/merged"]
+            merged = self._current(self._ledger(parts)).where("live")
+            buckets_now = max(buckets_now, self._buckets_for(merged.count()))
+            self._append(merged.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets_now)).cast("int")), f"{at}/merged")
+            parts = [f"{at}/merged"]
         self.work.drop(change)
         self.work.drop(named)
-        write_record(self.spark, f"{self.path}/log", n, {"n": n, "batch": batch_id, "parts": parts})
+        write_record(self.spark, f"{self.path}/log", n, {"n": n, "batch": batch_id, "totals": f"{at}/totals", "parts": parts, "buckets": buckets_now})
         self._load()
         return True
 
     def _append(self, rows: DataFrame, part: str) -> None:
-        rows.repartition("bucket").sortWithinPartitions("bucket", "doc_id").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{part}")
+        rows.repartition("bucket").sortWithinPartitions("bucket", "doc_id").write.partitionBy("bucket").parquet(f"{self.path}/{part}")
 
 
 def maintained_totals(docs: DataFrame) -> DataFrame:

@@ -85,13 +85,14 @@ def read_records(spark: SparkSession, log: str, schema: str) -> list:
 def write_record(spark: SparkSession, log: str, n: int, record: dict) -> None:
     """Commit number ``n``: one small file that appears whole; raises if that number is taken."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    made, named = hadoop(f"{log}-making-{n}"), hadoop(f"{log}/{n:012d}.json")
+    made, named = hadoop(f"{log}-making-{n}-{uuid.uuid4().hex}"), hadoop(f"{log}/{n:012d}.json")
     fs = made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(named.getParent())
     out = fs.create(made, True)
     out.write(bytearray(json.dumps(record).encode()))
     out.close()
     if fs.exists(named) or not fs.rename(made, named):
+        fs.delete(made, False)
         raise RuntimeError(f"commit {n} of {log} was made by someone else")
 
 

@@ -1,3 +1,5 @@
+import pytest
+
 from genoframe.llm import token_counts as tc
 from genoframe.llm.work import Work
 
@@ -38,7 +40,7 @@ def test_a_small_commit_does_not_rewrite_the_ledger(spark):
     rollup = tc.TokenRollup(work)
     rollup.commit("a", spark.range(2000).selectExpr("'insert' action", "id doc_id", "'t' tokenizer", "'s' source", "'en' lang", "5L tokens"))
     rollup.commit("b", spark.createDataFrame([("revise", i, "t", "s", "en", 6) for i in range(10)], EVENT))
-    assert rollup.parts == ["1/ledger", "2/ledger"] and spark.read.parquet(f"{rollup.path}/2/ledger").count() == 10
+    assert [p[:2] + p[-7:] for p in rollup.parts] == ["1-/ledger", "2-/ledger"] and spark.read.parquet(f"{rollup.path}/{rollup.parts[1]}").count() == 10
     assert rollup.ledger.count() == 2000 and totals(rollup) == {("s", "en", "t"): (2000, 10010)}
 
 
@@ -50,6 +52,28 @@ def test_parts_are_merged(spark):
     assert sorted(r.doc_id for r in rollup.ledger.collect()) == [3, 4] and totals(rollup) == {("s", "en", "t"): (2, 2)}
 
 
+def test_buckets_grow_with_the_ledger(spark):
+    rollup = tc.TokenRollup(Work(spark, "test"), max_parts=1, bucket_rows=10)
+    for i in range(3):
+        rollup.commit(str(i), spark.range(i * 700, i * 700 + 700).selectExpr("'insert' action", "id doc_id", "'t' tokenizer", "'s' source", "'en' lang", "1L tokens"))
+    assert rollup.buckets == 256 and rollup.ledger.count() == 2100 and totals(rollup) == {("s", "en", "t"): (2100, 2100)}
+    rollup.commit("d", spark.createDataFrame([("delete", i, "t", None, None, None) for i in range(0, 2100, 2)], EVENT))
+    assert totals(rollup) == {("s", "en", "t"): (1050, 1050)}
+
+
+def test_second_writer_is_refused_and_harms_nothing(spark):
+    work = Work(spark, "test")
+    one, two = (tc.TokenRollup(work, path=f"{work.root}/store") for _ in range(2))
+    one.commit("a", spark.createDataFrame([("insert", 1, "t", "s", "en", 3)], EVENT))
+    with pytest.raises(RuntimeError):
+        two.commit("b", spark.createDataFrame([("insert", 2, "t", "s", "fr", 50)], EVENT))
+    again = tc.TokenRollup(work, path=f"{work.root}/store")
+    assert again.done == ["a"] and totals(again) == {("s", "en", "t"): (1, 3)}
+    assert [r.doc_id for r in again.ledger.collect()] == [1]
+    again.commit("b", spark.createDataFrame([("insert", 2, "t", "s", "fr", 50)], EVENT))
+    assert totals(again) == {("s", "en", "t"): (1, 3), ("s", "fr", "t"): (1, 50)}
+
+
 def test_documents(spark):
     rows = [(1, "a b, c " * 10, "en", "x", 0), (2, None, "en", "x", 0), (3, "é è " * 15, "fr", None, 0), (4, "z " * 50_000, None, "x", 0), (None, "q " * 30, "en", "x", 0), (6, "a-b " * 10, "de", "y", 0), (6, "a-b " * 10, "de", "y", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, tokens int")
