@@ -8,7 +8,12 @@ that independent tables would.  Two sets of similarity s meet unless one
 collection has no match at all: with the defaults a pair at exactly 0.8 is
 missed with a probability of about 0.0001.
 
-Equal sets are folded into one before any table is built.  Tables are sorted
+Texts of equal word sequences, by their SHA-256, are folded into one set
+before any table is built, and a set is named by a number that no other has.
+The tables rest on fixed hashes of words, so that a call finds the same
+candidates again; sizes of sets, and what is compared, rest on hashes that are
+keyed anew for each call, so that nobody can prepare unequal words that
+collide.  Tables are sorted
 by range over (key, set), so that one hot key spreads over many tasks, and are
 read as a stream: a bucket is never held in memory.  Each set is first
 compared with the centres of its buckets, which settles the groups of near
@@ -23,6 +28,8 @@ shingle sets of whole texts, by their words.
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import connected_components
-from .text import SPACED_LOWER, U, Words, as_long, chunks, lean, mix, shingle_sets
+from .text import SPACED_LOWER, U, Words, as_long, chunks, keyed, lean, mix, shingle_sets
 from .work import Work, join_checked
 
 
@@ -55,9 +62,16 @@ def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 1 << 63, n, dtype=np.uint64) | U(1), rng.integers(1, 1 << 63, n, dtype=np.uint64)
 
 
-def set_id(sets: list[np.ndarray]) -> np.ndarray:
-    """A 64-bit name of each set; equal sets have equal names."""
-    return np.array([mix(np.array([mix(s).sum(dtype=U) + U(len(s))], U))[0] for s in sets], U)
+def sequence_digests(words: Words) -> list[bytes | None]:
+    """SHA-256 of the lower-cased words of each text, one space between them; None without words."""
+    counts = words.counts
+    size = words.end - words.start + 1
+    at = np.concatenate([[0], np.cumsum(size)])
+    source = np.repeat(words.start - at[:-1], size) + np.arange(at[-1])
+    joined = SPACED_LOWER[1][words.data[np.minimum(source, max(len(words.data) - 1, 0))]] if len(source) else np.zeros(0, np.uint8)
+    joined[at[1:] - 1] = 0x20
+    body, edges = memoryview(joined.tobytes()), at[words.offset].tolist()
+    return [hashlib.sha256(body[a:b]).digest() if n else None for a, b, n in zip(edges[:-1], edges[1:], counts.tolist(), strict=True)]
 
 
 def sub_keys(sets: list[np.ndarray], shape: Tensored) -> tuple[np.ndarray, np.ndarray]:
@@ -82,16 +96,17 @@ def sub_keys(sets: list[np.ndarray], shape: Tensored) -> tuple[np.ndarray, np.nd
     return banded(low[:cut], shape.width_left), banded(low[cut:], shape.width_right)
 
 
-def _features(k: int, shape: Tensored):
+def _features(k: int, shape: Tensored, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = keyed(SPACED_LOWER, seed)
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text")):
-                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                words = Words(data, offsets, SPACED_LOWER)
+                sets = shingle_sets(words, k)
+                sizes = [len(s) for s in shingle_sets(Words(data, offsets, kind), k)]
                 some = [i for i, s in enumerate(sets) if len(s)]
-                ids = np.zeros(len(sets), U)
                 left, right = np.zeros((0, shape.left), U), np.zeros((0, shape.right), U)
                 if some:
-                    ids[some] = set_id([sets[i] for i in some])
                     left, right = sub_keys([sets[i] for i in some], shape)
                 empty = np.array([not len(s) for s in sets])
 
@@ -100,8 +115,8 @@ def _features(k: int, shape: Tensored):
                     return pa.ListArray.from_arrays(ends, as_long(rows.reshape(-1)))
 
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(as_long(ids), mask=empty), nested(left, shape.left), nested(right, shape.right)],
-                    names=["doc_id", "n", "sid", "g", "h"],
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.array(sizes, np.int64)), pa.array(sequence_digests(words), pa.binary()), nested(left, shape.left), nested(right, shape.right)],
+                    names=["doc_id", "n", "digest", "g", "h"],
                 )
 
     return run
@@ -147,14 +162,14 @@ def _sorted_tokens(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return s[np.lexsort((s, counts[(s >> U(64 - int(len(counts)).bit_length() + 1)).astype(np.int64)]))]
 
 
-def _token_counts(k: int, bits: int):
+def _token_counts(k: int, seed: int, bits: int):
     """(slot, c): how many sets of the task have a token in each slot of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
+        kind, counts = keyed(SPACED_LOWER, seed), np.zeros(1 << bits, np.int64)
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
-                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                sets = shingle_sets(Words(data, offsets, kind), k)
                 counts += np.bincount((np.concatenate(sets) >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
         slot = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(counts[slot])], names=["slot", "c"])
@@ -162,7 +177,7 @@ def _token_counts(k: int, bits: int):
     return run
 
 
-def _front(k: int, percent: int, shared):
+def _front(k: int, seed: int, percent: int, shared):
     """(token, sid, part, n, at): the tokens at the front of each set that a partner of no more tokens may share first.
 
     ``at`` counts tokens before it.  A link needs ``percent / (100 + percent)`` of both sizes in common; with a first
@@ -170,11 +185,11 @@ def _front(k: int, percent: int, shared):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        kind, counts = keyed(SPACED_LOWER, seed), shared.value
         for batch in batches:
             sids, parts = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "part"))
             for lo, hi, data, offsets in chunks(batch.column("text")):
-                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                sets = shingle_sets(Words(data, offsets, kind), k)
                 front = [_sorted_tokens(s, counts)[: len(s) - -(-percent * len(s) // 100) + 1] for s in sets]
                 size = np.array([len(f) for f in front])
                 n = np.array([len(s) for s in sets], np.int32)
@@ -196,7 +211,7 @@ def true_shingles(text: str, k: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(k)), strict=False)) if len(words) >= k else {tuple(words)} if words else set()
 
 
-def _verify(k: int, percent: int, held: int = 256):
+def _verify(k: int, seed: int, percent: int, held: int = 256):
     """Links among (block, sid, text, wanted), sorted by block with its members (wanted null) first.
 
     A visitor names the members that it is to be compared with; an empty list
@@ -205,7 +220,7 @@ def _verify(k: int, percent: int, held: int = 256):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
+        kind, block = keyed(SPACED_LOWER, seed), None
         members: dict[int, tuple[np.ndarray, str]] = {}
         spelled: OrderedDict[int, set] = OrderedDict()  # of the members that were met last
 
@@ -221,7 +236,7 @@ def _verify(k: int, percent: int, held: int = 256):
             blocks, sids = (batch.column(c).to_pylist() for c in ("block", "sid"))
             a, b = [], []
             for lo, hi, data, offsets in chunks(texts):
-                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
+                sets = shingle_sets(Words(data, offsets, kind), k)
                 for row, x in zip(range(lo, hi), sets, strict=True):
                     sid, now = sids[row], blocks[row]
                     if now != block:
@@ -294,9 +309,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
     spark = docs.sparkSession
     work = Work(spark, "near-dup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = work.save(docs.mapInArrow(lean(_features(k, shape)), "doc_id long, n long, sid long, g array<long>, h array<long>"), "features")
-    known = features.where("sid is not null and doc_id is not null")
-    sets = work.save(known.groupBy("sid").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("g").alias("g"), F.first("h").alias("h")), "sets")
+    seed = secrets.randbits(62)
+    features = work.save(docs.mapInArrow(lean(_features(k, shape, seed)), "doc_id long, n long, digest binary, g array<long>, h array<long>"), "features")
+    known = features.where("digest is not null and doc_id is not null")
+    folded = known.groupBy("digest").agg(F.min("doc_id").alias("root"), F.first("n").alias("n"), F.first("g").alias("g"), F.first("h").alias("h"))
+    sets = work.save(folded.withColumn("sid", F.monotonically_increasing_id()), "sets")  # names hold from here on, as they are written
 
     tables = (
         sets.select("sid", "h", F.posexplode("g").alias("i", "x"))
@@ -312,17 +329,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
     meets = work.save(stars.distinct(), "meets")
     work.drop(met)
 
-    told = known.groupBy("doc_id").agg(F.count("*").alias("c"), F.min("sid").alias("x"), F.max("sid").alias("y")).where("c > 1")
+    told = known.groupBy("doc_id").agg(F.count("*").alias("c"), F.min("digest").alias("x"), F.max("digest").alias("y")).where("c > 1")
     again = told.agg(F.count("*").alias("c"), F.count_if(F.col("x") != F.col("y")).alias("texts")).first()
 
     def with_text(wanted: DataFrame, unique: list[str]) -> DataFrame:
         """``wanted`` (sid and others, of which ``unique`` name a row) with the text of each set's first document."""
-        roots = work.save(wanted.join(sets.select("sid", F.col("root").alias("doc_id")), "sid"), "wanted")
-        weight = F.coalesce(F.size("wanted"), F.lit(0)) * 8 + 64 if "wanted" in wanted.columns else None
+        roots = work.save(wanted.join(sets.select("sid", F.col("root").alias("doc_id"), *["digest"] * bool(again["texts"])), "sid"), "wanted")
+        weight = (F.coalesce(F.size("wanted"), F.lit(0)) * 8 if "wanted" in wanted.columns else F.lit(0)) + 96
         found = join_checked(docs, roots, "doc_id", "inner", weight=weight)
         if again["texts"]:  # rows that repeat a doc_id under another text are told apart by their set
-            found = found.mapInArrow(lean(_same_set(k)), found.schema)
-        return (found.dropDuplicates(unique) if again["c"] else found).drop("doc_id")
+            found = found.mapInArrow(lean(_same_text), found.schema)
+        return (found.dropDuplicates(unique) if again["c"] else found).drop("doc_id", "digest")
 
     def confirm(members: DataFrame, visitors: DataFrame) -> DataFrame:
         """Links (a, b) of the members (block, sid) and visitors (block, sid, wanted: members of the block, none: all of them)."""
@@ -331,7 +348,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
         roles = members.unionByName(visitors.join(share, "block").select("block", "sid", "wanted", F.pmod(F.xxhash64("sid"), "copies").cast("int").alias("copy")))
         rows = with_text(roles.select(F.xxhash64("block", "copy").alias("block"), "sid", "wanted"), ["block", "sid"]).select("block", "sid", "text", "wanted")
         rows = rows.repartition("block").sortWithinPartitions("block", F.col("wanted").isNotNull(), "sid")
-        return work.save(rows.mapInArrow(lean(_verify(k, percent)), "a long, b long"), "links")
+        return work.save(rows.mapInArrow(lean(_verify(k, seed, percent)), "a long, b long"), "links")
 
     def of_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members and visitors of pairs (a: visitor, b: member, block)."""
@@ -348,12 +365,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
     far = meets.select("sid", "center").join(part.withColumnRenamed("part", "pa"), "sid").join(part.select(F.col("sid").alias("center"), F.col("part").alias("pb")), "center").where("pa <> pb")
     apart = far.select(F.explode(F.array("pa", "pb")).alias("part")).distinct()
     texts = work.save(with_text(part.join(apart, "part", "left_semi").select("sid", "part"), ["sid"]), "texts")
-    sketch = texts.mapInArrow(lean(_token_counts(k, sketch_bits)), "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+    sketch = texts.mapInArrow(lean(_token_counts(k, seed, sketch_bits)), "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
     counts = np.zeros(1 << sketch_bits, np.int64)
     slots = sketch.toArrow()  # at most 2 ** sketch_bits rows
     counts[slots.column("slot").to_numpy()] = slots.column("c").to_numpy()
     shared = spark.sparkContext.broadcast(counts)
-    front = work.save(texts.mapInArrow(lean(_front(k, percent, shared)), "token long, sid long, part long, n int, at int"), "tokens")
+    front = work.save(texts.mapInArrow(lean(_front(k, seed, percent, shared)), "token long, sid long, part long, n int, at int"), "tokens")
     work.drop(texts)
     rest, crowds = _front_pairs(front, percent, work)
     many = work.save(part.groupBy("part").agg(F.count("*").alias("size")).where("size > 1"), "many")
@@ -372,26 +389,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, shape: Tenso
     joined = more.join(part.select(F.col("sid").alias("a"), F.col("part").alias("pa")), "a").join(part.select(F.col("sid").alias("b"), F.col("part").alias("pb")), "b")
     merged = connected_components(joined.select("pa", "pb"), work, "pa", "pb").select(F.col("node").alias("part"), F.col("component").alias("whole"))
 
-    named = sets.select("sid", "root").join(part, "sid").join(merged, "part", "left").join(many, "part", "left")
-    named = named.select("sid", "root", F.coalesce("whole", F.when(F.col("size") > 1, F.col("part"))).alias("component"))
+    named = sets.select("sid", "root", "digest").join(part, "sid").join(merged, "part", "left").join(many, "part", "left")
+    named = named.select("digest", "root", F.coalesce("whole", F.when(F.col("size") > 1, F.col("part"))).alias("component"))
     lowest = named.where("component is not null").groupBy("component").agg(F.min("root").alias("low"))
-    of_set = work.save(named.join(lowest, "component", "left").select("sid", F.coalesce("low", "root").alias("component_id")), "components")
-    out = join_checked(features.select("doc_id", "n", "sid"), of_set, "sid", "left")
+    of_set = work.save(named.join(lowest, "component", "left").select("digest", F.coalesce("low", "root").alias("component_id")), "components")
+    out = join_checked(features.select("doc_id", "n", "digest"), of_set, "digest", "left", weight=F.lit(64))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _same_set(k: int):
-    """Drop rows whose text has another set than the one they are wanted for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column("text")):
-                sets = shingle_sets(Words(data, offsets, SPACED_LOWER), k)
-                same = np.array([len(x) > 0 for x in sets]) & (as_long(set_id(sets)) == batch.column("sid").slice(lo, hi - lo).to_numpy(zero_copy_only=False))
-                yield batch.slice(lo, hi - lo).filter(pa.array(same))
-
-    return run
+def _same_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop rows whose words are not those of the set that they are wanted for."""
+    for batch in batches:
+        for lo, hi, data, offsets in chunks(batch.column("text")):
+            part = batch.slice(lo, hi - lo)
+            found = sequence_digests(Words(data, offsets, SPACED_LOWER, hashes=False))
+            yield part.filter(pa.array([x is not None and x == y for x, y in zip(found, part.column("digest").to_pylist(), strict=True)], pa.bool_()))
 
 
 #: Two-word shingles, as brute force over an inverted list: for small tables.

@@ -3,19 +3,20 @@
 A window is filed under its anchor: the leftmost smallest hash among the
 10-word grams inside it.  Equal windows have equal anchors at equal offsets,
 and neighbouring windows mostly share one, so an index row stands for about
-six windows.  A row holds the anchor's fingerprint ``fp``, the hash ``ctx`` of
-all the words its windows cover, and its place.
+six windows.  A row holds the anchor's fingerprint ``fp``, the digest ``ctx``,
+``ctz`` of all the words its windows cover, and its place.
 
 Documents come in batches of ascending doc_id.  A batch is sorted by
 fingerprint, merge-joined with every older run (runs are bucketed and sorted
 by fingerprint, so they are not shuffled again) and becomes a run itself; when
 there are more runs than ``max_runs`` they are compacted into one.  Runs are
 never changed, and a manifest names them, so a later session goes on where the
-last one ended.  A row whose ``ctx`` was filed before, under the same ``fp``,
-repeats all its windows: these are 128 bits that rest on every word.  Rows
-that share a fingerprint but not the context (edges of passages, edited
-copies) are verified window by window: their documents are read again and
-whole 20-word windows are compared by two hashes.
+last one ended.  Fingerprints only bring rows together; what is taken for a repeat is
+verified by a cryptographic digest (128 bits of BLAKE2b) of the words as they
+stand.  A row whose context was filed before, under the same ``fp``, repeats
+all its windows.  Rows that share a fingerprint but not the context (edges of
+passages, edited copies) are verified window by window: their documents are
+read again and whole 20-word windows are compared by their digests.
 
 A task remembers the contexts that it met more than once, with their earliest
 place, and sends on only what comes before it; the others are repeats for
@@ -42,12 +43,12 @@ from .work import Work, join_checked, pack, read_records, unpack, write_record
 NEW, REPEAT, SPAN = 0, 1, 2  # a row of a run: first of its context; repeats an earlier one; a span found before the shuffle
 
 
-def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, anchor word, fingerprint, context hash); positions count words over all texts of the chunk."""
+def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(first window, last window, anchor word, fingerprint, context digest in two halves); positions count words over all texts of the chunk."""
     left = words.left()
     none = np.zeros(0, np.int64)
     if len(left) < window:
-        return none, none, none, none.astype(U), none.astype(U)
+        return none, none, none, none.astype(U), none.astype(U), none.astype(U)
     grams = words.span_hash(np.arange(len(left) - gram + 1), gram)  # those that cross texts are never used
     width = window - gram + 1
     best, low = np.arange(len(grams)), grams
@@ -60,33 +61,42 @@ def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, np
         span += step
     starts = np.flatnonzero(left >= window)
     if not len(starts):
-        return none, none, none, none.astype(U), none.astype(U)
+        return none, none, none, none.astype(U), none.astype(U), none.astype(U)
     at = best[starts]
     head = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
     tail = np.concatenate([head[1:], [len(starts)]]) - 1
     s0, s1, p = starts[head], starts[tail], at[head]
-    ctx = mix(words.span_hash(s0, s1 - s0 + window) + ((p - s0) * 64 + (s1 - s0)).astype(U))
-    return s0, s1, p, grams[p], ctx
+    ctx, ctz = words.digests(s0, s1 - s0 + window)
+    # Where the anchor stands and how many windows there are is part of the context: in the place of twelve bits.
+    ctx = (ctx & ~U(0xFFF)) | ((p - s0) * 64 + (s1 - s0)).astype(U)
+    return s0, s1, p, grams[p], ctx, ctz
 
 
 class Met:
-    """Keys that a task met more than once, each with its earliest place; at most ``limit``, others are left to the shuffle."""
+    """Keys of 128 bits that a task met more than once, each with its earliest place; at most ``limit``, others are left to the shuffle."""
 
     def __init__(self, limit: int = 1 << 15):
         self.limit = limit
-        self.key, self.place = np.zeros(0, U), np.zeros((3, 0), np.int64)
+        self.key, self.low, self.place = np.zeros(0, U), np.zeros(0, U), np.zeros((3, 0), np.int64)
 
-    def fold(self, key: np.ndarray, doc: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first, again): rows that may be the first of their key, and rows that certainly come after it; a repeated row is neither."""
+    def fold(self, key: np.ndarray, low: np.ndarray, doc: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, again): rows that may be the first of their key, and rows that certainly come after it; a repeated row is neither.
+
+        Rows are brought together by the first half of their keys; where the
+        second halves differ, all of them are left to the shuffle.
+        """
         order = np.lexsort((pos, tie, doc, key))
-        k, place = key[order], np.stack([doc, tie, pos]).astype(np.int64)[:, order]
+        k, lo, place = key[order], low[order], np.stack([doc, tie, pos]).astype(np.int64)[:, order]
         head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         size = np.diff(np.concatenate([head, [len(k)]]))
         group = np.repeat(np.arange(len(head)), size)
+        mixed = np.logical_or.reduceat(lo != lo[head][group], head)
         first, earlier, known = place[:, head], np.zeros(len(head), bool), np.zeros(len(head), bool)
         if len(self.key):
             at = np.minimum(np.searchsorted(self.key, k[head]), len(self.key) - 1)
             known = self.key[at] == k[head]
+            mixed |= known & (self.low[at] != lo[head])
+            known &= ~mixed
             was = self.place[:, at]
             less = (was[0] < first[0]) | ((was[0] == first[0]) & ((was[1] < first[1]) | ((was[1] == first[1]) & (was[2] <= first[2]))))
             earlier = known & less
@@ -95,18 +105,18 @@ class Met:
         same = (place == first[:, group]).all(0)
         lead = np.zeros(len(k), bool)
         lead[head] = True
-        new = np.flatnonzero((size > 1) & ~known)[: max(0, self.limit - len(self.key))]
+        new = np.flatnonzero((size > 1) & ~known & ~mixed & ~np.isin(k[head], self.key))[: max(0, self.limit - len(self.key))]
         if len(new):
             keys = np.concatenate([self.key, k[head[new]]])
             by = np.argsort(keys)
-            self.key, self.place = keys[by], np.concatenate([self.place, first[:, new]], axis=1)[:, by]
+            self.key, self.low, self.place = keys[by], np.concatenate([self.low, lo[head[new]]])[by], np.concatenate([self.place, first[:, new]], axis=1)[:, by]
         out = np.zeros((2, len(k)), bool)
-        out[0, order], out[1, order] = same & lead & ~earlier[group], ~same
+        out[0, order], out[1, order] = (same & lead & ~earlier[group]) | mixed[group], ~same & ~mixed[group]
         return out[0], out[1]
 
 
 def _anchors(window: int, gram: int):
-    names = ["fp", "ctx", "doc_id", "tie", "pos", "status"]
+    names = ["fp", "ctx", "ctz", "doc_id", "tie", "pos", "status"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = Met()
@@ -114,15 +124,15 @@ def _anchors(window: int, gram: int):
             ids, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tie"))
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 words = Words(data, offsets, SPACED)
-                s0, s1, p, fp, c = window_anchors(words, window, gram)
+                s0, s1, p, fp, c, z = window_anchors(words, window, gram)
                 if not len(p):
                     continue
                 doc = np.searchsorted(words.offset, p, side="right") - 1
                 base = words.offset[doc]
                 s0, s1, p, d, t = s0 - base, s1 - base, p - base, ids[lo:hi][doc], ties[lo:hi][doc]
-                own, again = met.fold(c, d, t, p)
+                own, again = met.fold(c, z, d, t, p)
                 pos = (p << 8) | ((p - s0) << 4) | (p - s1)
-                out = [(fp[own], c[own], d[own], t[own], pos[own], np.full(own.sum(), NEW, np.int8))]
+                out = [(fp[own], c[own], z[own], d[own], t[own], pos[own], np.full(own.sum(), NEW, np.int8))]
                 if again.any():  # repeats inside the chunk: merged into spans of windows here
                     d, t, a, b = d[again], t[again], s0[again], s1[again]
                     order = np.lexsort((a, t, d))
@@ -131,15 +141,15 @@ def _anchors(window: int, gram: int):
                     b = np.maximum.reduceat(b, new)
                     d, t, a = d[new], t[new], a[new]
                     key = mix(d.astype(U) * U(31) + a.astype(U))
-                    out.append((key, np.zeros(len(a), U), d, t, (a << 32) | b, np.full(len(a), SPAN, np.int8)))
-                fp, c, d, t, pos, status = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (as_long(fp), as_long(c), d, t.astype(np.int32), pos, status)], names=names)
+                    out.append((key, np.zeros(len(a), U), np.zeros(len(a), U), d, t, (a << 32) | b, np.full(len(a), SPAN, np.int8)))
+                fp, c, z, d, t, pos, status = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (as_long(fp), as_long(c), as_long(z), d, t.astype(np.int32), pos, status)], names=names)
 
     return run
 
 
 def _windows(window: int, gram: int, rows: int = 50_000):
-    """(h, g, doc_id, tie, s, again): the wanted windows of each document by two hashes; ``again``: surely not the first."""
+    """(h, g, doc_id, tie, s, again): the wanted windows of each document by the halves of their digests; ``again``: surely not the first."""
     kinds = (np.int64, np.int64, np.int64, np.int32, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +159,7 @@ def _windows(window: int, gram: int, rows: int = 50_000):
         def given() -> pa.RecordBatch:
             h, g, d, t, s = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            first, again = met.fold(mix(h * U(31) + g), d, t, s)
+            first, again = met.fold(h, g, d, t, s)
             keep = first | again
             columns = [as_long(h)[keep], as_long(g)[keep], d[keep], t[keep], s[keep]]
             return pa.RecordBatch.from_arrays([*(pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)), pa.array(again[keep])], names=["h", "g", "doc_id", "tie", "s", "again"])
@@ -164,7 +174,7 @@ def _windows(window: int, gram: int, rows: int = 50_000):
                     p, a, b = pos >> 8, (pos >> 4) & 15, pos & 15
                     start = np.unique(np.repeat(p - a, a - b + 1) + np.concatenate([np.arange(n) for n in a - b + 1]))
                     at = start + words.offset[d - lo]
-                    held.append((words.span_hash(at, window), words.span_hash(at, gram), np.full(len(at), ids[d]), np.full(len(at), ties[d]), start))
+                    held.append((*words.digests(at, np.full(len(at), window)), np.full(len(at), ids[d]), np.full(len(at), ties[d]), start))
                 if sum(len(x[0]) for x in held) > rows:
                     yield given()
         if held:
@@ -186,7 +196,7 @@ def _conf(spark: SparkSession, **values: str):
             spark.conf.unset(names[k]) if v is None else spark.conf.set(names[k], v)
 
 
-_RUN = "fp long, ctx long, doc_id long, tie int, pos long, status byte"
+_RUN = "fp long, ctx long, ctz long, doc_id long, tie int, pos long, status byte"
 
 
 @dataclass
@@ -196,8 +206,10 @@ class WindowIndex:
     With ``path`` the index lasts: runs lie in that folder, a commit record
     for each batch names the runs that make up the state, and an index that is
     opened there later goes on with them.  A batch counts from the moment its
-    record is written; files that no record names are never read.  Without
-    ``path`` it lives in the work's folder.
+    record is written; files that no record names are never read, and none is
+    overwritten, so a second writer is refused and harms nothing.  Compacted
+    runs stay for sessions that still read them, until ``vacuum``.  Without
+    ``path`` the index lives in the work's folder.
     """
 
     work: Work
@@ -212,14 +224,19 @@ class WindowIndex:
         if not 0 < self.window - self.gram < 16:
             raise ValueError("a window must be 1 to 15 words longer than its grams")
         self.buckets = int(self.work.spark.conf.get("spark.sql.shuffle.partitions"))
+        self._shared = self.path is not None
         self.path = self.path or f"{self.work.root}/index"
         self._tables: dict[str, str] = {}
-        records = read_records(self.work.spark, f"{self.path}/log", "n long, batch string, runs array<string>, buckets int, window int, gram int")
+        self._spans: list[str] = []  # of each batch
+        self._old: list[str] = []  # runs that were compacted
+        records = read_records(self.work.spark, f"{self.path}/log", "n long, batch string, runs array<string>, spans string, old array<string>, buckets int, window int, gram int")
         if records:
             last = records[-1]
             if (last["window"], last["gram"]) != (self.window, self.gram):
                 raise ValueError(f"the index at {self.path} is of windows of {last['window']} words and grams of {last['gram']}")
             self.done, self.runs, self.buckets = [r["batch"] for r in records], list(last["runs"]), last["buckets"]
+            self._spans = [r["spans"] for r in records]
+            self._old = [x for r in records for x in r["old"]]
 
     def _table(self, run: str) -> DataFrame:
         """A run as a table that Spark knows to be bucketed and sorted."""
@@ -246,9 +263,15 @@ class WindowIndex:
             self.work.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self._tables.clear()
 
+    def vacuum(self) -> None:
+        """Delete the runs that were compacted; no other session may still read them."""
+        for run in self._old:
+            self.work.delete(f"{self.path}/{run}")
+        self._old = []
+
     def spans(self, batch_id: str) -> DataFrame:
         """What ``add`` returned for a batch that is filed."""
-        return self.work.spark.read.schema("doc_id long, tie int, spans array<long>").parquet(f"{self.path}/spans-{self.done.index(batch_id) + 1}")
+        return self.work.spark.read.schema("doc_id long, tie int, spans array<long>").parquet(f"{self.path}/{self._spans[self.done.index(batch_id)]}")
 
     def add(self, batch: DataFrame, corpus: DataFrame, batch_id: str | None = None) -> DataFrame:
         """``batch`` and ``corpus`` (all documents so far, the batch included) have doc_id, tie, text.
@@ -265,15 +288,15 @@ class WindowIndex:
             return self.spans(batch_id)
         with _conf(spark, requireAllClusterKeysForCoPartition="false", sources__bucketing__autoBucketedScan__enabled="false"):
             rows = batch.mapInArrow(lean(_anchors(self.window, self.gram)), _RUN)
-            same = Window.partitionBy("fp", "ctx").orderBy("doc_id", "tie", "pos")  # about one row a task at most
+            same = Window.partitionBy("fp", "ctx", "ctz").orderBy("doc_id", "tie", "pos")  # about one row a task at most
             rows = rows.repartition(self.buckets, "fp").withColumn("rank", F.rank().over(same)).withColumn("row", F.row_number().over(same))
             rows = rows.where("status <> 0 or rank > 1 or row = 1")
             known = F.lit(False)
             for i, run in enumerate(self.runs):  # merge joins with the sorted runs
-                rows = rows.join(self._rows(run).select("fp", "ctx", F.lit(True).alias(f"in{i}")), ["fp", "ctx"], "left")
+                rows = rows.join(self._rows(run).select("fp", "ctx", "ctz", F.lit(True).alias(f"in{i}")), ["fp", "ctx", "ctz"], "left")
                 known |= F.coalesce(f"in{i}", F.lit(False))
             status = F.when((F.col("status") == NEW) & ((F.col("rank") > 1) | known), F.lit(REPEAT).cast("byte")).otherwise(F.col("status"))
-            new = self._store(rows.select("fp", "ctx", "doc_id", "tie", "pos", status.alias("status")))
+            new = self._store(rows.select("fp", "ctx", "ctz", "doc_id", "tie", "pos", status.alias("status")))
 
             # Fingerprints that stand with several contexts, one of them new.
             fresh = self._rows(new).select("fp")
@@ -298,16 +321,18 @@ class WindowIndex:
             .union(whole.where(F.col("status") == REPEAT).select("doc_id", "tie", F.shiftleft(first, 32).bitwiseOR(last)))
             .union(seen.select("doc_id", "tie", F.shiftleft("s", 32).bitwiseOR(F.col("s"))))
         )
-        spans.groupBy("doc_id", "tie").agg(F.collect_set("span").alias("spans")).write.mode("overwrite").parquet(f"{self.path}/spans-{n}")
+        named = f"spans-{uuid.uuid4().hex}"
+        spans.groupBy("doc_id", "tie").agg(F.collect_set("span").alias("spans")).write.parquet(f"{self.path}/{named}")
         runs = [*self.runs, new]
         old = []
         if len(runs) > self.max_runs:
             old, runs = runs, [self._compacted(runs)]
-        write_record(spark, f"{self.path}/log", n, {"n": n, "batch": batch_id, "runs": runs, "buckets": self.buckets, "window": self.window, "gram": self.gram})
-        self.runs, self.done = runs, [*self.done, batch_id]
+        write_record(spark, f"{self.path}/log", n, {"n": n, "batch": batch_id, "runs": runs, "spans": named, "old": old, "buckets": self.buckets, "window": self.window, "gram": self.gram})
+        self.runs, self.done, self._spans, self._old = runs, [*self.done, batch_id], [*self._spans, named], [*self._old, *old]
         for run in old:
             spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop(run)}")
-            self.work.delete(f"{self.path}/{run}")
+        if not self._shared:
+            self.vacuum()
         return self.spans(batch_id)
 
     def _compacted(self, runs: list[str]) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,6 @@ _ODD = U(0x9E3779B97F4A7C15)
 _STEP = U(0xD6E8FEB86659FD93)
 #: Places of a word whose byte values come from a table; those of later places come from a formula.
 _PLACES = 256
-_VALUES = np.random.default_rng(20240117).integers(1, 1 << 63, (_PLACES, 256), dtype=np.uint64) * U(2) + U(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,6 +29,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _values(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(1, 1 << 63, (_PLACES, 256), dtype=np.uint64) * U(2) + U(1)
+
+
+_VALUES = _values(20240117)
+
+
 def _fold(keep: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     fold = np.arange(256, dtype=np.uint8)
     if lower:
@@ -36,6 +43,12 @@ def _fold(keep: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.nda
     return keep, fold, np.ascontiguousarray(_VALUES[:, fold]).reshape(-1)
 
 
+def keyed(kind: tuple[np.ndarray, np.ndarray, np.ndarray], seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``kind`` with hashes of its own: whoever does not know the seed cannot make unequal words collide."""
+    keep, fold, _ = kind
+    return keep, fold, np.ascontiguousarray(_values(seed)[:, fold]).reshape(-1)
+
+
 def _set(*spans: tuple[int, int], inverse: bool) -> np.ndarray:
     out = np.zeros(256, bool)
     for lo, hi in spans:
@@ -77,7 +90,9 @@ class Words:
     A word's hash mixes the sum of one random value for each (place, byte), and
     a run's hash is built from mixed hashes of halves, so no regular pattern of
     bytes or words makes unequal ones collide, as it would in polynomials
-    modulo a power of two.
+    modulo a power of two.  Who knows the random values can still look for
+    collisions: hashes only choose what is compared; what decides is keyed
+    (``keyed``), spelled, or a digest of the words themselves (``digests``).
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: tuple[np.ndarray, np.ndarray, np.ndarray], hashes: bool = True):
@@ -109,7 +124,7 @@ class Words:
             value = values[np.minimum(place, _PLACES - 1) * 256 + data]
             if len(self.start) and (self.end - self.start).max() > _PLACES:
                 far = np.flatnonzero(place >= _PLACES)
-                value[far] = mix(mix((place[far].astype(U) << U(8)) | fold[data[far]]) + _STEP)
+                value[far] = mix(mix((place[far].astype(U) << U(8)) | fold[data[far]]) + values[0])
             total = np.empty(size + 1, U)
             total[0] = 0
             np.cumsum(value, out=total[1:])
@@ -150,6 +165,20 @@ class Words:
                 out[m] = np.where(length[m] == 1 << n, run[head], mix(run[head] * _STEP + run[head + (length[m] - (1 << n))]))
         return mix(out + length.astype(U) * _ODD)
 
+    def digests(self, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of BLAKE2b over the words of the runs [start, start+length) as they stand, one space between them."""
+        if not hasattr(self, "_joined"):
+            size = self.end - self.start + 1
+            at = np.concatenate([[0], np.cumsum(size)])
+            source = np.repeat(self.start - at[:-1], size) + np.arange(at[-1])
+            joined = self.data[np.minimum(source, len(self.data) - 1)]
+            joined[at[1:] - 1] = 0x20
+            self._joined = memoryview(joined.tobytes()), at
+        body, at = self._joined
+        spans = zip(at[start].tolist(), (at[start + length] - 1).tolist(), strict=True)
+        out = np.frombuffer(b"".join([blake2b(body[a:b], digest_size=16).digest() for a, b in spans]), U)
+        return out[0::2].copy(), out[1::2].copy()
+
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
 

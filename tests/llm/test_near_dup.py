@@ -164,3 +164,24 @@ def test_odd_rows(odd):
 def test_empty(empty):
     out = near_duplicates(empty)
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.count() == 0
+
+
+def test_texts_fold_by_their_words_alone():
+    import numpy as np
+
+    from genoframe.llm.near_dup import sequence_digests
+    from genoframe.llm.text import SPACED_LOWER, Words, keyed
+
+    texts = ["A b  c", "a\tb c ", "a bc", "", " ", "ab c", "É a", "é a"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    got = sequence_digests(Words(data, offsets, SPACED_LOWER, hashes=False))
+    assert got[0] == got[1] and got[3] is got[4] is None and len({got[i] for i in (0, 2, 5, 6, 7)}) == 5
+    one, two = (Words(data, offsets, keyed(SPACED_LOWER, seed)).hash for seed in (1, 2))
+    assert (one != two).all() and len(set(one.tolist())) == 7
+
+
+def test_repeated_ids_and_texts_of_equal_sets(table):
+    rows = [(1, "x w y"), (1, "x v y"), (2, "same " * 9), (3, "same " * 4), (4, "x v y"), (5, "X  W y")]
+    got = sorted((r.doc_id, r.component_id, r.n_shingles) for r in near_duplicates(table(rows), k=2).collect())
+    assert got == [(1, 1, 2), (1, 1, 2), (2, 2, 1), (3, 2, 1), (4, 1, 2), (5, 1, 2)]

@@ -61,7 +61,7 @@ def test_what_a_task_met_before_is_folded():
     met, rows = Met(limit=5), []
     for _ in range(20):
         key, doc = rng.integers(0, 9, 12).astype(np.uint64), rng.integers(0, 40, 12)
-        first, again = met.fold(key, doc, doc * 0, doc * 0)
+        first, again = met.fold(key, key + np.uint64(1), doc, doc * 0, doc * 0)
         rows += [(int(k), int(d), bool(f), bool(a)) for k, d, f, a in zip(key, doc, first, again, strict=True)]
     low = {k: min(d for x, d, _, _ in rows if x == k) for k, _, _, _ in rows}
     assert all(f or d > low[k] or not a for k, d, f, a in rows)  # nothing that comes first is called a repeat
@@ -70,6 +70,34 @@ def test_what_a_task_met_before_is_folded():
     assert len(met.key) == 5
 
 
+def test_keys_that_share_a_half_are_left_to_the_shuffle():
+    met, zero = Met(), np.zeros(4, np.int64)
+    key, low, doc = np.array([7, 7, 7, 8], np.uint64), np.array([1, 2, 1, 1], np.uint64), np.array([3, 4, 5, 6])
+    first, again = met.fold(key, low, doc, zero, zero)
+    assert first.tolist() == [True] * 4 and not again.any() and not len(met.key)
+    met.fold(key[:3], low[:1].repeat(3), doc[:3], zero[:3], zero[:3])
+    first, again = met.fold(key[:2], low[:2], doc[2:], zero[:2], zero[:2])
+    assert first.all() and not again.any()
+    first, again = met.fold(key[:1], low[:1], doc[3:], zero[:1], zero[:1])
+    assert not first.any() and again.all()
+
+
+def test_a_second_writer_is_refused_and_harms_nothing(spark, corpus):
+    rows = sorted((i, 0, t) for i, t in corpus)
+    docs = spark.createDataFrame(rows, "doc_id long, tie int, text string")
+    path = f"{Work(spark, 'test').root}/index"
+    one, two = (WindowIndex(Work(spark, "test"), path=path) for _ in range(2))
+    spans = sorted((r.doc_id, sorted(r.spans)) for r in one.add(docs, docs, "first").collect())
+    with pytest.raises(RuntimeError):
+        two.add(docs.where("doc_id < 50"), docs, "other")
+    again = WindowIndex(Work(spark, "test"), path=path)
+    assert again.done == ["first"] and sorted((r.doc_id, sorted(r.spans)) for r in again.spans("first").collect()) == spans
+    again.add(docs.where("doc_id < 0"), docs, "none")
+    again.vacuum()
+    for index in (one, two, again):
+        index.close()
+
+
 def test_words_that_collide_in_polynomial_hashes(table):
     def thue_morse(n, a="a", b="b"):
         return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
