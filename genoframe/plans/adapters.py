@@ -56,6 +56,12 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5' ends from lineitem, crowded around the sites of suppliers and, one line of an order, spread out: assay, chrom, pos, strand."""
+    at = "case when l_linenumber = 1 then (l_orderkey * 7919) % 2400000 else (l_suppkey * 5003) % 2400000 + ((l_orderkey * 37 + l_linenumber * 11) % 90 + (l_partkey * 13) % 91) + case l_returnflag when 'A' then 120 else 0 end end"
+    return table(spark, sf_dir, "lineitem").selectExpr("case when l_suppkey % 2 = 0 then 'atac' else 'h3k27ac' end as assay", "concat('chr', l_suppkey % 3) as chrom", f"{at} as pos", "case l_returnflag when 'A' then '-' else '+' end as strand")
+
+
 #: The same views as common table expressions; s and e are start and end.
 ELEMENTS = "elements AS (SELECT p_partkey AS id, 'chr' || (p_partkey % 3) AS chrom, (p_partkey // 3) * 120 + 10 AS s, (p_partkey // 3) * 120 + 30 + p_size AS e, (p_partkey // 3) * 120 + 10 + (20 + p_size) // 2 AS summit FROM part)"
 UNITS = (
@@ -63,6 +69,10 @@ UNITS = (
     "(l_partkey // 3) * 120 + ((l_orderkey * 37 + l_linenumber * 11) % 180) + CAST(l_quantity AS BIGINT) AS e, 'lib' || (l_suppkey % 4) || '_' || l_linestatus AS library, "
     "CASE WHEN l_suppkey % 2 = 0 THEN 'atac' ELSE 'h3k27ac' END AS assay, l_linestatus AS context, CASE l_returnflag WHEN 'A' THEN '-' ELSE '+' END AS strand FROM lineitem)"
 )
+TAGS = (
+    "tags AS (SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'atac' ELSE 'h3k27ac' END AS assay, 'chr' || (l_suppkey % 3) AS chrom, CASE WHEN l_linenumber = 1 THEN (l_orderkey * 7919) % 2400000 "
+    "ELSE (l_suppkey * 5003) % 2400000 + ((l_orderkey * 37 + l_linenumber * 11) % 90 + (l_partkey * 13) % 91) + CASE l_returnflag WHEN 'A' THEN 120 ELSE 0 END END AS pos, CASE l_returnflag WHEN 'A' THEN '-' ELSE '+' END AS strand FROM lineitem)"
+)
 SITES = "sites AS (SELECT s_name AS name, 'chr' || (s_suppkey % 3) AS chrom, s_suppkey * 800 + s_nationkey AS pos, CASE WHEN s_nationkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM supplier)"
 SEGMENTS = "segments AS (SELECT event_id, 'u' || user_id AS chrom, date_diff('second', TIMESTAMP '2024-01-01', ts) AS s, date_diff('second', TIMESTAMP '2024-01-01', ts) + 600 * (1 + event_id % 60) AS e, value, event_id % 3 AS replicate FROM events)"
 PIXELS = "pixels AS (SELECT least(l_partkey % 40, l_suppkey % 40) AS b1, greatest(l_partkey % 40, l_suppkey % 40) AS b2, count(*) AS n FROM lineitem GROUP BY 1, 2)"

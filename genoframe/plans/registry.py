@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import activity_queries, interval_queries, link_queries, read_queries, table_queries  # noqa: F401  they enter their queries
+from . import activity_queries, interval_queries, link_queries, peak_queries, read_queries, table_queries  # noqa: F401  they enter their queries
 from .activity_queries import activity
 from .book import BOOK
 
