@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import has_flags
 from .intervals import TILE, interval_union, overlap_join
@@ -31,6 +31,50 @@ def mark_duplicates(df: DataFrame, keys: tuple[str, ...], order: tuple) -> DataF
     return df.withColumn("duplicate", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) > 1)
 
 
+def _summed(cigar: Column, operations: str) -> Column:
+    numbers = F.regexp_extract_all(cigar, F.lit(rf"(\d+)[{operations}]"), F.lit(1))
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, n: a + n.cast("long"))
+
+
+def unclipped_five_prime(pos: Column, cigar: Column, reverse: Column) -> Column:
+    """Where a read's 5' end would stand if its clipped bases were aligned (from 1); ``pos`` is the leftmost aligned base."""
+    lead, trail = (F.regexp_extract(cigar, p, 1) for p in (r"^((?:\d+[SH])+)", r"((?:\d+[SH])+)$"))
+    return F.when(reverse, pos - 1 + _summed(cigar, "MDN=X") + _summed(trail, "SH")).otherwise(pos - _summed(lead, "SH"))
+
+
+def mark_template_duplicates(records: DataFrame, by: tuple[str, ...] = ("library",), read: str = "read") -> DataFrame:
+    """``records`` with ``duplicate``, by whole templates: pairs against pairs, single reads against both.
+
+    Records need ``by``, the read name, flag, chrom, pos (from 1), cigar and
+    quality (summed over good bases).  Two pairs are copies if both unclipped
+    5' ends and strands agree; the one of the highest summed quality stays (of
+    equals, the one whose name comes first).  A read whose mate is not mapped
+    is a copy if a pair has an end in its place and strand, or a better such
+    read.  Only primary mapped records of good quality are compared; the mark
+    of a template is that of all its mapped records, secondary and
+    supplementary ones too.  Ends of equal place are taken together with
+    partial aggregates, so a pile of copies is no single task's.
+    """
+    keys = [*by, read]
+    bit = lambda b: F.col("flag").bitwiseAND(b) != 0
+    primary = records.where(~bit(UNMAPPED + SECONDARY + SUPPLEMENTARY + QC_FAIL))
+    end = F.struct("chrom", unclipped_five_prime(F.col("pos"), F.col("cigar"), bit(REVERSE)).alias("at"), bit(REVERSE).alias("reverse"))
+    templates = primary.withColumn("end", end).groupBy(*keys).agg(F.min("end").alias("lo"), F.max("end").alias("hi"), F.count("*").alias("n"), F.sum("quality").alias("quality"))
+
+    def best(rows: DataFrame, place: list[str]) -> DataFrame:
+        # The highest quality, then the first name: names are compared as they are, so the least is found in a second step.
+        top = rows.groupBy(*by, *place).agg(F.max("quality").alias("quality"))
+        return rows.join(top, [*by, *place, "quality"]).groupBy(*by, *place).agg(F.min(read).alias("kept"))
+
+    pairs, singles = templates.where("n > 1"), templates.where("n = 1")
+    marked = pairs.join(best(pairs, ["lo", "hi"]), [*by, "lo", "hi"]).select(*keys, (F.col(read) != F.col("kept")).alias("duplicate"))
+    taken = pairs.select(*by, F.explode(F.array("lo", "hi")).alias("lo")).distinct().withColumn("taken", F.lit(True))
+    alone = singles.join(best(singles, ["lo"]), [*by, "lo"]).join(taken, [*by, "lo"], "left")
+    marked = marked.unionByName(alone.select(*keys, ((F.col(read) != F.col("kept")) | F.col("taken").isNotNull()).alias("duplicate")))
+    out = records.join(marked, keys, "left")
+    return out.withColumn("duplicate", F.coalesce(F.col("duplicate") & ~bit(UNMAPPED), F.lit(False)))
+
+
 def insertions(df: DataFrame, plus: int = 0, minus: int = 0) -> DataFrame:
     """One-base units at the 5' end: start on +, end-1 on -, shifted by ``plus`` and ``minus`` first."""
     at = F.when(F.col("strand") == "+", F.col("start") + plus).otherwise(F.col("end") - 1 + minus)

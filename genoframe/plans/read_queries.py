@@ -21,6 +21,32 @@ def dedup(spark, d):
     return rd.mark_duplicates(x, ("library", "chrom", "pos", "reverse"), (F.col("quality").desc(), "read_id")).select("read_id", "duplicate")
 
 
+_RECORDS = {
+    "library": "concat('lib', l_orderkey % 3)", "read": "concat('r', l_orderkey, '_', (l_linenumber - 1) div 2)",
+    "flag": "cast(1 + case when l_linenumber % 2 = 0 then 16 else 0 end + case when l_tax = 0.08 then 256 else 0 end + case when l_discount = 0.1 then 4 else 0 end as int)",
+    "chrom": "concat('chr', l_orderkey % 2)",
+    "pos": "(l_orderkey * 31) % 40 * 100 + 100 + case when l_linenumber % 2 = 0 then 150 + (l_orderkey * 17) % 3 * 10 else case l_suppkey % 4 when 1 then 5 when 3 then 6 else 0 end end",
+    "cigar": "case l_suppkey % 4 when 0 then '50M' when 1 then '5S45M' when 2 then '40M2D8M5S2H' else '4H2S20M1I3N20M' end", "quality": "cast(l_quantity as bigint)",
+}
+
+
+def template_records(spark, d):
+    """Records of paired reads from lineitem, with clipped ends, secondary and unmapped ones: library, read, line, flag, chrom, pos, cigar, quality."""
+    return a.table(spark, d, "lineitem").selectExpr("l_linenumber as line", *[f"{e} as {c}" for c, e in _RECORDS.items()])
+
+
+@query("template_duplicates", f"""WITH rec AS (SELECT l_linenumber AS line, {', '.join(f"{e.replace(' div ', ' // ').replace('concat(', 'concat(')} AS {c}" for c, e in _RECORDS.items())} FROM lineitem),
+cl AS (SELECT *, (flag & 16) <> 0 AS rev, coalesce(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1), lambda x: CAST(x AS BIGINT))), 0) AS ref, coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '^((?:[0-9]+[SH])+)', 1), '([0-9]+)', 1), lambda x: CAST(x AS BIGINT))), 0) AS lead,
+coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '((?:[0-9]+[SH])+)$', 1), '([0-9]+)', 1), lambda x: CAST(x AS BIGINT))), 0) AS trail FROM rec),
+en AS (SELECT *, chrom || ':' || lpad(CAST(CASE WHEN rev THEN pos - 1 + ref + trail ELSE pos - lead END AS VARCHAR), 12, '0') || CASE WHEN rev THEN 'r' ELSE 'f' END AS x FROM cl WHERE (flag & 2820) = 0),
+te AS (SELECT library, read, min(x) AS lo, max(x) AS hi, count(*) AS n, sum(quality) AS q FROM en GROUP BY 1, 2),
+ma AS (SELECT library, read, row_number() OVER (PARTITION BY library, lo, hi ORDER BY q DESC, read) > 1 AS dup FROM te WHERE n > 1
+UNION ALL SELECT library, read, row_number() OVER (PARTITION BY library, lo ORDER BY q DESC, read) > 1 OR EXISTS (SELECT 1 FROM te p WHERE p.n > 1 AND p.library = s.library AND s.lo IN (p.lo, p.hi)) FROM te s WHERE n = 1)
+SELECT rec.library, rec.read, line, flag, coalesce(dup AND (flag & 4) = 0, false) AS duplicate FROM rec LEFT JOIN ma USING (library, read)""")
+def template_duplicates(spark, d):
+    return rd.mark_template_duplicates(template_records(spark, d)).select("library", "read", "line", "flag", "duplicate")
+
+
 @query("strand_point_projection", f"""WITH {a.UNITS} SELECT unit_id, chrom, CASE strand WHEN '+' THEN s + 4 ELSE e - 6 END AS s, CASE strand WHEN '+' THEN s + 5 ELSE e - 5 END AS e FROM units""")
 def points(spark, d):
     return spans(rd.insertions(a.units(spark, d), 4, -5)).select("unit_id", "chrom", "s", "e")
@@ -106,7 +132,7 @@ def fastq(spark, d):
     return rd.validate_fastq(lines)
 
 
-@query("log_regex_agg", """SELECT event_id, TRY_CAST(nullif(regexp_extract(l, 'aligned ([0-9.]+)%', 1), '') AS DOUBLE) AS rate, TRY_CAST(nullif(regexp_extract(l, 'reads: (\\d+)', 1), '') AS DOUBLE) AS reads FROM (SELECT event_id, 'aligned ' || (event_id % 100) || '.5% of reads: ' || (event_id * 3) || ';' || event_type AS l FROM events)""")
+@query("log_regex_agg", """SELECT event_id, TRY_CAST(nullif(regexp_extract(l, 'aligned ([0-9.]+)%', 1), '') AS DOUBLE) AS rate, TRY_CAST(nullif(regexp_extract(l, 'reads: (\[0-9]+)', 1), '') AS DOUBLE) AS reads FROM (SELECT event_id, 'aligned ' || (event_id % 100) || '.5% of reads: ' || (event_id * 3) || ';' || event_type AS l FROM events)""")
 def logs(spark, d):
     text = F.concat(F.lit("aligned "), (F.col("event_id") % 100).cast("string"), F.lit(".5% of reads: "), (F.col("event_id") * 3).cast("string"), F.lit(";"), F.col("event_type"))
-    return tb.parse_log(a.table(spark, d, "events").select("event_id", text.alias("text")), {"rate": r"aligned ([0-9.]+)%", "reads": r"reads: (\d+)"})
+    return tb.parse_log(a.table(spark, d, "events").select("event_id", text.alias("text")), {"rate": r"aligned ([0-9.]+)%", "reads": r"reads: ([0-9]+)"})

@@ -161,3 +161,25 @@ def test_stream(spark, tmp_path):
         counts.maintain_counts(counts.unit_stream(spark, inbox), e, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = {r.id: r.raw_count for r in counts.read_counts(spark, str(tmp_path / "out")).collect()}
     assert got == {1: 2, 2: 1} == {r.id: r.raw_count for r in iv.count_overlaps(e, spark.read.parquet(inbox)).collect()}
+
+
+def test_template_duplicates(spark):
+    from genoframe.operators.reads import mark_template_duplicates, unclipped_five_prime
+
+    rows = [
+        # Two pairs with the same unclipped ends; the first has the better quality.
+        ("a", 0x41, 100, "50M", 30), ("a", 0x91, 300, "50M", 30), ("b", 0x41, 105, "5S45M", 20), ("b", 0x91, 300, "45M5S", 30),
+        ("b", 0x141, 900, "50M", 30),  # a secondary record has its template's mark
+        ("c", 0x41, 100, "50M", 99), ("c", 0x91, 301, "50M", 99),  # another end
+        ("d", 0x51, 100, "50M", 99), ("d", 0x91, 300, "50M", 99),  # another strand
+        ("e", 0x49, 101, "1S50M", 99), ("e", 0x85, 101, "*", 0),  # a single read in the place of a pair's end; its mate is not mapped
+        ("f", 0x0, 500, "50M", 10), ("g", 0x0, 503, "3H47M", 10), ("h", 0x0, 500, "50M", 40), ("i", 0x10, 451, "50M", 40), ("j", 0x10, 461, "30M2D8M", 1),
+        ("k", 0x200, 500, "50M", 99),  # of bad quality: not compared
+    ]
+    df = spark.createDataFrame([("l", "chr1", *r) for r in rows], "library string, chrom string, read string, flag int, pos long, cigar string, quality long")
+    got = {(r.read, r.flag): r.duplicate for r in mark_template_duplicates(df).collect()}
+    assert {k for k, v in got.items() if v} == {("b", 0x41), ("b", 0x91), ("b", 0x141), ("e", 0x49), ("f", 0x0), ("g", 0x0), ("j", 0x10)} and len(got) == len(rows)
+    other = df.union(df.withColumn("library", F.lit("m")))
+    assert mark_template_duplicates(other).where("duplicate").count() == 14
+    at = df.select(unclipped_five_prime(F.col("pos"), F.col("cigar"), F.col("flag").bitwiseAND(16) != 0).alias("x")).collect()
+    assert [r.x for r in at][-4:-1] == [500, 500, 500]
