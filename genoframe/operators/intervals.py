@@ -42,6 +42,42 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = 1024, keys: tuple[str,
     return (pairs if extra is None else pairs.where(extra)).drop("__bin")
 
 
+def _home(start: Column, end: Column, width: int, step: int, levels: int) -> Column:
+    """(level, bin) of the smallest bin that holds [start, end); the last level is one bin."""
+    home = F.struct(F.lit(levels).alias("level"), F.lit(0).cast("long").alias("bin"))
+    for level in reversed(range(levels)):
+        size = width * step**level
+        lo = F.floor(start / size)
+        home = F.when(lo == F.floor((end - 1) / size), F.struct(F.lit(level).alias("level"), lo.alias("bin"))).otherwise(home)
+    return home
+
+
+def _above(home: Column, step: int, levels: int, own: bool) -> Column:
+    """The bins that hold a bin, level by level; with ``own`` itself too."""
+    level = F.sequence(home["level"] + (0 if own else 1), F.lit(levels + (0 if own else 1)))
+    found = F.transform(level, lambda n: F.struct(n.alias("level"), F.when(n >= levels, 0).otherwise(F.floor(home["bin"] / F.pow(F.lit(step), n - home["level"]))).cast("long").alias("bin")))
+    return F.explode(found if own else F.filter(found, lambda x: x["level"] <= levels))
+
+
+def nested_overlap_join(a: DataFrame, b: DataFrame, width: int = 1024, step: int = 8, levels: int = 8, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
+    """``overlap_join`` for intervals of any mix of lengths: a long one is a row for each level, not for each bin that it touches.
+
+    Bins of ``width`` * ``step`` ** n bases nest.  An interval lives in the
+    smallest bin that holds it, and of two that overlap one lives in a bin
+    that holds the other's.  So the intervals of one side at home meet those
+    of the other in the bins above their own, and the other way round: a pair
+    comes once, and no interval is more than ``levels`` + 1 rows.
+    """
+    b = b.select(*[F.col(c) if c in keys else F.col(c).alias(f"b_{c}") for c in b.columns])
+    x = a.where(F.col("end") > F.col("start")).withColumn("__home", _home(F.col("start"), F.col("end"), width, step, levels))
+    y = b.where(F.col("b_end") > F.col("b_start")).withColumn("__home", _home(F.col("b_start"), F.col("b_end"), width, step, levels))
+    touch = (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end"))
+    on = [*keys, "__at"]
+    low = x.withColumn("__at", F.col("__home")).drop("__home").join(y.withColumn("__at", _above(F.col("__home"), step, levels, True)).drop("__home"), on)
+    high = x.withColumn("__at", _above(F.col("__home"), step, levels, False)).drop("__home").join(y.withColumn("__at", F.col("__home")).drop("__home"), on)
+    return low.unionByName(high).where(touch).drop("__at")
+
+
 def containment_join(inner: DataFrame, outer: DataFrame, width: int = 1024) -> DataFrame:
     """Pairs where the first interval lies wholly in the second."""
     return overlap_join(inner, outer, width, extra=(F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end")))

@@ -24,6 +24,15 @@ def overlap(spark, d):
     return pairs.select("unit_id", F.col("b_id").alias("id"), (F.least("end", "b_end") - F.greatest("start", "b_start")).alias("overlap"))
 
 
+@query("nested_overlap_join", f"""WITH {a.ELEMENTS}, spans AS (SELECT o_orderkey AS order_id, 'chr' || (o_custkey % 3) AS chrom, (o_orderkey * 37) % 80000 AS s, (o_orderkey * 37) % 80000 + CASE o_orderstatus WHEN 'P' THEN CAST(floor(o_totalprice / 50) AS BIGINT) ELSE 20 + o_custkey % 50 END AS e FROM orders)
+SELECT order_id, x.id, least(o.e, x.e) - greatest(o.s, x.s) AS overlap FROM spans o JOIN elements x ON o.chrom = x.chrom AND o.s < x.e AND x.s < o.e""")
+def nested(spark, d):
+    at = "(o_orderkey * 37) % 80000"
+    o = a.table(spark, d, "orders").selectExpr("o_orderkey as order_id", "concat('chr', o_custkey % 3) as chrom", f"{at} as start", f"{at} + case o_orderstatus when 'P' then cast(floor(o_totalprice / 50) as bigint) else 20 + o_custkey % 50 end as `end`")
+    pairs = iv.nested_overlap_join(o, a.elements(spark, d), 256)
+    return pairs.select("order_id", F.col("b_id").alias("id"), (F.least("end", "b_end") - F.greatest("start", "b_start")).alias("overlap"))
+
+
 @query("interval_count", f"""WITH {a.ELEMENTS}, {a.UNITS}, t AS (SELECT count(*) AS total_units FROM units)
 SELECT x.id, count(u.unit_id) AS raw_count, any_value(t.total_units) AS total_units FROM elements x CROSS JOIN t LEFT JOIN units u ON u.chrom = x.chrom AND u.s < x.e AND x.s < u.e GROUP BY x.id""")
 def count(spark, d):
