@@ -31,9 +31,9 @@ sc AS (SELECT *, round(-lp / ln(10), 5) AS p FROM pr), ps AS (SELECT assay, p, s
 qs AS (SELECT assay, p, greatest(min(raw) OVER (PARTITION BY assay ORDER BY p DESC), 0) AS q FROM rk), tr AS (SELECT st.assay, st.chrom, st.s, st.e, st.k, st.m, coalesce(sc.p, 0) AS p, coalesce(qs.q, 0) AS q FROM st LEFT JOIN sc ON sc.assay = st.assay AND sc.k = st.k AND sc.m = st.m LEFT JOIN qs ON qs.assay = sc.assay AND qs.p = sc.p)"""
 
 
-@query("qpois_track", f"WITH {TRACK} SELECT assay, chrom, s, e, k AS pileup, round(m, 6) AS expected, round(p, 3) AS p_score, round(q, 3) AS q_score FROM tr")
+@query("qpois_track", f"WITH {TRACK} SELECT assay, chrom, s, e, k AS pileup, round(m, 6) AS expected, p AS p_score, round(q, 6) AS q_score FROM tr")
 def qpois(spark, d):
-    return spans(track(spark, d)).withColumns({"expected": F.round("expected", 6), "p_score": F.round("p_score", 3), "q_score": F.round("q_score", 3)})
+    return spans(track(spark, d)).withColumns({"expected": F.round("expected", 6), "q_score": F.round("q_score", 6)})
 
 
 def _runs(cutoff: str, gap: int) -> str:
@@ -42,10 +42,10 @@ def _runs(cutoff: str, gap: int) -> str:
 
 @query("peak_calls", f"""WITH {TRACK}, {_runs('-log10(0.05)', 50)}, pk AS (SELECT chrom AS key, s, e FROM merged WHERE e - s >= 150), x AS (SELECT pk.s AS ps, pk.e AS pe, t.* FROM pk JOIN tr t ON pk.key = t.assay || chr(47) || t.chrom AND pk.s <= t.s AND t.e <= pk.e AND t.q > -log10(0.05)),
 b AS (SELECT *, row_number() OVER (PARTITION BY assay, chrom, ps ORDER BY s) AS i, count(*) OVER (PARTITION BY assay, chrom, ps) AS n FROM (SELECT *, max(k) OVER (PARTITION BY assay, chrom, ps) AS top FROM x) WHERE k = top)
-SELECT assay, chrom, ps AS s, pe AS e, (s + e) // 2 AS summit, k AS pileup, round((k + 1) / (m + 1), 6) AS fold, round(p, 3) AS p_score, round(q, 3) AS q_score FROM b WHERE i = (n + 1) // 2""")
+SELECT assay, chrom, ps AS s, pe AS e, (s + e) // 2 AS summit, k AS pileup, round((k + 1) / (m + 1), 6) AS fold, p AS p_score, round(q, 6) AS q_score FROM b WHERE i = (n + 1) // 2""")
 def peaks(spark, d):
     out = pk.peak_calls(track(spark, d), by=("assay",))
-    return spans(out).drop("score").withColumns({"fold": F.round("fold", 6), "p_score": F.round("p_score", 3), "q_score": F.round("q_score", 3)})
+    return spans(out).drop("score").withColumns({"fold": F.round("fold", 6), "q_score": F.round("q_score", 6)})
 
 
 @query("refined_peaks")
