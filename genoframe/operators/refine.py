@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .intervals import containment_join
+from .streams import map_groups
 
 SHAPE = "chrom string, candidate_id long, kind string, start long, end long, score double, exponent int"
 
@@ -89,15 +90,14 @@ def refine_peaks(candidates: DataFrame, segments: DataFrame, low: int = 2, high:
     inside = containment_join(segments.where(F.col("score") > low).withColumn("last", last), candidates, width)
     rows = inside.select("chrom", F.col("b_candidate_id").alias("candidate_id"), "start", "end", "score", "last")
 
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def run(inside: pd.DataFrame) -> pd.DataFrame:
         out = []
-        segments = sorted(zip(*(group[c].tolist() for c in ("candidate_id", "start", "end", "score", "last")), strict=True))
-        for candidate, part in groupby(segments, itemgetter(0)):
-            found = refine_one([s[1:] for s in part], low, high, shortest, longest, gap)
-            out += [(key[0], candidate, *p) for p in found]
+        for (chrom, candidate), part in groupby(inside.itertuples(index=False, name=None), itemgetter(0, 1)):
+            found = refine_one(sorted(s[2:] for s in part), low, high, shortest, longest, gap)
+            out += [(chrom, candidate, *p) for p in found]
         return pd.DataFrame(out, columns=["chrom", "candidate_id", "kind", "start", "end", "score", "exponent"])
 
-    return rows.groupBy("chrom", F.expr("candidate_id div 256")).applyInPandas(run, SHAPE)
+    return map_groups(rows, ["chrom", "candidate_id"], ["chrom", "candidate_id"], run, SHAPE)
 
 
 def peak_score(score: float) -> int:
