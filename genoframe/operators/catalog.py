@@ -146,35 +146,57 @@ def fit_two(x: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) ->
     return max(fits, key=lambda f: f[0])
 
 
-def guarded_mixture(x: np.ndarray) -> dict:
-    """Fit and guards for the finite values of one context."""
-    few, flat, *guards = REASONS
-    x = np.sort(x[np.isfinite(x)])
-    n = len(x)
+def unfitted(n: int) -> dict:
+    """The row of a context without a fit: too few values, or all of them equal."""
     out = dict.fromkeys(c.split()[0] for c in MIXTURE.split(", ")) | {"positive_member_n": n, "mixture_supported": False}
-    if n < MIN_N:
-        return out | {"support_reason": few}
-    if x.var() <= 1e-12:
-        return out | {"support_reason": flat}
-    likelihood, fit = fit_two(x)
-    one, two = 2 * np.log(n) - 2 * _density(x, x.mean(), x.var()).sum(), 5 * np.log(n) - 2 * likelihood
+    return out | {"support_reason": REASONS[0] if n < MIN_N else REASONS[1]}
+
+
+def judged(n: int, likelihood_one: float, likelihood: float, fit: Mixture) -> dict:
+    """The row of a context with a fit: its figures, and the guards that it fails."""
+    one, two = 2 * np.log(n) - 2 * likelihood_one, 5 * np.log(n) - 2 * likelihood
     d = np.sqrt(2) * (fit.mean[1] - fit.mean[0]) / np.sqrt(sum(fit.variance))
     at = fit.crossing()
     failed = [one - two < MIN_DELTA_BIC, d < MIN_D, min(fit.weight) < MIN_WEIGHT, at is None]
-    reasons = [name for name, bad in zip(guards, failed, strict=True) if bad]
+    reasons = [name for name, bad in zip(REASONS[2:], failed, strict=True) if bad]
+    out = unfitted(n)
     for c, name in enumerate(("low", "high")):
         out |= {f"{name}_mean": fit.mean[c], f"{name}_variance": fit.variance[c], f"{name}_sd": np.sqrt(fit.variance[c]), f"{name}_weight": fit.weight[c]}
     out |= {"mixture_supported": not reasons, "support_reason": ";".join(reasons) or "supported", "bic_one_component": one, "bic_two_component": two, "delta_bic": one - two, "ashman_d": d}
     return out | {"posterior_crossing": at, "crossing_signal": None if at is None else 10.0**at}
 
 
-def fit_mixtures(values: DataFrame, value: str = "log10_signal") -> DataFrame:
-    """One mixture for each context from (context, value); a context's values are a column of numbers in one task."""
+def guarded_mixture(x: np.ndarray) -> dict:
+    """Fit and guards for the finite values of one context."""
+    x = np.sort(x[np.isfinite(x)])
+    if len(x) < MIN_N or x.var() <= 1e-12:
+        return unfitted(len(x))
+    return judged(len(x), float(_density(x, x.mean(), x.var()).sum()), *fit_two(x))
+
+
+def fit_mixtures(values: DataFrame, value: str = "log10_signal", limit: int = 5_000_000) -> DataFrame:
+    """One mixture for each context from (context, value).
+
+    A context of at most ``limit`` rows is a column of numbers in one task;
+    larger ones are fitted by aggregations over all tasks, with the same steps
+    (``mixtures.fit_large``).  There are at most rows / limit of those.  The
+    values are written once, to the checkpoint folder.
+    """
+    from .mixtures import fit_large
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([guarded_mixture(group[value].to_numpy(float)) | {"context": key[0]}])
 
-    return values.select("context", F.col(value).cast("double").alias(value)).groupBy("context").applyInPandas(run, MIXTURE)
+    x = settled(values.select("context", F.col(value).cast("double").alias(value)))
+    large = x.groupBy("context").agg(F.count("*").alias("n")).where(F.col("n") > limit).select(F.col("context").alias("name"))
+    names = [r.name for r in large.collect()]
+    if not names:
+        return x.groupBy("context").applyInPandas(run, MIXTURE)
+    fields = [c.split()[0] for c in MIXTURE.split(", ")]
+    plain = lambda v: v.item() if isinstance(v, np.generic) else v
+    fitted = x.sparkSession.createDataFrame([tuple(plain(row[c]) for c in fields) for row in fit_large(x, names, value)], MIXTURE)
+    rest = x.join(large, F.col("context").eqNullSafe(F.col("name")), "left_anti")
+    return rest.groupBy("context").applyInPandas(run, MIXTURE).unionByName(fitted)
 
 
 def posterior(value: Column | str = "log10_signal") -> Column:

@@ -93,6 +93,29 @@ def test_mixtures(spark):
     assert all((r.p >= 0.5) == (r.log10_signal >= row.posterior_crossing) for r in post)
 
 
+def test_mixtures_over_all_tasks(spark):
+    """Steps as aggregations give what a task that holds the context gives."""
+    rng = np.random.default_rng(5)
+    draws = {
+        "two": np.concatenate([rng.normal(-1, 0.3, 900), rng.normal(1, 0.3, 1100)]),
+        "ties": np.round(np.concatenate([rng.normal(0, 0.5, 700), rng.normal(2.5, 0.4, 500)]), 1),
+        "uneven": np.concatenate([rng.normal(0, 0.2, 1500), rng.normal(3, 0.2, 40), [np.nan, np.inf, -np.inf]]),
+        "few": rng.normal(0, 1, 150),
+        "flat": np.full(300, 2.0),
+        "empty": np.array([np.nan, np.inf]),
+        None: np.concatenate([rng.normal(-2, 0.3, 300), rng.normal(2, 0.6, 300)]),
+    }
+    df = spark.createDataFrame([(k, float(v)) for k, x in draws.items() for v in x] + [("two", None)], "context string, log10_signal double").repartition(5)
+    want = {k: ct.guarded_mixture(x) for k, x in draws.items()}
+    for limit in (0, 400):  # all contexts, then the larger ones beside the others
+        got = {r.context: r.asDict() for r in ct.fit_mixtures(df, limit=limit).collect()}
+        assert got.keys() == want.keys()
+        for k, row in want.items():
+            assert got[k]["positive_member_n"] == row["positive_member_n"]
+            for c in row.keys() - {"context"}:
+                assert got[k][c] == (row[c] if row[c] is None or isinstance(row[c], str | bool) else pytest.approx(row[c], rel=1e-6, abs=1e-6)), (limit, k, c)
+
+
 def test_crossing_and_blocks():
     rng = np.random.default_rng(8)
     x = np.concatenate([rng.normal(0, 0.5, 400), rng.normal(3, 1.0, 300)])
