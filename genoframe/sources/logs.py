@@ -77,10 +77,14 @@ def profile_enrichment(logs: DataFrame, reach: float = 2000.0, center: float = 5
 
 
 def report_sources(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """(path, kind, source_root, sha256) of the artifacts under result folders, each file once."""
+    """(path, kind, source_root, sha256) of the artifacts under result folders, each file once.
+
+    Only files with a name that some kind has are opened: others, such as alignments, are listed and left.
+    """
+    names = "{" + ",".join(sorted({p.rsplit("/", 1)[-1] for p in REPORT_SOURCES.values()})) + "}"
     out = None
     for root in sorted({r.rstrip("/") for r in roots}):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(root)
         inner = F.regexp_replace("path", "^file:/+", "/").substr(F.lit(len(root.removeprefix("file://")) + 2), F.length("path"))
         kind = F.lit(None).cast("string")
         for name, pattern in REPORT_SOURCES.items():

@@ -70,11 +70,13 @@ def test_logs(spark):
 
 
 def test_report_sources(spark, tmp_path):
-    for name in ("qc/metrics.json", "qc/tss/a.profile.png", "qc/tss/deep/b.profile.png", "qc/other.txt", "provenance/manifests/x.tsv"):
+    for name in ("qc/metrics.json", "qc/tss/a.profile.png", "qc/tss/deep/b.profile.png", "qc/other.txt", "qc/reads.bam", "provenance/manifests/x.tsv"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text(name)
     got = {r.kind: r.sha256 for r in logs.report_sources(spark, [str(tmp_path), str(tmp_path) + "/"]).collect()}
     assert got == {k: hashlib.sha256(n.encode()).hexdigest() for k, n in (("qc_metrics", "qc/metrics.json"), ("tss_profile", "qc/tss/a.profile.png"), ("manifest", "provenance/manifests/x.tsv"))}
+    opened = {f.rsplit("/", 1)[-1] for f in logs.report_sources(spark, [str(tmp_path)]).inputFiles()}
+    assert "metrics.json" in opened and not opened & {"reads.bam", "other.txt"}
 
 
 def test_session_and_figures(spark, tmp_path):
