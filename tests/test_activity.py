@@ -155,3 +155,28 @@ def test_posterior_is_null_without_a_fit(spark):
     rows = [(1.0, 0.5, 0.0, 1.0, 0.5, 2.0, 1.0), (1.0, None, None, None, None, None, None), (None, 0.5, 0.0, 1.0, 0.5, 2.0, 1.0)]
     df = spark.createDataFrame(rows, "log10_signal double, low_weight double, low_mean double, low_variance double, high_weight double, high_mean double, high_variance double")
     assert [r.p for r in df.select(posterior().alias("p")).collect()] == [0.5, None, None]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zscores_join_no_group_in_one_task(spark):
+    from genoframe.operators.catalog import log_zscores
+
+    x = spark.createDataFrame([("c", 1.0), ("c", 100.0), ("d", 5.0), ("d", 0.0)], "context string, signal double")
+    out = log_zscores(x)
+    assert "SortMergeJoin" not in _plan(out)
+    assert sorted((r.signal, r.z) for r in out.collect() if r.context == "c") == [(1.0, -1.0), (100.0, 1.0)]
+
+
+def test_background_deals_no_assay_to_one_task(spark):
+    import re
+
+    from genoframe.operators.quantify import background_counts, tmm_factors
+
+    u = spark.createDataFrame([("x", f"l{i % 2}", "c", 10 * i, 10 * i + 5) for i in range(40)], "assay string, library string, chrom string, start long, end long")
+    out = background_counts(u, spark.createDataFrame([("c", 1000)], "chrom string, size long"), 100)
+    assert not re.search(r"hashpartitioning\(assay#\d+, \d+\)", _plan(out).split("AdaptiveSparkPlan", 1)[-1].replace("Window", "")) and out.count() == 8
+    joins = re.findall(r"SortMergeJoin \[assay#\d+, library#\d+\],", _plan(tmm_factors(out)))
+    assert len(joins) <= 1  # the factors' own table, a row a library
