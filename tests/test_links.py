@@ -215,3 +215,20 @@ def test_merged_replicates(spark):
     one = spark.createDataFrame([("c", a, b, 1) for a in range(20) for b in range(a, 20)], "chrom string, bin1 long, bin2 long, count long")
     assert cn.coarsen_merge(one.union(one), 1).agg(F.min("count")).first()[0] == 2
     assert {(r.bin1, r.bin2): r["count"] for r in cn.coarsen_merge(one, 10).collect()} == {(0, 0): 55, (0, 1): 100, (1, 1): 55}
+
+
+def test_lookup_spreads_pairs_of_one_pixel(spark, monkeypatch):
+    from genoframe.operators import contacts as cn
+
+    nan = float("nan")
+    px = spark.createDataFrame([("c", 0, 1, 2.0), ("c", 1, 2, 3.5), ("c", 1, 4, 1.25), ("c", 2, 3, nan), ("c", 3, 4, nan), ("c", 2, 2, 9.0)], "chrom string, bin1 long, bin2 long, value double")
+    at = [(c, 100 * i + 1, 100 * j + 2, 0.5) for c in "cx" for i in range(6) for j in range(6)]
+    pairs, shape = spark.createDataFrame(at, "chrom string, pos1 long, pos2 long, expected double"), spark.createDataFrame([("c", 5)], "chrom string, bins long")
+    out = cn.contact_lookup(pairs, px, shape, 100)
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(str, out.collect()))
+    monkeypatch.setattr(cn, "SMALL", 0)
+    assert got == sorted(map(str, cn.contact_lookup(pairs, px, shape, 100).collect()))
+    by = {(r.chrom, r.pos1 // 100, r.pos2 // 100): (r.status, r.observed) for r in out.collect()}
+    assert by["c", 1, 1] == ("adjacent_bin_proxy", 3.5) and by["c", 3, 3] == ("unbalanced_or_masked_adjacent_bins", None) and by["c", 2, 3] == ("unbalanced_or_masked_bin", None)
+    assert by["c", 4, 1] == ("observed_matrix_pixel", 1.25) and by["c", 0, 4] == ("observed_matrix_pixel", 0.0) and by["c", 5, 0][0] == "position_outside_matrix" and by["x", 0, 0][0] == "chromosome_absent_from_matrix"
