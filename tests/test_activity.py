@@ -180,3 +180,21 @@ def test_background_deals_no_assay_to_one_task(spark):
     assert not re.search(r"hashpartitioning\(assay#\d+, \d+\)", _plan(out).split("AdaptiveSparkPlan", 1)[-1].replace("Window", "")) and out.count() == 8
     joins = re.findall(r"SortMergeJoin \[assay#\d+, library#\d+\],", _plan(tmm_factors(out)))
     assert len(joins) <= 1  # the factors' own table, a row a library
+
+
+def test_elements_beyond_their_chromosome_have_no_largest_window(spark, tmp_path):
+    import __spark_entry__ as entry
+    import duckdb
+
+    d, c = str(tmp_path), duckdb.connect()
+    spark.createDataFrame([(k, 5) for k in (3, 6, 3 * 40_000)], "p_partkey long, p_size int").write.parquet(f"{d}/part.parquet")
+    lines = [(o, k, s, 1, 20.0, r, x) for o, k in enumerate((3, 6, 3, 3 * 40_000)) for s in range(4) for r, x in (("A", "F"), ("N", "O"))]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(f"{d}/lineitem.parquet")
+    spark.createDataFrame([(3, "s3", 1)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{d}/supplier.parquet")
+    for t in ("part", "lineitem"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
+    want = sorted(c.execute(entry.oracle_sql()["window_argmax"]).fetchall())
+    assert {r[0] for r in want} == {3, 6}
+    assert sorted(tuple(r) for r in entry.queries()["window_argmax"](spark, d).collect()) == want
+    for name in ("regulatory_catalog", "regulatory_wide"):
+        assert {r.master_dhs_id for r in entry.queries()[name](spark, d).collect()} == {3, 6}
