@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import numbered, powerlaw_expected, sig10
-from .contacts import contact_lookup
+from .contacts import contact_lookup, settled
 from .intervals import TILE, band_join, nearest
 
 
@@ -43,7 +43,7 @@ def promoter_activity(proms: DataFrame, elements: DataFrame, threshold: float, r
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("summit", "id"))), lambda s: s["id"].cast("string")), ";").alias("support_ids"),
     )
     grid = proms.crossJoin(elements.select(*by).distinct()) if by else proms  # promoters x contexts is the result
-    out = grid.join(found, [*by, "promoter_id"], "left")
+    out = grid.join(found.hint("merge"), [*by, "promoter_id"], "left")
     return out.withColumn("active", F.coalesce(F.col("posterior") >= threshold, F.lit(False))).withColumn("score", F.coalesce("score", F.lit(0.0))).withColumn("support_ids", F.coalesce("support_ids", F.lit("")))
 
 
@@ -115,9 +115,10 @@ class ContextGraph:
     nodes: DataFrame
     edges: DataFrame
     genes: DataFrame
+    states: DataFrame
 
 
-def context_graph(elements: DataFrame, proms: DataFrame, models: DataFrame, balanced: DataFrame, shape: DataFrame, reach: int, pseudocount: float, threshold: float) -> ContextGraph:
+def context_graph(elements: DataFrame, proms: DataFrame, models: DataFrame, balanced: DataFrame, shape: DataFrame, reach: int, pseudocount: float, threshold: float, once: bool = False) -> ContextGraph:
     """Element-promoter graphs of all contexts in one plan.
 
     ``elements`` (members): context, id, chrom, start, end, summit,
@@ -128,10 +129,16 @@ def context_graph(elements: DataFrame, proms: DataFrame, models: DataFrame, bala
     summits and start sites up to ``reach`` apart.  An observed contact weighs
     its balanced value and ``pseudocount`` times the expected one, a modelled
     one the expected one.  Numbers are those of tables written with ten digits.
+    With ``once``, states and edges are written to the checkpoint folder, for
+    callers that read several tables of the graph.
     """
     states = promoter_activity(proms, elements, threshold, by=("context",))
+    if once:
+        states = settled(states)
     edges = _graph_edges(elements, states, models, balanced, shape, reach, pseudocount)
-    return ContextGraph(_graph_nodes(elements, states, threshold), edges, graph_genes(edges, elements))
+    if once:
+        edges = settled(edges)
+    return ContextGraph(_graph_nodes(elements, states, threshold), edges, graph_genes(edges, elements), states)
 
 
 def _graph_nodes(elements: DataFrame, states: DataFrame, threshold: float) -> DataFrame:
@@ -152,7 +159,7 @@ def _graph_nodes(elements: DataFrame, states: DataFrame, threshold: float) -> Da
 
 def _graph_edges(elements: DataFrame, states: DataFrame, models: DataFrame, balanced: DataFrame, shape: DataFrame, reach: int, pseudocount: float) -> DataFrame:
     targets = states.select("context", "chrom", "tss", "promoter_id", "gene_id", "gene_name", "active", "score", "support_ids", "atac", "posterior")
-    pairs = band_join(elements.select("context", "id", "chrom", "summit"), targets, reach, "summit", "tss", ("context", "chrom")).join(models, "context")
+    pairs = band_join(elements.select("context", "id", "chrom", "summit"), targets, reach, "summit", "tss", ("context", "chrom")).join(F.broadcast(models), "context")
     x = pairs.withColumn("expected", powerlaw_expected("distance", "scale", "gamma", F.col("resolution"))).withColumns({"pos1": F.col("summit"), "pos2": F.col("b_tss")})
     x = contact_lookup(x, balanced, shape, F.col("resolution"), pseudocount, ("context", "chrom"))
     seen = F.col("strategy") == "observed"
@@ -181,7 +188,8 @@ def graph_genes(edges: DataFrame, elements: DataFrame) -> DataFrame:
         "contact_strategy", "contact_assay", "contact_match", "contact_resolution_bp", "contact_status", "observed_balanced_contact", "powerlaw_expected_contact", "observed_over_expected",
     )
     live = F.when(F.col("promoter_active") == 1, F.struct(F.col("candidate_link_score").alias("s"), F.col("contact_weight").alias("w"), (-F.col("distance_bp")).alias("d"), F.col("promoter_id").alias("p")))
-    genes = edges.groupBy(*of, "gene_id").agg(
+    # Pairs are many beside what they are joined from, so they are dealt as they come: a task that joins them sorts none.
+    genes = edges.repartition(*of).groupBy(*of, "gene_id").agg(
         F.max(best).alias("b"), F.max(live).alias("l"), F.count("*").alias("promoter_count"), F.count_if(F.col("promoter_active") == 1).alias("active_promoter_count"), F.min("distance_bp").alias("minimum_distance_bp"), F.max("contact_weight").alias("top")
     )
     tail = ("minimum_distance_bp", "gene_id")
@@ -198,7 +206,7 @@ def graph_genes(edges: DataFrame, elements: DataFrame) -> DataFrame:
         "best_contact_status": "b.contact_status", "best_observed_balanced_contact": "b.observed_balanced_contact", "best_powerlaw_expected_contact": "b.powerlaw_expected_contact", "best_contact_weight": "b.w",
         "best_observed_over_expected": "b.observed_over_expected", "candidate_link_score": "b.s", **{c: f"b.{c}" for c in ("gene_name", "contact_strategy", "contact_assay", "contact_match", "contact_resolution_bp")},
     }
-    return genes.join(own, of).withColumns({name: F.col(c) for name, c in told.items()}).select(*GENE_FIELDS)
+    return genes.join(own.hint("merge"), of).withColumns({name: F.col(c) for name, c in told.items()}).select(*GENE_FIELDS)
 
 
 def _focus(elements: DataFrame, threshold: float) -> DataFrame:
@@ -207,7 +215,7 @@ def _focus(elements: DataFrame, threshold: float) -> DataFrame:
 
 
 def _of(edges: DataFrame, elements: DataFrame) -> DataFrame:
-    return edges.join(elements.select("context", F.col("id").cast("string").alias("master_dhs_id")), ["context", "master_dhs_id"], "left_semi")
+    return edges.join(elements.select("context", F.col("id").cast("string").alias("master_dhs_id")).hint("merge"), ["context", "master_dhs_id"], "left_semi")
 
 
 def active_contact_genes(edges: DataFrame, elements: DataFrame, threshold: float, ratio: float) -> DataFrame:
@@ -246,16 +254,16 @@ def nearest_active_genes(elements: DataFrame, states: DataFrame, threshold: floa
     """
     live = elements.where(F.col("posterior") >= threshold).select("context", F.col("id").cast("string").alias("support"), (F.col("regulatory_class") == "promoter_associated").alias("own"))
     active = states.where("active")
-    support = active.select("context", "promoter_id", F.explode(F.split("support_ids", ";")).alias("support")).join(live, ["context", "support"])
+    support = active.select("context", "promoter_id", F.explode(F.split("support_ids", ";")).alias("support")).join(live.hint("merge"), ["context", "support"])
     names = lambda c: F.array_sort(F.collect_set(c))
     support = support.groupBy("context", "promoter_id").agg(names(F.col("support")).alias("s"), names(F.when(F.col("own"), F.col("support"))).alias("o"))
     place = F.concat_ws("/", "context", "chrom")
     focus = _focus(elements, threshold).withColumn("id", F.col("id").cast("string"))
     found = nearest(focus.select(F.concat_ws("/", "context", "id").alias("id"), place.alias("chrom"), F.col("summit").alias("pos")), active.select(place.alias("chrom"), F.col("tss").alias("pos"), F.col("promoter_id").alias("name")))
     ties = found.where("distance is not null").select(F.col("id").alias("key"), "distance", F.size("names").alias("ties"), F.explode("names").alias("promoter_id"))
-    x = ties.join(focus.withColumn("key", F.concat_ws("/", "context", "id")), "key").withColumnRenamed("chrom", "element_chrom")
-    told = active.join(support, ["context", "promoter_id"]).select("context", "promoter_id", "gene_id", "gene_name", "tss", F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.col("atac").alias("p_atac"), F.col("posterior").alias("p_posterior"), F.col("combined").alias("p_combined"), "s", "o")
-    x = x.join(told, ["context", "promoter_id"])
+    x = ties.join(focus.withColumn("key", F.concat_ws("/", "context", "id")).hint("merge"), "key").withColumnRenamed("chrom", "element_chrom")
+    told = active.join(support.hint("merge"), ["context", "promoter_id"]).select("context", "promoter_id", "gene_id", "gene_name", "tss", F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.col("atac").alias("p_atac"), F.col("posterior").alias("p_posterior"), F.col("combined").alias("p_combined"), "s", "o")
+    x = x.join(told.hint("merge"), ["context", "promoter_id"])
     return x.select(
         "context", F.col("id").alias("master_dhs_id"), "element_chrom", F.col("start").alias("element_start"), F.col("end").alias("element_end"), F.col("summit").alias("element_summit"), "regulatory_class", sig10("posterior").alias("element_h3k27ac_posterior"),
         sig10("combined").alias("element_combined_activity"), F.col("blacklist_overlap").cast("int").alias("element_blacklist_overlap"), "promoter_id", F.array_join("s", ";").alias("active_promoter_supporting_element_ids"),

@@ -148,11 +148,11 @@ def _models(spark):
     return spark.createDataFrame(rows, "context string, strategy string, assay string, match string, resolution int, gamma double, scale double")
 
 
-def graph(spark, d):
+def graph(spark, d, once=False):
     m = spark.range(180).selectExpr("'c1' as context", "id as bin1", "explode(array(0L, 1L, 2L, 3L)) as d").selectExpr("context", "bin1", "bin1 + d as bin2", "d", "explode(array(0L, 1L)) as c")
     m = m.selectExpr("context", "concat('chr', c) as chrom", "bin1", "bin2", "case when bin1 % 13 = 5 or bin2 % 13 = 5 then double('NaN') else ((bin1 * 7 + d * 3 + c) % 11) / 40D end as value")
     shape = spark.createDataFrame([("c1", "chr0", 180), ("c1", "chr1", 180)], "context string, chrom string, bins long")
-    return lk.context_graph(members(spark, d).where("member"), promoters(spark, d), _models(spark), m, shape, _REACH, _PSEUDO, _THRESHOLD)
+    return lk.context_graph(members(spark, d).where("member"), promoters(spark, d), _models(spark), m, shape, _REACH, _PSEUDO, _THRESHOLD, once)
 
 
 def _round(c: str, digits: int):
@@ -206,8 +206,8 @@ def _states(spark, d):
     return lk.promoter_activity(promoters(spark, d), members(spark, d).where("member"), _THRESHOLD, by=("context",))
 
 
-def _nearest_rows(spark, d):
-    return lk.nearest_active_genes(members(spark, d).where("member"), _states(spark, d), _THRESHOLD)
+def _nearest_rows(spark, d, states=None):
+    return lk.nearest_active_genes(members(spark, d).where("member"), states or _states(spark, d), _THRESHOLD)
 
 
 @query("nearest_active_genes", f"WITH {_GRAPH}, {_NEAREST} SELECT * FROM ng")
@@ -222,8 +222,8 @@ def nearest_active_rows(spark, d):
 (SELECT count(*) FROM dg x WHERE x.context = mo.context) AS active_distance_enhancer_gene_candidate_count FROM mo)
 SELECT * FROM r UNION ALL SELECT 'all', NULL, NULL, CAST(sum(COLUMNS('.*_count')) AS BIGINT) FROM r""")
 def metrics(spark, d):
-    g, m = graph(spark, d), members(spark, d).where("member")
-    return lk.graph_metrics(g, _models(spark), lk.active_contact_genes(g.edges, m, _THRESHOLD, _RATIO), _nearest_rows(spark, d), lk.active_distance_genes(g.edges, m, _THRESHOLD))
+    g, m = graph(spark, d, once=True), members(spark, d).where("member")
+    return lk.graph_metrics(g, _models(spark), lk.active_contact_genes(g.edges, m, _THRESHOLD, _RATIO), _nearest_rows(spark, d, g.states), lk.active_distance_genes(g.edges, m, _THRESHOLD))
 
 
 _WIDE_CONTEXT = """max(CASE WHEN k.context = '{c}' THEN CAST(k.member AS INTEGER) END) AS {c}__element_context_membership, round(max(CASE WHEN k.context = '{c}' THEN CAST(k.atac AS DOUBLE) END), 6) AS {c}__element_atac_signal, round(max(CASE WHEN k.context = '{c}' THEN CAST(k.posterior AS DOUBLE) END), 6) AS {c}__element_h3k27ac_posterior,
