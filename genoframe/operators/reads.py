@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import has_flags
+from .contacts import settled
 from .intervals import TILE, interval_union, overlap_join
 
 # SAM flag bits.
@@ -53,24 +54,25 @@ def mark_template_duplicates(records: DataFrame, by: tuple[str, ...] = ("library
     read.  Only primary mapped records of good quality are compared; the mark
     of a template is that of all its mapped records, secondary and
     supplementary ones too.  Ends of equal place are taken together with
-    partial aggregates, so a pile of copies is no single task's.
+    partial aggregates, so a pile of copies is no single task's.  Templates
+    are written once, to the checkpoint folder, since five steps read them.
     """
     keys = [*by, read]
     bit = lambda b: F.col("flag").bitwiseAND(b) != 0
     primary = records.where(~bit(UNMAPPED + SECONDARY + SUPPLEMENTARY + QC_FAIL))
     end = F.struct("chrom", unclipped_five_prime(F.col("pos"), F.col("cigar"), bit(REVERSE)).alias("at"), bit(REVERSE).alias("reverse"))
-    templates = primary.withColumn("end", end).groupBy(*keys).agg(F.min("end").alias("lo"), F.max("end").alias("hi"), F.count("*").alias("n"), F.sum("quality").alias("quality"))
+    templates = settled(primary.withColumn("end", end).groupBy(*keys).agg(F.min("end").alias("lo"), F.max("end").alias("hi"), F.count("*").alias("n"), F.sum("quality").alias("quality")))
 
     def best(rows: DataFrame, place: list[str]) -> DataFrame:
-        # The highest quality, then the first name: names are compared as they are, so the least is found in a second step.
-        top = rows.groupBy(*by, *place).agg(F.max("quality").alias("quality"))
-        return rows.join(top, [*by, *place, "quality"]).groupBy(*by, *place).agg(F.min(read).alias("kept"))
+        # The highest quality, then the first name, nulls last, in one aggregate.
+        order = F.struct(F.col("quality").isNull().alias("none"), (-F.col("quality")).alias("least"), F.col(read).isNull().alias("unnamed"), read)
+        return rows.groupBy(*by, *place).agg(F.min(order).getField(read).alias("kept"))
 
     pairs, singles = templates.where("n > 1"), templates.where("n = 1")
-    marked = pairs.join(best(pairs, ["lo", "hi"]), [*by, "lo", "hi"]).select(*keys, (F.col(read) != F.col("kept")).alias("duplicate"))
+    marked = pairs.join(best(pairs, ["lo", "hi"]), [*by, "lo", "hi"]).select(*keys, (~F.col(read).eqNullSafe(F.col("kept"))).alias("duplicate"))
     taken = pairs.select(*by, F.explode(F.array("lo", "hi")).alias("lo")).distinct().withColumn("taken", F.lit(True))
     alone = singles.join(best(singles, ["lo"]), [*by, "lo"]).join(taken, [*by, "lo"], "left")
-    marked = marked.unionByName(alone.select(*keys, ((F.col(read) != F.col("kept")) | F.col("taken").isNotNull()).alias("duplicate")))
+    marked = marked.unionByName(alone.select(*keys, (~F.col(read).eqNullSafe(F.col("kept")) | F.col("taken").isNotNull()).alias("duplicate")))
     out = records.join(marked, keys, "left")
     return out.withColumn("duplicate", F.coalesce(F.col("duplicate") & ~bit(UNMAPPED), F.lit(False)))
 

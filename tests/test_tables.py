@@ -183,3 +183,17 @@ def test_template_duplicates(spark):
     assert mark_template_duplicates(other).where("duplicate").count() == 14
     at = df.select(unclipped_five_prime(F.col("pos"), F.col("cigar"), F.col("flag").bitwiseAND(16) != 0).alias("x")).collect()
     assert [r.x for r in at][-4:-1] == [500, 500, 500]
+
+
+def test_templates_are_made_once(spark):
+    """Templates are made once: the plan of the marks reads records once, however many steps read the templates."""
+    from genoframe.operators.reads import mark_template_duplicates
+
+    shape = "library string, chrom string, read string, flag int, pos long, cigar string, quality long"
+    # Of pairs of the same ends the best quality stays, a null one comes last, and of equal ones the first name.
+    rows = [("l", "c", r, f, p, "9M", q) for r, q in (("b", 7), ("a", 7), ("d", 8), ("c", 8), ("e", None)) for f, p in ((0x41, 100), (0x91, 300))]
+    df = spark.createDataFrame(rows, shape)
+    marked = mark_template_duplicates(df)
+    assert {r.read for r in marked.where("not duplicate").collect()} == {"c"}
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [library") == 1 + 5
+    assert "regexp" not in marked._jdf.queryExecution().optimizedPlan().toString()
