@@ -198,3 +198,13 @@ def test_elements_beyond_their_chromosome_have_no_largest_window(spark, tmp_path
     assert sorted(tuple(r) for r in entry.queries()["window_argmax"](spark, d).collect()) == want
     for name in ("regulatory_catalog", "regulatory_wide"):
         assert {r.master_dhs_id for r in entry.queries()[name](spark, d).collect()} == {3, 6}
+
+
+def test_catalog_without_activity(spark):
+    """Queries that show no combined activity need not work one out."""
+    signal = spark.createDataFrame([(1, "F", 10.0), (2, "F", 0.0)], "id long, context string, max_signal double")
+    near = spark.createDataFrame([(1, 20), (2, 5000)], "id long, distance long")
+    mixtures = spark.createDataFrame([("F", True, 0.5, 0.5, 0.0, 1.0, 0.1, 0.1)], "context string, mixture_supported boolean, low_weight double, high_weight double, low_mean double, high_mean double, low_variance double, high_variance double")
+    got = ct.build_catalog(signal, signal.select("id", "context"), near, None, mixtures)
+    assert "combined_activity" not in got.columns
+    assert {r.id: (r.regulatory_class, r.state) for r in got.collect()} == {1: ("promoter_associated", "active_high_mixture"), 2: ("distal_enhancer_like", "accessible_no_h3k27ac_signal")}
