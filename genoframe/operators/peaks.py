@@ -11,7 +11,10 @@ once, to the checkpoint folder, since several steps read them.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import col
@@ -22,35 +25,61 @@ from .intervals import TILE, _changes, _levels, named_runs
 P_TILES = 16
 
 
-def log_factorial(n: Column) -> Column:
-    """ln n! of a whole number: exact up to 20, then by Stirling's series (to about 1e-13)."""
-    z = n.cast("double") + 1
-    series = (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
-    return F.when(n <= 20, F.log(F.factorial(F.least(n, F.lit(20)).cast("int")).cast("double"))).otherwise(series)
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    """ln n! of whole numbers: exact up to 20, then by Stirling's series (to about 1e-13)."""
+    z = n + 1.0
+    series = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    return np.where(n <= 20, _SMALL[np.minimum(n, 20).astype(int)], series)
+
+
+_SMALL = np.array([math.log(math.factorial(n)) for n in range(21)])
+
+
+def _log_sums(steps: np.ndarray, factor: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """ln of 1 + the sums of as many terms as ``steps`` says; ``factor`` leads from a term to the next one in the rows that it is given."""
+    order = np.argsort(-steps, kind="stable")  # the rows that still go on come first
+    left = np.searchsorted(np.sort(steps), np.arange(1, steps.max(initial=0) + 1))
+    term, total = np.ones(len(steps)), np.ones(len(steps))
+    for i, done in enumerate(left, 1):
+        n = len(steps) - done
+        term[:n] *= factor(i, order[:n])
+        total[:n] += term[:n]
+    out = np.empty(len(steps))
+    out[order] = np.log(total)
+    return out
+
+
+def log_tails(k: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """ln P(X > k) of Poisson variables of positive means."""
+    upper = mean < k + 2
+    ratio = np.where(upper, mean / (k + 2), k / mean)  # of the second term to the largest; those after it fall faster
+    with np.errstate(divide="ignore"):
+        enough = np.where(ratio > 0, np.minimum(10 * np.sqrt(k + mean), -35 / np.log(np.minimum(ratio, 1 - 1e-9))), 1)
+    steps, out = (12 + np.ceil(enough)).astype(int), np.empty(len(k))
+    n, m = k[upper], mean[upper]
+    above = -m + (n + 1) * np.log(m) - log_factorial(n + 1) + _log_sums(steps[upper], lambda i, at: m[at] / (n[at] + 1 + i))
+    out[upper] = np.minimum(above, 0.0)
+    c, v = k[~upper], mean[~upper]
+    below = -v + c * np.log(v) - log_factorial(c) + _log_sums(steps[~upper], lambda i, at: np.maximum(c[at] - i + 1, 0) / v[at])
+    with np.errstate(divide="ignore"):
+        out[~upper] = np.log1p(-np.minimum(np.exp(below), 1.0))
+    return out
+
+
+def _log_tails(k: pd.Series, mean: pd.Series) -> pd.Series:
+    out = pd.Series([None] * len(k), dtype="Float64")
+    good = (k.notna() & (mean > 0)).to_numpy(bool)
+    out[good] = log_tails(k[good].to_numpy(float), mean[good].to_numpy(float))
+    return out
 
 
 def poisson_log_tail(k: Column | str, expected: Column | str) -> Column:
     """ln P(X > k) of a Poisson variable, as a sum around its largest term, so that far tails keep their digits.
 
     ``k`` is a whole number, 0 or more; null where the expectation is not
-    positive.
+    positive.  The terms of a batch of rows are worked out together.
     """
-    k, mean = col(k).cast("long"), col(expected).cast("double")
-    ratio = F.when(mean < k + 2, mean / (k + 2)).otherwise(k / mean)  # of the second term to the largest; those after it fall faster
-    enough = F.when(ratio > 0, F.least(10 * F.sqrt(k + mean), -35 / F.log(F.least(ratio, F.lit(1 - 1e-9))))).otherwise(1)
-    steps = F.sequence(F.lit(1).cast("long"), (12 + F.ceil(enough)).cast("long"))
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
-
-    def fold(factor) -> Column:
-        def add(acc: Column, i: Column) -> Column:
-            term = acc["term"] * factor(i)
-            return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
-
-        return F.aggregate(steps, start, add, lambda acc: F.log(acc["sum"]))
-
-    above = -mean + (k + 1) * F.log(mean) - log_factorial(k + 1) + fold(lambda i: mean / (k + 1 + i))
-    below = -mean + k * F.log(mean) - log_factorial(k) + fold(lambda i: F.greatest(k - i + 1, F.lit(0).cast("long")) / mean)
-    return F.when(mean > 0, F.when(mean < k + 2, F.least(above, F.lit(0.0))).otherwise(F.log1p(-F.least(F.exp(below), F.lit(1.0)))))
+    return F.pandas_udf(_log_tails, "double")(col(k).cast("long"), col(expected).cast("double"))
 
 
 def q_scores(counts: DataFrame, bases: DataFrame, by: tuple[str, ...], score: str = "p_score", weight: str = "bases") -> DataFrame:
@@ -78,7 +107,13 @@ def _around(points: DataFrame, width: int, name: str, by: tuple[str, ...], sizes
     """What intervals of ``width`` around points add to a track, cut to the chromosome."""
     left = width // 2
     x = points.join(F.broadcast(sizes.select("chrom", "size")), "chrom")
-    return x.select(*by, "chrom", F.greatest(F.col("pos") - left, F.lit(0)).alias("start"), F.least(F.col("pos") - left + width, F.col("size")).alias("end"), F.lit(name).alias("track"))
+    return x.select(*by, "chrom", F.greatest(F.col("pos") - left, F.lit(0)).alias("start"), F.least(F.col("pos") - left + width, F.col("size")).alias("end"), F.lit(name).alias("track"), "n")
+
+
+def _counted(points: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Points by base: by, chrom, pos, n; stretches of 2^16 bases lie together."""
+    counts = points.groupBy(*by, "chrom", "pos").agg(F.count("*").alias("n"))
+    return counts.repartition(*by, "chrom", F.floor(F.col("pos") / (1 << 16)))
 
 
 def qpois_track(points: DataFrame, sizes: DataFrame, by: tuple[str, ...] = ("library",), extend: int = 150, windows: tuple[int, ...] = (1000, 10_000), control: DataFrame | None = None, tile: int = TILE) -> DataFrame:
@@ -99,16 +134,19 @@ def qpois_track(points: DataFrame, sizes: DataFrame, by: tuple[str, ...] = ("lib
     source = known if control is None else control.join(F.broadcast(sizes.select("chrom")), "chrom", "left_semi")
     spans = windows if control is None else (extend, *windows)
     names = {w: f"w{w}" for w in spans}
-    parts = _around(known, extend, "pileup", by, sizes)
+    # Deep data crowd on the same bases, so points of one base are counted first; what lies near is dealt to one task, where its changes fold.
+    counted = settled(_counted(known, by))
+    control_counted = counted if control is None else settled(_counted(source, by))
+    parts = _around(counted, extend, "pileup", by, sizes)
     for w in spans:
-        parts = parts.unionByName(_around(source, w, names[w], by, sizes))
+        parts = parts.unionByName(_around(control_counted, w, names[w], by, sizes))
     tracks = ("pileup", *names.values())
-    changes = _changes(parts, {t: F.when(F.col("track") == t, 1).otherwise(0) for t in tracks}, (*by, "chrom"))
+    changes = _changes(parts, {t: F.when(F.col("track") == t, F.col("n")).otherwise(0) for t in tracks}, (*by, "chrom"))
     steps = _levels(changes, tracks, (*by, "chrom"), tile).where(" or ".join(f"{t} <> 0" for t in tracks))
     genome = sizes.agg(F.sum("size").alias("total"))
-    totals = known.groupBy(*keys).agg(F.count("*").alias("n"))
+    totals = counted.groupBy(*keys).agg(F.sum("n").alias("n"))
     if control is not None:
-        totals = totals.join(source.groupBy(*keys).agg(F.count("*").alias("c")), keys)
+        totals = totals.join(control_counted.groupBy(*keys).agg(F.sum("n").alias("c")), keys)
     totals = totals.join(F.broadcast(genome)).withColumn("scale", F.lit(1.0) if control is None else F.col("n") / F.col("c"))
     local = [F.col(names[w]) * F.lit(extend) * F.col("scale") / F.lit(w) for w in spans]
     steps = steps.join(F.broadcast(totals), keys).withColumn("expected", F.greatest(F.col("n") * F.lit(extend).cast("double") / F.col("total"), *local))
