@@ -2,8 +2,8 @@ r"""Phrase collocations by suffix-sigma: truncated suffixes, one sort, one stack
 
 Texts (null: empty), A-Z lower-cased, are split into pieces at
 ``[.,;:!?\x0A-\x0D]`` and pieces into words ``[^\x20\x09]+``.  Each place of a
-piece gives its suffix of at most ``longest`` words.  A task counts equal
-suffixes before they are shuffled.  They are dealt out by ranges of
+piece gives its suffix of at most ``longest`` words.  A task goes through
+several splits and counts equal suffixes before they are shuffled.  They are dealt out by ranges of
 (language, suffix): by language and first word, but a first word, or a phrase,
 that is too common for one task goes on in the next.  Inside a range they are
 sorted in reverse, and one stack of ``longest`` entries counts every prefix.
@@ -39,6 +39,8 @@ _BREAK = _set(*_BREAKS, inverse=False)
 _ROW = 4096
 #: Suffixes that a task gathers before it counts them, and different ones that it holds before it gives them out.
 _GATHERED, _HELD = 1_000_000, 400_000
+#: Tasks a core that a pass over the documents is dealt to, however many splits they come in.
+_TASKS = 2
 
 
 def _escaped(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,6 +254,8 @@ SCORE = "(cast(1000 as decimal(4, 0)) * cast(a as decimal(19, 0)) * cast(n as de
 def frequent_phrases(docs: DataFrame, work: Work, longest: int = 5, least: int = 100, sketch_bits: int = 24) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of all phrases of 1 to ``longest`` words that stand ``least`` times or more, words joined by byte 0, and (lang, n) of all words."""
     docs = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    # A common suffix, or a full row of a sketch, leaves every task once: with tasks by splits that is once for each bit of the input.
+    docs = docs.coalesce(_TASKS * docs.sparkSession.sparkContext.defaultParallelism)
     shared = []
     for _ in range(2 if longest > 2 else 1):  # words and pairs, then longer runs of them
         parts = docs.mapInArrow(lean(_sketch(longest, sketch_bits, least, shared)), "row int, at binary, counts binary")

@@ -6,7 +6,8 @@ from collections import Counter
 
 import pytest
 
-from genoframe.llm.collocations import SCORE, collocations
+from genoframe.llm.collocations import SCORE, collocations, frequent_phrases
+from genoframe.llm.work import Work
 
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -69,6 +70,18 @@ def test_parts_at_the_edges_of_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_splits_share_a_count(spark, monkeypatch):
+    """A suffix leaves a task once, and tasks go by the cores, not by the splits of the documents."""
+    saved, save = {}, Work.save
+    monkeypatch.setattr(Work, "save", lambda self, df, name: saved.setdefault(name, save(self, df, name)))
+    cores = spark.sparkContext.defaultParallelism
+    rows = [("en", "the same passage of some words")] * (20 * cores)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(10 * cores)
+    phrases, words = frequent_phrases(docs, Work(spark, "splits"), least=5)
+    assert saved["suffixes"].count() <= 7 * 2 * cores
+    assert phrases.count() == 6 + 5 + 4 + 3 + 2 and {r.f for r in phrases.collect()} == {20 * cores} and words.first().n == 120 * cores
+
+
 def test_large_counts_are_exact(spark):
     rows = [(10**15 + 7, 10**17 + 3, 10**16 + 9, 2 * 10**15 + 1), (100, 10**17, 100, 100), (3, 10, 7, 5)]
     df = spark.createDataFrame(rows, "a long, n long, l long, r long")
