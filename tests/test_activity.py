@@ -208,3 +208,24 @@ def test_catalog_without_activity(spark):
     got = ct.build_catalog(signal, signal.select("id", "context"), near, None, mixtures)
     assert "combined_activity" not in got.columns
     assert {r.id: (r.regulatory_class, r.state) for r in got.collect()} == {1: ("promoter_associated", "active_high_mixture"), 2: ("distal_enhancer_like", "accessible_no_h3k27ac_signal")}
+
+
+def test_regulatory_tables_broadcast_no_rows_of_elements(spark, tmp_path, monkeypatch):
+    """Files of a few MB hold millions of elements, so only tables of a row a chromosome, context or library may be broadcast by a file's size."""
+    import re
+
+    import __spark_entry__ as entry
+    from genoframe.operators import intervals as iv
+
+    d, plans, settled = str(tmp_path), [], ct.settled
+    spark.range(600).selectExpr("id as p_partkey", "cast(id % 50 as int) as p_size").write.parquet(f"{d}/part.parquet")
+    spark.range(4000).selectExpr("id div 4 as l_orderkey", "id % 600 as l_partkey", "id % 8 as l_suppkey", "cast(id % 4 as int) as l_linenumber", "20.0D as l_quantity", "if(id % 3 = 0, 'A', 'N') as l_returnflag", "if(id % 2 = 0, 'F', 'O') as l_linestatus").write.parquet(f"{d}/lineitem.parquet")
+    spark.range(20).selectExpr("id as s_suppkey", "concat('s', id) as s_name", "cast(id % 7 as int) as s_nationkey").write.parquet(f"{d}/supplier.parquet")
+    monkeypatch.setattr(ct, "settled", lambda df: (plans.append(_plan(df)), settled(df))[1])
+    out = entry.queries()["regulatory_wide"](spark, d)
+    plans.append(_plan(out))
+    keys = {k for p in plans for on in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", p) for k in re.findall(r"(\w+)#\d+", on)}
+    assert len(plans) == 5 and keys == {"chrom", "context"}
+    assert all(p.count("CartesianProduct") == 0 for p in plans) and out.count() == 600
+    near = iv.nearest(spark.read.parquet(f"{d}/part.parquet").selectExpr("p_partkey as id", "'chr0' as chrom", "p_partkey as pos"), spark.createDataFrame([("s", "chr0", 7)], "name string, chrom string, pos long"))
+    assert "Broadcast" not in _plan(spark.range(600).join(near.select("id", "distance"), "id"))
